@@ -80,3 +80,19 @@ def add_unique_id(df: DataFrame, year_label: Column, out: str = "id_unico") -> D
     seq = sequence_in_file(df, "_seq")
     seq = seq.withColumn(out, format_id(year_label, F.col("_seq"))).drop("_seq")
     return seq.select(out, *[F.col(f"`{c}`") for c in seq.columns if c != out])
+
+
+def sequence_across_files(df: DataFrame, group_col: str, file_order_col: str, file_col: str = "_file_path",
+                          block_col: str = "_file_block", out: str = "seq") -> DataFrame:
+    """1-based position inside ``group_col`` when its files are read one after another in
+    ``file_order_col`` order (an era table is its years' files concatenated). Must run on
+    rows still in scan order (before any shuffle); only per-split counts are aggregated."""
+    staged = df.withColumn("_mid", F.monotonically_increasing_id())
+    keys = [group_col, file_order_col, file_col, block_col]
+    splits = staged.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first"))
+    w = (Window.partitionBy(group_col).orderBy(file_order_col, file_col, block_col)
+         .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = splits.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
+    joined = staged.join(offsets, on=keys, how="inner")
+    return (joined.withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_first") + 1).cast("long"))
+            .drop("_mid", "_first", "_off"))

@@ -249,7 +249,7 @@ def value_fallback(spark, sf_dir):
     comb = eu_text(F.col("l_discount") * 1000)
     d = li.select("l_orderkey", "l_linenumber", src.alias("cantidad_toneladas"), total.alias("emision_total"),
                   primario.alias("emision_primario"), comb.alias("emision_combustible_primario"))
-    d = d.withColumn("emision_texto", shaping.emission_value(d, "cantidad_toneladas"))
+    d = shaping.with_emission_text(d, "cantidad_toneladas", "emision_texto")
     return d.select("l_orderkey", "l_linenumber", "emision_texto",
                     V.safe_number(F.col("emision_texto")).alias("emision"))
 
