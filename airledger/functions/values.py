@@ -6,15 +6,17 @@ on dirty text and nothing leaves the JVM.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from airledger import fixed_values as fv
 from airledger.functions.text import WS_CLASS, strip_ws
 
 # A decimal number as pandas.to_numeric / float() read it, minus inf/nan and the
 # Java-only suffixes (``1d``, ``1f``) that Spark's cast would accept.
-SAFE_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+SAFE_NUMBER = rf"^{WS_CLASS}*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?{WS_CLASS}*$"
 
 
 def col_(c: Column | str) -> Column:
@@ -67,10 +69,9 @@ def number_text_n2(c: Column | str) -> Column:
     of ``""`` or ``-`` is NULL."""
     c = col_(c)
     text = clean_null(c)
-    numeric_like = text.rlike(r"^[+-]?[0-9.,\s]+$")
+    numeric_like = text.rlike(r"^[+-]?[0-9.," + WS_CLASS[1:-1] + "]+$")
     parsed = strip_ws(_thousands(F.replace(text, F.lit(" "), F.lit(""))))
-    out = F.when(numeric_like, parsed).otherwise(text)
-    return F.when(~out.isin("", "-"), out)
+    return F.when(numeric_like, F.when(~parsed.isin("", "-"), parsed)).otherwise(text)
 
 
 def number_n3(c: Column | str) -> Column:
@@ -157,9 +158,24 @@ def year_from_name_first(c: Column | str) -> Column:
 
 def log_floor(c: Column | str, floor: float = fv.LOG_FLOOR) -> Column:
     """log10 of the value clipped below at ``floor``."""
-    return F.log10(F.greatest(col_(c), F.lit(floor)))
+    c = col_(c)
+    return F.when(c.isNotNull(), F.log10(F.greatest(c, F.lit(floor))))
 
 
 def fixed6(c: Column | str) -> Column:
-    """``%.6f`` text, ``""`` for NULL."""
-    return F.coalesce(F.format_string("%.6f", col_(c)), F.lit(""))
+    """F6 on the JVM: ``%.6f`` text, ``""`` for NULL. Java rounds the shortest decimal form
+    of the double half-up, so an exact tie in that form can differ from Python in the last
+    digit; report tables use ``fixed6_exact``."""
+    c = col_(c)
+    return F.when(c.isNotNull(), F.format_string("%.6f", c)).otherwise(F.lit(""))
+
+
+@F.pandas_udf(StringType())
+def _fixed6_py(s: pd.Series) -> pd.Series:
+    return s.map(lambda v: "" if v is None or pd.isna(v) else f"{v:.6f}")
+
+
+def fixed6_exact(c: Column | str) -> Column:
+    """F6 with Python's correctly rounded ``%.6f`` (Arrow-batched pandas UDF). Meant for
+    aggregated report tables (one row per group and unit), not for raw facts."""
+    return _fixed6_py(col_(c).cast("double"))

@@ -52,8 +52,9 @@ def top_n_per_group(df: DataFrame, group: str, value: str, name: str, n: int = f
 
 
 def ordered_report(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
-    """W4 + F6: per group, largest total first; value also as ``%.6f`` text."""
-    return (df.withColumn("valor_texto", V.fixed6(F.col(value)))
+    """W4 + F6: per group, largest total first; value also as ``%.6f`` text, formatted
+    exactly as Python does (the table is one row per group and unit)."""
+    return (df.withColumn("valor_texto", V.fixed6_exact(F.col(value)))
             .orderBy(F.col(group), F.col(value).desc_nulls_last(), F.col(name)))
 
 
