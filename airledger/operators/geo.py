@@ -106,7 +106,10 @@ def assign_polygon(points: DataFrame, polys: DataFrame, x: str, y: str, name: st
     """Left spatial join, point ``within`` polygon."""
     cells = polygon_cells(polys.select(F.col(name).alias("_unit"), "edges"), cell)
     cells = F.broadcast(cells) if fits_broadcast(cells, max_broadcast_rows) else cells
-    pts = (points.withColumn("_px", F.col(x).cast("double")).withColumn("_py", F.col(y).cast("double"))
+    def as_double(c: str):
+        return V.safe_number(F.col(c)) if dict(points.dtypes)[c] == "string" else F.col(c).cast("double")
+
+    pts = (points.withColumn("_px", as_double(x)).withColumn("_py", as_double(y))
            .withColumn("_pcx", F.floor(F.col("_px") / cell)).withColumn("_pcy", F.floor(F.col("_py") / cell)))
     cond = ((pts["_pcx"] == cells["_cx"]) & (pts["_pcy"] == cells["_cy"])
             & _inside(pts["_px"], pts["_py"], cells["edges"]))

@@ -63,8 +63,7 @@ def bronze(spark: SparkSession, infos: list[R.FileInfo]) -> list[DataFrame]:
     meta = ["_file_name", "_file_path", "_file_block"]
     for group in R.group_by_signature(chosen):
         raw = R.read_signature(spark, group)
-        data = shaping.canonical_columns(raw.drop(*meta), R.layout_of(group[0].name))
-        renamed = dict(zip([c for c in raw.columns if c not in meta], data.columns))
+        renamed = shaping.canonical_names([c for c in raw.columns if c not in meta], R.layout_of(group[0].name))
         cells = [shaping.cell_rule(q(orig), name) for orig, name in renamed.items()]
         layout = R.layout_of(group[0].name)
         if layout == "efp" and fv.EMISSION_SOURCE_DEFAULT not in renamed.values():

@@ -23,7 +23,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from airledger.functions import text as T
 from airledger.functions import values as V
 
-CORRUPT = "_corrupt"
+EXTRA = "_extra_field"
 UTF8 = "UTF-8"
 LATIN1 = "ISO-8859-1"
 
@@ -124,23 +124,22 @@ def header_vocabulary(catalogue_df: DataFrame, examples: int = 5) -> DataFrame:
 
 def read_signature(spark: SparkSession, infos: list[FileInfo], drop_long_rows: bool = True) -> DataFrame:
     """One parallel read of every file sharing a header signature. All columns
-    are strings; short rows are padded with NULL, rows with more fields than the header
-    are dropped (``drop_long_rows``, as a skipping reader does). Adds the source file name,
+    are strings; short rows are padded with NULL. The schema carries one sentinel column
+    past the header: a row that fills it has more fields than the header and is dropped
+    (``drop_long_rows``), as a reader that skips bad lines does. Adds the source file name,
     path and block start for file-order numbering."""
     enc, sep, cols = infos[0].signature
-    schema = StructType([StructField(c, StringType()) for c in cols] + [StructField(CORRUPT, StringType())])
+    schema = StructType([StructField(c, StringType()) for c in cols] + [StructField(EXTRA, StringType())])
     df = (spark.read.schema(schema)
           .option("header", True).option("sep", sep).option("encoding", enc)
-          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-          .option("enforceSchema", True)
+          .option("mode", "PERMISSIVE").option("enforceSchema", True)
           .csv([i.path for i in infos]))
     df = df.select("*", F.col("_metadata.file_name").alias("_file_name"),
                    F.col("_metadata.file_path").alias("_file_path"),
                    F.col("_metadata.file_block_start").alias("_file_block"))
     if drop_long_rows:
-        n = len(cols)
-        df = df.where(F.col(CORRUPT).isNull() | (F.size(F.split(F.col(CORRUPT), sep)) <= n))
-    return df.drop(CORRUPT)
+        df = df.where(F.col(EXTRA).isNull())
+    return df.drop(EXTRA)
 
 
 def group_by_signature(infos: list[FileInfo]) -> list[list[FileInfo]]:
