@@ -154,25 +154,36 @@ def classify_macro(code: Column, desc: Column, letter_map: Column | None = None)
 def activity_code_dim(codes: DataFrame, code_col: str = "codigo", desc_col: str = "descripcion",
                       order_col: str | None = None) -> DataFrame:
     """Code -> description; missing codes dropped, NULL description -> ``""``, the
-    last entry of a duplicated code wins (``order_col`` gives file order)."""
+    last entry of a duplicated code wins (``order_col`` gives file order). The keyword
+    sector of the description is computed here, once per code, so the join that uses the
+    dimension carries a short label instead of the description text."""
     d = codes.select(
         V.clean_null(F.col(code_col)).alias("_code"),
         F.coalesce(T.strip_ws(F.col(desc_col)), F.lit("")).alias("_desc"),
         (F.col(order_col) if order_col else F.monotonically_increasing_id()).alias("pos"),
     ).where(F.col("_code").isNotNull())
-    return _last_per_key(d, "_code")
+    last = _last_per_key(d, "_code")
+    return last.select(
+        "_code",
+        F.when(F.col("_desc") != "", keyword_macro(T.key_description(F.col("_desc")))).alias("_kw"),
+        F.lit(True).alias("_known"),
+    )
 
 
 def add_activity(df: DataFrame, code_dim: DataFrame, columns: list[str] = fv.ACTIVITY_CODE_COLUMNS) -> DataFrame:
     """``actividad_canon`` is the preferred code when the dimension knows it;
-    ``actividad_macro`` classifies it (keywords only for known codes)."""
+    ``actividad_macro``: letter of the code, else (known codes only) the description's
+    keyword sector, else OTHER."""
     keyed = df.withColumn("_code", prefer_code(df, columns))
     joined = join_small(keyed, code_dim, on="_code", how="left")
-    known = F.col("_desc").isNotNull()
+    known = F.col("_known").isNotNull()
+    letter_map = F.create_map(*[x for pair in fv.LETTER_MACRO for x in (F.lit(pair[0]), F.lit(pair[1]))])
+    macro = F.coalesce(F.try_element_at(letter_map, letter_of(F.col("_code"))),
+                       F.when(known, F.col("_kw")), F.lit(fv.DEFAULT_MACRO))
     return (joined
             .withColumn("actividad_canon", F.when(known, F.col("_code")))
-            .withColumn("actividad_macro", classify_macro(F.col("_code"), F.col("_desc")))
-            .drop("_code", "_desc"))
+            .withColumn("actividad_macro", macro)
+            .drop("_code", "_kw", "_known"))
 
 
 def unmapped_codes(df: DataFrame, code_dim: DataFrame, columns: list[str] = fv.ACTIVITY_CODE_COLUMNS) -> DataFrame:

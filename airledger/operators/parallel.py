@@ -1,0 +1,26 @@
+"""Keeping per-row work spread over the cluster's task slots.
+
+A scan yields one task per file split; a small table stored as one Parquet row group is
+read by a single task, and every per-row expression on it (regular expressions over long
+texts, locale number rules) then runs on one core. ``spread`` redistributes such an
+input round-robin -- but only when it has fewer partitions than there are task slots.
+A large scan already has thousands of splits, so at scale this is a no-op and never adds
+a shuffle of the big tables. Round-robin after Spark's local sort is deterministic, so a
+retried task sees the same rows.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def task_slots(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
+
+
+def spread(df: DataFrame, slots: int | None = None) -> DataFrame:
+    """Round-robin repartition to the task slots when the input is under-partitioned."""
+    target = slots or task_slots(df)
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

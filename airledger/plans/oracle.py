@@ -88,8 +88,8 @@ def n1(x: str) -> str:
 def n2(x: str) -> str:
     c = clean(x)
     parsed = strip(thousands(f"replace({c}, ' ', '')"))
-    o = rf"(CASE WHEN regexp_full_match({c}, '[+-]?[0-9.,\s]+') THEN {parsed} ELSE {c} END)"
-    return f"(CASE WHEN {o} IN ('', '-') THEN NULL ELSE {o} END)"
+    return (rf"(CASE WHEN regexp_full_match({c}, '[+-]?[0-9.,\s]+') THEN "
+            rf"(CASE WHEN {parsed} IN ('', '-') THEN NULL ELSE {parsed} END) ELSE {c} END)")
 
 
 def n3(x: str) -> str:

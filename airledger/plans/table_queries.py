@@ -15,6 +15,7 @@ from airledger import fixed_values as fv
 from airledger.functions import text as T
 from airledger.functions import values as V
 from airledger.operators import geo, ids, lookups, metrics, quality, regions, reshape, shaping
+from airledger.operators.parallel import spread
 from airledger.sources import links
 
 # Lookup tables used by the queries (small, stated once; the SQL oracle uses the same).
@@ -70,7 +71,7 @@ def type_label(part: DataFrame) -> Column:
 # --- scalars ---------------------------------------------------------------------------
 
 def locale_number_parse(spark, sf_dir):
-    li = load(spark, sf_dir, "lineitem")
+    li = spread(load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice"))
     us = F.format_number(F.col("l_extendedprice"), 2)
     eu = eu_text(F.col("l_extendedprice"))
     raw = (F.when(F.col("l_linenumber") == 1, eu)
@@ -116,7 +117,7 @@ def year_extract(spark, sf_dir):
 
 
 def text_key(spark, sf_dir):
-    docs = load(spark, sf_dir, "documents")
+    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "text"))
     t = F.col("text")
     return docs.select("doc_id",
                        T.key_region(t).alias("k_t1"), T.key_pollutant(t).alias("k_t2"),
@@ -199,7 +200,7 @@ def _activity_facts(part: DataFrame) -> DataFrame:
 
 
 def _activity_codes(spark, sf_dir) -> DataFrame:
-    docs = load(spark, sf_dir, "documents")
+    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "text"))
     return lookups.activity_code_dim(
         docs.select(F.col("doc_id").cast("string").alias("codigo"), F.col("text").alias("descripcion"), "doc_id"),
         order_col="doc_id")
@@ -239,7 +240,8 @@ def merge_conflicts(spark, sf_dir):
 
 
 def value_fallback(spark, sf_dir):
-    li = load(spark, sf_dir, "lineitem")
+    li = spread(load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_tax",
+                                                       "l_discount"))
     ln = F.col("l_linenumber")
     eu = eu_text(F.col("l_extendedprice"))
     src = (F.when(ln == 1, F.lit("-")).when(ln == 2, F.lit("NA")).when(ln == 3, F.lit(None).cast("string"))
