@@ -19,9 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-# Python's str.split()/strip() treat all of these as whitespace; Java's \s alone does not.
-WS_CLASS = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-_EDGE_WS = rf"^{WS_CLASS}+|{WS_CLASS}+$"
+# Every character Python's str.split()/str.strip() treat as whitespace (Java's \s covers
+# only the ASCII ones), generated from Unicode's own property rather than listed by hand.
+WS_CHARS = "".join(chr(cp) for cp in range(0x3001) if chr(cp).isspace())
+WS_CLASS = "[" + "".join(f"\\x{{{ord(ch):X}}}" for ch in WS_CHARS) + "]"
 _INNER_WS = rf"{WS_CLASS}+"
 
 # Code point ranges scanned to build the accent-folding table.
@@ -55,8 +56,9 @@ def accent_table() -> tuple[str, str]:
 
 
 def strip_ws(c: Column) -> Column:
-    """Python ``str.strip()``: removes Unicode whitespace at both ends (Spark ``trim`` only removes spaces)."""
-    return F.regexp_replace(c, _EDGE_WS, "")
+    """Python ``str.strip()``: removes Unicode whitespace at both ends. ``btrim`` with the
+    character set does it without a regular expression (plain ``trim`` only removes spaces)."""
+    return F.btrim(c, F.lit(WS_CHARS))
 
 
 def collapse_ws(c: Column) -> Column:

@@ -163,9 +163,12 @@ def activity_code_dim(codes: DataFrame, code_col: str = "codigo", desc_col: str
         (F.col(order_col) if order_col else F.monotonically_increasing_id()).alias("pos"),
     ).where(F.col("_code").isNotNull())
     last = _last_per_key(d, "_code")
-    return last.select(
+    # The normalised description is its own column: the 34 keyword tests then read a
+    # finished value instead of each re-running the text normalisation.
+    keyed = last.withColumn("_dkey", T.key_description(F.col("_desc")))
+    return keyed.select(
         "_code",
-        F.when(F.col("_desc") != "", keyword_macro(T.key_description(F.col("_desc")))).alias("_kw"),
+        F.when(F.col("_desc") != "", keyword_macro(F.col("_dkey"))).alias("_kw"),
         F.lit(True).alias("_known"),
     )
 

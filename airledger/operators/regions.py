@@ -30,7 +30,11 @@ def region_column(columns: list[str]) -> str | None:
 
 def is_metropolitan(c: Column) -> Column:
     """R2: alias set, or both ``metropolitana`` and ``santiago``, or ends with `` rm``."""
-    norm = T.key_region(c)
+    return is_metropolitan_key(T.key_region(c))
+
+
+def is_metropolitan_key(norm: Column) -> Column:
+    """R2 on an already normalised (T1) region key."""
     hit = (norm.isin(*fv.RM_ALIASES)
            | (norm.contains("metropolitana") & norm.contains("santiago"))
            | norm.endswith(" rm"))
@@ -40,7 +44,11 @@ def is_metropolitan(c: Column) -> Column:
 def region_matches(c: Column, target: str) -> Column:
     """When the target names the metropolitan region, the alias rule; otherwise strict
     equality after T7 (which deletes the word ``region``)."""
-    v = T.key_region_target(c)
+    return region_key_matches(T.key_region_target(c), target)
+
+
+def region_key_matches(v: Column, target: str) -> Column:
+    """R3 on an already normalised (T7) region key."""
     t_norm = _region_target_py(target)
     if t_norm in fv.RM_TARGETS:
         hit = (v.isin(*fv.RM_TARGET_ALIASES)
@@ -72,8 +80,12 @@ def keep_region(df: DataFrame, target: str | None = None, column: str | None = N
     col = column or region_column(df.columns)
     if col is None:
         raise KeyError(f"no region column among {df.columns}")
-    pred = is_metropolitan(F.col(f"`{col}`")) if target is None else region_matches(F.col(f"`{col}`"), target)
-    return df.where(pred)
+    # The key is computed once as a column; the predicate then tests the finished key.
+    if target is None:
+        keyed = df.withColumn("_rkey", T.key_region(F.col(f"`{col}`")))
+        return keyed.where(is_metropolitan_key(F.col("_rkey"))).drop("_rkey")
+    keyed = df.withColumn("_rkey", T.key_region_target(F.col(f"`{col}`")))
+    return keyed.where(region_key_matches(F.col("_rkey"), target)).drop("_rkey")
 
 
 def year_equals(df: DataFrame, year: int, col: str = "año") -> DataFrame:
