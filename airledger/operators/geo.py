@@ -25,6 +25,7 @@ from airledger import fixed_values as fv
 from airledger.functions import text as T
 from airledger.functions import values as V
 from airledger.operators.lookups import fits_broadcast
+from airledger.operators.tables import fixed_table
 
 EDGE_TYPE = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
 
@@ -51,7 +52,7 @@ def polygons_from_rings(spark: SparkSession, polygons: list[tuple[str, list[list
                 pts.append(pts[0])
             edges += [(float(a[0]), float(a[1]), float(b[0]), float(b[1])) for a, b in zip(pts, pts[1:])]
         rows.append((unit, edges))
-    return spark.createDataFrame(rows, f"{name} string, edges {EDGE_TYPE}")
+    return fixed_table(spark, rows, f"{name} string, edges {EDGE_TYPE}")
 
 
 def polygons_from_wkt(df: DataFrame, wkt_col: str, name_col: str) -> DataFrame:

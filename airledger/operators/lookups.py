@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from airledger import fixed_values as fv
 from airledger.functions import text as T
 from airledger.functions import values as V
+from airledger.operators.tables import fixed_table
 
 # Largest dimension (rows) shipped to executors as a broadcast hash table.
 BROADCAST_MAX_ROWS = 1_000_000
@@ -37,7 +38,7 @@ def join_small(df: DataFrame, dim: DataFrame, on, how: str = "left",
 
 def _fixed_dim(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A dimension from a fixed value list; ``pos`` keeps list order."""
-    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], f"pos int, {schema}")
+    return fixed_table(spark, [(i, *r) for i, r in enumerate(rows)], f"pos int, {schema}")
 
 
 def _last_per_key(dim: DataFrame, key: str) -> DataFrame:

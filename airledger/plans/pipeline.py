@@ -27,6 +27,7 @@ from airledger import fixed_values as fv
 from airledger.functions import values as V
 from airledger.operators import geo, ids, lookups, metrics, quality, regions, reshape, shaping
 from airledger.operators.shaping import q
+from airledger.operators.tables import fixed_table
 from airledger.sources import registers as R
 
 
@@ -125,7 +126,7 @@ def silver(spark: SparkSession, register_dir: str, code_dim: DataFrame | None =
     if strict_eras:
         check_eras({_year_of_name(i.name) for i in infos if not i.error})
     if code_dim is None:
-        code_dim = lookups.activity_code_dim(spark.createDataFrame([], "codigo string, descripcion string"))
+        code_dim = lookups.activity_code_dim(fixed_table(spark, [], "codigo string, descripcion string"))
     return silver_table(reshape.union_all(bronze(spark, infos)), code_dim)
 
 

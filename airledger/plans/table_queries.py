@@ -16,6 +16,7 @@ from airledger.functions import text as T
 from airledger.functions import values as V
 from airledger.operators import geo, ids, lookups, metrics, quality, regions, reshape, shaping
 from airledger.operators.parallel import spread
+from airledger.operators.tables import fixed_table
 from airledger.sources import links
 
 # Lookup tables used by the queries (small, stated once; the SQL oracle uses the same).
@@ -51,7 +52,7 @@ def dec2(x: Column) -> Column:
 
 
 def _fixed(spark: SparkSession, rows, schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+    return fixed_table(spark, rows, schema)
 
 
 def type_label_dim(spark: SparkSession) -> DataFrame:
