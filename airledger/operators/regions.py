@@ -93,6 +93,15 @@ def year_equals(df: DataFrame, year: int, col: str = "año") -> DataFrame:
     return df.where(F.col(col) == F.lit(year))
 
 
+def in_year(df: DataFrame, ts_col: str, year: int) -> Column:
+    """R5 on a date or timestamp column as a half-open range, which the Parquet reader
+    can use for row-group skipping (``year(ts) = y`` cannot be pushed down)."""
+    dtype = dict(df.dtypes)[ts_col]
+    start = F.lit(f"{year}-01-01").cast(dtype)
+    end = F.lit(f"{year + 1}-01-01").cast(dtype)
+    return (F.col(ts_col) >= start) & (F.col(ts_col) < end)
+
+
 def year_between(df: DataFrame, start: int | None = None, end: int | None = None, col: str = "año") -> DataFrame:
     """Both bounds optional and inclusive."""
     if start is not None:

@@ -12,11 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from airledger.operators import metrics
-from airledger.plans.table_queries import UNIT_YEAR, _unit_facts
+from airledger.plans.table_queries import UNIT_YEAR, unit_totals
 
 
 def unit_totals_report(spark: SparkSession, sf_dir: str, year: int = UNIT_YEAR) -> DataFrame:
-    facts = _unit_facts(spark, sf_dir)
-    totals = metrics.totals_by(facts, ["contaminante_canon", "unidad_paisaje"], "emision_total", year=year)
+    totals = unit_totals(spark, sf_dir, year)
     totals = totals.withColumn("emision_total", totals["emision_total"].cast("double"))
     return metrics.ordered_report(totals, "contaminante_canon", "emision_total", "unidad_paisaje")
