@@ -223,6 +223,13 @@ def by_variable(efp: DataFrame, r23: DataFrame | None) -> DataFrame:
     return shaping.normalize_units(merged)
 
 
+def extracts(table: DataFrame, group: str = "grupo_canonico") -> DataFrame:
+    """P6 per pollutant group: the extract columns (``ano`` standing in for ``año``) with
+    the emission text cleaned by the N6 rule; the group stays a column instead of one
+    file per group."""
+    return shaping.extract_columns(table.select(*[q(c) for c in table.columns]), fv.EXTRACT_COLUMNS + [group])
+
+
 def variable_totals(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     """A1 + W1 per pollutant group from the merged table (N6 numbers, F4 years)."""
     facts = table.select(F.col("grupo_canonico").alias("contaminante"),

@@ -251,5 +251,7 @@ def test_pipeline_b(spark, registers):
     assert {"Sulfur dioxide (SO2)", "Benzene"} <= groups
     totals, running = P.variable_totals(table)
     assert totals.count() > 0 and running.count() == totals.count()
+    ex = P.extracts(table)
+    assert ex.columns[-1] == "grupo_canonico" and "cantidad_toneladas" in ex.columns and ex.count() == table.count()
     summary = {r.archivo: (r.filas_entrada, r.filas_RM) for r in P.run_summary(spark, infos, "Metropolitana de Santiago").collect()}
     assert len(summary) == 19 and all(kept <= read for read, kept in summary.values())
