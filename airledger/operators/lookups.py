@@ -2,9 +2,10 @@
 
 Each lookup is a left join against a small dimension. Dimensions built from the fixed
 value lists have a known, constant size, so they are broadcast outright; dimensions
-read from data (activity codes, municipality centres) go through ``join_small``, which
-broadcasts only after proving the row bound and otherwise leaves the choice to the
-optimizer (sort-merge / AQE), so nothing unbounded is ever shipped to every executor.
+read from data (activity codes, municipality centres) carry a broadcast hint only after
+their raw source is proven to hold at most ``BROADCAST_MAX_ROWS`` rows, and otherwise
+leave the choice to the optimizer (sort-merge / AQE), so nothing unbounded is ever
+shipped to every executor.
 """
 
 from __future__ import annotations
@@ -29,11 +30,20 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def bounded_broadcast(dim: DataFrame, source: DataFrame | None = None,
+                      max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Mark ``dim`` for broadcast when its row count is proven to be at most ``max_rows``.
+    The bound is checked on ``source`` -- the raw input the dimension is derived from by
+    filters and de-duplication, so never larger -- where the limit reaches the scan and
+    stops early. Beyond the bound the dimension stays unhinted: the optimizer plans a
+    sort-merge join and AQE may still switch to a broadcast from the measured size."""
+    return F.broadcast(dim) if fits_broadcast(source if source is not None else dim, max_rows) else dim
+
+
 def join_small(df: DataFrame, dim: DataFrame, on, how: str = "left",
                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join against a dimension, broadcasting it only behind a size check."""
-    side = F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
-    return df.join(side, on=on, how=how)
+    return df.join(bounded_broadcast(dim, None, max_rows), on=on, how=how)
 
 
 def _fixed_dim(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -153,7 +163,7 @@ def classify_macro(code: Column, desc: Column, letter_map: Column | None = None)
 
 
 def activity_code_dim(codes: DataFrame, code_col: str = "codigo", desc_col: str = "descripcion",
-                      order_col: str | None = None) -> DataFrame:
+                      order_col: str | None = None, bound_source: DataFrame | None = None) -> DataFrame:
     """Code -> description; missing codes dropped, NULL description -> ``""``, the
     last entry of a duplicated code wins (``order_col`` gives file order). The keyword
     sector of the description is computed here, once per code, so the join that uses the
@@ -167,11 +177,12 @@ def activity_code_dim(codes: DataFrame, code_col: str = "codigo", desc_col: str
     # The normalised description is its own column: the 34 keyword tests then read a
     # finished value instead of each re-running the text normalisation.
     keyed = last.withColumn("_dkey", T.key_description(F.col("_desc")))
-    return keyed.select(
+    dim = keyed.select(
         "_code",
         F.when(F.col("_desc") != "", keyword_macro(F.col("_dkey"))).alias("_kw"),
         F.lit(True).alias("_known"),
     )
+    return bounded_broadcast(dim, bound_source if bound_source is not None else codes)
 
 
 def add_activity(df: DataFrame, code_dim: DataFrame, columns: list[str] = fv.ACTIVITY_CODE_COLUMNS) -> DataFrame:
@@ -179,7 +190,7 @@ def add_activity(df: DataFrame, code_dim: DataFrame, columns: list[str] = fv.ACT
     ``actividad_macro``: letter of the code, else (known codes only) the description's
     keyword sector, else OTHER."""
     keyed = df.withColumn("_code", prefer_code(df, columns))
-    joined = join_small(keyed, code_dim, on="_code", how="left")
+    joined = keyed.join(code_dim, on="_code", how="left")
     known = F.col("_known").isNotNull()
     letter_map = F.create_map(*[x for pair in fv.LETTER_MACRO for x in (F.lit(pair[0]), F.lit(pair[1]))])
     macro = F.coalesce(F.try_element_at(letter_map, letter_of(F.col("_code"))),
@@ -193,7 +204,7 @@ def add_activity(df: DataFrame, code_dim: DataFrame, columns: list[str] = fv.ACT
 def unmapped_codes(df: DataFrame, code_dim: DataFrame, columns: list[str] = fv.ACTIVITY_CODE_COLUMNS) -> DataFrame:
     """J7 for activity codes: preferred codes missing from the dimension, sorted."""
     codes = df.select(prefer_code(df, columns).alias("_code")).where("_code IS NOT NULL").distinct()
-    return (join_small(codes, code_dim.select("_code"), on="_code", how="left_anti")
+    return (codes.join(code_dim.select("_code"), on="_code", how="left_anti")
             .select(F.col("_code").alias("valor")).orderBy("valor"))
 
 
@@ -214,7 +225,8 @@ def centre_dim(centres: DataFrame, name_col: str = "comuna", lat_col: str = "lat
         F.col(lon_col).alias("longitud_centro"),
     ).where(F.col("_ckey").isNotNull())
     w = Window.partitionBy("_ckey").orderBy("latitud_centro", "longitud_centro")
-    return keyed.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    dim = keyed.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    return bounded_broadcast(dim, centres)
 
 
 def fill_from_centre(df: DataFrame, centres: DataFrame, name_col: str = "comuna",
@@ -223,7 +235,7 @@ def fill_from_centre(df: DataFrame, centres: DataFrame, name_col: str = "comuna"
     municipality centre (left join, NULL municipality never matches)."""
     dim = centre_dim(centres)
     keyed = df.withColumn("_ckey", T.key_centre(F.col(name_col)))
-    joined = join_small(keyed, dim, on="_ckey", how="left")
+    joined = keyed.join(dim, on="_ckey", how="left")
 
     def choose(orig: str, centre: str) -> Column:
         o = F.col(orig) if orig in df.columns else F.lit(None).cast("string")

@@ -201,10 +201,11 @@ def _activity_facts(part: DataFrame) -> DataFrame:
 
 
 def _activity_codes(spark, sf_dir) -> DataFrame:
-    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    scan = load(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(scan)
     return lookups.activity_code_dim(
         docs.select(F.col("doc_id").cast("string").alias("codigo"), F.col("text").alias("descripcion"), "doc_id"),
-        order_col="doc_id")
+        order_col="doc_id", bound_source=scan)
 
 
 def macro_classify(spark, sf_dir):
