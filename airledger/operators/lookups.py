@@ -40,6 +40,16 @@ def bounded_broadcast(dim: DataFrame, source: DataFrame | None = None,
     return F.broadcast(dim) if fits_broadcast(source if source is not None else dim, max_rows) else dim
 
 
+def summary_side(summary: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """A per-group summary (bounds, counts) to join back to the facts: materialised once
+    by a reliable checkpoint into the shared checkpoint folder, then broadcast when its
+    measured row count is within the bound. Beyond it the join shuffles, and AQE splits
+    any partition a hot group makes too large."""
+    from airledger.session import cut_lineage
+    done = cut_lineage(summary)
+    return bounded_broadcast(done, done, max_rows)
+
+
 def join_small(df: DataFrame, dim: DataFrame, on, how: str = "left",
                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Join against a dimension, broadcasting it only behind a size check."""
@@ -57,6 +67,14 @@ def _last_per_key(dim: DataFrame, key: str) -> DataFrame:
     return dim.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "pos")
 
 
+def _side(dim: DataFrame | None, default_builder, df: DataFrame) -> DataFrame:
+    """The library's own dimensions are built from the fixed lists (constant size) and are
+    broadcast outright; a dimension passed by the caller must first prove its bound."""
+    if dim is None:
+        return F.broadcast(default_builder(df.sparkSession))
+    return bounded_broadcast(dim)
+
+
 # --- J3 pollutant label -> code ------------------------------------------------------
 
 def pollutant_dim(spark: SparkSession, labels: list[tuple[str, str]] = fv.POLLUTANT_LABELS) -> DataFrame:
@@ -67,9 +85,9 @@ def pollutant_dim(spark: SparkSession, labels: list[tuple[str, str]] = fv.POLLUT
 
 def canon_label(df: DataFrame, col: str, out: str = "contaminante_canon", dim: DataFrame | None = None) -> DataFrame:
     """Canonical code of a free-text label through the T2 key; unmatched -> NULL."""
-    dim = dim if dim is not None else pollutant_dim(df.sparkSession)
+    side = _side(dim, pollutant_dim, df)
     keyed = df.withColumn("_key", T.key_pollutant(F.col(col)))
-    return (keyed.join(F.broadcast(dim), on="_key", how="left")
+    return (keyed.join(side, on="_key", how="left")
             .withColumnRenamed("code", out).drop("_key"))
 
 
@@ -83,9 +101,9 @@ def group_dim(spark: SparkSession, rows: list[tuple[int, str]] = fv.POLLUTANT_ID
 def canon_id_group(df: DataFrame, id_col: str, out: str = "grupo_canonico", id_out: str = "_id_int_",
                    default: str = fv.DEFAULT_GROUP, dim: DataFrame | None = None) -> DataFrame:
     """J4 + F3: integer id from text (``"44.0"`` -> 44), group by id, default group otherwise."""
-    dim = dim if dim is not None else group_dim(df.sparkSession)
+    side = _side(dim, group_dim, df)
     keyed = df.withColumn(id_out, V.int_from_text(F.col(id_col)))
-    joined = keyed.join(F.broadcast(dim), keyed[id_out] == dim["_id"], "left")
+    joined = keyed.join(side, keyed[id_out] == side["_id"], "left")
     return joined.withColumn(out, F.coalesce(F.col("grupo"), F.lit(default))).drop("_id", "grupo")
 
 
@@ -100,10 +118,10 @@ def municipality_dim(spark: SparkSession, rows: list[tuple[str, str]] = fv.MUNIC
 def canon_spelling(df: DataFrame, col: str, dim: DataFrame | None = None, out: str | None = None,
                    key_fn=T.key_municipality) -> DataFrame:
     """Replace a name by its canonical spelling; unknown or missing names are kept."""
-    dim = dim if dim is not None else municipality_dim(df.sparkSession)
+    side = _side(dim, municipality_dim, df)
     out = out or col
     keyed = df.withColumn("_key", F.when(~V.is_na_word(F.col(col)), key_fn(F.col(col))))
-    joined = keyed.join(F.broadcast(dim), on="_key", how="left")
+    joined = keyed.join(side, on="_key", how="left")
     return joined.withColumn(out, F.coalesce(F.col("spelling"), F.col(col))).drop("_key", "spelling")
 
 
@@ -114,7 +132,7 @@ def unmapped_values(df: DataFrame, col: str, dim: DataFrame, key_fn, dim_key: st
     values are de-duplicated *before* the anti-join, so the join sees one row per label."""
     values = (df.select(F.col(col).alias("valor")).where(~V.is_na_word(F.col("valor"))).distinct()
               .withColumn(dim_key, key_fn(F.col("valor"))))
-    return (values.join(F.broadcast(dim.select(dim_key)), on=dim_key, how="left_anti")
+    return (values.join(bounded_broadcast(dim.select(dim_key)), on=dim_key, how="left_anti")
             .select("valor").orderBy("valor"))
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from airledger import fixed_values as fv
 from airledger.functions import values as V
 from airledger.operators.ids import sequence_in_group
+from airledger.operators.lookups import summary_side
 
 
 def annual_totals(df: DataFrame, group: str, year: str, value: str,
@@ -66,7 +67,7 @@ def exact_median(df: DataFrame, group: str, value: str, out: str = "mediana") ->
     # A unique tie-break keeps the ranking a total order.
     vals = vals.withColumn("_tb", F.monotonically_increasing_id())
     ranked = sequence_in_group(vals, [group], [F.col(value), F.col("_tb")], out="_r")
-    counts = vals.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    counts = summary_side(vals.groupBy(group).agg(F.count(F.lit(1)).alias("_n")))
     lo = F.floor((F.col("_n") + 1) / 2)
     hi = F.ceil((F.col("_n") + 1) / 2)
     mid = (ranked.join(counts, on=group)
@@ -105,8 +106,8 @@ def log_histogram(df: DataFrame, group: str, value: str, bins: int = fv.HISTOGRA
     bounds = pos.groupBy(group).agg(F.min("_lv").alias("_lo0"), F.max("_lv").alias("_hi0"))
     bounds = (bounds.withColumn("_lo", F.when(F.col("_lo0") == F.col("_hi0"), F.col("_lo0") - 0.5).otherwise(F.col("_lo0")))
               .withColumn("_hi", F.when(F.col("_lo0") == F.col("_hi0"), F.col("_hi0") + 0.5).otherwise(F.col("_hi0"))))
-    # One bounds row per group: small, and its size is bounded by the number of groups.
-    joined = pos.join(F.broadcast(bounds), on=group)
+    # One bounds row per group, materialised once and broadcast only within the bound.
+    joined = pos.join(summary_side(bounds), on=group)
     b = F.least(F.floor((F.col("_lv") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins), F.lit(bins - 1))
     return (joined.withColumn("bin", b.cast("int"))
             .groupBy(group, "bin").agg(F.count(F.lit(1)).cast("long").alias("frecuencia"),
