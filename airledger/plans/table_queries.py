@@ -106,7 +106,7 @@ def int_from_float_text(spark, sf_dir):
 
 
 def year_extract(spark, sf_dir):
-    o = load(spark, sf_dir, "orders")
+    o = spread(load(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate"))
     fname = F.concat(F.lit("ruea-efp-"), F.year("o_orderdate").cast("string"), F.lit("-ckan_"),
                      F.col("o_orderkey").cast("string"), F.lit(".csv"))
     d = o.select("o_orderkey", "o_orderpriority", F.col("o_orderdate").cast("string").alias("fecha"), fname.alias("archivo"))
@@ -119,11 +119,9 @@ def year_extract(spark, sf_dir):
 
 def text_key(spark, sf_dir):
     docs = spread(load(spark, sf_dir, "documents").select("doc_id", "text"))
-    t = F.col("text")
-    return docs.select("doc_id",
-                       T.key_region(t).alias("k_t1"), T.key_pollutant(t).alias("k_t2"),
-                       T.key_description(t).alias("k_t3"), T.key_centre(t).alias("k_t4"),
-                       T.key_municipality(t).alias("k_t5"))
+    keys = T.with_text_keys(docs, "text", {"k_t1": "region", "k_t2": "pollutant", "k_t3": "description",
+                                           "k_t4": "centre", "k_t5": "municipality"})
+    return keys.select("doc_id", "k_t1", "k_t2", "k_t3", "k_t4", "k_t5")
 
 
 def snake_name(spark, sf_dir):

@@ -132,3 +132,13 @@ def test_accent_table_is_one_to_one():
     assert len(dst) <= len(src)
     for a, b in zip(src, dst):
         assert fold(a) == b
+
+
+def test_with_text_keys_equals_presets(spark):
+    df = one_col(spark, SAMPLES, "t")
+    out = T.with_text_keys(df, "t", {"a": "region", "b": "pollutant", "c": "description", "d": "centre",
+                                     "e": "municipality"})
+    single = df.select("t", T.key_region(F.col("t")).alias("a"), T.key_pollutant(F.col("t")).alias("b"),
+                       T.key_description(F.col("t")).alias("c"), T.key_centre(F.col("t")).alias("d"),
+                       T.key_municipality(F.col("t")).alias("e"))
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, single.collect()), key=repr)
