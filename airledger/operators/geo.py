@@ -18,7 +18,7 @@ the cell (and AQE splits a hot cell).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airledger import fixed_values as fv
@@ -103,8 +103,17 @@ def _inside(x: Column, y: Column, edges: Column) -> Column:
 
 
 def assign_polygon(points: DataFrame, polys: DataFrame, x: str, y: str, name: str = "unidad",
-                   out: str = "unidad_paisaje", cell: float = 0.05, max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """Left spatial join, point ``within`` polygon."""
+                   out: str = "unidad_paisaje", cell: float = 0.05, max_broadcast_rows: int = 2_000_000,
+                   keep: str = "all") -> DataFrame:
+    """Left spatial join, point ``within`` polygon. ``keep="all"`` returns one row per
+    containing polygon (a spatial left join); ``keep="first"`` keeps one row per point, the
+    polygon name that sorts first, and adds ``n_poligonos`` (how many contained it)."""
+    if keep == "first":
+        tagged = points.withColumn("_pt", F.monotonically_increasing_id())
+        joined = assign_polygon(tagged, polys, x, y, name, out, cell, max_broadcast_rows, keep="all")
+        w = Window.partitionBy("_pt").orderBy(F.col(out).asc_nulls_last())
+        return (joined.withColumn("n_poligonos", F.count(out).over(Window.partitionBy("_pt")))
+                .withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_pt"))
     cells = polygon_cells(polys.select(F.col(name).alias("_unit"), "edges"), cell)
     cells = F.broadcast(cells) if fits_broadcast(cells, max_broadcast_rows) else cells
     def as_double(c: str):
@@ -120,8 +129,18 @@ def assign_polygon(points: DataFrame, polys: DataFrame, x: str, y: str, name: st
 
 
 def assign_landscape_unit(df: DataFrame, polys: DataFrame, name: str = "unidad", out: str = "unidad_paisaje",
-                          cell: float = 0.05) -> DataFrame:
+                          cell: float = 0.05, keep: str = "all") -> DataFrame:
     """P17 + J2 on the consolidated table: best latitude/longitude, then the unit."""
     staged = (df.withColumn("_lat", best_coordinate(df, fv.LAT_COLUMNS))
               .withColumn("_lon", best_coordinate(df, fv.LON_COLUMNS)))
-    return assign_polygon(staged, polys, "_lon", "_lat", name=name, out=out, cell=cell).drop("_lat", "_lon")
+    return assign_polygon(staged, polys, "_lon", "_lat", name=name, out=out, cell=cell,
+                          keep=keep).drop("_lat", "_lon")
+
+
+def multi_match_count(points: DataFrame, polys: DataFrame, x: str, y: str, name: str = "unidad",
+                      cell: float = 0.05) -> DataFrame:
+    """Points that fall inside more than one polygon (decision 12 report): one row."""
+    tagged = points.withColumn("_pt", F.monotonically_increasing_id())
+    joined = assign_polygon(tagged, polys, x, y, name, "_u", cell)
+    per_point = joined.groupBy("_pt").agg(F.count("_u").alias("_n"))
+    return per_point.agg(F.count_if(F.col("_n") > 1).cast("long").alias("puntos_multiples"))

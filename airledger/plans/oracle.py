@@ -528,7 +528,9 @@ def q_extreme_years() -> str:
 
 
 def q_yearly_increase() -> str:
-    return (f"WITH t AS (SELECT contaminante, year, CAST(t AS DOUBLE) AS emision FROM ({_yearly_totals()}) WHERE t IS NOT NULL), "
+    totals = ("SELECT o_custkey AS contaminante, CAST(year(o_orderdate) AS INTEGER) AS year, "
+              "sum(CAST(o_totalprice AS DECIMAL(18,2))) AS t FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2")
+    return (f"WITH t AS (SELECT contaminante, year, CAST(t AS DOUBLE) AS emision FROM ({totals}) WHERE t IS NOT NULL), "
             f"l AS (SELECT *, lag(emision) OVER (PARTITION BY contaminante ORDER BY year) AS anterior FROM t), "
             f"c AS (SELECT *, (emision - anterior) / abs(anterior) AS cambio_relativo FROM l) "
             f"SELECT contaminante, year, emision, anterior, cambio_relativo FROM c WHERE cambio_relativo > 0.1")

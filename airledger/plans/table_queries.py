@@ -509,7 +509,13 @@ def extreme_years(spark, sf_dir):
 
 
 def yearly_increase(spark, sf_dir):
-    inc = metrics.yearly_increase(_yearly_totals_double(spark, sf_dir), "contaminante", "year", "emision", 0.10)
+    """D4 over per-customer yearly order totals (each customer plays a pollutant series)."""
+    o = load(spark, sf_dir, "orders")
+    facts = o.select(F.col("o_custkey").alias("contaminante"), F.year("o_orderdate").alias("year"),
+                     dec2(F.col("o_totalprice")).alias("emision"))
+    totals = metrics.annual_totals(facts, "contaminante", "year", "emision")
+    totals = totals.withColumn("emision", F.col("emision").cast("double"))
+    inc = metrics.yearly_increase(totals, "contaminante", "year", "emision", 0.10)
     return inc.select("contaminante", "year", "emision", "anterior", "cambio_relativo")
 
 

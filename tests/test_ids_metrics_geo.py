@@ -161,6 +161,15 @@ def test_point_in_polygon(spark, cell):
     assert got == [(1, "U"), (2, None), (3, None), (4, None), (5, "V"), (6, None), (7, None), (8, "U"), (8, "V"), (9, None)]
 
 
+def test_point_in_polygon_keep_first(spark):
+    polys = geo.polygons_from_rings(spark, [SQUARE_WITH_HOLE, OVERLAP], name="unidad")
+    pts = spark.createDataFrame([(1, 2.0, 2.0), (8, 9.0, 9.0), (6, 20.0, 20.0)], "id int, x double, y double")
+    out = geo.assign_polygon(pts, polys, "x", "y", name="unidad", out="unit", cell=3.0, keep="first")
+    got = sorted((r.id, r.unit, r.n_poligonos) for r in out.collect())
+    assert got == [(1, "U", 1), (6, None, 0), (8, "U", 2)]
+    assert geo.multi_match_count(pts, polys, "x", "y", cell=3.0).first().puntos_multiples == 1
+
+
 def test_wkt_polygons_and_best_coordinate(spark):
     wkt = spark.createDataFrame([("U", "POLYGON ((0 0, 10 0, 10 10, 0 10, 0 0), (4 4, 6 4, 6 6, 4 6, 4 4))")],
                                 "unidad string, wkt string")
