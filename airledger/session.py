@@ -36,15 +36,20 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``). Only when the
-    session has none (local tests) is a fresh scratch folder created and registered."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
-    if not current:
-        current = tempfile.mkdtemp(prefix="airledger-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    session has none (local tests) is a fresh scratch folder created and registered.
+
+    ``spark.checkpoint.dir`` is a core setting read when the context starts (it cannot be
+    changed at runtime), so an unset folder is registered on the context only. The folder
+    returned is the configured one (stable across restarts, for stream checkpoints); RDD
+    checkpoints go to the context's own sub-folder of it."""
+    sc = spark.sparkContext
+    registered = sc.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or registered
+    if not base:
+        base = tempfile.mkdtemp(prefix="airledger-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    if not registered:
+        sc.setCheckpointDir(base)
+    return base
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
