@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from airledger import fixed_values as fv
-from airledger.functions.text import WS_CLASS, strip_ws
+from airledger.functions.text import WS_CLASS, strip_ws, ws_class
 
 # A decimal number as pandas.to_numeric / float() read it, minus inf/nan and the
 # Java-only suffixes (``1d``, ``1f``) that Spark's cast would accept.
@@ -69,7 +69,7 @@ def number_text_n2(c: Column | str) -> Column:
     of ``""`` or ``-`` is NULL."""
     c = col_(c)
     text = clean_null(c)
-    numeric_like = text.rlike(r"^[+-]?[0-9.," + WS_CLASS[1:-1] + "]+$")
+    numeric_like = text.rlike(r"^[+-]?" + ws_class("0-9.,") + "+$")
     parsed = strip_ws(_thousands(F.replace(text, F.lit(" "), F.lit(""))))
     return F.when(numeric_like, F.when(~parsed.isin("", "-"), parsed)).otherwise(text)
 
