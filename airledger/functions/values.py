@@ -7,7 +7,7 @@ on dirty text and nothing leaves the JVM.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -55,66 +55,142 @@ def _thousands(text: Column) -> Column:
     return F.replace(dropped, F.lit(","), F.lit("."))
 
 
+# Each rule is a list of steps, every step a function of the previous step's column. As a
+# column expression the steps are simply chained; ``with_numbers`` writes each step into its
+# own column instead, because a step that reads its input several times (the thousands rule
+# reads it four times) would otherwise copy the whole expression below it into every place:
+# Spark does not share a sub-expression between the branches of a CASE.
+
+def _numeric_like_n1(x: Column) -> Column:
+    return F.when(x.rlike(r"^[+-]?[0-9.,]+$"), _thousands(x)).otherwise(x)
+
+
+def _numeric_like_n2(x: Column) -> Column:
+    parsed = strip_ws(_thousands(F.replace(x, F.lit(" "), F.lit(""))))
+    return F.when(x.rlike(r"^[+-]?" + ws_class("0-9.,") + "+$"),
+                  F.when(~parsed.isin("", "-"), parsed)).otherwise(x)
+
+
+def _clean(x: Column) -> Column:
+    return clean_null(x)
+
+
+def _clean_analytic(x: Column) -> Column:
+    return clean_null(x, fv.NA_WORDS_ANALYTIC)
+
+
+def _comma_point(x: Column) -> Column:
+    return F.replace(x, F.lit(","), F.lit("."))
+
+
+def _strip_comma_point(x: Column) -> Column:
+    return _comma_point(strip_ws(x))
+
+
+def _no_ws(x: Column) -> Column:
+    return F.regexp_replace(x, WS_CLASS + "+", "")
+
+
+def _no_spaces_n5(x: Column) -> Column:
+    return F.regexp_replace(x, r"[ \x{A0}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000}]", "")
+
+
+def _finish_n5(x: Column) -> Column:
+    return strip_ws(F.replace(x, F.lit("·"), F.lit("")))
+
+
+def _not_empty(x: Column) -> Column:
+    return F.when(x != "", x)
+
+
+RULE_STEPS = {
+    # N1 (raw-file cell rule): NA words -> NULL; if the whole stripped text is
+    # ``[+-]?[0-9.,]+`` apply the thousands rule; any other text is returned stripped.
+    "n1_text": [_clean, _numeric_like_n1],
+    # N2 (spreadsheet cell rule): as N1 but inner spaces are allowed and removed; a result
+    # of ``""`` or ``-`` is NULL.
+    "n2_text": [_clean, _numeric_like_n2],
+    # ``,`` -> ``.``, all whitespace removed, then a number or NULL (no thousands rule,
+    # so ``1.234,56`` is NULL).
+    "n3": [_strip_comma_point, _no_ws, safe_number],
+    # As N3 but inner whitespace is kept (so ``1 234,5`` is NULL).
+    "n4": [_strip_comma_point, safe_number],
+    # N5 (emission rule), text result: NA words -> NULL; spaces (including no-break and
+    # other compatibility spaces) removed; thousands rule; middle dot removed.
+    "n5_text": [_clean, _no_spaces_n5, _thousands, _finish_n5, _not_empty],
+    "n5": [_clean, _no_spaces_n5, _thousands, _finish_n5, _not_empty, safe_number],
+    # N6 (analytic rule): NA words without ``null``; thousands rule; to double or NULL.
+    "n6": [_clean_analytic, _thousands, safe_number],
+    # ``,`` -> ``.``; to double or NULL.
+    "n7": [_clean_analytic, _comma_point, safe_number],
+    "f2": [safe_number],
+}
+
+
+def _chain(rule: str, c: Column | str) -> Column:
+    out = col_(c)
+    for step in RULE_STEPS[rule]:
+        out = step(out)
+    return out
+
+
 def number_text_n1(c: Column | str) -> Column:
-    """N1 (raw-file cell rule): NA words -> NULL; if the whole stripped text is
-    ``[+-]?[0-9.,]+`` apply the thousands rule; any other text is returned stripped."""
-    c = col_(c)
-    text = clean_null(c)
-    numeric_like = text.rlike(r"^[+-]?[0-9.,]+$")
-    return F.when(numeric_like, _thousands(text)).otherwise(text)
+    return _chain("n1_text", c)
 
 
 def number_text_n2(c: Column | str) -> Column:
-    """N2 (spreadsheet cell rule): as N1 but inner spaces are allowed and removed; a result
-    of ``""`` or ``-`` is NULL."""
-    c = col_(c)
-    text = clean_null(c)
-    numeric_like = text.rlike(r"^[+-]?" + ws_class("0-9.,") + "+$")
-    parsed = strip_ws(_thousands(F.replace(text, F.lit(" "), F.lit(""))))
-    return F.when(numeric_like, F.when(~parsed.isin("", "-"), parsed)).otherwise(text)
+    return _chain("n2_text", c)
 
 
 def number_n3(c: Column | str) -> Column:
-    """``,`` -> ``.``, all whitespace removed, then a number or NULL (no thousands rule,
-    so ``1.234,56`` is NULL)."""
-    c = col_(c)
-    text = F.regexp_replace(F.replace(strip_ws(c), F.lit(","), F.lit(".")), WS_CLASS + "+", "")
-    return safe_number(text)
+    return _chain("n3", c)
 
 
 def number_n4(c: Column | str) -> Column:
-    """As N3 but inner whitespace is kept (so ``1 234,5`` is NULL)."""
-    c = col_(c)
-    return safe_number(F.replace(strip_ws(c), F.lit(","), F.lit(".")))
+    return _chain("n4", c)
 
 
 def number_text_n5(c: Column | str) -> Column:
-    """N5 (emission rule), text result: NA words -> NULL; spaces (including no-break and
-    other compatibility spaces) removed; thousands rule; middle dot removed."""
-    c = col_(c)
-    text = clean_null(c)
-    text = F.regexp_replace(text, r"[ \x{A0}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000}]", "")
-    text = F.replace(_thousands(text), F.lit("·"), F.lit(""))
-    text = strip_ws(text)
-    return F.when(text != "", text)
+    return _chain("n5_text", c)
 
 
 def number_n5(c: Column | str) -> Column:
-    return safe_number(number_text_n5(c))
+    return _chain("n5", c)
 
 
 def number_n6(c: Column | str) -> Column:
-    """N6 (analytic rule): NA words without ``null``; thousands rule; to double or NULL."""
-    c = col_(c)
-    text = clean_null(c, fv.NA_WORDS_ANALYTIC)
-    return safe_number(_thousands(text))
+    return _chain("n6", c)
 
 
 def number_n7(c: Column | str) -> Column:
-    """``,`` -> ``.``; to double or NULL."""
-    c = col_(c)
-    text = clean_null(c, fv.NA_WORDS_ANALYTIC)
-    return safe_number(F.replace(text, F.lit(","), F.lit(".")))
+    return _chain("n7", c)
+
+
+def with_numbers(df: DataFrame, outputs: dict[str, tuple[str, str]]) -> DataFrame:
+    """Several parse rules at once, each step in its own column: ``outputs`` maps output
+    column -> (source column, rule name of ``RULE_STEPS``). Rules that start with the same
+    steps on the same source share those columns (N1, N2 and N5 clean NA words once)."""
+    staged: dict[tuple, str] = {}
+    cols = list(df.columns)
+    final: dict[str, str] = {}
+    layers: list[list[Column]] = []
+    for out, (src, rule) in outputs.items():
+        prev = src
+        key: tuple = (src,)
+        for depth, step in enumerate(RULE_STEPS[rule]):
+            key = key + (step.__name__,)
+            if key not in staged:
+                name = f"_nb{len(staged)}"
+                staged[key] = name
+                while len(layers) <= depth:
+                    layers.append([])
+                layers[depth].append(step(F.col(prev)).alias(name))
+            prev = staged[key]
+        final[out] = prev
+    for layer in layers:
+        df = df.select("*", *layer)
+    exprs = [F.col(c) for c in cols if c not in final] + [F.col(t).alias(o) for o, t in final.items()]
+    return df.select(*exprs)
 
 
 PRESETS = {

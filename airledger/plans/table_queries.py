@@ -83,12 +83,9 @@ def locale_number_parse(spark, sf_dir):
            .when(F.col("l_linenumber") == 6, F.lit("NA"))
            .otherwise(F.lit("-")))
     d = li.select("l_orderkey", "l_linenumber", raw.alias("texto"))
-    t = F.col("texto")
-    return d.select("l_orderkey", "l_linenumber", "texto",
-                    V.number_text_n1(t).alias("n1"), V.number_text_n2(t).alias("n2"),
-                    V.number_n3(t).alias("n3"), V.number_n4(t).alias("n4"),
-                    V.number_n5(t).alias("n5"), V.number_n6(t).alias("n6"),
-                    V.number_n7(t).alias("n7"), V.safe_number(t).alias("f2"))
+    rules = {"n1": "n1_text", "n2": "n2_text", "n3": "n3", "n4": "n4", "n5": "n5", "n6": "n6", "n7": "n7",
+             "f2": "f2"}
+    return V.with_numbers(d, {out: ("texto", rule) for out, rule in rules.items()})
 
 
 def int_from_float_text(spark, sf_dir):
