@@ -184,12 +184,12 @@ def with_numbers(df: DataFrame, outputs: dict[str, tuple[str, str]]) -> DataFram
                 staged[key] = name
                 while len(layers) <= depth:
                     layers.append([])
-                layers[depth].append(step(F.col(prev)).alias(name))
+                layers[depth].append(step(F.col(f"`{prev}`")).alias(name))
             prev = staged[key]
         final[out] = prev
     for layer in layers:
         df = df.select("*", *layer)
-    exprs = [F.col(c) for c in cols if c not in final] + [F.col(t).alias(o) for o, t in final.items()]
+    exprs = [F.col(f"`{c}`") for c in cols if c not in final] + [F.col(t).alias(o) for o, t in final.items()]
     return df.select(*exprs)
 
 
