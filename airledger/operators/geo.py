@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from airledger import fixed_values as fv
 from airledger.functions import text as T
 from airledger.functions import values as V
-from airledger.operators.lookups import fits_broadcast
 from airledger.operators.tables import fixed_table
 
 EDGE_TYPE = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
@@ -80,9 +79,34 @@ def polygon_cells(polys: DataFrame, cell: float) -> DataFrame:
     bb = (polys
           .withColumn("_cx0", F.floor(F.array_min(xs) / cell)).withColumn("_cx1", F.floor(F.array_max(xe) / cell))
           .withColumn("_cy0", F.floor(F.array_min(ys) / cell)).withColumn("_cy1", F.floor(F.array_max(ye) / cell)))
-    return (bb.withColumn("_cx", F.explode(F.sequence("_cx0", "_cx1")))
-            .withColumn("_cy", F.explode(F.sequence("_cy0", "_cy1")))
-            .drop("_cx0", "_cx1", "_cy0", "_cy1"))
+    exploded = (bb.withColumn("_cx", F.explode(F.sequence("_cx0", "_cx1")))
+                .withColumn("_cy", F.explode(F.sequence("_cy0", "_cy1")))
+                .drop("_cx0", "_cx1", "_cy0", "_cy1"))
+    # Only edges that can decide a point of the cell are kept there: the even-odd ray runs
+    # towards +x, so an edge counts only when its y-range meets the cell's row band and
+    # its right end is at or past the cell's left border; the on-edge test needs the same.
+    # The band is widened by a hair so floor() rounding at a border never loses an edge.
+    # A cell left without edges has no point inside the polygon and is dropped. A cell
+    # thus holds about the edges of its row band to its right, not the whole outline.
+    eps = cell * 1e-6
+    x_lo = F.col("_cx") * cell - eps
+    y_lo = F.col("_cy") * cell - eps
+    y_hi = (F.col("_cy") + 1) * cell + eps
+    kept = F.filter("edges", lambda e: (F.least(e["y1"], e["y2"]) <= y_hi) & (F.greatest(e["y1"], e["y2"]) >= y_lo)
+                    & (F.greatest(e["x1"], e["x2"]) >= x_lo))
+    return exploded.withColumn("edges", kept).where(F.size("edges") > 0)
+
+
+# Broadcast bound for the cell table in edge entries (32 bytes each): about 160 MB.
+BROADCAST_MAX_EDGES = 5_000_000
+
+
+def cells_fit_broadcast(cells: DataFrame, max_rows: int, max_edges: int = BROADCAST_MAX_EDGES) -> bool:
+    """True when the cell table is within both bounds: rows and total edge entries (each
+    cell carries its own edge list, so the row count alone does not bound the bytes). The
+    cell table is derived from the polygon table only, never from the points."""
+    n, edges = cells.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("edges")), F.lit(0))).first()
+    return n <= max_rows and edges <= max_edges
 
 
 def _inside(x: Column, y: Column, edges: Column) -> Column:
@@ -115,7 +139,7 @@ def assign_polygon(points: DataFrame, polys: DataFrame, x: str, y: str, name: st
         return (joined.withColumn("n_poligonos", F.count(out).over(Window.partitionBy("_pt")))
                 .withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_pt"))
     cells = polygon_cells(polys.select(F.col(name).alias("_unit"), "edges"), cell)
-    cells = F.broadcast(cells) if fits_broadcast(cells, max_broadcast_rows) else cells
+    cells = F.broadcast(cells) if cells_fit_broadcast(cells, max_broadcast_rows) else cells
     def as_double(c: str):
         return V.safe_number(F.col(c)) if dict(points.dtypes)[c] == "string" else F.col(c).cast("double")
 

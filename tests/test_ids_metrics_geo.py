@@ -182,3 +182,44 @@ def test_wkt_polygons_and_best_coordinate(spark):
     got = [(r.latitud_nueva, r.unidad_paisaje) for r in out.collect()]
     # row 1: lat " 2 " and lon "7" -> (7, 2) inside; row 2: lat "3", lon "x" -> no point
     assert got == [(" 2 ", "U"), ("", None)]
+
+
+def _inside_py(x, y, edges):
+    """The join's even-odd test (strictly inside) on the whole edge list, in Python."""
+    odd = 0
+    for x1, y1, x2, y2 in edges:
+        if (x2 - x1) * (y - y1) == (y2 - y1) * (x - x1) and min(x1, x2) <= x <= max(x1, x2) \
+                and min(y1, y2) <= y <= max(y1, y2):
+            return False
+        if ((y1 > y) != (y2 > y)) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1:
+            odd ^= 1
+    return odd == 1
+
+
+def test_point_in_polygon_cells_keep_only_needed_edges(spark):
+    """A 60-vertex star over many small cells: each cell keeps only the edges of its row
+    band to its right, and the join still equals the test over the whole outline -- for
+    points on cell borders, on vertices and on edges too."""
+    rng = random.Random(7)
+    star = []
+    for k in range(60):
+        r = (rng.randint(8, 32) if k % 2 else rng.randint(40, 64)) / 64
+        ang = 2 * np.pi * k / 60
+        star.append((round(r * np.cos(ang) * 64) / 64, round(r * np.sin(ang) * 64) / 64))
+    polys = geo.polygons_from_rings(spark, [("S", [star])], name="unidad")
+    edges = [(a[0], a[1], b[0], b[1]) for a, b in zip(star, star[1:] + star[:1])]
+    cell = 0.125
+    pts = [(i, v[0], v[1]) for i, v in enumerate(star)]                      # vertices
+    grid = [k / 16 for k in range(-18, 19)]                                   # cell borders and midpoints
+    pts += [(1000 + i, gx, gy) for i, (gx, gy) in enumerate((a, b) for a in grid for b in grid)]
+    pts += [(5000 + i, rng.randint(-80, 80) / 64, rng.randint(-80, 80) / 64) for i in range(1500)]
+    a, b = star[0], star[1]
+    pts += [(9000, (a[0] + b[0]) / 2, (a[1] + b[1]) / 2)]                    # on an edge
+    df = spark.createDataFrame(pts, "id int, x double, y double")
+    out = geo.assign_polygon(df, polys, "x", "y", name="unidad", out="unit", cell=cell)
+    got = {r.id for r in out.where("unit IS NOT NULL").collect()}
+    want = {i for i, x, y in pts if _inside_py(x, y, edges)}
+    assert got == want and 0 < len(want) < len(pts) and 9000 not in got
+    cells = geo.polygon_cells(polys.select(F.col("unidad").alias("_unit"), "edges"), cell)
+    per_cell = [len(r.edges) for r in cells.collect()]
+    assert max(per_cell) < len(edges) / 2 and sum(per_cell) < len(per_cell) * len(edges) / 4
