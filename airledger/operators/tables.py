@@ -1,33 +1,57 @@
 """Small fixed tables (lookup lists, polygons) built on the JVM.
 
-``createDataFrame`` over a Python list ships pickled rows through Python workers every
-time the table is scanned. A table of literals -- ``inline`` of an array of structs over
-a one-row range -- is folded by the optimizer into a local relation and never leaves the
-JVM, so a broadcast lookup costs nothing beyond the join itself.
+A fixed list becomes one ``SELECT CAST(..) FROM VALUES ..`` statement: Spark resolves an
+inline table of literals into a local relation in a single call, so the rows never go
+through Python workers when scanned, and the driver makes one call instead of one per
+literal. Values are written as SQL literals (strings escaped); every column is cast to
+its declared type.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StructType
+import math
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import (ArrayType, BooleanType, DataType, DoubleType, FloatType, IntegralType,
+                               StringType, StructType)
 
-def _literal(value, dtype: DataType) -> Column:
+
+def _quote(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _sql(value, dtype: DataType) -> str:
+    """``value`` as a SQL expression of type ``dtype``."""
+    t = dtype.simpleString()
     if value is None:
-        return F.lit(None).cast(dtype)
+        return f"CAST(NULL AS {t})"
     if isinstance(dtype, ArrayType):
-        items = [_literal(v, dtype.elementType) for v in value]
-        return F.array(*items).cast(dtype) if items else F.array().cast(dtype)
+        return f"CAST(array({', '.join(_sql(v, dtype.elementType) for v in value)}) AS {t})"
     if isinstance(dtype, StructType):
-        return F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(value, dtype.fields)])
-    return F.lit(value).cast(dtype)
+        fields = ", ".join(f"{_quote(f.name)}, {_sql(v, f.dataType)}" for v, f in zip(value, dtype.fields))
+        return f"CAST(named_struct({fields}) AS {t})"
+    if isinstance(dtype, StringType):
+        return _quote(str(value))
+    if isinstance(dtype, BooleanType):
+        return "TRUE" if value else "FALSE"
+    if isinstance(dtype, (DoubleType, FloatType)):
+        v = float(value)
+        text = repr(v) if math.isfinite(v) else ("NaN" if math.isnan(v) else ("Infinity" if v > 0 else "-Infinity"))
+        return f"CAST({_quote(text)} AS {t})"
+    if isinstance(dtype, IntegralType):
+        return f"CAST({int(value)} AS {t})"
+    return f"CAST({_quote(str(value))} AS {t})"
 
 
 def fixed_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
     """A DataFrame of the given rows and DDL schema, made of literals."""
     schema = StructType.fromDDL(ddl)
+    names = [f"`{f.name.replace('`', '``')}`" for f in schema.fields]
     if not rows:
-        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-    structs = [F.struct(*[_literal(v, f.dataType).alias(f.name) for v, f in zip(r, schema.fields)]) for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+        cols = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {n}" for f, n in zip(schema.fields, names))
+        return spark.sql(f"SELECT {cols} WHERE FALSE")
+    values = ", ".join("(" + ", ".join(_sql(v, f.dataType) for v, f in zip(r, schema.fields)) + ")" for r in rows)
+    aliases = [f"c{i}" for i in range(len(names))]
+    cols = ", ".join(f"CAST({a} AS {f.dataType.simpleString()}) AS {n}"
+                     for a, f, n in zip(aliases, schema.fields, names))
+    return spark.sql(f"SELECT {cols} FROM VALUES {values} AS t({', '.join(aliases)})")
