@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airledger import fixed_values as fv
@@ -62,9 +62,14 @@ def _fixed_dim(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame
 
 
 def _last_per_key(dim: DataFrame, key: str) -> DataFrame:
-    """Dictionary semantics: when two entries share a key, the later one wins."""
-    w = Window.partitionBy(key).orderBy(F.col("pos").desc())
-    return dim.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "pos")
+    """Dictionary semantics: when two entries share a key, the later one (highest ``pos``)
+    wins. ``max_by`` is an aggregate, so duplicates are combined on each executor before
+    the shuffle: a key repeated in a large share of the rows never lands whole in one task."""
+    rest = [c for c in dim.columns if c not in (key, "pos")]
+    if not rest:
+        return dim.select(key).distinct()
+    last = dim.groupBy(key).agg(F.max_by(F.struct(*rest), F.col("pos")).alias("_last"))
+    return last.select(key, *[F.col("_last")[c].alias(c) for c in rest])
 
 
 def _side(dim: DataFrame | None, default_builder, df: DataFrame) -> DataFrame:
@@ -242,8 +247,11 @@ def centre_dim(centres: DataFrame, name_col: str = "comuna", lat_col: str = "lat
         F.col(lat_col).alias("latitud_centro"),
         F.col(lon_col).alias("longitud_centro"),
     ).where(F.col("_ckey").isNotNull())
-    w = Window.partitionBy("_ckey").orderBy("latitud_centro", "longitud_centro")
-    dim = keyed.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    # The smallest (latitude, longitude) per key: struct order is field by field, NULL
+    # first, as an ascending sort. An aggregate, so repeated keys combine map-side.
+    first = keyed.groupBy("_ckey").agg(F.min(F.struct("latitud_centro", "longitud_centro")).alias("_c"))
+    dim = first.select("_ckey", F.col("_c.latitud_centro").alias("latitud_centro"),
+                       F.col("_c.longitud_centro").alias("longitud_centro"))
     return bounded_broadcast(dim, centres)
 
 

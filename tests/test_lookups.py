@@ -89,3 +89,20 @@ def test_fill_from_centre(spark):
 def test_fits_broadcast(spark):
     assert L.fits_broadcast(spark.range(10), 10)
     assert not L.fits_broadcast(spark.range(11), 10)
+
+
+def test_last_per_key_with_a_hot_key(spark):
+    """Last-wins de-duplication when one key holds most rows, spread over many partitions:
+    the aggregate combines the repeats map-side and keeps the highest position."""
+    rows = [(i, "hot", f"v{i}") for i in range(3000)] + [(3000 + i, f"k{i}", f"w{i}") for i in range(50)]
+    dim = spark.createDataFrame(rows, "pos long, key string, val string").repartition(7)
+    got = dict(L._last_per_key(dim, "key").select("key", "val").collect())
+    assert got["hot"] == "v2999" and got["k7"] == "w7" and len(got) == 51
+
+
+def test_centre_dim_picks_smallest_coordinates(spark):
+    centres = spark.createDataFrame([("Ñuñoa", "-33.5", "-70.6"), ("nunoa", "-33.4", "-70.5"),
+                                     ("nunoa", None, "-70.9"), ("Maipú", "-33.5", None)],
+                                    "comuna string, latitud string, longitud string")
+    got = {r._ckey: (r.latitud_centro, r.longitud_centro) for r in L.centre_dim(centres).collect()}
+    assert got == {"nunoa": (None, "-70.9"), "maipu": ("-33.5", None)}
