@@ -18,9 +18,13 @@ def task_slots(df: DataFrame) -> int:
     return df.sparkSession.sparkContext.defaultParallelism
 
 
-def spread(df: DataFrame, slots: int | None = None) -> DataFrame:
-    """Round-robin repartition to the task slots when the input is under-partitioned."""
+def spread(df: DataFrame, slots: int | None = None, key: list[str] | None = None) -> DataFrame:
+    """Repartition to the task slots when the input is under-partitioned. With ``key`` --
+    columns the caller knows to be near-unique, no value holding more than a few rows (a
+    document id, order and line number) -- rows are hash-partitioned on it: even,
+    deterministic under retries, and without the local sort round-robin needs. Without a key, round-robin: even whatever the values,
+    so a value repeated in a large share of rows cannot crowd one task."""
     target = slots or task_slots(df)
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target)
+    return df.repartition(target, *key) if key else df.repartition(target)

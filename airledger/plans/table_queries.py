@@ -72,7 +72,8 @@ def type_label(part: DataFrame) -> Column:
 # --- scalars ---------------------------------------------------------------------------
 
 def locale_number_parse(spark, sf_dir):
-    li = spread(load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice"))
+    li = spread(load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice"),
+                key=["l_orderkey", "l_linenumber"])
     us = F.format_number(F.col("l_extendedprice"), 2)
     eu = eu_text(F.col("l_extendedprice"))
     raw = (F.when(F.col("l_linenumber") == 1, eu)
@@ -103,7 +104,8 @@ def int_from_float_text(spark, sf_dir):
 
 
 def year_extract(spark, sf_dir):
-    o = spread(load(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate"))
+    o = spread(load(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate"),
+               key=["o_orderkey"])
     fname = F.concat(F.lit("ruea-efp-"), F.year("o_orderdate").cast("string"), F.lit("-ckan_"),
                      F.col("o_orderkey").cast("string"), F.lit(".csv"))
     d = o.select("o_orderkey", "o_orderpriority", F.col("o_orderdate").cast("string").alias("fecha"), fname.alias("archivo"))
@@ -115,7 +117,7 @@ def year_extract(spark, sf_dir):
 
 
 def text_key(spark, sf_dir):
-    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "text"), key=["doc_id"])
     keys = T.with_text_keys(docs, "text", {"k_t1": "region", "k_t2": "pollutant", "k_t3": "description",
                                            "k_t4": "centre", "k_t5": "municipality"})
     return keys.select("doc_id", "k_t1", "k_t2", "k_t3", "k_t4", "k_t5")
@@ -197,7 +199,7 @@ def _activity_facts(part: DataFrame) -> DataFrame:
 
 def _activity_codes(spark, sf_dir) -> DataFrame:
     scan = load(spark, sf_dir, "documents").select("doc_id", "text")
-    docs = spread(scan)
+    docs = spread(scan, key=["doc_id"])
     return lookups.activity_code_dim(
         docs.select(F.col("doc_id").cast("string").alias("codigo"), F.col("text").alias("descripcion"), "doc_id"),
         order_col="doc_id", bound_source=scan)
@@ -238,7 +240,7 @@ def merge_conflicts(spark, sf_dir):
 
 def value_fallback(spark, sf_dir):
     li = spread(load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_tax",
-                                                       "l_discount"))
+                                                       "l_discount"), key=["l_orderkey", "l_linenumber"])
     ln = F.col("l_linenumber")
     eu = eu_text(F.col("l_extendedprice"))
     src = (F.when(ln == 1, F.lit("-")).when(ln == 2, F.lit("NA")).when(ln == 3, F.lit(None).cast("string"))
