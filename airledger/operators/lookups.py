@@ -99,8 +99,9 @@ def canon_label(df: DataFrame, col: str, out: str = "contaminante_canon", dim: D
 # --- J4 pollutant id -> group ----------------------------------------------------------
 
 def group_dim(spark: SparkSession, rows: list[tuple[int, str]] = fv.POLLUTANT_ID_GROUPS) -> DataFrame:
-    dim = _fixed_dim(spark, rows, "_id long, grupo string")
-    return _last_per_key(dim, "_id")
+    """Pollutant id -> group from the fixed list. The key is the raw id, so "a later entry
+    wins" is settled on the list itself (a dict keeps the last value of a repeated key)."""
+    return fixed_table(spark, list(dict(rows).items()), "_id long, grupo string")
 
 
 def canon_id_group(df: DataFrame, id_col: str, out: str = "grupo_canonico", id_out: str = "_id_int_",
