@@ -18,7 +18,7 @@ the cell (and AQE splits a hot cell).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airledger import fixed_values as fv
@@ -131,25 +131,40 @@ def assign_polygon(points: DataFrame, polys: DataFrame, x: str, y: str, name: st
                    keep: str = "all") -> DataFrame:
     """Left spatial join, point ``within`` polygon. ``keep="all"`` returns one row per
     containing polygon (a spatial left join); ``keep="first"`` keeps one row per point, the
-    polygon name that sorts first, and adds ``n_poligonos`` (how many contained it)."""
+    polygon name that sorts first, and adds ``n_poligonos`` (how many contained it).
+
+    The cell table has one row per grid cell with every polygon touching it (each with the
+    edges that matter in that cell), so a point matches at most one row of an equi-join on
+    its cell; the containing polygons are then an array filter on that row. Neither mode
+    needs a row id, a window or a shuffle of the points."""
+    units = containing_units(points, polys, x, y, name, cell, max_broadcast_rows)
     if keep == "first":
-        tagged = points.withColumn("_pt", F.monotonically_increasing_id())
-        joined = assign_polygon(tagged, polys, x, y, name, out, cell, max_broadcast_rows, keep="all")
-        w = Window.partitionBy("_pt").orderBy(F.col(out).asc_nulls_last())
-        return (joined.withColumn("n_poligonos", F.count(out).over(Window.partitionBy("_pt")))
-                .withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_pt"))
-    cells = polygon_cells(polys.select(F.col(name).alias("_unit"), "edges"), cell)
-    cells = F.broadcast(cells) if cells_fit_broadcast(cells, max_broadcast_rows) else cells
+        n = F.size(F.filter("_units", lambda u: u.isNotNull()))
+        return (units.withColumn(out, F.array_min("_units"))
+                .withColumn("n_poligonos", F.coalesce(n, F.lit(0)))
+                .drop("_units"))
+    return units.withColumn(out, F.explode_outer("_units")).drop("_units")
+
+
+def containing_units(points: DataFrame, polys: DataFrame, x: str, y: str, name: str = "unidad",
+                     cell: float = 0.05, max_broadcast_rows: int = 2_000_000) -> DataFrame:
+    """``points`` plus ``_units``: the names of the polygons that strictly contain each point
+    (empty when none; NULL when the point has no usable coordinate or no polygon near it)."""
+    per_polygon = polygon_cells(polys.select(F.col(name).alias("_unit"), "edges"), cell)
+    fits = cells_fit_broadcast(per_polygon, max_broadcast_rows)
+    cells = per_polygon.groupBy("_cx", "_cy").agg(F.collect_list(F.struct("_unit", "edges")).alias("_polys"))
+    cells = F.broadcast(cells) if fits else cells
+
     def as_double(c: str):
         return V.safe_number(F.col(c)) if dict(points.dtypes)[c] == "string" else F.col(c).cast("double")
 
     pts = (points.withColumn("_px", as_double(x)).withColumn("_py", as_double(y))
            .withColumn("_pcx", F.floor(F.col("_px") / cell)).withColumn("_pcy", F.floor(F.col("_py") / cell)))
-    cond = ((pts["_pcx"] == cells["_cx"]) & (pts["_pcy"] == cells["_cy"])
-            & _inside(pts["_px"], pts["_py"], cells["edges"]))
-    joined = pts.join(cells, cond, "left")
-    return (joined.withColumn(out, F.col("_unit"))
-            .drop("_unit", "edges", "_cx", "_cy", "_px", "_py", "_pcx", "_pcy"))
+    joined = pts.join(cells, (pts["_pcx"] == cells["_cx"]) & (pts["_pcy"] == cells["_cy"]), "left")
+    px, py = F.col("_px"), F.col("_py")
+    inside = F.filter("_polys", lambda p: _inside(px, py, p["edges"]))
+    return (joined.withColumn("_units", F.transform(inside, lambda p: p["_unit"]))
+            .drop("_polys", "_cx", "_cy", "_px", "_py", "_pcx", "_pcy"))
 
 
 def assign_landscape_unit(df: DataFrame, polys: DataFrame, name: str = "unidad", out: str = "unidad_paisaje",
@@ -164,7 +179,6 @@ def assign_landscape_unit(df: DataFrame, polys: DataFrame, name: str = "unidad",
 def multi_match_count(points: DataFrame, polys: DataFrame, x: str, y: str, name: str = "unidad",
                       cell: float = 0.05) -> DataFrame:
     """Points that fall inside more than one polygon (decision 12 report): one row."""
-    tagged = points.withColumn("_pt", F.monotonically_increasing_id())
-    joined = assign_polygon(tagged, polys, x, y, name, "_u", cell)
-    per_point = joined.groupBy("_pt").agg(F.count("_u").alias("_n"))
-    return per_point.agg(F.count_if(F.col("_n") > 1).cast("long").alias("puntos_multiples"))
+    units = containing_units(points, polys, x, y, name, cell)
+    return units.agg(F.count_if(F.size(F.filter("_units", lambda u: u.isNotNull())) > 1).cast("long")
+                     .alias("puntos_multiples"))
