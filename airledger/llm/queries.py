@@ -9,12 +9,20 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from airledger.llm import byte_bpe, decontaminate, quality_rules, sharding, simhash
+from airledger.llm import byte_bpe, decontaminate, langid, pii_crf, quality_rules, sharding, simhash, toxicity, url_filter, warc
 from airledger.llm.common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(table(spark, sf_dir, "pages"))
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_crf.pii_report(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -23,6 +31,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.token_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_report(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,10 +43,19 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), url_filter.train(url_filter.seed_urls(spark)))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_decontaminate, op4_byte_bpe, op6_quality_rules, op7_sharding, op9_simhash)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_warc, op2_pii, op3_decontaminate, op4_byte_bpe, op5_language_id, op6_quality_rules, op7_sharding,
+                                   op8_url_filter, op9_simhash, op10_toxicity)}
 
 ORACLE: dict[str, str] = {}
