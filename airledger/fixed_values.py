@@ -403,3 +403,9 @@ TOP_MUNICIPALITIES = 20
 HISTOGRAM_BINS = 40
 LOG_FLOOR = 1e-20
 DATA_FILE_SUFFIXES = [".csv", ".xls", ".xlsx"]
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES: register layout by the beginning of a file's name, and without one.
+# ---------------------------------------------------------------------------
+LAYOUT_PREFIXES = [("ruea-efp-", "efp"), ("ckan_ruea_2023", "ruea2023")]
+DEFAULT_LAYOUT = "efp"

@@ -193,20 +193,6 @@ def with_numbers(df: DataFrame, outputs: dict[str, tuple[str, str]]) -> DataFram
     return df.select(*exprs)
 
 
-PRESETS = {
-    "n3": number_n3,
-    "n4": number_n4,
-    "n5": number_n5,
-    "n6": number_n6,
-    "n7": number_n7,
-}
-
-
-def parse_number(c: Column | str, preset: str = "n5") -> Column:
-    """Locale-tolerant number parse; ``preset`` picks one of the source's rules."""
-    return PRESETS[preset](c)
-
-
 def usable(c: Column) -> Column:
     """Emission text that may be used: not NULL and not ``-``."""
     return F.when(c != "-", c)
@@ -246,6 +232,11 @@ def fixed6(c: Column | str) -> Column:
     return F.when(c.isNotNull(), F.format_string("%.6f", c)).otherwise(F.lit(""))
 
 
+def fixed6_decimal(c: Column | str) -> Column:
+    """F6 of a decimal: its own digits, rounded half-up at the sixth; ``""`` for NULL."""
+    return F.coalesce(col_(c).cast("decimal(38,6)").cast("string"), F.lit(""))
+
+
 @F.pandas_udf(StringType())
 def _fixed6_py(s: pd.Series) -> pd.Series:
     return s.map(lambda v: "" if v is None or pd.isna(v) else f"{v:.6f}")

@@ -12,13 +12,13 @@ even-odd test:
 
 It is a single left outer join: points inside no polygon keep one row with a NULL unit;
 a point inside overlapping polygons yields one row per polygon, as a spatial left join does.
-The cell table is broadcast only behind a row-count check; beyond it the join shuffles on
-the cell (and AQE splits a hot cell).
+The join carries no hint: the optimizer broadcasts a small cell table and shuffles on the
+cell otherwise (AQE then splits a hot cell).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from airledger import fixed_values as fv
@@ -56,13 +56,14 @@ def polygons_from_rings(spark: SparkSession, polygons: list[tuple[str, list[list
 
 def polygons_from_wkt(df: DataFrame, wkt_col: str, name_col: str) -> DataFrame:
     """Polygon table from WKT ``POLYGON``/``MULTIPOLYGON`` text, parsed with Spark string and
-    array functions: every ring becomes its list of consecutive-vertex edges."""
+    array functions: every ring becomes its list of consecutive-vertex edges. A vertex that is
+    no pair of numbers fails the job: a polygon with an edge less would match too little."""
     body = F.regexp_replace(F.upper(F.col(wkt_col)), r"^\s*(MULTI)?POLYGON\s*", "")
     rings = F.regexp_extract_all(body, F.lit(r"\(([^()]+)\)"), 1)
     pts = F.transform(rings, lambda r: F.transform(
         F.split(F.trim(r), r"\s*,\s*"),
-        lambda p: F.struct(F.split(F.trim(p), r"\s+")[0].try_cast("double").alias("x"),
-                           F.split(F.trim(p), r"\s+")[1].try_cast("double").alias("y"))))
+        lambda p: F.struct(F.split(F.trim(p), r"\s+")[0].cast("double").alias("x"),
+                           F.split(F.trim(p), r"\s+")[1].cast("double").alias("y"))))
     edges = F.flatten(F.transform(pts, lambda ring: F.transform(
         F.arrays_zip(F.slice(ring, 1, F.size(ring) - 1).alias("a"), F.slice(ring, 2, F.size(ring) - 1).alias("b")),
         lambda e: F.struct(e["a"]["x"].alias("x1"), e["a"]["y"].alias("y1"),
@@ -97,18 +98,6 @@ def polygon_cells(polys: DataFrame, cell: float) -> DataFrame:
     return exploded.withColumn("edges", kept).where(F.size("edges") > 0)
 
 
-# Broadcast bound for the cell table in edge entries (32 bytes each): about 160 MB.
-BROADCAST_MAX_EDGES = 5_000_000
-
-
-def cells_fit_broadcast(cells: DataFrame, max_rows: int, max_edges: int = BROADCAST_MAX_EDGES) -> bool:
-    """True when the cell table is within both bounds: rows and total edge entries (each
-    cell carries its own edge list, so the row count alone does not bound the bytes). The
-    cell table is derived from the polygon table only, never from the points."""
-    n, edges = cells.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("edges")), F.lit(0))).first()
-    return n <= max_rows and edges <= max_edges
-
-
 def _inside(x: Column, y: Column, edges: Column) -> Column:
     """Even-odd rule, strictly inside (not on any edge)."""
     def crossing(acc, t):
@@ -127,44 +116,40 @@ def _inside(x: Column, y: Column, edges: Column) -> Column:
 
 
 def assign_polygon(points: DataFrame, polys: DataFrame, x: str, y: str, name: str = "unidad",
-                   out: str = "unidad_paisaje", cell: float = 0.05, max_broadcast_rows: int = 2_000_000,
-                   keep: str = "all") -> DataFrame:
+                   out: str = "unidad_paisaje", cell: float = 0.05, keep: str = "all") -> DataFrame:
     """Left spatial join, point ``within`` polygon. ``keep="all"`` returns one row per
     containing polygon (a spatial left join); ``keep="first"`` keeps one row per point, the
     polygon name that sorts first, and adds ``n_poligonos`` (how many contained it).
 
-    The cell table has one row per grid cell with every polygon touching it (each with the
-    edges that matter in that cell), so a point matches at most one row of an equi-join on
-    its cell; the containing polygons are then an array filter on that row. Neither mode
-    needs a row id, a window or a shuffle of the points."""
-    units = containing_units(points, polys, x, y, name, cell, max_broadcast_rows)
-    if keep == "first":
-        n = F.size(F.filter("_units", lambda u: u.isNotNull()))
-        return (units.withColumn(out, F.array_min("_units"))
-                .withColumn("n_poligonos", F.coalesce(n, F.lit(0)))
-                .drop("_units"))
-    return units.withColumn(out, F.explode_outer("_units")).drop("_units")
-
-
-def containing_units(points: DataFrame, polys: DataFrame, x: str, y: str, name: str = "unidad",
-                     cell: float = 0.05, max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """``points`` plus ``_units``: the names of the polygons that strictly contain each point
-    (empty when none; NULL when the point has no usable coordinate or no polygon near it)."""
-    per_polygon = polygon_cells(polys.select(F.col(name).alias("_unit"), "edges"), cell)
-    fits = cells_fit_broadcast(per_polygon, max_broadcast_rows)
-    cells = per_polygon.groupBy("_cx", "_cy").agg(F.collect_list(F.struct("_unit", "edges")).alias("_polys"))
-    cells = F.broadcast(cells) if fits else cells
+    The cell table has one row per (grid cell, polygon), with the edges that matter there; a
+    point meets the rows of its cell and the exact test is part of the join condition. No list
+    is gathered per cell and no hint given: the optimizer broadcasts a small cell table."""
+    if keep == "all":
+        return _matches(points, polys, x, y, name, out, cell).drop("_px", "_py", "_pcx", "_pcy")
+    found = _matches(points.withColumn("_point", F.monotonically_increasing_id()), polys, x, y, name, out, cell)
+    of_point = Window.partitionBy("_point")
+    ranked = (found.withColumn("n_poligonos", F.count(out).over(of_point).cast("int"))
+              .withColumn("_rank", F.row_number().over(of_point.orderBy(out))))
+    return ranked.where("_rank = 1").drop("_rank", "_point", "_px", "_py", "_pcx", "_pcy")
+
+
+def _matches(points: DataFrame, polys: DataFrame, x: str, y: str, name: str, out: str, cell: float) -> DataFrame:
+    """``points`` plus ``out``, a row for each polygon that strictly contains the point (NULL when
+    none does or it has no usable coordinate)."""
+    cells = polygon_cells(polys.select(F.col(name).alias(out), "edges"), cell)
 
     def as_double(c: str):
         return V.safe_number(F.col(c)) if dict(points.dtypes)[c] == "string" else F.col(c).cast("double")
 
     pts = (points.withColumn("_px", as_double(x)).withColumn("_py", as_double(y))
            .withColumn("_pcx", F.floor(F.col("_px") / cell)).withColumn("_pcy", F.floor(F.col("_py") / cell)))
-    joined = pts.join(cells, (pts["_pcx"] == cells["_cx"]) & (pts["_pcy"] == cells["_cy"]), "left")
-    px, py = F.col("_px"), F.col("_py")
-    inside = F.filter("_polys", lambda p: _inside(px, py, p["edges"]))
-    return (joined.withColumn("_units", F.transform(inside, lambda p: p["_unit"]))
-            .drop("_polys", "_cx", "_cy", "_px", "_py", "_pcx", "_pcy"))
+    # A point without an x matches no cell; its other key is spread, so that a shuffled join
+    # does not gather all such points in one task.
+    pts = pts.withColumn("_pcy", F.when(F.col("_pcx").isNull() | F.col("_pcy").isNull(), F.xxhash64(*[F.col(f"`{c}`") for c in points.columns]))
+                         .otherwise(F.col("_pcy"))).withColumn("_pcx", F.when(F.col("_py").isNotNull(), F.col("_pcx")))
+    near = (pts["_pcx"] == cells["_cx"]) & (pts["_pcy"] == cells["_cy"])
+    inside = _inside(F.col("_px"), F.col("_py"), F.col("edges"))
+    return pts.join(cells, near & inside, "left").drop("_cx", "_cy", "edges")
 
 
 def assign_landscape_unit(df: DataFrame, polys: DataFrame, name: str = "unidad", out: str = "unidad_paisaje",
@@ -179,6 +164,6 @@ def assign_landscape_unit(df: DataFrame, polys: DataFrame, name: str = "unidad",
 def multi_match_count(points: DataFrame, polys: DataFrame, x: str, y: str, name: str = "unidad",
                       cell: float = 0.05) -> DataFrame:
     """Points that fall inside more than one polygon (decision 12 report): one row."""
-    units = containing_units(points, polys, x, y, name, cell)
-    return units.agg(F.count_if(F.size(F.filter("_units", lambda u: u.isNotNull())) > 1).cast("long")
-                     .alias("puntos_multiples"))
+    found = _matches(points.withColumn("_point", F.monotonically_increasing_id()), polys, x, y, name, "_unit", cell)
+    per_point = found.where(F.col("_unit").isNotNull()).groupBy("_point").count()
+    return per_point.agg(F.count_if(F.col("count") > 1).cast("long").alias("puntos_multiples"))

@@ -2,43 +2,63 @@
 
 ``row_number() OVER (PARTITION BY g ORDER BY k)`` moves every row of a group to a
 single task; with one year (or one file) holding a third of the data that task is the
-job. Instead:
-
-1. range-partition on ``(group, order keys)`` and sort within partitions: a hot group
-   is spread over many contiguous, ordered partitions;
-2. number rows inside each partition (``monotonically_increasing_id`` is consecutive
-   within a partition, in the sorted order);
-3. count rows per (group, partition) -- a table with one row per partition slice --
-   and turn the counts into running offsets with a window over that small table;
-4. join the offsets back and add.
+job. Instead a group's order is cut into slices whose borders depend on the value alone
+(``order_slice``): rows are numbered inside each (group, slice), and a running sum over the
+table of slice counts gives each slice its offset. Every row's slice is a function of that
+row, so it does not matter how often, where or with which columns Spark evaluates it.
 
 The order keys must be a total order (unique per group); ties would make a rerun after
-executor loss free to number tied rows differently.
+executor loss free to number tied rows differently. Slices are cut by the first order key;
+rows with the same first key are numbered in one task, so the key with the most distinct
+values should come first where there is a choice.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-
-def sequence_in_group(df: DataFrame, group_cols: list[str], order_cols: list[Column | str],
-                      out: str = "seq", num_partitions: int | None = None) -> DataFrame:
-    """1-based position of each row inside its group, in ``order_cols`` order."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col(c) if isinstance(c, str) else c for c in order_cols]
-    keys = [F.col(g) for g in group_cols] + order
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    slices = (ranged.groupBy(*group_cols, "_pid")
-              .agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_first")))
-    w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
-    joined = ranged.join(offsets, on=[*group_cols, "_pid"], how="inner")
-    return (joined.withColumn(out, (F.col("_off") + F.col("_mid") - F.col("_first") + 1).cast("long"))
-            .drop("_pid", "_mid", "_first", "_off"))
+from pyspark.sql.types import DataType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
+
+# Slices per doubling of a number: a sequence of n keys has n / (2 * this) rows per slice at most.
+SLICES_PER_DOUBLING = 512
+
+
+def order_slice(c: Column, dtype: DataType) -> Column:
+    """A coarse place of ``c`` in its order: rows of one slice are next to each other in the
+    order of ``c``, and slices sort as their rows do. Numbers, dates and times go by their
+    logarithm, texts by their first three characters, other types are one slice."""
+    if isinstance(dtype, StringType):
+        return F.substring(c, 1, 3)
+    if isinstance(dtype, DateType):
+        c = F.unix_date(c)
+    elif isinstance(dtype, (TimestampType, TimestampNTZType)):
+        c = c.cast("timestamp").cast("double")
+    elif not isinstance(dtype, NumericType):
+        return F.when(c.isNotNull(), F.lit(0))
+    x = c.cast("double")
+    return F.when(F.isnan(x), x).otherwise(F.signum(x) * F.rint(F.log2(F.abs(x) + 1) * SLICES_PER_DOUBLING))
+
+
+def join_same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on null-safe equality of ``keys``, which stay once."""
+    renamed = right.withColumnsRenamed({k: f"_right_{i}" for i, k in enumerate(keys)})
+    on = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"_right_{i}")) for i, k in enumerate(keys)])
+    return left.join(renamed, on).drop(*[f"_right_{i}" for i in range(len(keys))])
+
+
+def sequence_in_group(df: DataFrame, group_cols: list[str], order_cols: list[str], out: str = "seq") -> DataFrame:
+    """1-based position of each row inside its group, in ascending ``order_cols`` order (NULLs
+    first). Rows with a NULL group are a group of their own."""
+    keys = [*group_cols, "_slice"]
+    sliced = df.withColumn("_slice", order_slice(F.col(order_cols[0]), df.schema[order_cols[0]].dataType))
+    before = Window.partitionBy(*group_cols).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (sliced.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
+               .select(*keys, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")))
+    numbered = sliced.withColumn("_in", F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)))
+    joined = join_same_keys(numbered, offsets, keys)
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_off") + F.col("_in")).cast("long").alias(out))
 
 
 def sequence_in_file(df: DataFrame, out: str = "seq") -> DataFrame:
@@ -75,13 +95,6 @@ def format_id(year: Column, seq: Column) -> Column:
     return F.format_string("%s%09d", year.cast("string"), seq)
 
 
-def add_unique_id(df: DataFrame, year_label: Column, out: str = "id_unico") -> DataFrame:
-    """W2 on a file-backed table: ``<year><9-digit sequence in file order>``, first column."""
-    seq = sequence_in_file(df, "_seq")
-    seq = seq.withColumn(out, format_id(year_label, F.col("_seq"))).drop("_seq")
-    return seq.select(out, *[F.col(f"`{c}`") for c in seq.columns if c != out])
-
-
 def sequence_across_files(df: DataFrame, group_col: str, file_order_col: str, file_col: str = "_file_path",
                           block_col: str = "_file_block", out: str = "seq") -> DataFrame:
     """1-based position inside ``group_col`` when its files are read one after another in

@@ -1,17 +1,14 @@
 """Dimension lookups.
 
-Each lookup is a left join against a small dimension. Dimensions built from the fixed
-value lists have a known, constant size, so they are broadcast outright; dimensions
-read from data (activity codes, municipality centres) carry a broadcast hint only after
-their raw source is proven to hold at most ``BROADCAST_MAX_ROWS`` rows, and otherwise
-leave the choice to the optimizer (sort-merge / AQE), so nothing unbounded is ever
-shipped to every executor.
+Each lookup is a left join against a dimension. Dimensions built from the fixed value lists
+have a known, constant size, so they are broadcast outright; those read from data (activity
+codes, municipality centres, the caller's own) carry no hint: the optimizer broadcasts them
+when their measured size is under its threshold and joins by shuffle otherwise. Building a
+lookup starts no Spark job.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,40 +17,11 @@ from airledger.functions import text as T
 from airledger.functions import values as V
 from airledger.operators.tables import fixed_table
 
-# Largest dimension (rows) shipped to executors as a broadcast hash table.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. ``limit`` makes the check stop
-    early on a large input instead of counting all of it."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(dim: DataFrame, source: DataFrame | None = None,
-                      max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``dim`` for broadcast when its row count is proven to be at most ``max_rows``.
-    The bound is checked on ``source`` -- the raw input the dimension is derived from by
-    filters and de-duplication, so never larger -- where the limit reaches the scan and
-    stops early. Beyond the bound the dimension stays unhinted: the optimizer plans a
-    sort-merge join and AQE may still switch to a broadcast from the measured size."""
-    return F.broadcast(dim) if fits_broadcast(source if source is not None else dim, max_rows) else dim
-
-
-def summary_side(summary: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """A per-group summary (bounds, counts) to join back to the facts: materialised once
-    by a reliable checkpoint into the shared checkpoint folder, then broadcast when its
-    measured row count is within the bound. Beyond it the join shuffles, and AQE splits
-    any partition a hot group makes too large."""
-    from airledger.session import cut_lineage
-    done = cut_lineage(summary)
-    return bounded_broadcast(done, done, max_rows)
-
-
-def join_small(df: DataFrame, dim: DataFrame, on, how: str = "left",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join against a dimension, broadcasting it only behind a size check."""
-    return df.join(bounded_broadcast(dim, None, max_rows), on=on, how=how)
+def spread_missing(key: Column, df: DataFrame) -> Column:
+    """``key``, with each NULL replaced by a text that no dimension key can be and that differs
+    from row to row. A left join then gives such rows no match, as before, but does not send
+    all of them to one task when it shuffles."""
+    return F.coalesce(key, F.concat(F.lit("\0"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("string")))
 
 
 def _fixed_dim(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -74,10 +42,8 @@ def _last_per_key(dim: DataFrame, key: str) -> DataFrame:
 
 def _side(dim: DataFrame | None, default_builder, df: DataFrame) -> DataFrame:
     """The library's own dimensions are built from the fixed lists (constant size) and are
-    broadcast outright; a dimension passed by the caller must first prove its bound."""
-    if dim is None:
-        return F.broadcast(default_builder(df.sparkSession))
-    return bounded_broadcast(dim)
+    broadcast outright; one passed by the caller is left to the optimizer."""
+    return F.broadcast(default_builder(df.sparkSession)) if dim is None else dim
 
 
 # --- J3 pollutant label -> code ------------------------------------------------------
@@ -91,7 +57,7 @@ def pollutant_dim(spark: SparkSession, labels: list[tuple[str, str]] = fv.POLLUT
 def canon_label(df: DataFrame, col: str, out: str = "contaminante_canon", dim: DataFrame | None = None) -> DataFrame:
     """Canonical code of a free-text label through the T2 key; unmatched -> NULL."""
     side = _side(dim, pollutant_dim, df)
-    keyed = df.withColumn("_key", T.key_pollutant(F.col(col)))
+    keyed = df.withColumn("_key", spread_missing(T.key_pollutant(F.col(col)), df))
     return (keyed.join(side, on="_key", how="left")
             .withColumnRenamed("code", out).drop("_key"))
 
@@ -126,7 +92,7 @@ def canon_spelling(df: DataFrame, col: str, dim: DataFrame | None = None, out: s
     """Replace a name by its canonical spelling; unknown or missing names are kept."""
     side = _side(dim, municipality_dim, df)
     out = out or col
-    keyed = df.withColumn("_key", F.when(~V.is_na_word(F.col(col)), key_fn(F.col(col))))
+    keyed = df.withColumn("_key", spread_missing(F.when(~V.is_na_word(F.col(col)), key_fn(F.col(col))), df))
     joined = keyed.join(side, on="_key", how="left")
     return joined.withColumn(out, F.coalesce(F.col("spelling"), F.col(col))).drop("_key", "spelling")
 
@@ -138,7 +104,7 @@ def unmapped_values(df: DataFrame, col: str, dim: DataFrame, key_fn, dim_key: st
     values are de-duplicated *before* the anti-join, so the join sees one row per label."""
     values = (df.select(F.col(col).alias("valor")).where(~V.is_na_word(F.col("valor"))).distinct()
               .withColumn(dim_key, key_fn(F.col("valor"))))
-    return (values.join(bounded_broadcast(dim.select(dim_key)), on=dim_key, how="left_anti")
+    return (values.join(dim.select(dim_key), on=dim_key, how="left_anti")
             .select("valor").orderBy("valor"))
 
 
@@ -157,10 +123,6 @@ def prefer_code(df: DataFrame, columns: list[str] = fv.ACTIVITY_CODE_COLUMNS) ->
     return F.coalesce(*[V.clean_null(F.col(c)) for c in present])
 
 
-def letter_macro_dim(spark: SparkSession) -> DataFrame:
-    return _fixed_dim(spark, fv.LETTER_MACRO, "letter string, letter_macro string").drop("pos")
-
-
 def keyword_macro(desc_key: Column, rules: list[tuple[str, str]] = fv.KEYWORD_MACRO) -> Column:
     """First rule whose keyword occurs in the normalised description (list order)."""
     expr = None
@@ -186,43 +148,31 @@ def classify_macro(code: Column, desc: Column, letter_map: Column | None = None)
     return F.coalesce(by_letter, by_keyword, F.lit(fv.DEFAULT_MACRO))
 
 
-def activity_code_dim(codes: DataFrame, code_col: str = "codigo", desc_col: str = "descripcion",
-                      order_col: str | None = None, bound_source: DataFrame | None = None) -> DataFrame:
-    """Code -> description; missing codes dropped, NULL description -> ``""``, the
-    last entry of a duplicated code wins (``order_col`` gives file order). The keyword
-    sector of the description is computed here, once per code, so the join that uses the
-    dimension carries a short label instead of the description text."""
-    d = codes.select(
-        V.clean_null(F.col(code_col)).alias("_code"),
-        F.coalesce(T.strip_ws(F.col(desc_col)), F.lit("")).alias("_desc"),
-        (F.col(order_col) if order_col else F.monotonically_increasing_id()).alias("pos"),
-    ).where(F.col("_code").isNotNull())
-    last = _last_per_key(d, "_code")
-    # The normalised description is its own column: the 34 keyword tests then read a
-    # finished value instead of each re-running the text normalisation.
-    keyed = last.withColumn("_dkey", T.key_description(F.col("_desc")))
-    dim = keyed.select(
-        "_code",
-        F.when(F.col("_desc") != "", keyword_macro(F.col("_dkey"))).alias("_kw"),
-        F.lit(True).alias("_known"),
-    )
-    return bounded_broadcast(dim, bound_source if bound_source is not None else codes)
+def activity_code_dim(codes: DataFrame, order_col: str, code_col: str = "codigo", desc_col: str = "descripcion") -> DataFrame:
+    """Code -> keyword sector of its description; missing codes dropped, the last entry of
+    a duplicated code wins (``order_col`` gives file order). The sector is found per row, before
+    the de-duplication, so the descriptions themselves are never shuffled."""
+    staged = codes.select(V.clean_null(F.col(code_col)).alias("_code"), F.col(order_col).alias("pos"),
+                          T.key_description(F.coalesce(T.strip_ws(F.col(desc_col)), F.lit(""))).alias("_dkey")).where(F.col("_code").isNotNull())
+    rows = staged.select("_code", "pos", F.when(F.col("_dkey") != "", keyword_macro(F.col("_dkey"))).alias("_kw"), F.lit(True).alias("_known"))
+    return _last_per_key(rows, "_code")
 
 
 def add_activity(df: DataFrame, code_dim: DataFrame, columns: list[str] = fv.ACTIVITY_CODE_COLUMNS) -> DataFrame:
     """``actividad_canon`` is the preferred code when the dimension knows it;
     ``actividad_macro``: letter of the code, else (known codes only) the description's
     keyword sector, else OTHER."""
-    keyed = df.withColumn("_code", prefer_code(df, columns))
+    keyed = df.withColumn("_own_code", prefer_code(df, columns))
+    keyed = keyed.withColumn("_code", spread_missing(F.col("_own_code"), df))
     joined = keyed.join(code_dim, on="_code", how="left")
     known = F.col("_known").isNotNull()
     letter_map = F.create_map(*[x for pair in fv.LETTER_MACRO for x in (F.lit(pair[0]), F.lit(pair[1]))])
-    macro = F.coalesce(F.try_element_at(letter_map, letter_of(F.col("_code"))),
+    macro = F.coalesce(F.try_element_at(letter_map, letter_of(F.col("_own_code"))),
                        F.when(known, F.col("_kw")), F.lit(fv.DEFAULT_MACRO))
     return (joined
             .withColumn("actividad_canon", F.when(known, F.col("_code")))
             .withColumn("actividad_macro", macro)
-            .drop("_code", "_kw", "_known"))
+            .drop("_code", "_own_code", "_kw", "_known"))
 
 
 def unmapped_codes(df: DataFrame, code_dim: DataFrame, columns: list[str] = fv.ACTIVITY_CODE_COLUMNS) -> DataFrame:
@@ -251,9 +201,8 @@ def centre_dim(centres: DataFrame, name_col: str = "comuna", lat_col: str = "lat
     # The smallest (latitude, longitude) per key: struct order is field by field, NULL
     # first, as an ascending sort. An aggregate, so repeated keys combine map-side.
     first = keyed.groupBy("_ckey").agg(F.min(F.struct("latitud_centro", "longitud_centro")).alias("_c"))
-    dim = first.select("_ckey", F.col("_c.latitud_centro").alias("latitud_centro"),
-                       F.col("_c.longitud_centro").alias("longitud_centro"))
-    return bounded_broadcast(dim, centres)
+    return first.select("_ckey", F.col("_c.latitud_centro").alias("latitud_centro"),
+                        F.col("_c.longitud_centro").alias("longitud_centro"))
 
 
 def fill_from_centre(df: DataFrame, centres: DataFrame, name_col: str = "comuna",
@@ -261,7 +210,7 @@ def fill_from_centre(df: DataFrame, centres: DataFrame, name_col: str = "comuna"
     """``latitud_nueva``/``longitud_nueva`` = own coordinate when usable, else the
     municipality centre (left join, NULL municipality never matches)."""
     dim = centre_dim(centres)
-    keyed = df.withColumn("_ckey", T.key_centre(F.col(name_col)))
+    keyed = df.withColumn("_ckey", spread_missing(T.key_centre(F.col(name_col)), df))
     joined = keyed.join(dim, on="_ckey", how="left")
 
     def choose(orig: str, centre: str) -> Column:
@@ -272,7 +221,3 @@ def fill_from_centre(df: DataFrame, centres: DataFrame, name_col: str = "comuna"
             .withColumn("latitud_nueva", choose(lat_col, "latitud_centro"))
             .withColumn("longitud_nueva", choose(lon_col, "longitud_centro"))
             .drop("_ckey", "latitud_centro", "longitud_centro"))
-
-
-def chain(df: DataFrame, *steps) -> DataFrame:
-    return reduce(lambda acc, step: step(acc), steps, df)

@@ -4,19 +4,19 @@ All grouping is ``groupBy().agg()`` (partial aggregation before the shuffle, fin
 so a pollutant or year holding a third of the rows is pre-aggregated on every executor and
 only one partial row per task crosses the network. Windows run over those aggregated
 tables (one row per group x year, municipality, unit...), never over the raw facts.
-The one order statistic, the exact median, is computed by distributed ranking
-(``ids.sequence_in_group``) rather than by collecting a group's values into one buffer.
+The one order statistic, the exact median, is found by counting values per slice of their
+order (``ids.order_slice``) rather than by collecting or sorting a group's values.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from airledger import fixed_values as fv
 from airledger.functions import values as V
-from airledger.operators.ids import sequence_in_group
-from airledger.operators.lookups import summary_side
+from airledger.operators.ids import join_same_keys, order_slice
 
 
 def annual_totals(df: DataFrame, group: str, year: str, value: str,
@@ -53,26 +53,36 @@ def top_n_per_group(df: DataFrame, group: str, value: str, name: str, n: int = f
 
 
 def ordered_report(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
-    """W4 + F6: per group, largest total first; value also as ``%.6f`` text, formatted
-    exactly as Python does (the table is one row per group and unit)."""
-    return (df.withColumn("valor_texto", V.fixed6_exact(F.col(value)))
+    """W4 + F6: per group, largest total first; value also as ``%.6f`` text. A decimal value
+    is formatted from its own digits; a double as Python does (one row per group and unit)."""
+    exact = isinstance(df.schema[value].dataType, DecimalType)
+    return (df.withColumn("valor_texto", (V.fixed6_decimal if exact else V.fixed6_exact)(F.col(value)))
             .orderBy(F.col(group), F.col(value).desc_nulls_last(), F.col(name)))
 
 
 def exact_median(df: DataFrame, group: str, value: str, out: str = "mediana") -> DataFrame:
-    """Exact median per group (mean of the two middle values for an even count), by
-    ranking values inside each group with a range-partitioned sort. No group is ever
-    held in one aggregation buffer."""
+    """Exact median per group (mean of the two middle values for an even count), without
+    sorting a group: values are counted by slice of their order, the counts say which one or
+    two slices hold the middle, and only those slices' values are counted one by one."""
     vals = df.select(group, value).where(F.col(value).isNotNull())
-    # A unique tie-break keeps the ranking a total order.
-    vals = vals.withColumn("_tb", F.monotonically_increasing_id())
-    ranked = sequence_in_group(vals, [group], [F.col(value), F.col("_tb")], out="_r")
-    counts = summary_side(vals.groupBy(group).agg(F.count(F.lit(1)).alias("_n")))
-    lo = F.floor((F.col("_n") + 1) / 2)
-    hi = F.ceil((F.col("_n") + 1) / 2)
-    mid = (ranked.join(counts, on=group)
-           .where((F.col("_r") == lo) | (F.col("_r") == hi)))
-    return mid.groupBy(group).agg(mean_of(value).alias(out))
+    placed = vals.withColumn("_slice", order_slice(F.col(value), df.schema[value].dataType))
+    per_group = Window.partitionBy(group)
+    slices = (placed.groupBy(group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+              .withColumn("_end", F.sum("_n").over(per_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("_all", F.sum("_n").over(per_group))
+              .withColumn("_low", F.floor((F.col("_all") + 1) / 2)).withColumn("_high", F.floor((F.col("_all") + 2) / 2)))
+    middle = (slices.where((F.col("_end") >= F.col("_low")) & (F.col("_end") - F.col("_n") < F.col("_high")))
+              .select(group, "_slice", (F.col("_end") - F.col("_n")).alias("_before"), "_low", "_high"))
+    inside = join_same_keys(placed, middle, [group, "_slice"])
+    counts = inside.groupBy(group, value).agg(F.count(F.lit(1)).alias("_n"), F.min("_before").alias("_before"),
+                                              F.min("_low").alias("_low"), F.min("_high").alias("_high"))
+    upto = F.min("_before").over(per_group) + F.sum("_n").over(per_group.orderBy(value).rowsBetween(Window.unboundedPreceding, 0))
+    ranked = counts.withColumn("_upto", upto).withColumn("_from", F.col("_upto") - F.col("_n"))
+
+    def at(rank: str) -> Column:
+        return F.sum(F.when((F.col("_from") < F.col(rank)) & (F.col(rank) <= F.col("_upto")), F.col(value)))
+
+    return ranked.groupBy(group).agg(((at("_low") + at("_high")).cast("double") / 2).alias(out))
 
 
 def mean_of(value: str) -> Column:
@@ -106,8 +116,7 @@ def log_histogram(df: DataFrame, group: str, value: str, bins: int = fv.HISTOGRA
     bounds = pos.groupBy(group).agg(F.min("_lv").alias("_lo0"), F.max("_lv").alias("_hi0"))
     bounds = (bounds.withColumn("_lo", F.when(F.col("_lo0") == F.col("_hi0"), F.col("_lo0") - 0.5).otherwise(F.col("_lo0")))
               .withColumn("_hi", F.when(F.col("_lo0") == F.col("_hi0"), F.col("_hi0") + 0.5).otherwise(F.col("_hi0"))))
-    # One bounds row per group, materialised once and broadcast only within the bound.
-    joined = pos.join(summary_side(bounds), on=group)
+    joined = pos.join(bounds, on=group)  # one row per group; its size tells the optimizer how
     b = F.least(F.floor((F.col("_lv") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins), F.lit(bins - 1))
     return (joined.withColumn("bin", b.cast("int"))
             .groupBy(group, "bin").agg(F.count(F.lit(1)).cast("long").alias("frecuencia"),
@@ -129,13 +138,17 @@ def label_dictionary(df: DataFrame, cols: list[str], group: str, default: str =
 
 # --- documented analyses ----------------------------------------------------------------
 
-def top_units_by_mean(df: DataFrame, unit: str, value: str, n: int = 3, group: str | None = None) -> DataFrame:
-    """The ``n`` units with the highest mean value (optionally per group)."""
-    keys = [group, unit] if group else [unit]
-    means = df.dropna(subset=[unit, value]).groupBy(*keys).agg(mean_of(value).alias("media"))
-    # The window runs over the per-unit means (one row per unit), not over the facts.
-    w = (Window.partitionBy(group) if group else Window.partitionBy(F.lit(1))).orderBy(F.col("media").desc(), F.col(unit))
-    return means.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= n)
+def top_units_by_mean(df: DataFrame, unit: str, value: str, n: int = 3) -> DataFrame:
+    """The ``n`` units with the highest mean value, ranked."""
+    means = df.dropna(subset=[unit, value]).groupBy(unit).agg(mean_of(value).alias("media"))
+    return rank_top(means, unit, "media", n)
+
+
+def rank_top(rows: DataFrame, name: str, value: str, n: int) -> DataFrame:
+    """The ``n`` rows of the largest value (ties by name), found by a distributed top-n; the
+    rank is counted over those ``n`` rows only."""
+    order = [F.col(value).desc(), F.col(name)]
+    return rows.orderBy(*order).limit(n).withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("long"))
 
 
 def share_within(df: DataFrame, keys: list[str], part: str, value: str) -> DataFrame:
@@ -149,16 +162,11 @@ def share_within(df: DataFrame, keys: list[str], part: str, value: str) -> DataF
 def extreme_years(totals: DataFrame, group: str, year: str, value: str) -> DataFrame:
     """D3: per group, the years with the largest and smallest total (ties -> earliest year)."""
     t = totals.where(F.col(value).isNotNull())
-    w = Window.partitionBy(group)
-    hi = F.row_number().over(w.orderBy(F.col(value).desc(), F.col(year)))
-    lo = F.row_number().over(w.orderBy(F.col(value).asc(), F.col(year)))
-    ranked = t.withColumn("_hi", hi).withColumn("_lo", lo)
-    return ranked.groupBy(group).agg(
-        F.max(F.when(F.col("_hi") == 1, F.col(year))).alias("anio_max"),
-        F.max(F.when(F.col("_hi") == 1, F.col(value))).alias("total_max"),
-        F.max(F.when(F.col("_lo") == 1, F.col(year))).alias("anio_min"),
-        F.max(F.when(F.col("_lo") == 1, F.col(value))).alias("total_min"),
-    )
+    hi = F.max(F.struct(F.col(value).alias("v"), (-F.col(year)).alias("y")))
+    lo = F.min(F.struct(F.col(value).alias("v"), F.col(year).alias("y")))
+    return t.groupBy(group).agg(hi.alias("_hi"), lo.alias("_lo")).select(
+        group, (-F.col("_hi.y")).alias("anio_max"), F.col("_hi.v").alias("total_max"),
+        F.col("_lo.y").alias("anio_min"), F.col("_lo.v").alias("total_min"))
 
 
 def yearly_increase(totals: DataFrame, group: str, year: str, value: str, threshold: float = 0.10) -> DataFrame:
@@ -173,12 +181,12 @@ def yearly_increase(totals: DataFrame, group: str, year: str, value: str, thresh
 
 
 def coverage_gaps(facts: DataFrame, key: str, year: str, years: DataFrame | None = None) -> DataFrame:
-    """(key, year) pairs without data. The year axis (distinct years present, or the
-    given one-column table) is one small array computed by a scalar subquery -- its size is
-    bounded by the number of distinct years -- and exploded next to each distinct key; the
-    facts are reduced to distinct (key, year) pairs before the anti-join. No cross join."""
-    present = facts.select(key, year).where(F.col(key).isNotNull() & F.col(year).isNotNull()).distinct()
+    """(key, year) pairs without data. One aggregate gives each key its set of years; the
+    year axis (distinct years present, or the given one-column table) is a scalar subquery, and
+    what a key's set lacks of it is exploded. Both arrays hold distinct years only."""
+    present = facts.where(F.col(key).isNotNull() & F.col(year).isNotNull())
     axis_src = years if years is not None else present.select(year)
-    axis = axis_src.select(F.array_sort(F.collect_set(F.col(axis_src.columns[0]))).alias("_years")).scalar()
-    grid = present.select(key).distinct().select(key, F.explode(axis).alias(year))
-    return grid.join(present, on=[key, year], how="left_anti")
+    name = axis_src.columns[0]
+    axis = axis_src.select(name).distinct().select(F.collect_set(name).alias("_years")).scalar()
+    have = present.groupBy(key).agg(F.collect_set(year).alias("_have"))
+    return have.select(key, F.explode(F.array_except(axis, F.col("_have"))).alias(year))

@@ -59,11 +59,14 @@ def type_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     )
 
 
-def file_run_summary(df: DataFrame, keep, file_col: str = "archivo") -> DataFrame:
-    """Rows read and rows kept per source file, in one scan (``keep`` is the row filter)."""
+def file_run_summary(df: DataFrame, keep, file_col: str = "archivo", long_row: str | None = None) -> DataFrame:
+    """Rows read, rows dropped as too long (``long_row`` marks them) and rows kept per source
+    file, in one scan (``keep`` is the row filter)."""
+    too_long = F.col(long_row) if long_row else F.lit(False)
     return df.groupBy(file_col).agg(
         F.count(F.lit(1)).cast("long").alias("filas_entrada"),
-        F.count_if(keep).cast("long").alias("filas_RM"),
+        F.count_if(too_long).cast("long").alias("filas_largas"),
+        F.count_if(keep & ~too_long).cast("long").alias("filas_RM"),
     ).withColumn("estado", F.when(F.col("filas_RM") > 0, F.lit("ok")).otherwise(F.lit("sin_registros")))
 
 

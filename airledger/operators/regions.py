@@ -19,13 +19,8 @@ from airledger.functions.text import snake_name_py
 def region_column(columns: list[str]) -> str | None:
     """The region column. An exact ``region`` wins (decision 23); otherwise the first
     column whose T1-normalised name contains ``region``."""
-    for c in columns:
-        if c.strip().lower() == "region":
-            return c
-    for c in columns:
-        if "region" in snake_name_py(c).replace("_", " "):
-            return c
-    return None
+    exact = [c for c in columns if c.strip().lower() == "region"]
+    return next(iter(exact + [c for c in columns if "region" in snake_name_py(c)]), None)
 
 
 def is_metropolitan(c: Column) -> Column:
@@ -49,25 +44,9 @@ def region_matches(c: Column, target: str) -> Column:
 
 def region_key_matches(v: Column, target: str) -> Column:
     """R3 on an already normalised (T7) region key."""
-    t_norm = _region_target_py(target)
-    if t_norm in fv.RM_TARGETS:
-        hit = (v.isin(*fv.RM_TARGET_ALIASES)
-               | (v.contains("metropolitana") & v.contains("santiago"))
-               | (v == F.lit(t_norm)))
-    else:
-        hit = v == F.lit(t_norm)
-    return F.coalesce(hit, F.lit(False))
-
-
-def _region_target_py(target: str) -> str:
-    import re
-    import unicodedata
-
-    t = "".join(ch for ch in unicodedata.normalize("NFKD", str(target).lower()) if not unicodedata.combining(ch))
-    for ch in "\t\r\n,.;:":
-        t = t.replace(ch, " ")
-    t = t.replace("region", " ")
-    return re.sub(r"\s+", " ", t).strip()
+    wanted = T.key_region_target(F.lit(target))  # a constant, folded by the optimizer
+    named = v.isin(*fv.RM_TARGET_ALIASES) | (v.contains("metropolitana") & v.contains("santiago"))
+    return F.coalesce((v == wanted) | (wanted.isin(*fv.RM_TARGETS) & named), F.lit(False))
 
 
 def region_equals(c: Column, target: str) -> Column:
@@ -121,11 +100,6 @@ def drop_missing(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.dropna(subset=cols)
 
 
-def sign_split(c: Column) -> tuple[Column, Column]:
-    """(positive, zero-or-negative) predicates."""
-    return c > 0, c <= 0
-
-
 def drop_empty_series(df: DataFrame, key: str, value: str) -> DataFrame:
     """Drop every series (key) that has no non-NULL value at all. The keys with
     values are found by one aggregate and kept with a left-semi join."""

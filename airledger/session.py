@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings every job relies on: ANSI semantics, UTC, adaptive execution (runtime
 # re-planning, partition coalescing, skew-join splitting), no UI server.
@@ -35,24 +32,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``). Only when the
-    session has none (local tests) is a fresh scratch folder created and registered.
-
-    ``spark.checkpoint.dir`` is a core setting read when the context starts (it cannot be
-    changed at runtime), so an unset folder is registered on the context only. The folder
-    returned is the configured one (stable across restarts, for stream checkpoints); RDD
-    checkpoints go to the context's own sub-folder of it."""
-    sc = spark.sparkContext
-    registered = sc.getCheckpointDir()
-    base = spark.conf.get("spark.checkpoint.dir", None) or registered
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``); without one, the folder
+    registered on the context. A folder of one machine would not be seen by the others, so none
+    is made up: a session that has neither is an error."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="airledger-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    if not registered:
-        sc.setCheckpointDir(base)
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return base
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder: survives executor loss (never local)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -13,10 +13,8 @@ from pyspark.sql import functions as F
 
 from airledger import fixed_values as fv
 
-# href value of an <a> tag, double- or single-quoted.
-_ANCHOR_HREF = r"""(?is)<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)')"""
-_ANCHOR_DQ = r"""(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*)\""""
-_ANCHOR_SQ = r"""(?is)<a\b[^>]*?\bhref\s*=\s*'([^']*)'"""
+# The href of an <a> tag, quoted either way or not at all; group 1 keeps the quotes.
+_ANCHOR_HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 def _unescape(c):
@@ -29,12 +27,11 @@ def discover_links(pages: DataFrame, html_col: str = "html", url_col: str = "url
                    suffixes: list[str] | None = fv.DATA_FILE_SUFFIXES) -> DataFrame:
     """(page id, position, absolute link) for every anchor whose target ends (case-insensitive)
     in one of ``suffixes``; ``suffixes=None`` keeps every anchor."""
-    hrefs = F.concat(F.regexp_extract_all(F.col(html_col), F.lit(_ANCHOR_DQ), 1),
-                     F.regexp_extract_all(F.col(html_col), F.lit(_ANCHOR_SQ), 1))
-    # Order anchors by where they occur in the page, whichever quote style they use.
-    located = F.transform(hrefs, lambda h: h)
-    exploded = pages.select(F.col(id_col), F.col(url_col), F.posexplode(located).alias("pos", "href"))
-    href = F.trim(_unescape(F.col("href")))
+    hrefs = F.regexp_extract_all(F.col(html_col), F.lit(_ANCHOR_HREF), 1)  # in page order
+    exploded = pages.select(F.col(id_col), F.col(url_col), F.posexplode(hrefs).alias("pos", "href"))
+    quoted = F.col("href").startswith('"') | F.col("href").startswith("'")
+    value = F.when(quoted, F.substring("href", F.lit(2), F.length("href") - 2)).otherwise(F.col("href"))
+    href = F.trim(_unescape(value))
     host = F.regexp_extract(F.col(url_col), r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)", 1)
     absolute = F.when(href.startswith("/"), F.concat(host, href)).otherwise(href)
     out = exploded.select(F.col(id_col), F.col("pos").cast("long").alias("pos"), absolute.alias("enlace"),

@@ -3,31 +3,38 @@
 
 A multi-file CSV read applies one header, by position, to every file, so files whose
 headers differ cannot be read together. The catalogue therefore groups files by *header
-signature* (separator, encoding, column names); each signature is one ``spark.read.csv``
-over all of its files, in parallel, with an all-string schema and the corrupt-record
-column, and the signatures are put together by column name afterwards.
-
-The catalogue itself touches only each file's header: Spark lists the files
-(``binaryFile`` without its content column reads no bytes) and reads one line per file.
-The number of files (years x layouts) is small; their size is not.
+signature* (separator, encoding, quoted line breaks or not, column names); each signature is
+one ``spark.read.csv`` over all of its files, in parallel, with an all-string schema, and the
+signatures are put together by column name afterwards.
+
+The catalogue is one Spark job over all files: an aggregate per file gives its header line,
+whether every one of its lines is valid UTF-8 (a file is read in one encoding, so the whole file
+decides it), and whether any line has an odd number of quotes (then a quoted cell holds a line
+break, and that file alone has to be read without splits). What reaches the driver is one row
+per file.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import csv
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from airledger import fixed_values as fv
 from airledger.functions import text as T
 from airledger.functions import values as V
 from airledger.operators.tables import fixed_table
 
 EXTRA = "_extra_field"
+LONG_ROW = "_fila_larga"
 UTF8 = "UTF-8"
 LATIN1 = "ISO-8859-1"
+SEPARATORS = ";,\t|"
+BOM = "\ufeff"
 
 
 @dataclass
@@ -38,50 +45,66 @@ class FileInfo:
     sep: str
     columns: list[str] = field(default_factory=list)
     error: str | None = None
+    multiline: bool = False
 
     @property
     def signature(self) -> tuple:
-        return (self.encoding, self.sep, tuple(self.columns))
+        return (self.encoding, self.sep, self.multiline, tuple(self.columns))
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> list[str]:
-    """Data files under ``root`` matching ``glob``, sorted by name. Listing goes through
-    the ``binaryFile`` source with only path columns selected, so no content is read."""
+    """Data files under ``root`` matching ``glob``, empty ones too, sorted by name. Taken
+    from Spark's file listing; no content is read and no job runs."""
     listed = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-              .option("recursiveFileLookup", "true").load(root).select("path"))
-    return sorted((r.path for r in listed.collect()), key=lambda p: p.rsplit("/", 1)[-1])
-
-
-def _first_line(spark: SparkSession, path: str) -> str | None:
-    rows = spark.read.text(path).limit(1).collect()
-    return rows[0].value if rows else None
-
-
-def sniff(spark: SparkSession, path: str) -> FileInfo:
-    """Encoding (UTF-8 unless the header is not valid UTF-8, then Latin-1) and
-    separator (``;`` when it occurs at least as often as ``,`` in the header)."""
+              .option("recursiveFileLookup", "true").load(root))
+    return sorted((unquote(p) for p in listed.inputFiles()), key=lambda p: p.rsplit("/", 1)[-1])
+
+
+def header_cells(line: str) -> tuple[str, list[str]]:
+    """The separator -- of ``SEPARATORS`` the most frequent outside quotes, the first of
+    them on a tie -- and the header's names. An empty name or one that is there already gets
+    its position, so every column can be told apart."""
+    line = line.lstrip(BOM)
+    bare = "".join(line.split('"')[::2])
+    sep = max(SEPARATORS, key=lambda s: (bare.count(s), -SEPARATORS.index(s)))
+    names: list[str] = []
+    for i, cell in enumerate(next(csv.reader([line], delimiter=sep), [])):
+        name = cell.lstrip(BOM).strip()
+        names.append(name if name and name not in names else f"{name or '_c'}{i}")
+    return sep, names
+
+
+def catalogue(spark: SparkSession, paths: list[str]) -> list[FileInfo]:
+    """S8/S1/A10 input: every file's encoding, separator and header, in ``paths`` order, from one
+    job. A file without a line, or whose header cannot be read, has its reason in ``error``."""
+    if not paths:
+        return []
+    lines = spark.read.text(paths).select(
+        F.col("value"), F.col("_metadata.file_path").alias("path"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("place"))
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    per_file = lines.groupBy("path").agg(
+        F.min_by(F.col("value").cast("binary"), F.col("place")).alias("header"),
+        F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.bool_or(quotes % 2 == 1).alias("multiline"))
+    found = {_plain(r["path"]): r for r in per_file.collect()}
+    return [_file_info(p, found.get(_plain(p))) for p in paths]
+
+
+def _plain(path: str) -> str:
+    """One spelling of a path: Spark writes a local one as file:/x, its listing as file:///x."""
+    return unquote(path).replace(":///", ":/")
+
+
+def _file_info(path: str, row) -> FileInfo:
     name = path.rsplit("/", 1)[-1]
+    if row is None:
+        return FileInfo(path, name, UTF8, ";", [], "empty file")
+    encoding = UTF8 if row["utf8"] else LATIN1
     try:
-        line = _first_line(spark, path)
-        if line is None:
-            return FileInfo(path, name, UTF8, ";", [], "empty file")
-        encoding = LATIN1 if "�" in line else UTF8
-        sep = ";" if line.count(";") >= line.count(",") else ","
-        cols = spark.read.csv(path, header=True, sep=sep, encoding=encoding).columns
-        cols = [c.lstrip("﻿").strip() for c in cols]
-        return FileInfo(path, name, encoding, sep, cols)
-    except Exception as exc:  # noqa: BLE001 - an unreadable file is reported, not fatal
-        return FileInfo(path, name, UTF8, ";", [], f"[error] {exc}")
-
-
-def catalogue(spark: SparkSession, paths: list[str], concurrency: int = 16) -> list[FileInfo]:
-    """S8/A10 input: every file's header, in ``paths`` order. Each header costs two tiny
-    jobs (one line each); they are submitted from ``concurrency`` driver threads so the
-    scheduler runs them side by side instead of one file after another."""
-    if len(paths) <= 1 or concurrency <= 1:
-        return [sniff(spark, p) for p in paths]
-    with ThreadPoolExecutor(max_workers=min(concurrency, len(paths))) as pool:
-        return list(pool.map(lambda p: sniff(spark, p), paths))
+        sep, columns = header_cells(bytes(row["header"]).decode(encoding))
+    except csv.Error as e:
+        return FileInfo(path, name, encoding, ";", [], f"[error] {e}")
+    return FileInfo(path, name, encoding, sep, columns, None if columns else "no header", bool(row["multiline"]))
 
 
 def catalogue_frame(spark: SparkSession, infos: list[FileInfo]) -> DataFrame:
@@ -121,33 +144,35 @@ def header_vocabulary(catalogue_df: DataFrame, examples: int = 5) -> DataFrame:
     names = header_names(catalogue_df)
     per_variant = names.groupBy("columna_normalizada", "columna_original").agg(F.count(F.lit(1)).alias("n"))
     files = names.groupBy("columna_normalizada").agg(F.count_distinct("archivo").cast("long").alias("archivos_con_esta_columna"))
-    ranked = per_variant.groupBy("columna_normalizada").agg(
-        F.count(F.lit(1)).cast("long").alias("variantes_detectadas"),
-        F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), F.col("columna_original").alias("v")))).alias("_s"))
-    out = ranked.select(
-        "columna_normalizada", "variantes_detectadas",
-        F.array_join(F.transform(F.slice("_s", 1, examples), lambda s: s["v"]), " | ").alias("ejemplos_variantes"))
+    of_name = Window.partitionBy("columna_normalizada")
+    ranked = (per_variant.withColumn("_rank", F.row_number().over(of_name.orderBy(F.col("n").desc(), "columna_original")))
+              .withColumn("variantes_detectadas", F.count(F.lit(1)).over(of_name).cast("long")).where(F.col("_rank") <= examples))
+    out = ranked.groupBy("columna_normalizada", "variantes_detectadas").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_rank", "columna_original"))), lambda s: s["columna_original"]), " | ")
+        .alias("ejemplos_variantes"))
     return out.join(files, "columna_normalizada").orderBy("columna_normalizada")
 
 
 def read_signature(spark: SparkSession, infos: list[FileInfo], drop_long_rows: bool = True) -> DataFrame:
-    """One parallel read of every file sharing a header signature. All columns
-    are strings; short rows are padded with NULL. The schema carries one sentinel column
-    past the header: a row that fills it has more fields than the header and is dropped
-    (``drop_long_rows``), as a reader that skips bad lines does. Adds the source file name,
-    path and block start for file-order numbering."""
-    enc, sep, cols = infos[0].signature
-    schema = StructType([StructField(c, StringType()) for c in cols] + [StructField(EXTRA, StringType())])
+    """One parallel read of every file sharing a header signature. All columns are
+    strings; quotes are doubled inside quoted cells and a backslash is plain text; short rows
+    are padded with NULL. The schema carries one sentinel column past the header: a row that
+    fills it has more fields than the header and is dropped, as a reader that skips bad lines
+    does, or (``drop_long_rows=False``) marked in ``_fila_larga`` to be counted. Adds the source
+    file name, path and block start for file-order numbering."""
+    info = infos[0]
+    schema = StructType([StructField(c, StringType()) for c in info.columns] + [StructField(EXTRA, StringType())])
     df = (spark.read.schema(schema)
-          .option("header", True).option("sep", sep).option("encoding", enc)
+          .option("header", True).option("sep", info.sep).option("encoding", info.encoding)
+          .option("escape", '"').option("multiLine", info.multiline)
           .option("mode", "PERMISSIVE").option("enforceSchema", True)
           .csv([i.path for i in infos]))
     df = df.select("*", F.col("_metadata.file_name").alias("_file_name"),
                    F.col("_metadata.file_path").alias("_file_path"),
                    F.col("_metadata.file_block_start").alias("_file_block"))
     if drop_long_rows:
-        df = df.where(F.col(EXTRA).isNull())
-    return df.drop(EXTRA)
+        return df.where(F.col(EXTRA).isNull()).drop(EXTRA)
+    return df.withColumn(LONG_ROW, F.col(EXTRA).isNotNull()).drop(EXTRA)
 
 
 def group_by_signature(infos: list[FileInfo]) -> list[list[FileInfo]]:
@@ -159,25 +184,23 @@ def group_by_signature(infos: list[FileInfo]) -> list[list[FileInfo]]:
 
 
 def layout_of(name: str) -> str:
-    """Register layout from the file name."""
-    low = name.lower()
-    if low.startswith("ruea-efp-"):
-        return "efp"
-    if low.startswith("ckan_ruea_2023"):
-        return "ruea2023"
-    return "efp"
+    """Register layout by the beginning of the file name."""
+    return next((layout for start, layout in fv.LAYOUT_PREFIXES if name.lower().startswith(start)), fv.DEFAULT_LAYOUT)
 
 
 def read_table(spark: SparkSession, path: str, sep: str = ",", encoding: str = UTF8) -> DataFrame:
-    """A plain all-string CSV with header (empty cells read as NULL)."""
-    return spark.read.option("header", True).option("sep", sep).option("encoding", encoding).csv(path)
+    """A plain all-string CSV with header (empty cells read as NULL), quoted as in
+    ``read_signature``; quoted cells may hold line breaks."""
+    return (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
+            .option("escape", '"').option("multiLine", True).csv(path))
 
 
 def read_activity_codes(spark: SparkSession, path: str) -> DataFrame:
-    """S12 source: activity-code dimension file (``codigo, descripcion[, fuente]``) with its
-    row order kept for last-wins de-duplication."""
+    """S12 source: activity-code dimension files (``codigo, descripcion[, fuente]``) with their
+    row order kept for last-wins de-duplication: by file path, then block, then row."""
     df = read_table(spark, path)
-    return df.withColumn("_pos", F.monotonically_increasing_id())
+    return df.withColumn("_pos", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                                          F.monotonically_increasing_id().alias("row")))
 
 
 def read_centres(spark: SparkSession, path: str) -> DataFrame:

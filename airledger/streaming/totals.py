@@ -11,8 +11,6 @@ from the files it has not yet seen instead of re-reading everything.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,20 +32,28 @@ def totals_stream(spark: SparkSession, source_dir: str, schema: StructType, grou
 
 
 def start_totals(spark: SparkSession, source_dir: str, schema: StructType, sink_dir: str,
-                 query_name: str | None = None, checkpoint: str | None = None, available_now: bool = True,
+                 query_name: str = "totals", checkpoint: str | None = None, available_now: bool = True,
                  group: str = "contaminante_canon", year: str = "año", value: str = "emision_total") -> StreamingQuery:
-    """Start the stream. Each trigger rewrites ``sink_dir`` with the current totals and
-    their running sums; ``available_now`` processes what is there and stops."""
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/totals-{query_name or uuid.uuid4().hex}"
+    """Start the stream. Each trigger writes the current totals and their running sums to a
+    folder of their own under ``sink_dir`` (``epoch=n``), so a reader of an earlier one is not
+    disturbed; ``latest_totals`` reads the last. ``query_name`` names the checkpoint, from which a
+    restarted job resumes; ``available_now`` processes what is there and stops."""
+    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/totals-{query_name}"
     totals = totals_stream(spark, source_dir, schema, group, year, value)
 
     def write_snapshot(batch: DataFrame, epoch_id: int) -> None:
         running = metrics.running_totals(batch, group, year, "emision")
-        running.write.mode("overwrite").parquet(sink_dir)
+        running.write.mode("overwrite").parquet(f"{sink_dir}/epoch={epoch_id}")
 
     writer = (totals.writeStream.outputMode("complete").foreachBatch(write_snapshot)
               .option("checkpointLocation", ckpt))
-    if query_name:
-        writer = writer.queryName(query_name)
+    writer = writer.queryName(query_name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
+
+
+def latest_totals(spark: SparkSession, sink_dir: str) -> DataFrame:
+    """The snapshot of the last trigger that completed."""
+    every = spark.read.parquet(sink_dir)
+    last = every.agg(F.max("epoch")).scalar()
+    return every.where(F.col("epoch") == last).drop("epoch")

@@ -9,7 +9,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from airledger.session import build_session, checkpoint_dir  # noqa: E402
+from airledger.session import build_session  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -17,7 +17,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     s = build_session(master="local[4]", shuffle_partitions=4, app="airledger-tests")
-    checkpoint_dir(s)
+    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="airledger-ckpt-", dir="/tmp"))
     yield s
     s.stop()
 

@@ -14,12 +14,29 @@ from pyspark.sql import functions as F
 from airledger.operators import geo, ids, metrics
 
 
+@pytest.mark.parametrize("keys", [["o_totalprice", "o_orderkey"], ["o_orderdate", "o_orderkey"], ["o_orderpriority", "o_orderkey"], ["o_orderkey"]])
+def test_sequence_with_payload_is_row_number(spark, keys):
+    o = spark.read.parquet("/root/testdata/sf0.1/orders.parquet").withColumn("g", F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")))
+    got = ids.sequence_in_group(o, ["g"], keys, out="seq")
+    assert got.columns == [*o.columns, "seq"]
+    want = got.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy(*keys)))
+    n, wrong, different = want.agg(F.count(F.lit(1)), F.count_if(F.col("seq") != F.col("rn")), F.count_distinct(F.coalesce("g", F.lit("-")), "seq")).first()
+    assert (n, wrong, different) == (o.count(), 0, n)
+
+
+def test_order_slices_keep_the_order(spark):
+    rows = [(None,), (float("-inf"),), (-1e300,), (-5.5,), (-1e-9,), (0.0,), (1e-9,), (0.5,), (1.0,), (1.001,), (7.0,), (1e300,), (float("inf"),), (float("nan"),)]
+    df = spark.createDataFrame(rows, "x double")
+    got = [r[0] for r in df.orderBy("x").select(ids.order_slice(F.col("x"), df.schema["x"].dataType)).collect()]
+    assert got[0] is None and got[-1] != got[-1] and got[1:-1] == sorted(got[1:-1])
+
+
 def test_sequence_matches_row_number(spark):
     rnd = random.Random(7)
     # one hot group holding most rows, spread over many range partitions
     data = [("hot" if rnd.random() < 0.7 else f"g{rnd.randrange(5)}", i) for i in rnd.sample(range(100000), 3000)]
     df = spark.createDataFrame(data, "g string, k long")
-    got = ids.sequence_in_group(df, ["g"], ["k"], out="seq", num_partitions=16)
+    got = ids.sequence_in_group(df, ["g"], ["k"], out="seq")
     ref = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("k")))
     mismatch = got.join(ref, ["g", "k"]).where(F.col("seq") != F.col("rn")).count()
     assert got.count() == 3000 and mismatch == 0

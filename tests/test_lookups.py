@@ -86,10 +86,6 @@ def test_fill_from_centre(spark):
     assert got[2] == (None, None, None) and got[3] == ("Til-Til", None, None)
 
 
-def test_fits_broadcast(spark):
-    assert L.fits_broadcast(spark.range(10), 10)
-    assert not L.fits_broadcast(spark.range(11), 10)
-
 
 def test_last_per_key_with_a_hot_key(spark):
     """Last-wins de-duplication when one key holds most rows, spread over many partitions:
