@@ -255,3 +255,107 @@ def test_pipeline_b(spark, registers):
     assert ex.columns[-1] == "grupo_canonico" and "cantidad_toneladas" in ex.columns and ex.count() == table.count()
     summary = {r.archivo: (r.filas_entrada, r.filas_RM) for r in P.run_summary(spark, infos, "Metropolitana de Santiago").collect()}
     assert len(summary) == 19 and all(kept <= read for read, kept in summary.values())
+
+
+# --- files as they are --------------------------------------------------------------------
+
+def _put(root, name, text, enc="utf-8"):
+    os.makedirs(root, exist_ok=True)
+    with open(os.path.join(root, name), "wb") as f:
+        f.write(text.encode(enc))
+
+
+def _read_all(spark, root):
+    infos = R.catalogue(spark, R.list_files(spark, root))
+    return {i.name: i for i in infos}, {i.name: sorted(tuple(r)[:len(i.columns)] for r in R.read_signature(spark, [i]).collect())
+                                        for i in infos if not i.error}
+
+
+def test_files_as_they_are(spark, scratch):
+    _put(scratch, "ascii_header.csv", "region;x\nMetro;1\nValparaíso;2\n", "latin-1")
+    _put(scratch, "bom.csv", "﻿region;x\nñ;1\n")
+    _put(scratch, "quotes.csv", 'region;x\n"a ""b"" c";"1;2"\n"fin\\";3\n')
+    _put(scratch, "newline.csv", 'region;x\n"two\nlines";1\nb;2\n')
+    _put(scratch, "long_short.csv", "region;x\na;1;2\nb\nc;3\n")
+    _put(scratch, "comma.csv", 'region,x\n"a;b",1\n')
+    _put(scratch, "tab.csv", "region\tx\na\t1\n")
+    _put(scratch, "pipe.csv", "region|x\na|1\n")
+    _put(scratch, "empty.csv", "")
+    _put(scratch, "head_only.csv", "region;x\n")
+    _put(scratch, "same_names.csv", "region;;region\na;b;c\n")
+    infos, rows = _read_all(spark, scratch)
+    assert infos["ascii_header.csv"].encoding == R.LATIN1 and infos["bom.csv"].encoding == R.UTF8
+    assert infos["empty.csv"].error == "empty file" and infos["newline.csv"].multiline and not infos["quotes.csv"].multiline
+    assert infos["same_names.csv"].columns == ["region", "_c1", "region2"]
+    assert rows == {
+        "ascii_header.csv": [("Metro", "1"), ("Valparaíso", "2")], "bom.csv": [("ñ", "1")],
+        "quotes.csv": [('a "b" c', "1;2"), ("fin\\", "3")], "newline.csv": [("b", "2"), ("two\nlines", "1")],
+        "long_short.csv": [("b", None), ("c", "3")], "comma.csv": [("a;b", "1")], "tab.csv": [("a", "1")], "pipe.csv": [("a", "1")],
+        "head_only.csv": [], "same_names.csv": [("a", "b", "c")]}
+
+
+def _register(region="region", rut="rut", year="2019", n=1):
+    return f"{region};año;{rut};contaminantes;cantidad_toneladas\n" + f"Región Metropolitana;{year};1-9;CO;1,5\n" * n
+
+
+def test_decisions_per_table_and_unread_files(spark, scratch):
+    _put(scratch, "ruea-efp-2019-ckan.csv", _register())
+    _put(scratch, "ruea-efp-2020-ckan.csv", _register("nombre_region", "rut_razon_social"))
+    _put(scratch, "ruea-efp-2021-a.csv", _register(n=2))
+    _put(scratch, "ruea-efp-2021-b.csv", _register(n=3))
+    _put(scratch, "ruea-efp-2022-ckan.csv", "")
+    with pytest.raises(ValueError, match="not read"):
+        P.silver(spark, scratch)
+    got = P.silver(spark, scratch, allow_unread=True).collect()
+    assert sorted((r["año"], r.rut) for r in got) == [(2019, "1-9"), (2020, "1-9"), (2021, "1-9"), (2021, "1-9"), (2021, "1-9")]
+    infos = R.catalogue(spark, R.list_files(spark, scratch))
+    assert {tuple(r) for r in P.file_report(spark, infos).collect()} == {
+        ("ruea-efp-2019-ckan.csv", "ok", None), ("ruea-efp-2020-ckan.csv", "ok", None), ("ruea-efp-2021-b.csv", "ok", None),
+        ("ruea-efp-2021-a.csv", "no_leido", "replaced by ruea-efp-2021-b.csv"), ("ruea-efp-2022-ckan.csv", "no_leido", "empty file")}
+
+
+def test_years_in_cells_do_not_lose_rows(spark, scratch):
+    for year, cell in ((2010, "2005.0"), (2019, ""), (2021, "2023"), (2022, "abc")):
+        _put(scratch, f"ruea-efp-{year}-ckan.csv", _register(year=cell))
+    infos = R.catalogue(spark, R.list_files(spark, scratch))
+    efp = P.filtered_family(spark, infos, "Metropolitana de Santiago")
+    assert efp.count() == P.by_variable(efp, None).count() == 4
+
+
+def test_run_summary_counts_long_rows_and_unreadable_files(spark, scratch):
+    _put(scratch, "ruea-efp-2019-ckan.csv", _register() + "x;y;z;CO;1;too;long\nOther;2019;1;CO;2\n")
+    _put(scratch, "ruea-efp-2020-ckan.csv", "")
+    infos = R.catalogue(spark, R.list_files(spark, scratch))
+    got = {r.archivo: (r.filas_entrada, r.filas_largas, r.filas_RM, r.estado) for r in P.run_summary(spark, infos, "Metropolitana de Santiago").collect()}
+    assert got == {"ruea-efp-2019-ckan.csv": (3, 1, 1, "ok"), "ruea-efp-2020-ckan.csv": (0, 0, 0, "empty file")}
+
+
+def test_years_after_the_eras_must_follow(spark):
+    with pytest.raises(FileNotFoundError):
+        P.check_eras({2019, 2021})
+    P.check_eras({2019, 2020, 2021})
+
+
+def test_links_in_page_order_with_any_quotes(spark):
+    html = """<a href='one.csv'>1</a><A class=x HREF="/two.CSV">2</a><a href=three.xls>3</a><a data-href="no.csv" href="four.xlsx">4</a><a href="no.html">n</a>"""
+    from airledger.sources.links import discover_links
+    pages = spark.createDataFrame([(1, "https://h.example/x/y", html)], "page_id long, url string, html string")
+    got = sorted((r.pos, r.enlace) for r in discover_links(pages).collect())
+    assert got == [(0, "one.csv"), (1, "https://h.example/two.CSV"), (2, "three.xls"), (3, "four.xlsx")]
+
+
+def test_products_come_in_order(spark):
+    rows = [("B", 2001, 1.0), ("A", 2002, 2.0), ("A", 2000, 3.0), ("B", 2000, 5.0)]
+    gold = spark.createDataFrame([(*r, "c", "m") for r in rows], "contaminante_canon string, `año` int, emision_total double, comuna string, actividad_macro string")
+    made = P.products(gold, year=2000)
+    for name in ("annual_totals", "running_totals"):
+        got = [(r.contaminante_canon, r["año"]) for r in made[name].collect()]
+        assert got == sorted(got)
+
+
+def test_stage_files_and_replacement(spark, scratch):
+    df = spark.range(1000).selectExpr("id", "cast(2000 + id % 2 as int) as y")
+    assert sinks.write_stage(df, scratch + "/s", ["y"]) == 1000
+    assert sinks.write_stage(df.where("y = 2001"), scratch + "/s", ["y"]) == 500
+    back = spark.read.parquet(scratch + "/s")
+    assert back.count() == 1000 and len(back.inputFiles()) <= 16
