@@ -14,9 +14,9 @@ from airledger.operators import shaping as S
 # --- reshape ---------------------------------------------------------------------------
 
 def pivot_years(long: DataFrame, year: str, group: str, value: str, groups: list[str]) -> DataFrame:
-    """Year x group wide table (one column per known group). The group list is given,
-    so Spark does not run an extra job to discover it."""
-    return long.groupBy(year).pivot(group, groups).agg(F.sum(value))
+    """X4 + O2: year x group wide table (one column per known group), in year order. The group
+    list is given, so Spark does not run an extra job to discover it."""
+    return long.groupBy(year).pivot(group, groups).agg(F.sum(value)).orderBy(year)
 
 
 def unpivot_years(wide: DataFrame, year: str, group_out: str = "grupo", value_out: str = "emision",
