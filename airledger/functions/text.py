@@ -1,12 +1,11 @@
 """Text normalisation as Spark column expressions.
 
 Every preset is one chain of built-in functions (``lower``, ``translate``,
-``regexp_replace``), so it stays inside whole-stage codegen. Accent removal is a
-``translate`` whose table is generated from Unicode's compatibility decomposition
-(NFKD, combining marks dropped) for every code point that maps to a single character;
-the rare multi-character decompositions (ligatures, fractions) are available through
-``full_nfkd_distinct``, which runs a pandas UDF over the *distinct* values of a column
-only and joins the result back.
+``regexp_replace``), so nothing leaves the JVM. Accent removal is Unicode's compatibility
+decomposition (NFKD) with combining marks dropped, over all code points. Characters that fold to
+one character or to none are a ``translate``; that leaves most texts in ASCII. Where others
+remain, those that fold to several characters (ligatures, fractions, Hangul syllables) are
+replaced one by one.
 """
 
 from __future__ import annotations
@@ -15,10 +14,8 @@ import re
 import unicodedata
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 # Every character Python's str.split()/str.strip() treat as whitespace (Java's \s covers
 # only the ASCII ones), generated from Unicode's own property rather than listed by hand.
@@ -42,34 +39,44 @@ def ws_class(extra_body: str = "") -> str:
 WS_CLASS = ws_class()
 _INNER_WS = WS_CLASS + "+"
 
-# Code point ranges scanned to build the accent-folding table.
-_FOLD_RANGES = [(0x00A0, 0x3000), (0xFB00, 0xFFF0)]
+def _fold(text: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
 
 
-def _fold(ch: str) -> str:
-    return "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c))
+# Unicode's arithmetic of Hangul syllables: first, vowel and optional last letter.
+_HANGUL, _VOWELS, _LASTS = (0xAC00, 0xD7A3), 21, 28
 
 
 @lru_cache(maxsize=1)
-def accent_table() -> tuple[str, str]:
-    """(from, to) strings for ``translate``: single-character NFKD folds first, then
-    characters that fold to nothing (stand-alone combining marks), which ``translate``
-    deletes because ``to`` is shorter than ``from``."""
-    src, dst, deleted = [], [], []
-    for lo, hi in _FOLD_RANGES:
-        for cp in range(lo, hi):
-            ch = chr(cp)
-            if 0xD800 <= cp <= 0xDFFF:
-                continue
-            folded = _fold(ch)
-            if folded == ch:
-                continue
-            if len(folded) == 1:
-                src.append(ch)
-                dst.append(folded)
-            elif folded == "":
-                deleted.append(ch)
-    return "".join(src) + "".join(deleted), "".join(dst)
+def fold_tables() -> tuple[str, str, dict[str, str]]:
+    """(from, to) for ``translate``, of the characters that fold to one character, then of those
+    that fold to nothing, which ``translate`` deletes as ``to`` is shorter; and the folds to
+    several characters, but for Hangul."""
+    single, deleted, several = {}, [], {}
+    for cp in range(0x80, 0x110000):
+        ch = chr(cp)
+        if 0xD800 <= cp <= 0xDFFF or _HANGUL[0] <= cp <= _HANGUL[1] or (folded := _fold(ch)) == ch:
+            continue
+        if len(folded) == 1:
+            single[ch] = folded
+        elif folded:
+            several[ch] = folded
+        else:
+            deleted.append(ch)
+    return "".join(single) + "".join(deleted), "".join(single.values()), several
+
+
+@lru_cache(maxsize=1)
+def _several_class() -> str:
+    """A character class of everything that folds to several characters, as ranges."""
+    points = sorted(map(ord, fold_tables()[2])) + list(range(_HANGUL[0], _HANGUL[1] + 1))
+    ranges: list[list[int]] = []
+    for cp in sorted(points):
+        if ranges and ranges[-1][1] == cp - 1:
+            ranges[-1][1] = cp
+        else:
+            ranges.append([cp, cp])
+    return "[" + "".join(rf"\x{{{lo:X}}}-\x{{{hi:X}}}" for lo, hi in ranges) + "]"
 
 
 def strip_ws(c: Column) -> Column:
@@ -84,8 +91,28 @@ def collapse_ws(c: Column) -> Column:
 
 
 def remove_accents(c: Column) -> Column:
-    src, dst = accent_table()
-    return F.translate(c, src, dst)
+    """NFKD without combining marks."""
+    src, dst, _ = fold_tables()
+    once = F.translate(c, src, dst)
+    rare = (F.octet_length(once) > F.length(once)) & once.rlike(_several_class())
+    letters = F.regexp_extract_all(once, F.lit("(?s)."), F.lit(0))
+    return F.when(rare, F.array_join(F.transform(letters, _fold_letter), "")).otherwise(once)
+
+
+def _fold_letter(ch: Column) -> Column:
+    code = F.ascii(ch)
+    at = code - _HANGUL[0]
+
+    def jamo(first: int, count: int, index: Column) -> Column:
+        return F.get(F.split(F.lit(",".join(chr(first + i) for i in range(count))), ","), index.cast("int"))
+
+    last = at % _LASTS
+    syllable = F.concat(jamo(0x1100, 19, F.floor(at / (_VOWELS * _LASTS))), jamo(0x1161, _VOWELS, F.floor(at / _LASTS) % _VOWELS),
+                        F.when(last > 0, jamo(0x11A8, _LASTS - 1, last - 1)).otherwise(""))
+    # one constant map; the two separators are no characters of its entries
+    entries = F.lit("\x01".join(f"{k}\x02{v}" for k, v in fold_tables()[2].items()))
+    several = F.try_element_at(F.str_to_map(entries, F.lit("\x01"), F.lit("\x02")), ch)
+    return F.when(code < 0x80, ch).when(code.between(*_HANGUL), syllable).otherwise(F.coalesce(several, ch))
 
 
 def _char_class(chars: str) -> str:
@@ -209,19 +236,3 @@ def snake_name_py(name: str | None) -> str:
 def snake_name(c: Column) -> Column:
     """T6 as a column expression (header catalogues, label tables): the same words."""
     return F.btrim(F.regexp_replace(F.lower(remove_accents(strip_ws(c))), _NAME_GAP, "_"), F.lit("_"))
-
-
-# --- exact NFKD for the rare cases the translate table cannot express -----------------
-
-@F.pandas_udf(StringType())
-def _nfkd_fold(s: pd.Series) -> pd.Series:
-    return s.map(lambda v: None if v is None else _fold(v))
-
-
-def full_nfkd_distinct(df: DataFrame, col: str, out_col: str) -> DataFrame:
-    """Exact NFKD fold of ``col`` computed once per distinct value (pandas UDF over the
-    deduplicated values, Arrow batches) and joined back on the value. Label columns have
-    few distinct values, so the Python work stays small even when ``df`` is huge."""
-    distinct = df.select(col).where(F.col(col).isNotNull()).distinct()
-    folded = distinct.withColumn(out_col, _nfkd_fold(F.col(col)))
-    return df.join(folded, on=col, how="left")
