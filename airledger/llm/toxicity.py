@@ -42,7 +42,7 @@ from pyspark.sql import types as T
 from airledger.llm.common import map_texts, stored, utf8
 
 MAX_LABELLED, MAX_WORDS = 20_000, 50_000
-PRIOR, Z, MIN_ODDS, DRIFT = 50.0, 4.0, 1.5, 0.02
+PRIOR, Z, MIN_ODDS, DRIFT = 50.0, 4.0, 3.0, 0.02
 PREFIXES = range(3, 10)
 KNOWN_WORDS = 200_000
 SIGNIFICANT = 0.05
@@ -167,7 +167,8 @@ def extreme_rate(scores: np.ndarray, shares: np.ndarray) -> float:
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Intercept and slope by Newton steps with a small ridge on the slope."""
+    """Intercept and slope by Newton steps with a small ridge on the slope, which isn't below 0:
+    more evidence never makes a text less toxic."""
     a, b = math.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)), 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a + b * x, -30, 30)))
@@ -178,7 +179,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
         if det <= 1e-12:
             break
         a, b = a + (hbb * ga - hab * gb) / det, b + (haa * gb - hab * ga) / det
-    return float(a), float(b)
+    return (float(a), float(b)) if b >= 0 else (math.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)), 0.0)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, allowed: Callable[[Column], Column], key: str, text: str,
