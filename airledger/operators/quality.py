@@ -70,6 +70,24 @@ def file_run_summary(df: DataFrame, keep, file_col: str = "archivo", long_row: s
     ).withColumn("estado", F.when(F.col("filas_RM") > 0, F.lit("ok")).otherwise(F.lit("sin_registros")))
 
 
+# Number texts that the thousands rule (N1, N5, N6) reads in one of two possible ways: one mark
+# before exactly three digits, which it takes for a decimal mark, and one mark several times
+# without the other, which gives no number.
+_ONE_MARK = r"^[+-]?[0-9]{1,3}[.,][0-9]{3}$"
+_REPEATED_MARK = r"^[+-]?[0-9]{1,3}(?:(?:,[0-9]{3}){2,}|(?:\.[0-9]{3}){2,})$"
+
+
+def ambiguous_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Decision 17: per column the non-missing values, those with one mark before three digits
+    and those with a repeated mark; one aggregate over the table."""
+    aggs = []
+    for i, c in enumerate(columns):
+        text = V.clean_null(q(c))
+        aggs += [F.count(text).alias(f"_n{i}"), F.count_if(text.rlike(_ONE_MARK)).alias(f"_one{i}"), F.count_if(text.rlike(_REPEATED_MARK)).alias(f"_many{i}")]
+    stack = ", ".join(f"'{c.replace(chr(39), chr(39) * 2)}', _n{i}, _one{i}, _many{i}" for i, c in enumerate(columns))
+    return df.agg(*aggs).selectExpr(f"stack({len(columns)}, {stack}) AS (columna, valores, una_marca, marca_repetida)")
+
+
 def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Row count reported by the write itself (no second pass)."""
     obs = Observation(name)

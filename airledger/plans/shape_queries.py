@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airledger.functions import values as V
-from airledger.operators import lookups, metrics, regions, reshape, shaping
+from airledger.operators import lookups, metrics, quality, regions, reshape, shaping
 from airledger.plans.oracle import q_macro_classify, t6
 from airledger.plans.table_queries import dec2, eu_text, load, macro_classify
 from airledger.sources import registers
@@ -182,9 +182,22 @@ WIDE_PRODUCT = ("WITH t AS (SELECT o_orderstatus AS g, CAST(year(o_orderdate) AS
                 "r AS (SELECT g, anio, sum(v) OVER (PARTITION BY g ORDER BY anio) AS a FROM t) SELECT anio, "
                 + ", ".join(f"CAST(max(a) FILTER (WHERE g = '{g}') AS DOUBLE) AS \"{g}\"" for g in "FOP") + " FROM r GROUP BY anio ORDER BY anio")
 
+def ambiguous_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decision 17 over prices: with the decimals cut, and with all marks the same."""
+    whole = F.format_number(F.col("l_extendedprice") * F.when(F.col("l_linenumber") > 4, 1000).otherwise(1), 0)
+    text = F.when(F.col("l_linenumber") == 1, F.lit(" NA ")).when(F.col("l_linenumber") == 2, F.replace(whole, F.lit(","), F.lit("."))).otherwise(whole)
+    return quality.ambiguous_numbers(load(spark, sf_dir, "lineitem").select(text.alias("precio"), F.col("l_returnflag").alias("marca")), ["precio", "marca"])
+
+
+AMBIGUOUS_NUMBERS = (
+    "WITH t AS (SELECT l_linenumber AS ln, round_even(l_extendedprice * CASE WHEN l_linenumber > 4 THEN 1000 ELSE 1 END, 0) AS w FROM lineitem) "
+    "SELECT 'precio' AS columna, count(*) FILTER (WHERE ln <> 1) AS valores, count(*) FILTER (WHERE ln <> 1 AND w >= 1000 AND w < 1000000) AS una_marca, "
+    "count(*) FILTER (WHERE ln <> 1 AND w >= 1000000) AS marca_repetida FROM t "
+    "UNION ALL SELECT 'marca', count(l_returnflag), 0, 0 FROM lineitem")
+
 QUERIES = {f.__name__: f for f in (canonical_columns, rename_if_absent, extract_columns, ensure_rut, emission_column, cell_rules, region_rows, header_map,
-                                   header_vocabulary, macros_seen, era_of_years, era_union, wide_product)}
+                                   header_vocabulary, macros_seen, era_of_years, era_union, wide_product, ambiguous_numbers)}
 ORACLE = {"canonical_columns": CANONICAL_COLUMNS, "rename_if_absent": RENAME_IF_ABSENT, "extract_columns": EXTRACT_COLUMNS, "ensure_rut": ENSURE_RUT,
           "emission_column": EMISSION_COLUMN, "cell_rules": CELL_RULES, "region_rows": REGION_ROWS, "header_map": HEADER_MAP,
           "header_vocabulary": HEADER_VOCABULARY, "macros_seen": macros_seen_sql(), "era_of_years": ERA_OF_YEARS, "era_union": ERA_UNION,
-          "wide_product": WIDE_PRODUCT}
+          "wide_product": WIDE_PRODUCT, "ambiguous_numbers": AMBIGUOUS_NUMBERS}

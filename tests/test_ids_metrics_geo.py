@@ -240,3 +240,16 @@ def test_point_in_polygon_cells_keep_only_needed_edges(spark):
     cells = geo.polygon_cells(polys.select(F.col("unidad").alias("_unit"), "edges"), cell)
     per_cell = [len(r.edges) for r in cells.collect()]
     assert max(per_cell) < len(edges) / 2 and sum(per_cell) < len(per_cell) * len(edges) / 4
+
+
+def test_reports_come_in_order(spark):
+    rows = [("B", "x", 2.0), ("A", "z", 1.0), ("A", "y", 1.0), ("A", "w", 7.0), ("B", "v", None)]
+    df = spark.createDataFrame(rows, "g string, n string, v double")
+    assert [(r.g, r.n, r.valor_texto) for r in metrics.ordered_report(df, "g", "v", "n").collect()] == [
+        ("A", "w", "7.000000"), ("A", "y", "1.000000"), ("A", "z", "1.000000"), ("B", "x", "2.000000"), ("B", "v", "")]
+    assert [r.g for r in metrics.group_sizes(df, "g").collect()] == ["A", "B"]
+    from airledger.operators import reshape
+    long = spark.createDataFrame([(2003, "A", 1.0), (2001, "B", 2.0), (2002, "A", 3.0)], "y int, g string, v double")
+    assert [r.y for r in reshape.pivot_years(long, "y", "g", "v", ["A", "B"]).collect()] == [2001, 2002, 2003]
+    labels = spark.createDataFrame([(2, "b", "G2"), (1, "a", "G1"), (3, "c", "G1")], "i int, n string, grupo string")
+    assert [r.i for r in metrics.label_dictionary(labels, ["i", "n", "grupo"], "grupo").collect()] == [1, 3, 2]
