@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airledger.llm.common import map_texts
+from airledger.llm.common import Kept, map_texts
 
 CACHE, GROUP = 300_000, 128
 
@@ -118,7 +118,8 @@ def encode_texts(docs: DataFrame, path: str, pattern: str, text: str = "text", k
     def make() -> Callable:
         c = coder(path, pattern)
         return lambda rows: [(ids,) for ids in c.encode([t or "" for t, in rows])]
-    return map_texts(docs, [docs[text]], [T.StructField("token_ids", T.ArrayType(T.IntegerType()))], make, keep, group=GROUP)
+    source = Kept(text) if keep is None else docs[text]
+    return map_texts(docs, [source], [T.StructField("token_ids", T.ArrayType(T.IntegerType()))], make, keep, group=GROUP)
 
 
 def decode_texts(rows: DataFrame, path: str, pattern: str, ids: str = "token_ids", keep: list[str] | None = None) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airledger.llm.common import map_texts, utf8
+from airledger.llm.common import Kept, map_texts, utf8
 
 WINDOW = 10
 BLOCK_BYTES = 32 << 20
@@ -108,9 +108,9 @@ def _pass(docs: DataFrame, text: str, index, first: bool) -> DataFrame:
         return one
 
     if first:
-        return map_texts(docs, [utf8(docs[text])], _STATE, make)
+        return map_texts(docs, [Kept(text, utf8=True)], _STATE, make)
     keep = [c for c in docs.columns if c not in ("__n_words", "__spans", "__items")]
-    return map_texts(docs, [utf8(docs[text]), docs["__spans"], docs["__items"]], _STATE, make, keep)
+    return map_texts(docs, [Kept(text, utf8=True), docs["__spans"], docs["__items"]], _STATE, make, keep)
 
 
 def find_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
@@ -162,5 +162,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", mod
     def make() -> Callable:
         return lambda body, spans, whole: (_cut(body, spans) if spans else whole,)
 
-    cut = map_texts(found, [utf8(found[text]), found["__spans"], found[text]], [T.StructField("__cut", T.StringType())], make)
+    cut = map_texts(found, [Kept(text, utf8=True), Kept("__spans"), Kept(text)], [T.StructField("__cut", T.StringType())], make)
     return cut.select(*[cut["__cut"].alias(c) if c == text else cut[c] for c in docs.columns])

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airledger.llm.common import map_texts
+from airledger.llm.common import Kept, map_texts
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
@@ -478,5 +478,5 @@ def mask_personal_data(docs: DataFrame, text: str = "text", sentences: Sequence
             return [(masked(t, spans) if spans else was,) for (was,), t, (_, spans) in zip(rows, texts, find(texts), strict=True)]
         return several
 
-    out = map_texts(docs, [docs[text]], [T.StructField("__masked", T.StringType())], make, group=GROUP)
+    out = map_texts(docs, [Kept(text)], [T.StructField("__masked", T.StringType())], make, group=GROUP)
     return out.select(*[out["__masked"].alias(c) if c == text else out[c] for c in docs.columns])

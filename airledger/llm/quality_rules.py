@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airledger.llm.common import map_texts, stored
+from airledger.llm.common import Kept, map_texts, stored
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 FALSE_REJECTION, ERROR = 0.02, 0.05
@@ -155,7 +155,8 @@ def fit_cutoffs(measured: DataFrame, labels: DataFrame, key: str, stratum: str,
 
 
 def measured_texts(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    return map_texts(docs, [docs[text]], MEASURES, lambda: measure, keep)
+    source = Kept(text) if keep is None else docs[text]
+    return map_texts(docs, [source], MEASURES, lambda: measure, keep)
 
 
 def base_failed() -> Column:

@@ -44,12 +44,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airledger.llm.common import map_texts, stored, utf8
+from airledger.llm.common import Kept, map_texts, stored
 
 SHINGLE, DISTANCE, SEED = 3, 3, 42
 BUCKET_CAP = 512
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
-_CHUNK = 1 << 16
+_CHUNK, _KEY_CHUNK = 1 << 16, 1 << 12  # hashes, and fingerprints, that numpy works on at once
 
 #: (lowest bit, bits) of the three segments.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
@@ -78,7 +78,7 @@ def fingerprints(docs: DataFrame, text: str, k: int = SHINGLE) -> DataFrame:
     """``docs`` and its fingerprint as the long __fp."""
     def make():
         return lambda body: ((fingerprint(body, k) + (1 << 63)) % (1 << 64) - (1 << 63),)
-    return map_texts(docs, [utf8(docs[text])], [T.StructField("__fp", T.LongType())], make)
+    return map_texts(docs, [Kept(text, utf8=True)], [T.StructField("__fp", T.LongType())], make)
 
 
 @lru_cache(maxsize=1)
@@ -133,8 +133,8 @@ def bucket_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         fps = batch.column(0).to_numpy(zero_copy_only=False)
-        for at in range(0, len(fps), _CHUNK):
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in bucket_keys(fps[at:at + _CHUNK])], names=["key", "fp", "own"])
+        for at in range(0, len(fps), _KEY_CHUNK):
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in bucket_keys(fps[at:at + _KEY_CHUNK])], names=["key", "fp", "own"])
 
 
 def spanning_links(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
