@@ -11,7 +11,8 @@ the first 64 bits of md5(key text), which makes clustered keys as good as random
 Slots number a shard's rows without gaps. A shard may hold any share of the data, so it is
 never sorted in one task: rows fall into ``slices`` fixed slices per shard, each slice is
 numbered on its own, and slices are offset by the running total of the (shard, slice) counts,
-a table of at most n_shards * slices rows. Rows equal in (key, size, crc) are interchangeable
+a table of at most n_shards * slices rows. Both read the placed rows (a key, size, crc and
+place each) from a stored table, so texts are read once. Rows equal in (key, size, crc) are interchangeable
 in the result; they are counted before the shuffle and expanded at the end, so one key that
 holds a third of the rows is one counted row until then.
 
@@ -25,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from airledger.llm.common import stored
+
 #: Fixed value: the multiplier of the published jump hash generator, as 16- and 32-bit limbs.
 MULTIPLIER = 2862933555777941757
 _HIGH, _LOW1, _LOW0 = MULTIPLIER >> 32, (MULTIPLIER >> 16) & 0xFFFF, MULTIPLIER & 0xFFFF
@@ -86,11 +89,11 @@ def assign_shards(rows: DataFrame, key: str, text: str, n_shards: int = 24, slic
                         F.crc32(body.cast("binary")).alias("text_crc32"))
     counted = facts.groupBy(key, "size", "text_crc32").agg(F.count(F.lit(1)).alias("__n"))
     spread = F.md5(F.concat_ws(":", F.col(key).cast("string"), "size", "text_crc32").cast("binary"))
-    placed = counted.withColumns({
+    placed = stored(counted.withColumns({
         "__to": jump_shards(F.col(key), n_shards),
         "__slice": F.pmod(_word(F.substring(spread, 1, 8)), F.lit(slices)).cast("int"),
     }).select(key, "size", "text_crc32", "__n", "__slice",
-              F.col("__to.shard").alias("shard"), F.col("__to.grown").alias("grown_shard"))
+              F.col("__to.shard").alias("shard"), F.col("__to.grown").alias("grown_shard")), "placed")
 
     before = Window.partitionBy("shard").orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (placed.groupBy("shard", "__slice").agg(F.sum("__n").alias("__rows"))
