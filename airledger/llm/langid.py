@@ -10,8 +10,9 @@ Counting covers every training document: tasks count packed 4-grams (16 bits a c
 numpy, Spark adds the counts and derives all lower orders, contexts, discounts and weights by
 grouping. What the tasks get is one sorted hash array per language, order and table (grams:
 discounted share; contexts: weight of the shorter one). Grams are hashed into 2^bits slots, with
-bits chosen so that all arrays together hold MODEL_ROWS entries at most, however many grams or
-languages there are; that bounds the broadcast. Grams that share a slot share the larger value.
+bits chosen so that all arrays together hold about MODEL_ROWS entries at most, however many
+grams there are and for up to MAX_LANGUAGES languages (more are an error); that bounds the
+broadcast. Grams that share a slot share the larger value.
 
 Rejection. Documents of a calibration fold, which the counts leave out, give the distribution of
 the cross-entropy of each language's own texts; a text above its language's REJECT quantile is
@@ -39,7 +40,7 @@ from pyspark.sql import types as T
 from airledger.llm.common import map_texts, stored
 
 ORDER = 4
-MODEL_ROWS = 1 << 23
+MODEL_ROWS, MAX_LANGUAGES = 1 << 23, 2048
 REJECT = 0.995
 SCORE_CHARS = 40
 GROUP = 64
@@ -125,7 +126,7 @@ def kneser_ney(counts: DataFrame, bits: int) -> DataFrame:
         d = (level.groupBy("lang").agg(F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("n1"), F.sum(F.when(F.col("n") == 2, 1).otherwise(0)).alias("n2"))
              .select("lang", F.greatest(F.lit(0.1), F.coalesce(F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2")), F.lit(0.5))).alias("d")))
         context = F.shiftrightunsigned("gram", 16)
-        of = level.select("*", context.alias("context")).join(d, "lang")
+        of = level.select("*", context.alias("context")).join(F.broadcast(d), "lang")  # a row per language
         sums = of.groupBy("lang", "context", "d").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
         shares = of.join(sums.select("lang", "context", "total"), ["lang", "context"]).select(
             "lang", F.lit(order).alias("grade"), F.col("gram").alias("item"), (F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total")).alias("value"))
@@ -185,6 +186,8 @@ def fit(texts: DataFrame, lang: str = "lang", text: str = "text") -> Model:
     langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
     if not langs:
         return Model([], 1, {}, 2)
+    if len(langs) > MAX_LANGUAGES:
+        raise ValueError(f"{len(langs)} languages; MODEL_ROWS bounds the models of {MAX_LANGUAGES} at most")
     bits = int(math.log2(max(256, MODEL_ROWS // (2 * ORDER * len(langs)))))
     alphabet = counts.select(_low(F.col("gram"), 1)).distinct().count() + 1
     number = F.create_map(*[x for i, name in enumerate(langs) for x in (F.lit(name), F.lit(i))])
@@ -236,6 +239,6 @@ def language_report(docs: DataFrame, key: str = "doc_id", text: str = "text", la
     judged = stored(identify(rows, model, "__text", ["__key", "__lang", "__fold"]), "languages")
     limits = (judged.where("__fold = 3 and __lang is not null and __lang = lang_pred").groupBy(F.col("__lang").alias("lang_pred"))
               .agg(F.percentile_approx("cross_entropy", REJECT, 10_000).alias("limit")))
-    return judged.join(limits, "lang_pred", "left").select(
+    return judged.join(F.broadcast(limits), "lang_pred", "left").select(  # a row per language
         F.col("__key").alias(key), (F.col("__fold") == 2).alias("held_out"), "lang_pred", "score", "cross_entropy",
         F.coalesce(F.col("cross_entropy") > F.col("limit"), F.lit(False)).alias("rejected"))
