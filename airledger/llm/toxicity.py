@@ -1,18 +1,20 @@
 """Toxic passages by maximum-scoring segments.
 
 Model. Words and their beginnings (PREFIXES bytes) are counted by labelled documents. Each has
-the log-odds between toxic and other documents with an informative Dirichlet prior (its share
-in both together, PRIOR pseudo-documents) and a z-score. Those beyond Z and MIN_ODDS make the
-lexicon. A word scores as itself if it is in the lexicon, else as its longest beginning there;
-all other words score -DRIFT, and DRIFT is taken from the rest too, so that the expected score of
-a clean word is negative.
+the log-odds between toxic and other documents, shrunken by PRIOR documents of the common share
+whatever its own count, and a z-score with variance 1 / (count + SMOOTH). Those beyond Z make
+the lexicon: at the usual shares a word that is in toxic documents only needs four or five of
+them, however many are labelled. A word scores as itself if it is in the lexicon, else as its
+longest beginning there; all other words score -DRIFT, and DRIFT is taken from the rest too (more,
+if need be), so that the expected score of a clean word is negative.
 
 Scan. All maximal scoring segments of a text are found in one linear pass (Ruzzo and Tompa): a
 stack of candidates, each popped at most once.
 
 Calibration. By extreme-value theory the best segment of n clean words has P(score >= s) about
 1 - exp(-K n exp(-lambda s)). lambda solves E[exp(lambda * score)] = 1 over the words of the clean
-labelled documents; K is fitted to their best segments. A segment is significant if its expected
+labelled documents; K is fitted to their best segments. In all of the calibration a document is
+scored by what the others teach: its own part is taken out of the counts. A segment is significant if its expected
 number K n exp(-lambda s) is under SIGNIFICANT. A text's evidence is the sum of
 lambda s - log(K n) over its significant segments, and its score a logistic function of the
 logarithm of one plus the evidence, fitted to the labelled documents.
@@ -41,8 +43,8 @@ from pyspark.sql import types as T
 
 from airledger.llm.common import map_texts, stored, utf8
 
-MAX_LABELLED, MAX_WORDS = 20_000, 50_000
-PRIOR, Z, MIN_ODDS, DRIFT = 50.0, 4.0, 3.0, 0.02
+MAX_LABELLED, MAX_WORDS = 20_000, 500_000
+PRIOR, SMOOTH, Z, DRIFT = 2.0, 0.5, 1.5, 2.0
 PREFIXES = range(3, 10)
 KNOWN_WORDS = 200_000
 SIGNIFICANT = 0.05
@@ -192,6 +194,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, allowed: Callable[[Colum
     return stored(rows.join(F.broadcast(marks), F.col("__doc") == F.col("__key")).select(utf8(F.col("__text")).alias("body"), "toxic"), "labelled")
 
 
+def _rate(t, o, toxic: int, other: int, m) -> tuple:  # noqa: ANN001
+    """Shrunken log-odds of a feature in t toxic and o other documents, and its z-score: PRIOR
+    documents of the common share are added, whatever the feature's own count. ``m``: numpy or Spark's functions."""
+    share = toxic / (toxic + other)
+    score = m.log((t + PRIOR * share) / (o + PRIOR * (1 - share))) - math.log(share / (1 - share))
+    return score, score / m.sqrt(1 / (t + SMOOTH) + 1 / (o + SMOOTH))
+
+
+def _views(t, o, greatest: Callable) -> list[tuple]:  # noqa: ANN001
+    """The counts, those without a toxic document that has the feature, those without another one."""
+    zero = F.lit(0) if isinstance(t, Column) else 0
+    return [(t, o), (greatest(t - 1, zero), o), (t, greatest(o - 1, zero))]
+
+
 def fit(sample: DataFrame) -> Lexicon:
     toxic, other = sample.agg(F.count_if("toxic"), F.count_if(~F.col("toxic"))).first()
     if not toxic or not other:
@@ -199,23 +215,29 @@ def fit(sample: DataFrame) -> Lexicon:
         return Lexicon({}, DRIFT, logistic=(500.0 if share else -500.0, 0.0))
     counts = (sample.mapInArrow(_count, "feature binary, toxic long, other long").groupBy("feature")
               .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")))
-    # a feature is in a document or not; the prior is PRIOR documents with its share in both kinds
-    prior = PRIOR * (F.col("toxic") + F.col("other")) / F.lit(float(toxic + other))
-    odds = lambda seen, n: F.log((F.col(seen) + prior) / (F.lit(n + PRIOR) - F.col(seen) - prior + 0.5))
-    score = odds("toxic", toxic) - odds("other", other)
-    z = score / F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("other") + prior))
-    picked = (counts.select("feature", score.alias("score"), z.alias("z")).where((F.abs("z") > Z) & (F.abs("score") > MIN_ODDS))
-              .orderBy(F.abs("z").desc(), "feature").limit(MAX_WORDS).collect())
-    model = Lexicon({bytes(r["feature"]): r["score"] - DRIFT for r in picked}, DRIFT)
-    values, times = _clean_scores(sample, model)
+    # those that pass as counted, or without one of the documents they are in
+    passes = [F.abs(_rate(t, o, toxic, other, F)[1]) > Z for t, o in _views(F.col("toxic"), F.col("other"), F.greatest)]
+    size = F.abs(_rate(F.col("toxic"), F.col("other"), toxic, other, F)[1])
+    picked = (counts.where(passes[0] | passes[1] | passes[2]).orderBy(size.desc(), "feature").limit(MAX_WORDS)
+              .select("feature", F.col("toxic").cast("double"), F.col("other").cast("double")).toArrow())
+    names, seen = [bytes(x) for x in picked.column("feature").to_pylist()], [picked.column(n).to_numpy() for n in ("toxic", "other")]
+    models = []
+    for t, o in _views(*seen, np.maximum):
+        score, z = _rate(t, o, toxic, other, np)
+        models.append(Lexicon({names[i]: float(score[i]) - DRIFT for i in np.flatnonzero(np.abs(z) > Z)}, DRIFT))
+    model, without = models[0], (models[2], models[1])  # by label: what the other documents teach
+    values, times = _clean_scores(sample, without[0])
     if (mean := float((values * times).sum() / times.sum())) > -DRIFT / 2:  # keep a clean word's mean score negative
         more = mean + DRIFT / 2
-        model = Lexicon({w: v - more for w, v in model.entries.items()}, DRIFT + more)
+        for m in models:
+            m.entries, m.drift = {w: v - more for w, v in m.entries.items()}, DRIFT + more
         values = values - more
-    model.rate = extreme_rate(values, times / times.sum())
+    rate = extreme_rate(values, times / times.sum())
+    for m in models:
+        m.rate = rate
 
-    best = map_texts(sample, [sample["body"]], [T.StructField("n", T.LongType()), T.StructField("best", T.DoubleType()), T.StructField("scores", T.ArrayType(T.DoubleType()))],
-                     _best(sample, model), ["toxic"])
+    best = map_texts(sample, [sample["body"], sample["toxic"]], [T.StructField("n", T.LongType()), T.StructField("best", T.DoubleType()), T.StructField("scores", T.ArrayType(T.DoubleType()))],
+                     _best(sample, without), ["toxic"])
     rows = best.collect()  # one row of numbers per labelled document, MAX_LABELLED of them
     clean = [r for r in rows if not r["toxic"] and r["n"]]
     model.log_k = math.log(max(1e-9, 1 / max(1e-9, float(np.mean([r["n"] * math.exp(-model.rate * r["best"]) for r in clean])) if clean else 1.0)))
@@ -243,14 +265,14 @@ def _clean_scores(sample: DataFrame, model: Lexicon) -> tuple[np.ndarray, np.nda
     return np.array(list(times.keys())), np.array(list(times.values()))
 
 
-def _best(sample: DataFrame, model: Lexicon) -> Callable:
-    shared = sample.sparkSession.sparkContext.broadcast(model)
+def _best(sample: DataFrame, without: tuple[Lexicon, Lexicon]) -> Callable:
+    shared = sample.sparkSession.sparkContext.broadcast(without)
 
     def make() -> Callable:
-        lexicon = shared.value
+        lexicons = shared.value
 
-        def one(body: bytes) -> tuple:
-            n, found = lexicon.found(body)
+        def one(body: bytes, toxic: bool) -> tuple:
+            n, found = lexicons[bool(toxic)].found(body)
             scores = [s for _, _, s in found]
             return n, max(scores, default=0.0), scores
         return one

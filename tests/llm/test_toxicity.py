@@ -92,3 +92,22 @@ def test_planted_passage_is_found(spark):
         if toxic:
             found = {w for p in r["passages"] for w in text.split()[p["start"]:p["end"]]}
             assert {"vile", "ugly", "fool"} <= found
+
+
+def test_vocabulary_of_a_small_stratum(spark):
+    rng = random.Random(8)
+    rows = []
+    for i in range(1800):
+        small = i % 20 == 0
+        words = ["".join(rng.choice("ijklmnop" if small else "abcdefgh") for _ in range(4)) for _ in range(80)]
+        toxic = i % 9 == 1 and not small or i % 120 == 0
+        if toxic:
+            at = rng.randint(10, 60)
+            words[at:at + 8] = rng.choices(["qast", "rudo", "tovi", "syxu"] if small else ["vile", "ugly", "fool", "scum"], k=8)
+        rows.append((i, " ".join(words), int(toxic)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = X.toxicity_report(docs.select("doc_id", "text"), docs.select("doc_id", "toxic")).collect()
+    held = [r for r in got if r["held_out"]]
+    rare = [r["predicted"] for r in held if r["doc_id"] % 120 == 0]
+    assert len(rare) >= 3 and all(rare)
+    assert sum(r["predicted"] != rows[r["doc_id"]][2] for r in held) <= 0.01 * len(held)
