@@ -19,8 +19,9 @@ number K n exp(-lambda s) is under SIGNIFICANT. A text's evidence is the sum of
 lambda s - log(K n) over its significant segments, and its score a logistic function of the
 logarithm of one plus the evidence, fitted to the labelled documents.
 
-Bounds. The classifier is fitted on at most MAX_LABELLED labelled documents (by hash order of
-the id), and has at most MAX_WORDS entries, those of the largest z-scores. The labels
+Bounds. The classifier is fitted on the documents of at most MAX_LABELLED labelled ids (by hash
+order of the id), each distinct text of an id once and with an equal share of its weight of 1;
+counts, K and the values of the logistic fit are aggregates. It has at most MAX_WORDS entries, those of the largest z-scores. The labels
 sample is what is broadcast to find its documents; the words are what is broadcast to score all.
 
 Defined cases: a null or empty text has no segments and the score of no evidence; a key with
@@ -67,17 +68,18 @@ def features_of(words: set[bytes]) -> set[bytes]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(feature, toxic documents, other documents) of a task; passed on whenever many are held."""
+    """(feature, weight of toxic documents, of others) of a task; passed on whenever many are held."""
     held: tuple[Counter, Counter] = Counter(), Counter()
 
     def out() -> Iterator[pa.RecordBatch]:
         for kind, counts in enumerate(held):
-            n, none = pa.array(counts.values(), pa.int64()), pa.array([0] * len(counts), pa.int64())
+            n, none = pa.array(counts.values(), pa.float64()), pa.array([0.0] * len(counts), pa.float64())
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), *((n, none) if kind else (none, n))], names=["feature", "toxic", "other"])
             counts.clear()
     for batch in batches:
         for i in range(batch.num_rows):
-            held[bool(batch.column(1)[i].as_py())].update(features_of(set(words_of(batch.column(0)[i].as_py()))))
+            found, weight = features_of(set(words_of(batch.column(0)[i].as_py()))), batch.column(2)[i].as_py()
+            held[bool(batch.column(1)[i].as_py())].update(found if weight == 1 else dict.fromkeys(found, weight))
             if len(held[0]) + len(held[1]) > 1_000_000:
                 yield from out()
     yield from out()
@@ -168,33 +170,37 @@ def extreme_rate(scores: np.ndarray, shares: np.ndarray) -> float:
     return high
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Intercept and slope by Newton steps with a small ridge on the slope, which isn't below 0:
+def fit_logistic(x: np.ndarray, y: np.ndarray, times: np.ndarray) -> tuple[float, float]:
+    """Intercept and slope, where each value counts so many ``times``, by Newton steps with a small ridge on the slope, which isn't below 0:
     more evidence never makes a text less toxic."""
-    a, b = math.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)), 0.0
+    yes, no = (times * y).sum(), (times * (1 - y)).sum()
+    a, b = math.log((yes + 0.5) / (no + 0.5)), 0.0
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(a + b * x, -30, 30)))
-        w = p * (1 - p) + 1e-9
-        ga, gb = (y - p).sum(), ((y - p) * x).sum() - 0.1 * b
+        w = times * (p * (1 - p) + 1e-9)
+        ga, gb = (times * (y - p)).sum(), (times * (y - p) * x).sum() - 0.1 * b
         haa, hab, hbb = w.sum(), (w * x).sum(), (w * x * x).sum() + 0.1
         det = haa * hbb - hab * hab
         if det <= 1e-12:
             break
         a, b = a + (hbb * ga - hab * gb) / det, b + (haa * gb - hab * ga) / det
-    return (float(a), float(b)) if b >= 0 else (math.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)), 0.0)
+    return (float(a), float(b)) if b >= 0 else (math.log((yes + 0.5) / (no + 0.5)), 0.0)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, allowed: Callable[[Column], Column], key: str, text: str,
                     label: str, label_key: str) -> DataFrame:
-    """(body, toxic) of the documents of at most MAX_LABELLED labelled keys, stored."""
+    """(body, toxic, weight) of the distinct texts of at most MAX_LABELLED labelled keys, stored. The
+    texts of a key share its weight of 1, so that no key decides the model."""
     marks = (labels.where(F.col(label).isNotNull() & F.col(label_key).isNotNull() & allowed(F.col(label_key)))
              .groupBy(F.col(label_key).alias("__key")).agg((F.max(label) > 0).alias("toxic"))
              .orderBy(F.xxhash64("__key"), "__key").limit(MAX_LABELLED))
     rows = docs.select(F.col(key).alias("__doc"), F.col(text).alias("__text"))
-    return stored(rows.join(F.broadcast(marks), F.col("__doc") == F.col("__key")).select(utf8(F.col("__text")).alias("body"), "toxic"), "labelled")
+    texts = stored(rows.join(F.broadcast(marks), F.col("__doc") == F.col("__key")).select("__key", utf8(F.col("__text")).alias("body"), "toxic").distinct(), "labelled")
+    shares = stored(texts.groupBy("__key").agg((1 / F.count(F.lit(1))).alias("weight")), "shares")  # MAX_LABELLED rows
+    return texts.join(F.broadcast(shares), "__key").select("body", "toxic", "weight")
 
 
-def _rate(t, o, toxic: int, other: int, m) -> tuple:  # noqa: ANN001
+def _rate(t, o, toxic: float, other: float, m) -> tuple:  # noqa: ANN001
     """Shrunken log-odds of a feature in t toxic and o other documents, and its z-score: PRIOR
     documents of the common share are added, whatever the feature's own count. ``m``: numpy or Spark's functions."""
     share = toxic / (toxic + other)
@@ -204,22 +210,23 @@ def _rate(t, o, toxic: int, other: int, m) -> tuple:  # noqa: ANN001
 
 def _views(t, o, greatest: Callable) -> list[tuple]:  # noqa: ANN001
     """The counts, those without a toxic document that has the feature, those without another one."""
-    zero = F.lit(0) if isinstance(t, Column) else 0
+    zero = F.lit(0.0) if isinstance(t, Column) else 0.0
     return [(t, o), (greatest(t - 1, zero), o), (t, greatest(o - 1, zero))]
 
 
 def fit(sample: DataFrame) -> Lexicon:
-    toxic, other = sample.agg(F.count_if("toxic"), F.count_if(~F.col("toxic"))).first()
+    of = lambda kind: F.round(F.coalesce(F.sum(F.when(kind, F.col("weight"))), F.lit(0.0)), 6)
+    toxic, other = sample.agg(of(F.col("toxic")), of(~F.col("toxic"))).first()
     if not toxic or not other:
         share = (0.0 if not toxic else 1.0)
         return Lexicon({}, DRIFT, logistic=(500.0 if share else -500.0, 0.0))
-    counts = (sample.mapInArrow(_count, "feature binary, toxic long, other long").groupBy("feature")
-              .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other")))
+    counts = (sample.mapInArrow(_count, "feature binary, toxic double, other double").groupBy("feature")
+              .agg(F.round(F.sum("toxic"), 6).alias("toxic"), F.round(F.sum("other"), 6).alias("other")))
     # those that pass as counted, or without one of the documents they are in
     passes = [F.abs(_rate(t, o, toxic, other, F)[1]) > Z for t, o in _views(F.col("toxic"), F.col("other"), F.greatest)]
     size = F.abs(_rate(F.col("toxic"), F.col("other"), toxic, other, F)[1])
     picked = (counts.where(passes[0] | passes[1] | passes[2]).orderBy(size.desc(), "feature").limit(MAX_WORDS)
-              .select("feature", F.col("toxic").cast("double"), F.col("other").cast("double")).toArrow())
+              .toArrow())
     names, seen = [bytes(x) for x in picked.column("feature").to_pylist()], [picked.column(n).to_numpy() for n in ("toxic", "other")]
     models = []
     for t, o in _views(*seen, np.maximum):
@@ -236,13 +243,16 @@ def fit(sample: DataFrame) -> Lexicon:
     for m in models:
         m.rate = rate
 
-    best = map_texts(sample, [sample["body"], sample["toxic"]], [T.StructField("n", T.LongType()), T.StructField("best", T.DoubleType()), T.StructField("scores", T.ArrayType(T.DoubleType()))],
-                     _best(sample, without), ["toxic"])
-    rows = best.collect()  # one row of numbers per labelled document, MAX_LABELLED of them
-    clean = [r for r in rows if not r["toxic"] and r["n"]]
-    model.log_k = math.log(max(1e-9, 1 / max(1e-9, float(np.mean([r["n"] * math.exp(-model.rate * r["best"]) for r in clean])) if clean else 1.0)))
-    evidence = [math.log1p(sum(e for _, _, e in model.significant(r["n"], [(0, 0, s) for s in r["scores"]]))) if r["n"] else 0.0 for r in rows]
-    model.logistic = fit_logistic(np.array(evidence), np.array([float(r["toxic"]) for r in rows]))
+    best = stored(map_texts(sample, [sample["body"], sample["toxic"]], [T.StructField("n", T.LongType()), T.StructField("best", T.DoubleType()), T.StructField("scores", T.ArrayType(T.DoubleType()))],
+                            _best(sample, without), ["toxic", "weight"]), "best")
+    k = best.where("not toxic and n > 0").agg(F.sum(F.col("weight") * F.col("n") * F.exp(-rate * F.col("best"))) / F.sum("weight")).first()[0]
+    model.log_k = -math.log(max(1e-9, 1.0 if k is None else k))
+    rated = F.transform("scores", lambda s: rate * s - model.log_k - F.log("n"))
+    evidence = F.aggregate(F.filter(rated, lambda e: e > -math.log(SIGNIFICANT)), F.lit(0.0), lambda a, e: a + e)
+    # one row per thousandth of the logarithm, some ten thousand at most
+    rows = (best.select("toxic", "weight", F.round(F.when(F.col("n") > 0, F.log1p(evidence)).otherwise(0.0), 3).alias("x"))
+            .groupBy("x", "toxic").agg(F.round(F.sum("weight"), 6).alias("times")).orderBy("x", "toxic").collect())
+    model.logistic = fit_logistic(*(np.array([float(r[c]) for r in rows]) for c in ("x", "toxic", "times")))
     return model
 
 
@@ -254,12 +264,12 @@ def _clean_scores(sample: DataFrame, model: Lexicon) -> tuple[np.ndarray, np.nda
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, total = shared.value, Counter()
         for batch in batches:
-            for body in batch.column(0):
+            for body, weight in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
                 values, n = np.unique(lexicon.scores(words_of(body.as_py())), return_counts=True)
-                total.update(dict(zip(values.tolist(), n.tolist(), strict=True)))
-        yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.float64()), pa.array(total.values(), pa.int64())], names=["score", "n"])
+                total.update(dict(zip(values.tolist(), (n * weight).tolist(), strict=True)))
+        yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.float64()), pa.array(total.values(), pa.float64())], names=["score", "n"])
 
-    rows = sample.where("not toxic").select("body").mapInArrow(run, "score double, n long").groupBy("score").agg(F.sum("n").alias("n")).collect()
+    rows = sample.where("not toxic").select("body", "weight").mapInArrow(run, "score double, n double").groupBy("score").agg(F.sum("n").alias("n")).collect()
     times = Counter({r["score"]: float(r["n"]) for r in rows})
     times.update(dict.fromkeys([-model.drift, *model.entries.values()], 0.5))
     return np.array(list(times.keys())), np.array(list(times.values()))

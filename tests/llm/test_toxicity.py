@@ -111,3 +111,16 @@ def test_vocabulary_of_a_small_stratum(spark):
     rare = [r["predicted"] for r in held if r["doc_id"] % 120 == 0]
     assert len(rare) >= 3 and all(rare)
     assert sum(r["predicted"] != rows[r["doc_id"]][2] for r in held) <= 0.01 * len(held)
+
+
+def test_rows_of_a_repeated_key_count_as_one_document(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    hot = docs.join(labels.where("toxic is not null and crc32(cast(cast(doc_id as string) as binary)) % 3 != 1"), "doc_id").select("doc_id", "text").orderBy("doc_id").limit(1)
+    copies = docs.select("doc_id", "text").union(hot.crossJoin(spark.range(300)).select("doc_id", "text"))
+    sample = lambda d: X.labelled_sample(d, labels, lambda k: X.fold(k) != 1, "doc_id", "text", "toxic", "doc_id")
+    assert sample(copies).count() == sample(docs).count()
+    same = lambda d: {(r["doc_id"], round(r["score"], 9)) for r in X.toxicity_report(d, labels).collect()}
+    assert same(copies) == same(docs)
+    many = docs.select("doc_id", "text").union(hot.crossJoin(spark.range(300)).selectExpr("doc_id", "concat(text, ' ', id)"))
+    weights = lambda d: sample(d).groupBy().sum("weight").first()[0]
+    assert abs(weights(many) - weights(docs)) < 1e-6
