@@ -47,6 +47,8 @@ KEPT_NAMES = ("library", "city-museum", "weather", "history-notes", "science-new
 _PREFIXES = ("", "www.", "m.", "blog.")
 _DOMAINS = ("example.com", "example.net", "example.org")
 _PATHS = ("/en/4567/", "/de/89.html?page=2")
+_NEUTRAL = ("", "www.", "m.", "blog.", "news.")
+_WORD_PATHS = (("/", "/"), ("/en/12/", ".html"), ("/2024/", "-345"))
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -113,13 +115,24 @@ def train(labelled: DataFrame, url: str = "url", label: str = "blocked") -> tupl
 
 
 def seed_urls(spark: SparkSession) -> DataFrame:
-    """The labelled table (url, blocked): every name under every prefix, domain and path of the
-    fixed lists, so that prefixes, domains and paths tell nothing."""
+    """The labelled table (url, blocked). Sites: every name under every prefix, domain and path of
+    the fixed lists, so that these tell nothing. Paths: every name as a path segment, in several forms,
+    on every neutral host, and on every kept site; kept names as segments on blocked sites, which
+    stay blocked."""
     of = lambda values: F.explode(F.array(*map(F.lit, values)))
-    sites = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(y).alias("blocked")) for y, names in
-                                                      ((1, BLOCKED_NAMES), (0, KEPT_NAMES)) for n in names])).alias("s"))
-    urls = (sites.select("s.*", of(_PREFIXES).alias("prefix")).select("*", of(_DOMAINS).alias("domain")).select("*", of(_PATHS).alias("path")))
-    return urls.select(F.concat(F.lit("https://"), "prefix", "name", F.lit("."), "domain", "path").alias("url"), "blocked")
+    names = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(y).alias("blocked")) for y, names in
+                                                      ((1, BLOCKED_NAMES), (0, KEPT_NAMES)) for n in names])).alias("s")).select("s.*")
+    url = lambda host, *path: F.concat(F.lit("https://"), *host, *path).alias("url")
+    domains = names.select("*", of(_DOMAINS).alias("domain"))
+    sites = domains.select("*", of(_PREFIXES).alias("prefix")).select("*", of(_PATHS).alias("path"))
+    forms = F.explode(F.array(*[F.struct(F.lit(a).alias("before"), F.lit(b).alias("after")) for a, b in _WORD_PATHS])).alias("form")
+    neutral = domains.select("*", of(_NEUTRAL).alias("prefix")).select("*", forms)
+    on_kept = names.select("*", of(KEPT_NAMES).alias("site"))
+    on_blocked = names.where("blocked = 0").select("name", of(BLOCKED_NAMES).alias("site"))
+    return (sites.select(url(("prefix", "name", F.lit("."), "domain"), "path"), "blocked")
+            .union(neutral.select(url(("prefix", "domain"), "form.before", "name", "form.after"), "blocked"))
+            .union(on_kept.select(url(("site", F.lit(f".{_DOMAINS[0]}")), F.lit("/"), "name", F.lit("/")), "blocked"))
+            .union(on_blocked.select(url(("site", F.lit(f".{_DOMAINS[0]}")), F.lit("/"), "name", F.lit("/")), F.lit(1).alias("blocked"))))
 
 
 def judge_urls(pages: DataFrame, model: tuple[list[float], float], key: str = "page_id", url: str = "url",

@@ -75,3 +75,16 @@ def test_no_labels(spark):
     assert not any(weights) and bias == 0.0
     page = spark.createDataFrame([(1, "http://a.b/c")], "page_id long, url string")
     assert U.judge_urls(page, (weights, bias)).first()["verdict"] == "allow"
+
+
+def test_held_out_urls_that_are_bad_by_path_only(spark, model):
+    bad = ["https://news.example.com/online-casino/poker-room/", "https://example.org/en/casino-win/free-bets.html", "https://blog.example.com/adult-cams/xxx-videos",
+           "https://city-museum.example.org/2023/cheap-pills-online", "http://daily.test/payday-loans/apply.html", "https://www.example.net/de/77/live-casino/"]
+    good = ["https://news.example.com/science-news/open-data/", "https://example.org/en/travel-diary/winter.html", "https://blog.example.com/recipes/garden",
+            "https://city-museum.example.org/2023/river-research", "http://daily.test/council/minutes.html", "https://www.example.net/de/77/", "https://example.com/"]
+    seeds = {r["url"] for r in U.seed_urls(spark).collect()}
+    assert not seeds & {*bad, *good}
+    pages = spark.createDataFrame(list(enumerate(bad + good)), "page_id long, url string")
+    got = {r["page_id"]: r for r in U.judge_urls(pages, model, rules=()).collect()}
+    assert [(u, got[i]["block_score"]) for i, u in enumerate(bad) if got[i]["verdict"] != "block"] == []
+    assert [(u, got[i + len(bad)]["block_score"]) for i, u in enumerate(good) if got[i + len(bad)]["verdict"] != "allow"] == []
