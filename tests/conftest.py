@@ -11,9 +11,6 @@ sys.path.insert(0, ROOT)
 
 from airledger.session import build_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-
-
 @pytest.fixture(scope="session")
 def spark():
     s = build_session(master="local[4]", shuffle_partitions=4, app="airledger-tests")
@@ -25,12 +22,3 @@ def spark():
 @pytest.fixture()
 def scratch():
     return tempfile.mkdtemp(prefix="airledger-test-", dir="/tmp")
-
-
-def rows(df, *cols):
-    sel = df.select(*cols) if cols else df
-    return [tuple(r) for r in sel.collect()]
-
-
-def one_col(spark, values, col="x", typ="string"):
-    return spark.createDataFrame([(v,) for v in values], f"{col} {typ}")

@@ -10,7 +10,7 @@ import pytest
 
 import __spark_entry__ as E
 from airledger.plans import oracle, shape_queries, table_queries
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 

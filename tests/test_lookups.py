@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from airledger.functions import text as T
 from airledger.operators import lookups as L
-from conftest import one_col
+from helpers import one_col
 
 
 def test_pollutant_labels(spark):

@@ -9,7 +9,7 @@ from airledger import fixed_values as fv
 from airledger.operators import regions as RG
 from airledger.operators import reshape as RS
 from airledger.operators import shaping as S
-from conftest import one_col
+from helpers import one_col
 
 REGIONS = ["Metropolitana de Santiago", "Región Metropolitana de Santiago (RM)", "RM", "Región Metropolitana",
            "Valparaíso", "Del Maule", None, "Santiago Metropolitana", "region rm", ""]

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airledger.functions import text as T
-from conftest import one_col
+from helpers import one_col
 
 SAMPLES = [
     "Metropolitana de Santiago", "Región Metropolitana de Santiago (RM)", "RM", "Región Metropolitana",

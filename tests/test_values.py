@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airledger.functions import values as V
-from conftest import one_col
+from helpers import one_col
 
 NA = {"", "na", "nan", "none", "null"}
 NUMBERS = ["1234.5", "1234,5", "1.234,56", "1,234.56", "1.234", "1,234,567", "1 234,5", "1 234,5",
