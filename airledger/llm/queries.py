@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from airledger.llm import byte_bpe, decontaminate, langid, pii_crf, quality_rules, sharding, simhash, toxicity, url_filter, warc
+from airledger.llm import (byte_bpe, decontaminate, hard_negatives, langid, licenses, pii_crf, quality_rules, sharding, simhash, spelling,
+                           toxicity, url_filter, warc)
 from airledger.llm.common import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -55,5 +57,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label, lambda key: key % 50 == 0)
+
+
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_warc, op2_pii, op3_decontaminate, op4_byte_bpe, op5_language_id, op6_quality_rules, op7_sharding,
-                                   op8_url_filter, op9_simhash, op10_toxicity)}
+                                   op8_url_filter, op9_simhash, op10_toxicity, op11_spelling, op12_hard_negatives, op13_licenses)}
