@@ -52,17 +52,17 @@ PAGE, PAGE_CHARS = 256, 1 << 16
 DIMS = 160
 #: Counts up to so many are compared at once; LETTERS: cells of two words' letters compared at once.
 LEVELS, LETTERS = 4, 1 << 21
-FLUSH = 300_000
+FLUSH = 200_000
 LONG_TEXT = 1 << 22
 
 _RUN = re.compile("[a-zÀ-ÿ]+")
 _FOLD = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
 
-def slipped(key: bytes, run: str, every: int = EVERY) -> str:
-    """The run, without one code point if ``every`` divides the hash of ``key:`` and the run."""
-    h = zlib.crc32(run.encode(), zlib.crc32(key + b":"))
-    return run if h % every else run[:(i := h % len(run))] + run[i + 1:]
+def slipped(run: str, start: int) -> str:
+    """The run, without one code point if EVERY divides its hash, which goes on from ``start``."""
+    h = zlib.crc32(run.encode(), start)
+    return run if h % EVERY else run[:(at := h % len(run))] + run[at + 1:]
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,13 +77,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             runs = Counter(_RUN.findall(text) if len(text) < LONG_TEXT else (m[0] for m in _RUN.finditer(text)))
             start = zlib.crc32(key.encode() + b":")
             for run, n in runs.items():
-                if len(run) >= MIN_LENGTH:
-                    h = zlib.crc32(run.encode(), start)
-                    if h % EVERY == 0:
-                        run = run[:(at := h % len(run))] + run[at + 1:]  # noqa: PLW2901
-                        if len(run) < MIN_LENGTH:
-                            continue
-                    held[run] += n
+                if len(run) >= MIN_LENGTH and len(word := slipped(run, start)) >= MIN_LENGTH:
+                    held[word] += n
             if len(held) > FLUSH:
                 yield out()
                 held.clear()
@@ -214,8 +209,8 @@ class Forest:
             yield from (x for x in found if other != length or x[0] >= page)
 
 
-def near_pairs(left: list[str], right: list[str], same: bool) -> Iterator[tuple[int, int]]:
-    """(place in left, place in right) of words one edit apart. All of ``left`` have one length,
+def near_pairs(left: list[str], right: list[str], same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places in left and in right of words one edit apart. All of ``left`` have one length,
     all of ``right`` that or one more; ``same``: both are the same page, so each pair counts once."""
     a, b = codes(left), codes(right)
     length, longer = a.shape[1], b.shape[1] - a.shape[1]
@@ -226,17 +221,30 @@ def near_pairs(left: list[str], right: list[str], same: bool) -> Iterator[tuple[
     shared = level(ca) @ level(cb).T  # the letters that two words share
     fits = (ca.sum(axis=1)[:, None] - shared <= 1 - longer) & (cb.sum(axis=1)[None, :] - shared <= 1)
     i, j = np.nonzero(np.triu(fits, 1) if same else fits)
-    step = max(1, LETTERS // max(1, length))
+    step, ok = max(1, LETTERS // length), [np.zeros(0, dtype=bool)]
     for at in range(0, len(i), step):
         p, q = i[at:at + step], j[at:at + step]
         x, y = a[p], b[q]
         if longer:
             begin = np.logical_and.accumulate(x == y[:, :-1], axis=1).sum(axis=1)
             end = np.logical_and.accumulate((x == y[:, 1:])[:, ::-1], axis=1).sum(axis=1)
-            ok = begin + end >= length
+            ok.append(begin + end >= length)
         else:
-            ok = (x != y).sum(axis=1) == 1
-        yield from zip(p[ok].tolist(), q[ok].tolist(), strict=True)
+            ok.append((x != y).sum(axis=1) == 1)
+    near = np.concatenate(ok)
+    return i[near], j[near]
+
+
+def best_near(words: list[str], counts: list[int], at: np.ndarray, others: list[str], other_counts: list[int], to: np.ndarray) -> Iterator[tuple]:
+    """(word, n, near words, n of the best of them, the best) of each word of the pairs ``at`` -> ``to``."""
+    best: dict[int, list] = {}
+    for i, j in zip(at.tolist(), to.tolist(), strict=True):
+        rank = (-other_counts[j], others[j])
+        if i not in best:
+            best[i] = [0, rank]
+        best[i][0] += 1
+        best[i][1] = min(best[i][1], rank)
+    return ((words[i], counts[i], k, -less, near) for i, (k, (less, near)) in best.items())
 
 
 def plant(words: DataFrame) -> Forest:
@@ -260,7 +268,8 @@ _PAGES = "page long, words array<string>, counts array<long>"
 
 
 def near_words(words: DataFrame) -> DataFrame:
-    """(word, n, near, near_n) over all pairs of near words of (word, n), in both directions."""
+    """(word, n, n_near, near, near_n) of the words of (word, n) that have near words: how many, and
+    the best (most occurrences, then the smallest). A task sums up the pairs of two pages."""
     spark = words.sparkSession
     small_batches(spark)
     forest = spark.sparkContext.broadcast(plant(words))
@@ -290,18 +299,20 @@ def near_words(words: DataFrame) -> DataFrame:
                                                  names=["page", "own", "left", "left_counts"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
         for batch in batches:
-            out = []
-            for i in range(batch.num_rows):
-                page, own, left, ln, right, rn = (c[i].as_py() for c in batch.columns)
-                for a, b in near_pairs(left, right, page == own):
-                    out += [(left[a], ln[a], right[b], rn[b]), (right[b], rn[b], left[a], ln[a])]
-            yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], t) for c, t in enumerate([pa.string(), pa.int64()] * 2)],
-                                             names=["word", "n", "near", "near_n"])
+            for r in range(batch.num_rows):
+                page, own, left, ln, right, rn = (c[r].as_py() for c in batch.columns)
+                i, j = near_pairs(left, right, page == own)
+                out = [*best_near(left, ln, i, right, rn, j), *best_near(right, rn, j, left, ln, i)]
+                yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], t) for c, t in enumerate(types)], names=["word", "n", "n_near", "near_n", "near"])
 
     reach = pages.mapInArrow(search, "page long, own long, left array<string>, left_counts array<long>")
-    return (reach.join(pages.hint("merge"), "page").select("page", "own", "left", "left_counts", "words", "counts")
-            .mapInArrow(verify, "word string, n long, near string, near_n long"))
+    parts = (reach.join(pages.hint("merge"), "page").select("page", "own", "left", "left_counts", "words", "counts")
+             .mapInArrow(verify, "word string, n long, n_near long, near_n long, near string"))
+    best = F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near"))).alias("best")
+    return parts.groupBy("word", "n").agg(F.sum("n_near").alias("n_near"), best).select(
+        "word", "n", "n_near", F.col("best.near").alias("near"), (-F.col("best.less")).alias("near_n"))
 
 
 def roots(links: DataFrame) -> DataFrame:
@@ -318,10 +329,8 @@ def roots(links: DataFrame) -> DataFrame:
 def spelling_variants(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per word: word, n, n_near, form, form_n, root."""
     words = stored(word_counts(docs, key, text), "words")
-    best = F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near")))
-    near = near_words(words).groupBy("word", "n").agg(F.count(F.lit(1)).alias("n_near"), best.alias("best"))
-    is_form = -F.col("best.less") >= RATIO * F.col("n")
-    near = stored(near.select("word", "n_near", F.when(is_form, F.col("best.near")).alias("form"), F.when(is_form, -F.col("best.less")).alias("form_n")), "near")
+    is_form = F.col("near_n") >= RATIO * F.col("n")
+    near = stored(near_words(words).select("word", "n_near", F.when(is_form, F.col("near")).alias("form"), F.when(is_form, F.col("near_n")).alias("form_n")), "near")
     ends = roots(near.where("form is not null"))
     return words.join(near, "word", "left").join(ends, "word", "left").select(
         "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"), "form", "form_n", F.coalesce("root", "word").alias("root"))
