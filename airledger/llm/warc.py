@@ -14,11 +14,12 @@ same bytes inside a payload.
    on the chain; all others are magic inside payloads. The rounds move (file, offset, offset)
    rows only, and their number is the logarithm of the records in a file.
 4. A payload that lies in one piece is hashed where it was read and does not travel. Those cut
-   by magic inside them are put together from their pieces in a second scan of their files.
+   by magic inside them are put together in a second scan, of which only their pieces travel.
 The chain must end at the end of each file, or the reading fails: nothing is lost silently.
 
 Defined cases: a null payload is empty; a null key or URL has no header; CR and LF in a URL are
-percent-encoded; repeated rows are records of their own; of equal payloads the record with the
+percent-encoded, and keys are form-encoded and decoded again; a content length of over 18 digits, or beyond
+its file's size, makes no candidate; repeated rows are records of their own; of equal payloads the record with the
 smallest key is the response (null keys last, then the first in file order) and others are its
 revisits; empty tables make empty archives; other columns are not read.
 """
@@ -29,6 +30,7 @@ import base64
 import hashlib
 import re
 from collections.abc import Iterator
+from urllib.parse import unquote_plus
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -43,6 +45,8 @@ _BLANK = b"\r\n\r\n"
 _VERSION = re.compile(rb"[01]\r\n")
 _HEADER = re.compile(rb"(?m)^([A-Za-z0-9-]+):[ \t]*(.*?)[ \t]*\r?$")
 _CELL_BITS = 20
+#: Pieces of cut records up to which their places (some 100 bytes each) are broadcast to the second scan.
+BROADCAST_PIECES = 200_000
 
 
 def base32_sha1(data: Column) -> Column:
@@ -60,7 +64,7 @@ def write_archives(rows: DataFrame, folder: str, key: str, url: str, payload: st
     uuid = F.concat_ws("-", *(F.substring(mark, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))))
     lines = [F.lit(f"{MAGIC}1"), F.lit("WARC-Type: response"),
              F.concat(F.lit("WARC-Record-ID: <urn:uuid:"), uuid, F.lit(">")), F.lit(f"WARC-Date: {DATE}"),
-             F.concat(F.lit("WARC-Target-URI: "), target), F.concat(F.lit(f"{KEY_HEADER}: "), F.col(key).cast("string")),
+             F.concat(F.lit("WARC-Target-URI: "), target), F.concat(F.lit(f"{KEY_HEADER}: "), F.url_encode(F.col(key).cast("string"))),
              F.concat(F.lit("WARC-Payload-Digest: sha1:"), base32_sha1(utf8(F.col(payload)))),
              F.lit("Content-Type: text/html; charset=utf-8"), F.concat(F.lit("Content-Length: "), F.octet_length(body).cast("string"))]
     head = F.concat_ws("\r\n", *lines)  # leaves out null lines
@@ -73,12 +77,16 @@ def _pieces(spark: SparkSession, folder: str) -> DataFrame:
                     F.col("_metadata.file_block_start").alias("block"), F.col("_metadata.file_size").alias("size")))
 
 
-def _header(piece: bytes) -> tuple[int, dict[bytes, bytes]] | None:
-    """Bytes of the header up to its blank line, and its fields; None if it isn't one."""
+def _header(piece: bytes, size: int) -> tuple[int, int, dict[bytes, bytes]] | None:
+    """Bytes of the header up to its blank line, the content length and the fields; None if it
+    isn't the header of a record that a file of ``size`` bytes can hold."""
     if not _VERSION.match(piece) or (end := piece.find(_BLANK)) < 0:
         return None
     fields = {m[1].lower(): m[2] for m in _HEADER.finditer(piece[:end])}
-    return (end + 4, fields) if fields.get(b"content-length", b"").isdigit() else None
+    length = fields.get(b"content-length", b"").lstrip(b"0") or b"0"
+    if b"content-length" not in fields or not length.isdigit() or len(length) > 18 or int(length) > size:
+        return None
+    return end + 4, int(length), fields
 
 
 def _digest(body: bytes) -> str:
@@ -99,11 +107,11 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if (file, block) != place:
                 place, local = (file, block), 0
             row = [file, block, size, local, len(piece)] + [None] * 7
-            if got := _header(piece):
-                head, fields = got
-                body = int(fields[b"content-length"])
+            if got := _header(piece, size):
+                head, body, fields = got
                 text = lambda name: fields[name].decode("utf-8", "replace") if name in fields else None  # noqa: B023, E731
-                row[5:] = [head, body, text(KEY_HEADER.lower().encode()), text(b"warc-target-uri"), text(b"warc-type"), text(b"warc-payload-digest"),
+                key = text(KEY_HEADER.lower().encode())
+                row[5:] = [head, body, None if key is None else unquote_plus(key), text(b"warc-target-uri"), text(b"warc-type"), text(b"warc-payload-digest"),
                            _digest(piece[head:head + body]) if head + body <= len(piece) else None]
             out.append(row)
             local += len(piece) + len(MAGIC)
@@ -115,18 +123,19 @@ _SCHEMA = pa.schema([(n, pa.string() if t == "string" else pa.int64()) for n, t
 
 def _with_offsets(pieces: DataFrame, bases: DataFrame) -> DataFrame:
     """``at``: the file offset where a piece begins, just after its magic."""
-    return pieces.join(bases, ["file", "block"]).withColumn("at", F.col("base") + F.col("local"))
+    return pieces.join(bases.hint("merge"), ["file", "block"]).withColumn("at", F.col("base") + F.col("local"))
 
 
 def chain(edges: DataFrame) -> DataFrame:
     """(file, at) of the candidates reachable from offset 0 of their file over edges (file, at,
     to), by pointer jumping."""
-    nodes = edges.select("file", F.col("at").alias("to"))
+    # both sides grow with the records, whatever their files' size says
+    nodes = edges.select("file", F.col("at").alias("to")).hint("merge")
     jump = stored(edges.join(nodes, ["file", "to"], "left_semi").select("file", "at", "to"), "jump")
     found = stored(edges.where("at = 0").select("file", "at"), "found")
     while not jump.isEmpty():
-        found = stored(found.union(found.join(jump, ["file", "at"]).select("file", F.col("to").alias("at"))), "found")
-        second = jump.select("file", F.col("at").alias("to"), F.col("to").alias("end"))
+        found = stored(found.union(found.join(jump.hint("merge"), ["file", "at"]).select("file", F.col("to").alias("at"))), "found")
+        second = jump.select("file", F.col("at").alias("to"), F.col("to").alias("end")).hint("merge")
         jump = stored(jump.join(second, ["file", "to"]).select("file", "at", F.col("end").alias("to")), "jump")
     return found
 
@@ -141,7 +150,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     placed = stored(_with_offsets(pieces.where("head is not null"), bases).select(
         "file", "size", (F.col("at") - len(MAGIC)).alias("at"), (F.col("at") + F.col("head")).alias("from"), "body",
         (F.col("at") + F.col("head") + F.col("body") + 4).alias("to"), "key", "uri", "kind", "declared", "digest"), "candidates")
-    records = stored(placed.join(chain(placed.select("file", "at", "to")), ["file", "at"], "left_semi"), "records")
+    records = stored(placed.join(chain(placed.select("file", "at", "to")).hint("merge"), ["file", "at"], "left_semi"), "records")
 
     ends = pieces.groupBy("file").agg(F.max("size").alias("size")).join(records.groupBy("file").agg(F.max("to").alias("to")), "file", "left")
     broken = ends.where("size > 0 and not (to <=> size)").select("file", "size", "to").head(1)
@@ -150,8 +159,8 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
 
     cut = records.where("digest is null")
     if not cut.isEmpty():
-        whole = _assembled(_pieces(spark, folder), stored(bases, "bases"), cut)
-        records = records.join(whole, ["file", "at"], "left").withColumn("digest", F.coalesce("digest", "joined"))
+        whole = _assembled(_pieces(spark, folder), _with_offsets(pieces.select("file", "block", "local"), bases), cut)
+        records = records.join(whole.hint("merge"), ["file", "at"], "left").withColumn("digest", F.coalesce("digest", "joined"))
     return records.select("file", "at", "key", "uri", "kind", "declared", F.col("body").alias("payload_bytes"), F.col("digest").alias("payload_digest"))
 
 
@@ -163,6 +172,8 @@ def _join_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts = sorted(parts, key=lambda p: p["at"])
             data = MAGIC.encode().join(p["piece"] for p in parts)
             skip = start - parts[0]["at"]
+            if skip < 0 or len(data) < skip + body:
+                raise ValueError(f"{file}: the pieces of the record at {at} are not those of the first scan")
             out.append((file, at, _digest(data[skip:skip + body])))
         yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], type=t) for c, t in enumerate((pa.string(), pa.int64(), pa.string()))],
                                          names=["file", "at", "joined"])
@@ -182,17 +193,19 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["piece", "file", "block", "local"])
 
 
-def _assembled(pieces: DataFrame, bases: DataFrame, cut: DataFrame) -> DataFrame:
-    """(file, at, joined): the digest of each cut record's payload. Records and pieces meet by
-    file and 1 MB cell; a record's own pieces are all that a group holds."""
+def _assembled(pieces: DataFrame, placed: DataFrame, cut: DataFrame) -> DataFrame:
+    """(file, at, joined): the digest of each cut record's payload. Records and the places of
+    pieces, without their bytes, meet by file and 1 MB cell; of the second scan's pieces only those
+    found there travel, and a record's own pieces are all that a group holds."""
     cell = lambda c: F.shiftright(c, _CELL_BITS)
     ranges = cut.select("file", F.col("at").alias("record"), "from", "body", "to",
                         F.explode(F.sequence(cell(F.col("at")), cell(F.col("to")))).alias("cell"))
+    met = placed.withColumn("cell", cell(F.col("at"))).join(ranges.hint("merge"), ["file", "cell"]).where("at > record and at < to")
+    needed = stored(met.select("file", "block", "local", "at", "record", "from", "body"), "needed")
+    few = needed.count() <= BROADCAST_PIECES
     local = pieces.mapInArrow(_placed, "piece binary, file string, block long, local long")
-    there = local.join(cut.select("file").distinct(), "file", "left_semi")
-    parts = _with_offsets(there, bases).withColumn("cell", cell(F.col("at")))
-    met = parts.join(ranges, ["file", "cell"]).where("at > record and at < to")
-    groups = met.groupBy("file", "record", "from", "body").agg(F.collect_list(F.struct("at", "piece")).alias("parts"))
+    there = local.join(F.broadcast(needed) if few else needed.hint("merge"), ["file", "block", "local"])
+    groups = there.groupBy("file", "record", "from", "body").agg(F.collect_list(F.struct("at", "piece")).alias("parts"))
     return groups.select("file", F.col("record").alias("at"), "from", "body", "parts").mapInArrow(_join_pieces, "file string, at long, joined string")
 
 
@@ -202,7 +215,7 @@ def with_revisits(records: DataFrame, key_type: str = "long") -> DataFrame:
     own = F.struct(F.col("key").isNull().alias("unkeyed"), F.col("key"), F.col("file"), F.col("at"))
     typed = records.withColumn("key", F.col("key").cast(key_type))
     first = typed.groupBy("payload_digest", "payload_bytes").agg(F.min(own).alias("first"))
-    joined = typed.join(first, ["payload_digest", "payload_bytes"])
+    joined = typed.join(first.hint("merge"), ["payload_digest", "payload_bytes"])
     is_first = (F.col("file") == F.col("first.file")) & (F.col("at") == F.col("first.at"))
     return (joined.withColumn("record_type", F.when(is_first, "response").otherwise("revisit"))
             .withColumn("refers_to", F.when(~is_first, F.col("first.key"))).drop("first"))

@@ -40,6 +40,25 @@ def test_magic_in_payloads_and_any_split(spark, split):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+@pytest.mark.parametrize("limit", [W.BROADCAST_PIECES, 0])
+def test_hostile_lengths_in_payloads(spark, monkeypatch, limit):
+    monkeypatch.setattr(W, "BROADCAST_PIECES", limit)
+    lengths = ["99999999999999999999", "9223372036854775807", "999999999999999999", "123456789", "-1", "", "0000000000000000000000005", "5 5", "\u0665"]
+    rows = [(i, "u", f"a WARC/1.0\r\nContent-Length: {n}\r\n\r\nhello\r\n\r\nWARC/1.1\r\nContent-Length: 3") for i, n in enumerate(lengths)]
+    rows += [(20, "u", "WARC/1.0\r\nContent-Length: 99999999999999999999\r\n\r\n"), (21, "u", "\r\n\r\n".join("WARC/1.0\r\nContent-Length: 0\r\n\r\n" for _ in range(50)))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(2)
+    assert Counter(map(tuple, W.archived_pages(pages).collect())) == brute(rows)
+
+
+def test_string_keys_of_any_characters(spark):
+    keys = ["a\r\nContent-Length: 5", " edge ", "\ttab\t", "", "100%", "a+b c", "WARC/1.1\r\n", "é日\U0001F600", "\r\n\r\n", None]
+    rows = [(k, "u", f"body {i}") for i, k in enumerate(keys)]
+    pages = spark.createDataFrame(rows, "page_id string, url string, html string")
+    got = W.archived_pages(pages).collect()
+    assert Counter(r["page_id"] for r in got) == Counter(keys)
+    assert all(r["record_type"] == "response" for r in got)
+
+
 def test_table_and_empty_table(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     assert Counter(map(tuple, W.archived_pages(pages).collect())) == brute([tuple(r) for r in pages.select("page_id", "url", "html").collect()])
