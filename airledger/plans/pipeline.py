@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from airledger import fixed_values as fv
 from airledger.functions import values as V
-from airledger.operators import geo, ids, lookups, metrics, quality, regions, reshape, shaping
+from airledger.operators import geo, ids, lookups, metrics, quality, regions, reshape, shaping, trends
 from airledger.operators.shaping import q
 from airledger.operators.tables import fixed_table
 from airledger.sources import registers as R
@@ -179,24 +179,50 @@ def run_pipeline_a(spark: SparkSession, register_dir: str, out_dir: str, centres
 
 # --- products from the gold table (entry point 3 and D6) --------------------------------
 
+#: Sums are taken over decimals, so that they do not depend on the order of adding: to 10 places.
+EXACT = "decimal(32,10)"
+
+
+def _doubles(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("double") for c in names})
+
+
 def products(gold_df: DataFrame, year: int = 2023) -> dict[str, DataFrame]:
-    g = gold_df
+    g = gold_df.withColumn("emision_total", F.col("emision_total").cast(EXACT))
     annual = metrics.annual_totals(g, "contaminante_canon", "año", "emision_total", out="emision")
+    by_comuna = metrics.totals_by(g, ["comuna", "contaminante_canon"], "emision_total", year=year)
     return {
-        "annual_totals": annual.orderBy("contaminante_canon", "año"),
-        "running_totals": metrics.running_totals(annual, "contaminante_canon", "año", "emision").orderBy("contaminante_canon", "año"),
-        "municipality_totals": metrics.totals_by(g, ["comuna", "contaminante_canon"], "emision_total", year=year),
-        "top_municipalities": metrics.top_n_per_group(
-            metrics.totals_by(g, ["comuna", "contaminante_canon"], "emision_total", year=year),
-            "contaminante_canon", "emision_total", "comuna"),
+        "annual_totals": _doubles(annual, "emision").orderBy("contaminante_canon", "año"),
+        "running_totals": _doubles(metrics.running_totals(annual, "contaminante_canon", "año", "emision"), "emision", "emision_acumulada")
+        .orderBy("contaminante_canon", "año"),
+        "municipality_totals": _doubles(by_comuna, "emision_total"),
+        "top_municipalities": _doubles(metrics.top_n_per_group(by_comuna, "contaminante_canon", "emision_total", "comuna"), "emision_total"),
         "unit_report": metrics.ordered_report(
-            metrics.totals_by(g, ["contaminante_canon", "unidad_paisaje"], "emision_total", year=year),
+            _doubles(metrics.totals_by(g, ["contaminante_canon", "unidad_paisaje"], "emision_total", year=year), "emision_total"),
             "contaminante_canon", "emision_total", "unidad_paisaje") if "unidad_paisaje" in g.columns else None,
-        "distribution": metrics.distribution(g, "contaminante_canon", "emision_total"),
-        "histogram": metrics.log_histogram(g, "contaminante_canon", "emision_total"),
-        "macro_share": metrics.share_within(g, ["contaminante_canon"], "actividad_macro", "emision_total"),
+        "distribution": metrics.distribution(gold_df, "contaminante_canon", "emision_total"),
+        "histogram": metrics.log_histogram(gold_df, "contaminante_canon", "emision_total"),
+        "macro_share": _doubles(metrics.share_within(g, ["contaminante_canon"], "actividad_macro", "emision_total"), "total"),
         "coverage_gaps": metrics.coverage_gaps(g, "contaminante_canon", "año"),
+        **_series_products(g, annual),
+    }
+
+
+def _series_products(g: DataFrame, annual: DataFrame) -> dict[str, DataFrame]:
+    """D2-D5 over the annual series: trends, change points, what the sectors add to each change,
+    how pollutants go with sectors, and, of units, the trends and the years without data."""
+    by_sector = metrics.totals_by(g, ["contaminante_canon", "actividad_macro", "año"], "emision_total")
+    out = {
+        "trend": trends.theil_sen(annual, ["contaminante_canon"], "año", "emision"),
+        "change_points": trends.change_points(annual, ["contaminante_canon"], "año", "emision"),
+        "change_by_sector": trends.change_by_part(by_sector, ["contaminante_canon"], "actividad_macro", "año", "emision_total"),
+        "sector_correlation": trends.correlation_by_sector(g, "contaminante_canon", "actividad_macro", "año", "emision_total"),
     }
+    if "unidad_paisaje" in g.columns:
+        by_unit = metrics.totals_by(g, ["contaminante_canon", "unidad_paisaje", "año"], "emision_total")
+        out["unit_trend"] = trends.theil_sen(by_unit, ["contaminante_canon", "unidad_paisaje"], "año", "emision_total")
+        out["unit_coverage"] = trends.coverage_runs(g.where(F.col("emision_total").isNotNull()), "unidad_paisaje", "año", g.select("unidad_paisaje"), "unidad_paisaje")
+    return out
 
 
 # --- pipeline B -------------------------------------------------------------------------
@@ -254,7 +280,8 @@ def variable_totals(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     """A1 + W1 per pollutant group from the merged table (N6 numbers, F4 years)."""
     facts = table.select(F.col("grupo_canonico").alias("contaminante"),
                          V.year_first(F.col("año")).alias("year"),
-                         V.number_n6(F.col("cantidad_toneladas")).alias("emision"))
+                         V.number_n6(F.col("cantidad_toneladas")).cast(EXACT).alias("emision"))
     totals = metrics.annual_totals(facts, "contaminante", "year", "emision")
     running = metrics.running_totals(totals, "contaminante", "year", "emision")
-    return totals.orderBy("contaminante", "year"), running.orderBy("contaminante", "year")
+    return (_doubles(totals, "emision").orderBy("contaminante", "year"),
+            _doubles(running, "emision", "emision_acumulada").orderBy("contaminante", "year"))
