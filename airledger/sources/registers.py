@@ -7,17 +7,21 @@ signature* (separator, encoding, quoted line breaks or not, column names); each
 one ``spark.read.csv`` over all of its files, in parallel, with an all-string schema, and the
 signatures are put together by column name afterwards.
 
-The catalogue is one Spark job over all files: an aggregate per file gives its header line,
-whether every one of its lines is valid UTF-8 (a file is read in one encoding, so the whole file
-decides it), and whether any line has an odd number of quotes (then a quoted cell holds a line
-break, and that file alone has to be read without splits). What reaches the driver is one row
-per file.
+The catalogue reads the first lines only: a file's separator and header. Whether a quoted cell
+holds a line break anywhere (a line with an odd number of quotes), and whether all lines are UTF-8,
+takes a look at all of them: one aggregate over the lines, one row per file to the driver, which a
+caller who knows that no cell holds one can leave out (``quoted=False``), so that the read proper is the only scan.
+Files with such cells are read in splits all the same, and those that are not known to be UTF-8 have
+each line decoded by itself, as UTF-8 if it is that and else as Latin-1 (``quoted.py``); the others go to
+Spark's own reader.
 """
 
 from __future__ import annotations
 
 import csv
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -28,6 +32,7 @@ from airledger import fixed_values as fv
 from airledger.functions import text as T
 from airledger.functions import values as V
 from airledger.operators.tables import fixed_table
+from airledger.sources import quoted as Q
 
 EXTRA = "_extra_field"
 LONG_ROW = "_fila_larga"
@@ -35,6 +40,8 @@ UTF8 = "UTF-8"
 LATIN1 = "ISO-8859-1"
 SEPARATORS = ";,\t|"
 BOM = "\ufeff"
+#: Lines that a header may take, where its names hold line breaks.
+HEADER_LINES = 100
 
 
 @dataclass
@@ -46,10 +53,11 @@ class FileInfo:
     columns: list[str] = field(default_factory=list)
     error: str | None = None
     multiline: bool = False
+    all_utf8: bool = False  # every line is known to be
 
     @property
     def signature(self) -> tuple:
-        return (self.encoding, self.sep, self.multiline, tuple(self.columns))
+        return (self.all_utf8, self.sep, self.multiline, tuple(self.columns))
 
 
 def list_files(spark: SparkSession, root: str, glob: str = "*.csv") -> list[str]:
@@ -74,20 +82,31 @@ def header_cells(line: str) -> tuple[str, list[str]]:
     return sep, names
 
 
-def catalogue(spark: SparkSession, paths: list[str]) -> list[FileInfo]:
-    """S8/S1/A10 input: every file's encoding, separator and header, in ``paths`` order, from one
-    job. A file without a line, or whose header cannot be read, has its reason in ``error``."""
+def _header(spark: SparkSession, path: str) -> bytes | None:
+    """The first record's bytes; None if the file has no line. Reads the beginning of the file only."""
+    first = Q.text_lines(spark, [path]).where("block = 0").select(F.col("value").cast("binary"))
+    lines = [bytes(r[0]) for r in first.limit(1).collect()]
+    if lines and lines[0].count(b'"') % 2:
+        lines = [bytes(r[0]) for r in first.limit(HEADER_LINES).collect()]
+        odd = [line.count(b'"') % 2 for line in lines]
+        lines = lines[:next((i + 1 for i in range(1, len(lines)) if sum(odd[:i + 1]) % 2 == 0), len(lines))]
+    return b"\n".join(lines).removesuffix(b"\r") if lines else None
+
+
+def catalogue(spark: SparkSession, paths: list[str], quoted: bool = True) -> list[FileInfo]:
+    """S8/S1/A10 input: every file's encoding, separator and header, in ``paths`` order, and, with
+    ``quoted``, from one scan of all lines whether cells hold line breaks and whether all lines are
+    UTF-8. A file without a line, or whose header cannot be read, has its reason in ``error``."""
     if not paths:
         return []
-    lines = spark.read.text(paths).select(
-        F.col("value"), F.col("_metadata.file_path").alias("path"),
-        F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("place"))
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    per_file = lines.groupBy("path").agg(
-        F.min_by(F.col("value").cast("binary"), F.col("place")).alias("header"),
-        F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.bool_or(quotes % 2 == 1).alias("multiline"))
-    found = {_plain(r["path"]): r for r in per_file.collect()}
-    return [_file_info(p, found.get(_plain(p))) for p in paths]
+    with ThreadPoolExecutor(8) as pool:
+        headers = list(pool.map(lambda p: _header(spark, p), paths))
+    found = {}
+    if quoted:
+        per_file = Q.text_lines(spark, paths).groupBy("file").agg(
+            F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.bool_or(Q.quotes(F.col("value")) % 2 == 1).alias("multiline"))
+        found = {_plain(r["file"]): r for r in per_file.collect()}
+    return [_file_info(p, h, found.get(_plain(p))) for p, h in zip(paths, headers, strict=True)]
 
 
 def _plain(path: str) -> str:
@@ -95,16 +114,18 @@ def _plain(path: str) -> str:
     return unquote(path).replace(":///", ":/")
 
 
-def _file_info(path: str, row) -> FileInfo:
+def _file_info(path: str, header: bytes | None, scanned) -> FileInfo:
     name = path.rsplit("/", 1)[-1]
-    if row is None:
-        return FileInfo(path, name, UTF8, ";", [], "empty file")
-    encoding = UTF8 if row["utf8"] else LATIN1
+    if not header:
+        return FileInfo(path, name, UTF8, ";", [], "empty file" if header is None else "no header")
+    text = Q.decoded(header)
+    utf8 = scanned["utf8"] if scanned else text.encode() == header
+    encoding = UTF8 if utf8 else LATIN1
     try:
-        sep, columns = header_cells(bytes(row["header"]).decode(encoding))
+        sep, columns = header_cells(text)
     except csv.Error as e:
         return FileInfo(path, name, encoding, ";", [], f"[error] {e}")
-    return FileInfo(path, name, encoding, sep, columns, None if columns else "no header", bool(row["multiline"]))
+    return FileInfo(path, name, encoding, sep, columns, None if columns else "no header", bool(scanned and scanned["multiline"]), bool(scanned and utf8))
 
 
 def catalogue_frame(spark: SparkSession, infos: list[FileInfo]) -> DataFrame:
@@ -154,22 +175,25 @@ def header_vocabulary(catalogue_df: DataFrame, examples: int = 5) -> DataFrame:
 
 
 def read_signature(spark: SparkSession, infos: list[FileInfo], drop_long_rows: bool = True) -> DataFrame:
-    """One parallel read of every file sharing a header signature. All columns are
+    """One parallel read, in splits, of every file sharing a header signature. All columns are
     strings; quotes are doubled inside quoted cells and a backslash is plain text; short rows
     are padded with NULL. The schema carries one sentinel column past the header: a row that
     fills it has more fields than the header and is dropped, as a reader that skips bad lines
     does, or (``drop_long_rows=False``) marked in ``_fila_larga`` to be counted. Adds the source
     file name, path and block start for file-order numbering."""
     info = infos[0]
-    schema = StructType([StructField(c, StringType()) for c in info.columns] + [StructField(EXTRA, StringType())])
-    df = (spark.read.schema(schema)
-          .option("header", True).option("sep", info.sep).option("encoding", info.encoding)
-          .option("escape", '"').option("multiLine", info.multiline)
-          .option("mode", "PERMISSIVE").option("enforceSchema", True)
-          .csv([i.path for i in infos]))
-    df = df.select("*", F.col("_metadata.file_name").alias("_file_name"),
-                   F.col("_metadata.file_path").alias("_file_path"),
-                   F.col("_metadata.file_block_start").alias("_file_block"))
+    names = [*info.columns, EXTRA]
+    paths = [i.path for i in infos]
+    if info.multiline or not info.all_utf8:
+        df = Q.parsed(Q.logical_lines(spark, paths, info.multiline), names, info.sep)
+        place = [F.url_decode(F.element_at(F.split("file", "/"), -1)).alias("_file_name"), F.col("file").alias("_file_path"), F.col("block").alias("_file_block")]
+        df = df.select(*[F.col(f"`{n}`") for n in names], *place)
+    else:
+        df = (spark.read.schema(StructType([StructField(c, StringType()) for c in names]))
+              .option("header", True).option("sep", info.sep).option("encoding", UTF8)
+              .option("escape", '"').option("mode", "PERMISSIVE").option("enforceSchema", True).csv(paths))
+        df = df.select("*", F.col("_metadata.file_name").alias("_file_name"), F.col("_metadata.file_path").alias("_file_path"),
+                       F.col("_metadata.file_block_start").alias("_file_block"))
     if drop_long_rows:
         return df.where(F.col(EXTRA).isNull()).drop(EXTRA)
     return df.withColumn(LONG_ROW, F.col(EXTRA).isNotNull()).drop(EXTRA)
@@ -188,19 +212,26 @@ def layout_of(name: str) -> str:
     return next((layout for start, layout in fv.LAYOUT_PREFIXES if name.lower().startswith(start)), fv.DEFAULT_LAYOUT)
 
 
-def read_table(spark: SparkSession, path: str, sep: str = ",", encoding: str = UTF8) -> DataFrame:
-    """A plain all-string CSV with header (empty cells read as NULL), quoted as in
-    ``read_signature``; quoted cells may hold line breaks."""
-    return (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-            .option("escape", '"').option("multiLine", True).csv(path))
+def read_table(spark: SparkSession, path: str, sep: str | None = None, places: bool = False) -> DataFrame:
+    """Plain all-string CSV files with one header (empty cells read as NULL), quoted as in
+    ``read_signature``; quoted cells may hold line breaks. With ``places`` their ``_file_path`` and ``_file_block`` stay."""
+    infos = catalogue(spark, list_files(spark, path, "*"))
+    bad = [f"{i.name}: {i.error}" for i in infos if i.error]
+    if bad or not infos:
+        raise ValueError(f"not read: {bad or path}")
+    for i in infos:
+        if sep is not None:
+            i.sep = sep
+    frames = [read_signature(spark, g).drop("_file_name", *([] if places else ["_file_path", "_file_block"])) for g in group_by_signature(infos)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def read_activity_codes(spark: SparkSession, path: str) -> DataFrame:
     """S12 source: activity-code dimension files (``codigo, descripcion[, fuente]``) with their
     row order kept for last-wins de-duplication: by file path, then block, then row."""
-    df = read_table(spark, path)
-    return df.withColumn("_pos", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                                          F.monotonically_increasing_id().alias("row")))
+    df = read_table(spark, path, places=True)
+    place = F.struct(F.col("_file_path").alias("file"), F.col("_file_block").alias("block"), F.monotonically_increasing_id().alias("row"))
+    return df.withColumn("_pos", place).drop("_file_path", "_file_block")
 
 
 def read_centres(spark: SparkSession, path: str) -> DataFrame:

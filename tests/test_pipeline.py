@@ -6,14 +6,16 @@ from __future__ import annotations
 import csv
 import io
 import os
+import random
 import re
+import tempfile
 import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
 from airledger import fixed_values as fv
-from airledger.operators import geo
+from airledger.operators import geo, ids
 from airledger.plans import pipeline as P
 from airledger.sources import registers as R
 from airledger.sources import sinks
@@ -294,6 +296,65 @@ def test_files_as_they_are(spark, scratch):
         "head_only.csv": [], "same_names.csv": [("a", "b", "c")]}
 
 
+def _by_multiline(spark, path, sep=";"):
+    """The rows that Spark's own reader gives without splits."""
+    return sorted(map(tuple, spark.read.option("header", True).option("sep", sep).option("escape", '"').option("multiLine", True).csv(path).collect()), key=str)
+
+
+@pytest.mark.parametrize("split", ["7", "40", "333", "128m"])
+def test_quoted_line_breaks_at_any_split(spark, scratch, split):
+    rng = random.Random(int(split.rstrip("m")))
+    cell = lambda: rng.choice(["x", "", "ñandú", "12,5", '"a;b"', '"two\nlines"', '"q""uote"', '"\n\n"', '""', '"a\r\nb"', '"""\n"""', '"' + "long\n" * rng.randint(1, 30) + '"'])
+    for f in range(3):
+        body = "".join(f"{i};{cell()};{cell()}\n" for i in range(120 if split != "7" else 30))
+        _put(scratch, f"f{f}.csv", f"n;first;second\n{body}{'last;no;newline' if f == 1 else ''}")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        infos = R.catalogue(spark, R.list_files(spark, scratch))
+        assert all(i.multiline for i in infos) and len(R.group_by_signature(infos)) == 1
+        read = R.read_signature(spark, infos)
+        order = {name: [r["n"] for r in ids.sequence_in_file_cols(read, "_file_path", "_file_block").where(F.col("_file_name") == name).orderBy("seq").collect()] for name in ("f0.csv", "f1.csv")}
+        got = {i.name: sorted((tuple(r)[:3] for r in read.where(F.col("_file_name") == i.name).collect()), key=str) for i in infos}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {i.name: _by_multiline(spark, i.path) for i in infos}
+    n = 120 if split != "7" else 30
+    assert order["f0.csv"] == [str(i) for i in range(n)] and order["f1.csv"] == [str(i) for i in range(n)] + ["last"]
+
+
+def test_header_with_line_break_and_unclosed_quote(spark, scratch):
+    _put(scratch, "head.csv", '"re\ngion";x\r\n"a\r\nb";1\r\nc;2\r\n')
+    _put(scratch, "open.csv", 'region;x\na;1\nb;"never\nclosed;3\n')
+    infos, rows = _read_all(spark, scratch)
+    assert infos["head.csv"].columns == ["re\ngion", "x"] and infos["head.csv"].multiline
+    assert rows["head.csv"] == [("a\r\nb", "1"), ("c", "2")]
+    assert len(rows["open.csv"]) == 2 and rows["open.csv"][0] == ("a", "1")
+
+
+def test_each_line_is_decoded_by_itself(spark, scratch):
+    with open(os.path.join(scratch, "mixed.csv"), "wb") as f:
+        f.write("region;x\nValparaíso;ñ\n".encode() + "Valparaíso;2\n".encode("latin-1") + "plain;é\n".encode())
+    for quoted in (True, False):
+        info, = R.catalogue(spark, R.list_files(spark, scratch), quoted=quoted)
+        assert info.encoding == (R.LATIN1 if quoted else R.UTF8)
+        assert sorted(tuple(r)[:2] for r in R.read_signature(spark, [info]).collect()) == [("Valparaíso", "2"), ("Valparaíso", "ñ"), ("plain", "é")]
+    _put(scratch, "breaks.csv", 'region;x\n"Ñuñoa\nsur";1\n')
+    with open(os.path.join(scratch, "breaks.csv"), "ab") as f:
+        f.write('"Ñuble\nnorte";2\n'.encode("latin-1"))
+    _, rows = _read_all(spark, scratch)
+    assert rows["breaks.csv"] == [("Ñuble\nnorte", "2"), ("Ñuñoa\nsur", "1")]
+
+
+def test_tables_in_several_files(spark, scratch):
+    _put(scratch, "a.csv", 'codigo,descripcion\n1,"uno\nlargo"\n2,\n')
+    _put(scratch, "b.csv", "codigo,descripcion\n3,tres\n")
+    assert sorted(map(tuple, R.read_table(spark, scratch).collect())) == [("1", "uno\nlargo"), ("2", None), ("3", "tres")]
+    codes = R.read_activity_codes(spark, scratch)
+    assert codes.columns == ["codigo", "descripcion", "_pos"] and [r["codigo"] for r in codes.orderBy("_pos").collect()] == ["1", "2", "3"]
+    with pytest.raises(ValueError, match="not read"):
+        R.read_table(spark, tempfile.mkdtemp(dir=scratch))
+
+
 def _register(region="region", rut="rut", year="2019", n=1):
     return f"{region};año;{rut};contaminantes;cantidad_toneladas\n" + f"Región Metropolitana;{year};1-9;CO;1,5\n" * n
 
