@@ -1,15 +1,17 @@
 """Toxic passages by maximum-scoring segments.
 
 Model. Words and their beginnings (PREFIXES bytes) are counted by labelled documents. Each has
-the log-odds between toxic and other documents, shrunken by PRIOR documents of the common share
-whatever its own count, and a z-score with variance 1 / (count + SMOOTH). Those beyond Z make
-the lexicon: at the usual shares a word that is in toxic documents only needs four or five of
-them, however many are labelled. A word scores as itself if it is in the lexicon, else as its
-longest beginning there; all other words score -DRIFT, and DRIFT is taken from the rest too (more,
-if need be), so that the expected score of a clean word is negative.
+the log-odds between toxic and other documents, shrunken by a prior of some documents of the common
+share whatever its own count, and a z-score with variance 1 / (count + SMOOTH). Those beyond a limit make
+the lexicon, all of them. A word scores as itself if it is in
+the lexicon, else as its longest beginning there; all other words score -drift, and the drift is taken
+from the rest too (more, if need be), so that the expected score of a clean word is negative.
+The prior, the limit and the drift are chosen among SETTINGS by the logarithmic loss over labelled
+documents (CHOOSING of them, by hash), each scored by what the others teach.
 
 Scan. All maximal scoring segments of a text are found in one linear pass (Ruzzo and Tompa): a
-stack of candidates, each popped at most once.
+stack of candidates, each popped at most once and each linked to the last one below it with a
+smaller total before it, so that those between are never looked at again.
 
 Calibration. By extreme-value theory the best segment of n clean words has P(score >= s) about
 1 - exp(-K n exp(-lambda s)). lambda solves E[exp(lambda * score)] = 1 over the words of the clean
@@ -21,8 +23,8 @@ logarithm of one plus the evidence, fitted to the labelled documents.
 
 Bounds. The classifier is fitted on the documents of at most MAX_LABELLED labelled ids (by hash
 order of the id), each distinct text of an id once and with an equal share of its weight of 1;
-counts, K and the values of the logistic fit are aggregates. It has at most MAX_WORDS entries, those of the largest z-scores. The labels
-sample is what is broadcast to find its documents; the words are what is broadcast to score all.
+counts, K and the values of the logistic fit are aggregates. The lexicon, some 100 bytes an entry, holds what that
+sample's vocabulary gives, however long; it is what is broadcast to score all texts.
 
 Defined cases: a null or empty text has no segments and the score of no evidence; a key with
 several labels is toxic if one of them is; null labels and null keys teach nothing; without labels
@@ -44,8 +46,11 @@ from pyspark.sql import types as T
 
 from airledger.llm.common import map_texts, stored, utf8
 
-MAX_LABELLED, MAX_WORDS = 20_000, 500_000
-PRIOR, SMOOTH, Z, DRIFT = 2.0, 0.5, 1.5, 2.0
+MAX_LABELLED = 20_000
+SMOOTH = 0.5
+#: (PRIOR, Z, DRIFT) to choose from, on CHOOSING labelled documents at most.
+SETTINGS = ((2.0, 1.5, 2.0), (2.0, 2.5, 2.0), (2.0, 1.5, 1.0), (5.0, 2.0, 1.0))
+CHOOSING = 5_000
 PREFIXES = range(3, 10)
 KNOWN_WORDS = 200_000
 SIGNIFICANT = 0.05
@@ -88,7 +93,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def segments(scores: list[tuple[int, float]], drift: float) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (start, end, score) of a text, where the words in ``scores``
     (position, score; in order) score so and all others -drift."""
-    stack: list[tuple[int, int, float, float]] = []  # start, end, total before it, total at its end
+    #: start, end, total before it, total at its end, the last one below it with a smaller total before it
+    stack: list[tuple[int, int, float, float, int]] = []
     total, at = 0.0, 0
     for place, score in scores:
         total -= drift * (place - at)
@@ -98,17 +104,15 @@ def segments(scores: list[tuple[int, float]], drift: float) -> list[tuple[int, i
             continue
         start, left, right = place, total, total + score
         total = right
-        while True:
-            j = len(stack) - 1
-            # candidates whose left total isn't below this one's can never join it or a later one
-            while j >= 0 and stack[j][2] >= left:
-                j -= 1
-            if j < 0 or stack[j][3] >= right:
-                break
-            start, left = stack[j][0], stack[j][2]
+        j = len(stack) - 1
+        while j >= 0 and stack[j][2] >= left:
+            j = stack[j][4]  # those between have totals no smaller
+        while j >= 0 and stack[j][3] < right:
+            start, _, left, _, below = stack[j]
             del stack[j:]
-        stack.append((start, place + 1, left, right))
-    return [(s, e, r - l) for s, e, l, r in stack]  # noqa: E741
+            j = below
+        stack.append((start, place + 1, left, right, j))
+    return [(s, e, r - l) for s, e, l, r, _ in stack]  # noqa: E741
 
 
 class _Scores(dict):
@@ -200,11 +204,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, allowed: Callable[[Colum
     return texts.join(F.broadcast(shares), "__key").select("body", "toxic", "weight")
 
 
-def _rate(t, o, toxic: float, other: float, m) -> tuple:  # noqa: ANN001
-    """Shrunken log-odds of a feature in t toxic and o other documents, and its z-score: PRIOR
+def _rate(t, o, toxic: float, other: float, prior: float, m) -> tuple:  # noqa: ANN001
+    """Shrunken log-odds of a feature in t toxic and o other documents, and its z-score: ``prior``
     documents of the common share are added, whatever the feature's own count. ``m``: numpy or Spark's functions."""
     share = toxic / (toxic + other)
-    score = m.log((t + PRIOR * share) / (o + PRIOR * (1 - share))) - math.log(share / (1 - share))
+    score = m.log((t + prior * share) / (o + prior * (1 - share))) - math.log(share / (1 - share))
     return score, score / m.sqrt(1 / (t + SMOOTH) + 1 / (o + SMOOTH))
 
 
@@ -214,30 +218,38 @@ def _views(t, o, greatest: Callable) -> list[tuple]:  # noqa: ANN001
     return [(t, o), (greatest(t - 1, zero), o), (t, greatest(o - 1, zero))]
 
 
-def fit(sample: DataFrame) -> Lexicon:
+def fit(sample: DataFrame, settings: tuple = SETTINGS) -> Lexicon:
+    """The model of that setting whose scores of documents by what the others teach have the
+    least logarithmic loss."""
     of = lambda kind: F.round(F.coalesce(F.sum(F.when(kind, F.col("weight"))), F.lit(0.0)), 6)
-    toxic, other = sample.agg(of(F.col("toxic")), of(~F.col("toxic"))).first()
+    toxic, other, n = sample.agg(of(F.col("toxic")), of(~F.col("toxic")), F.count(F.lit(1))).first()
     if not toxic or not other:
-        share = (0.0 if not toxic else 1.0)
-        return Lexicon({}, DRIFT, logistic=(500.0 if share else -500.0, 0.0))
-    counts = (sample.mapInArrow(_count, "feature binary, toxic double, other double").groupBy("feature")
-              .agg(F.round(F.sum("toxic"), 6).alias("toxic"), F.round(F.sum("other"), 6).alias("other")))
+        return Lexicon({}, settings[0][2], logistic=(-500.0 if not toxic else 500.0, 0.0))
+    counts = stored(sample.mapInArrow(_count, "feature binary, toxic double, other double").groupBy("feature")
+                    .agg(F.round(F.sum("toxic"), 6).alias("toxic"), F.round(F.sum("other"), 6).alias("other")), "counts")
+    if len(settings) > 1:
+        few = sample.where(F.pmod(F.xxhash64("body"), F.lit(-(-n // CHOOSING))) == 0)
+        settings = (min(settings, key=lambda s: _fitted(counts, few, toxic, other, s)[1]),)
+    return _fitted(counts, sample, toxic, other, settings[0])[0]
+
+
+def _fitted(counts: DataFrame, sample: DataFrame, toxic: float, other: float, setting: tuple[float, float, float]) -> tuple[Lexicon, float]:
+    """The lexicon of ``counts``, calibrated on ``sample``, and the loss there."""
+    prior, least_z, drift = setting
     # those that pass as counted, or without one of the documents they are in
-    passes = [F.abs(_rate(t, o, toxic, other, F)[1]) > Z for t, o in _views(F.col("toxic"), F.col("other"), F.greatest)]
-    size = F.abs(_rate(F.col("toxic"), F.col("other"), toxic, other, F)[1])
-    picked = (counts.where(passes[0] | passes[1] | passes[2]).orderBy(size.desc(), "feature").limit(MAX_WORDS)
-              .toArrow())
+    passes = [F.abs(_rate(t, o, toxic, other, prior, F)[1]) > least_z for t, o in _views(F.col("toxic"), F.col("other"), F.greatest)]
+    picked = counts.where(passes[0] | passes[1] | passes[2]).toArrow()
     names, seen = [bytes(x) for x in picked.column("feature").to_pylist()], [picked.column(n).to_numpy() for n in ("toxic", "other")]
     models = []
     for t, o in _views(*seen, np.maximum):
-        score, z = _rate(t, o, toxic, other, np)
-        models.append(Lexicon({names[i]: float(score[i]) - DRIFT for i in np.flatnonzero(np.abs(z) > Z)}, DRIFT))
+        score, z = _rate(t, o, toxic, other, prior, np)
+        models.append(Lexicon({names[i]: float(score[i]) - drift for i in np.flatnonzero(np.abs(z) > least_z)}, drift))
     model, without = models[0], (models[2], models[1])  # by label: what the other documents teach
     values, times = _clean_scores(sample, without[0])
-    if (mean := float((values * times).sum() / times.sum())) > -DRIFT / 2:  # keep a clean word's mean score negative
-        more = mean + DRIFT / 2
+    if (mean := float((values * times).sum() / times.sum())) > -drift / 2:  # keep a clean word's mean score negative
+        more = mean + drift / 2
         for m in models:
-            m.entries, m.drift = {w: v - more for w, v in m.entries.items()}, DRIFT + more
+            m.entries, m.drift = {w: v - more for w, v in m.entries.items()}, drift + more
         values = values - more
     rate = extreme_rate(values, times / times.sum())
     for m in models:
@@ -252,8 +264,10 @@ def fit(sample: DataFrame) -> Lexicon:
     # one row per thousandth of the logarithm, some ten thousand at most
     rows = (best.select("toxic", "weight", F.round(F.when(F.col("n") > 0, F.log1p(evidence)).otherwise(0.0), 3).alias("x"))
             .groupBy("x", "toxic").agg(F.round(F.sum("weight"), 6).alias("times")).orderBy("x", "toxic").collect())
-    model.logistic = fit_logistic(*(np.array([float(r[c]) for r in rows]) for c in ("x", "toxic", "times")))
-    return model
+    x, y, times = (np.array([float(r[c]) for r in rows]) for c in ("x", "toxic", "times"))
+    model.logistic = a, b = fit_logistic(x, y, times)
+    p = np.clip(1 / (1 + np.exp(-np.clip(a + b * x, -30, 30))), 1e-6, 1 - 1e-6)
+    return model, round(float(-(times * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() / max(1e-9, times.sum())), 6)
 
 
 def _clean_scores(sample: DataFrame, model: Lexicon) -> tuple[np.ndarray, np.ndarray]:
@@ -269,10 +283,13 @@ def _clean_scores(sample: DataFrame, model: Lexicon) -> tuple[np.ndarray, np.nda
                 total.update(dict(zip(values.tolist(), (n * weight).tolist(), strict=True)))
         yield pa.RecordBatch.from_arrays([pa.array(total.keys(), pa.float64()), pa.array(total.values(), pa.float64())], names=["score", "n"])
 
-    rows = sample.where("not toxic").select("body", "weight").mapInArrow(run, "score double, n double").groupBy("score").agg(F.sum("n").alias("n")).collect()
-    times = Counter({r["score"]: float(r["n"]) for r in rows})
-    times.update(dict.fromkeys([-model.drift, *model.entries.values()], 0.5))
-    return np.array(list(times.keys())), np.array(list(times.values()))
+    rows = (sample.where("not toxic").select("body", "weight").mapInArrow(run, "score double, n double")
+            .groupBy("score").agg(F.round(F.sum("n"), 6).alias("n")).orderBy("score").collect())
+    times = {r["score"]: float(r["n"]) for r in rows}
+    for score in (-model.drift, *model.entries.values()):
+        times[score] = times.get(score, 0.0) + 0.5
+    scores = sorted(times)
+    return np.array(scores), np.array([times[s] for s in scores])
 
 
 def _best(sample: DataFrame, without: tuple[Lexicon, Lexicon]) -> Callable:

@@ -38,6 +38,44 @@ def test_segments_against_definition():
         assert np.allclose([s for *_, s in got], [s for *_, s in want])
 
 
+def test_scan_is_linear():
+    """Candidates that pile up: falling totals, alternating signs, and one late segment that joins all."""
+    import time
+    n = 200_000
+    shapes = [[(3 * i, 1.0) for i in range(n)], [(2 * i, 1.0 if i % 2 else -0.5) for i in range(n)], [(2 * i, 0.1) for i in range(n)] + [(2 * n, 1e9)],
+              [(i, 1.0 / (i + 1) if i % 2 else -1.0 / (i + 1)) for i in range(n)]]
+    for marked in shapes:
+        began = time.process_time()
+        X.segments(marked, 0.9)
+        assert time.process_time() - began < 2
+    random.seed(4)
+    marked = [(i, random.choice([1.0, -1.0, 2.0, -2.0])) for i in range(120)]
+    whole = [s for _, s in marked]
+    assert [(a, b) for a, b, _ in X.segments(marked, 0.0)] == [(a, b) for a, b, _ in plain_segments(whole)]
+
+
+def test_score_by_hand(monkeypatch):
+    """The score of a text from its words, segments and evidence by their definitions."""
+    entries = {b"vile ": 3.0, b"vil": 1.5, b"fool": 2.0, b"kind ": -2.0}
+    model = X.Lexicon(entries, 1.0, rate=0.7, log_k=-1.0, logistic=(-3.0, 1.2))
+
+    def plain(word):
+        keys = [word + b" "] + [word[:n] for n in range(9, 2, -1) if len(word) >= n]
+        return next((entries[k] for k in keys if k in entries), -1.0)
+
+    rng = random.Random(6)
+    monkeypatch.setattr(X, "KNOWN_WORDS", 3)
+    for _ in range(60):
+        text = " ".join(rng.choice(["vile", "vilest", "Foolish", "foo", "kind", "kindly", "a", "b"]) for _ in range(rng.randint(1, 14)))
+        words = text.lower().encode().split()
+        n, found = model.found(text.encode())
+        segments = plain_segments([plain(w) for w in words])
+        rated = [0.7 * s + 1.0 - math.log(len(words)) for *_, s in segments]
+        evidence = sum(e for e in rated if e > -math.log(0.05))
+        want = 1 / (1 + math.exp(3.0 - 1.2 * math.log1p(evidence)))
+        assert n == len(words) and abs(model.score(model.significant(n, found)) - want) < 1e-9
+
+
 def test_extreme_rate_solves_its_equation():
     scores, shares = np.array([-0.1, 2.0, 5.0]), np.array([0.97, 0.02, 0.01])
     scores[0] = -0.2
