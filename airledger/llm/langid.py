@@ -1,23 +1,27 @@
 """Language identification by interpolated Kneser-Ney character models.
 
-Texts are lower-cased; a run of characters that are not letters is one space. Every language has
+Texts are lower-cased; a run of characters that are neither letters nor marks on them is one space.
+Characters are UTF-16 code units, so a 4-gram is 64 bits whatever the script. Every language has
 a model of order ORDER: the probability of a character after the three before it is discounted
 and interpolated with that of the shorter context, whose counts are the numbers of distinct
 characters seen before it (Kneser-Ney), down to a uniform share. A text goes to the language of
 the lowest cross-entropy per character.
 
-Counting covers every training document: tasks count packed 4-grams (16 bits a character) in
-numpy, Spark adds the counts and derives all lower orders, contexts, discounts and weights by
-grouping. What the tasks get is one sorted hash array per language, order and table (grams:
-discounted share; contexts: weight of the shorter one). Grams are hashed into 2^bits slots, with
-bits chosen so that all arrays together hold about MODEL_ROWS entries at most, however many
-grams there are and for up to MAX_LANGUAGES languages (more are an error); that bounds the
-broadcast. Grams that share a slot share the larger value.
+Counting covers every training document: tasks count packed 4-grams in numpy, Spark adds the counts
+and derives all lower orders, contexts, discounts and weights by grouping. The model keeps every
+gram and context, exactly: one sorted array of 64-bit keys, with values, per language and
+order (grams: discounted share; contexts: weight of the shorter one).
 
-Rejection. Documents of a calibration fold, which the counts leave out, give the distribution of
+Bound of the broadcast. What a 4-gram's probability needs of any order shares the character before the
+last. So the model is cut into blocks by that character (hashed), about MODEL_ROWS entries each;
+only the few entries of single characters are in all blocks. Each block is broadcast for a
+pass of its own, which adds the logarithms of the grams it knows to the texts' sums, stored in between, so one block is
+there at a time. A small model is one block.
+
+Rejection. A model of folds 0 and 1 scores the documents of fold 3, which gives the distribution of
 the cross-entropy of each language's own texts; a text above its language's REJECT quantile is
-marked rejected, whatever language came out best. The score is the softmax of the languages'
-log-likelihoods over at most SCORE_CHARS characters.
+marked rejected, whatever language came out best. Predictions come from a model of folds 0, 1 and 3. The score is the softmax of the languages'
+log-likelihoods, over the root of the number of characters, as neighbouring characters are far from independent.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; null languages
 teach nothing; null ids hash as the empty text; without training documents every text is
@@ -26,8 +30,7 @@ teach nothing; null ids hash as the empty text; without training documents every
 
 from __future__ import annotations
 
-import math
-import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -37,48 +40,34 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airledger.llm.common import map_texts, stored
+from airledger.llm.common import Kept, map_texts, stored
 
 ORDER = 4
-MODEL_ROWS, MAX_LANGUAGES = 1 << 23, 2048
+MODEL_ROWS = 1 << 22
 REJECT = 0.995
-SCORE_CHARS = 40
 GROUP = 64
 FLUSH = 1 << 20
 UNKNOWN = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
-_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (  # fixed values: the primes of XXH64
-    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-
-
-def hashed(values: np.ndarray) -> np.ndarray:
-    """XXH64 (seed 42) of each 64-bit value, as Spark's xxhash64 of a long."""
-    turn = lambda x, r: (x << np.uint64(r)) | (x >> np.uint64(64 - r))
-    with np.errstate(over="ignore"):
-        h = np.uint64(42) + _P5 + np.uint64(8)
-        h = h ^ (turn(values.astype(np.uint64) * _P2, 31) * _P1)
-        h = turn(h, 27) * _P1 + _P4
-        h = (h ^ (h >> np.uint64(33))) * _P2
-        h = (h ^ (h >> np.uint64(29))) * _P3
-        return h ^ (h >> np.uint64(32))
-
 
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
-    return np.array([chr(c).isalpha() for c in range(1 << 16)])
+    """Letters and the marks that go with them, of all code points."""
+    return np.array([unicodedata.category(chr(c))[0] in "LM" for c in range(0x110000)])
 
 
 def grams(text: str) -> np.ndarray:
-    """The packed 4-gram that ends at each character of the normalised text."""
+    """The packed 4-gram that ends at each UTF-16 code unit of the normalised text."""
     code = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    letter = (code > 0xFFFF) | _letters()[code & 0xFFFF]
+    letter = _letters()[code]
     keep = letter.copy()
     keep[1:] |= letter[:-1]  # of a run of others, the first stands for a space
-    kept = np.where(letter, code & 0xFFFF, 0x20)[keep].astype(np.uint64)
+    kept = np.where(letter, code, 0x20)[keep]
+    if (kept > 0xFFFF).any():
+        kept = np.frombuffer(kept.astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass").encode("utf-16-le", "surrogatepass"), dtype=np.uint16)
     if not len(kept):
-        return kept
-    padded = np.concatenate((np.full(ORDER - 1, 0x20, dtype=np.uint64), kept))
+        return np.zeros(0, dtype=np.uint64)
+    padded = np.concatenate((np.full(ORDER - 1, 0x20, dtype=np.uint64), kept.astype(np.uint64)))
     out = np.zeros(len(kept), dtype=np.uint64)
     for i in range(ORDER):
         out = out << np.uint64(16) | padded[i:i + len(kept)]
@@ -115,8 +104,8 @@ def _low(gram: Column, chars: int) -> Column:
     return gram.bitwiseAND(F.lit((1 << 16 * chars) - 1))
 
 
-def kneser_ney(counts: DataFrame, bits: int) -> DataFrame:
-    """(lang, grade, slot, value): grade n is the discounted share of n-grams, grade 10 + n the
+def kneser_ney(counts: DataFrame) -> DataFrame:
+    """(lang, grade, item, value): grade n is the discounted share of n-grams, grade 10 + n the
     weight that their contexts give to the order below."""
     tables, level = [], counts
     for order in range(ORDER, 0, -1):
@@ -135,96 +124,126 @@ def kneser_ney(counts: DataFrame, bits: int) -> DataFrame:
     rows = tables[0]
     for t in tables[1:]:
         rows = rows.union(t)
-    slot = F.xxhash64("item").bitwiseAND(F.lit((1 << bits) - 1))
-    return rows.groupBy("lang", "grade", slot.alias("slot")).agg(F.max("value").alias("value"))
+    return rows
+
+
+def _before_last(item: Column, grade: Column) -> Column:
+    """The character before the last of the 4-grams that need an entry; null: all need it."""
+    char = lambda x: _low(x, 1)
+    return F.when(grade.isin(1, 11), None).when(grade < 10, char(F.shiftrightunsigned(item, 16))).otherwise(char(item))
 
 
 class Model:
-    """Per language and grade the sorted slots and their values."""
+    """Languages, the size of the alphabet, and the stored entries (lang, grade, item, value, part) in
+    ``parts`` blocks; those without a part belong to all."""
+
+    def __init__(self, langs: list[str], alphabet: int, entries: DataFrame | None, parts: int):
+        self.langs, self.alphabet, self.entries, self.parts = langs, alphabet, entries, parts
+
+    def block(self, part: int) -> "Block":
+        rows = self.entries.where(F.col("part").isNull() | (F.col("part") == part)).select("lang", "grade", "item", "value").toArrow()
+        at = {n: rows.column(n).to_numpy() for n in ("lang", "grade", "item", "value")}
+        items = at["item"].view(np.uint64)
+        order = np.lexsort((items, at["grade"], at["lang"]))
+        place, arrays = at["lang"][order].astype(np.int64) * 100 + at["grade"][order], {}
+        for key in np.unique(place).tolist():
+            a, b = np.searchsorted(place, [key, key + 1])
+            arrays[divmod(key, 100)] = items[order[a:b]], at["value"][order[a:b]]
+        return Block(len(self.langs), self.alphabet, arrays, part, self.parts)
 
-    def __init__(self, langs: list[str], bits: int, arrays: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]], alphabet: int):
-        self.langs, self.bits, self.arrays, self.alphabet = langs, bits, arrays, alphabet
 
-    def _look(self, lang: int, grade: int, slots: np.ndarray, missing: float) -> np.ndarray:
-        keys, values = self.arrays.get((lang, grade), (np.zeros(0, np.int64), np.zeros(0, np.float32)))
+def part_of(char: np.ndarray, parts: int) -> np.ndarray:
+    return (char.astype(np.int64) * 40_503 >> 4) % parts  # as in fit()
+
+
+class Block:
+    """By language and grade the sorted items and their values."""
+
+    def __init__(self, langs: int, alphabet: int, arrays: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]], part: int, parts: int):
+        self.langs, self.alphabet, self.arrays, self.part, self.parts = langs, alphabet, arrays, part, parts
+
+    def _look(self, lang: int, grade: int, items: np.ndarray, missing: float) -> np.ndarray:
+        keys, values = self.arrays.get((lang, grade), (np.zeros(0, np.uint64), np.zeros(0, np.float32)))
         if not len(keys):
-            return np.full(len(slots), missing)
-        at = np.minimum(np.searchsorted(keys, slots), len(keys) - 1)
-        return np.where(keys[at] == slots, values[at], missing)
+            return np.full(len(items), missing)
+        at = np.minimum(np.searchsorted(keys, items), len(keys) - 1)
+        return np.where(keys[at] == items, values[at], missing)
 
     def log_probabilities(self, items: np.ndarray) -> np.ndarray:
-        """(grams, languages): natural logarithm of each 4-gram's last character's probability."""
-        mask = np.uint64((1 << self.bits) - 1)
-        slots = {}
-        for n in range(1, ORDER + 1):
-            low = items if n == ORDER else items & np.uint64((1 << 16 * n) - 1)
-            slots[n] = (hashed(low) & mask).astype(np.int64), (hashed(low >> np.uint64(16)) & mask).astype(np.int64)
-        out = np.empty((len(items), len(self.langs)))
-        for lang in range(len(self.langs)):
+        """(grams, languages): natural logarithm of each 4-gram's last character's probability; 0 for grams of other blocks."""
+        mine = np.flatnonzero(part_of(items >> np.uint64(16) & np.uint64(0xFFFF), self.parts) == self.part) if self.parts > 1 else np.arange(len(items))
+        out, items = np.zeros((len(items), self.langs)), items[mine]
+        lows = {n: items if n == ORDER else items & np.uint64((1 << 16 * n) - 1) for n in range(1, ORDER + 1)}
+        for lang in range(self.langs):
             p = np.full(len(items), 1.0 / self.alphabet)
-            for n in range(1, ORDER + 1):
-                gram, context = slots[n]
-                p = np.minimum(1.0, self._look(lang, n, gram, 0.0) + self._look(lang, 10 + n, context, 1.0) * p)
-            out[:, lang] = np.log(p)
+            for n, low in lows.items():
+                p = np.minimum(1.0, self._look(lang, n, low, 0.0) + self._look(lang, 10 + n, low >> np.uint64(16), 1.0) * p)
+            out[mine, lang] = np.log(p)
         return out
 
-    def entropies(self, texts: list[str]) -> list[np.ndarray | None]:
-        """Per text the languages' cross-entropies in nats a character and the characters."""
+    def sums(self, texts: list[str]) -> list[tuple[np.ndarray, int]]:
+        """Per text the languages' sums of logarithms over this block's grams, and the text's characters."""
         parts = [grams(t) for t in texts]
         every, where = np.unique(np.concatenate([*parts, np.zeros(0, np.uint64)]), return_inverse=True)
         logs, out, at = self.log_probabilities(every), [], 0
         for part in parts:
-            here = where[at:at + len(part)]
-            out.append(np.append(-logs[here].mean(axis=0), len(part)) if len(part) else None)
+            out.append((logs[where[at:at + len(part)]].sum(axis=0), len(part)))
             at += len(part)
         return out
 
 
-def fit(texts: DataFrame, lang: str = "lang", text: str = "text") -> Model:
-    """The model of all rows of ``texts`` with a language."""
-    counts = stored(count_grams(texts, lang, text), "counts")
+def fit(counts: DataFrame) -> Model:
+    """The model of (lang, gram, n)."""
     langs = sorted(r[0] for r in counts.select("lang").distinct().collect())
     if not langs:
-        return Model([], 1, {}, 2)
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"{len(langs)} languages; MODEL_ROWS bounds the models of {MAX_LANGUAGES} at most")
-    bits = int(math.log2(max(256, MODEL_ROWS // (2 * ORDER * len(langs)))))
+        return Model([], 2, None, 1)
     alphabet = counts.select(_low(F.col("gram"), 1)).distinct().count() + 1
     number = F.create_map(*[x for i, name in enumerate(langs) for x in (F.lit(name), F.lit(i))])
-    rows = kneser_ney(counts, bits).select(number[F.col("lang")].alias("lang"), "grade", "slot", F.col("value").cast("float")).toArrow()
-    at = {n: rows.column(n).to_numpy() for n in ("lang", "grade", "slot", "value")}
-    order = np.lexsort((at["slot"], at["grade"], at["lang"]))
-    arrays = {}
-    for i in range(len(langs)):
-        for grade in (*range(1, ORDER + 1), *range(11, ORDER + 11)):
-            mine = order[(at["lang"][order] == i) & (at["grade"][order] == grade)]
-            arrays[i, grade] = at["slot"][mine], at["value"][mine]
-    return Model(langs, bits, arrays, alphabet)
+    rows = stored(kneser_ney(counts).select(number[F.col("lang")].alias("lang"), "grade", "item", F.col("value").cast("float").alias("value"),
+                                            _before_last(F.col("item"), F.col("grade")).alias("char")), "model")
+    parts = max(1, -(-rows.count() // MODEL_ROWS))
+    part = F.shiftright(F.col("char") * 40_503, 4) % parts
+    return Model(langs, alphabet, rows.select("lang", "grade", "item", "value", part.cast("int").alias("part")), parts)
 
 
-_OUT = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("cross_entropy", T.DoubleType())]
+_SUMS = [T.StructField("__sums", T.ArrayType(T.DoubleType())), T.StructField("__chars", T.LongType())]
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` (or its columns ``keep``), lang_pred, score, cross_entropy (of the best)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    langs = model.langs
+    names = list(docs.columns if keep is None else keep)
+    rows = docs.select(*[docs[c].alias(f"__k{i}") for i, c in enumerate(names)], docs[text].alias("__text"))
+    kept = [f"__k{i}" for i in range(len(names))]
+    for part in range(model.parts if langs else 0):
+        shared = docs.sparkSession.sparkContext.broadcast(model.block(part))
+        last = part + 1 == model.parts
+
+        def make(shared=shared) -> Callable:  # noqa: ANN001
+            def several(group: list[tuple]) -> list[tuple]:
+                out = []
+                for (_, before), (more, chars) in zip(group, shared.value.sums([t or "" for t, _ in group]), strict=True):
+                    out.append(((more if before is None else more + np.array(before)).tolist(), chars))
+                return out
+            return several
+
+        before = rows["__sums"] if part else F.lit(None).cast("array<double>")
+        rows = map_texts(rows, [Kept("__text"), before], _SUMS, make, [*kept, "__text"], group=GROUP)
+        if not last:
+            rows = stored(rows, "sums")
+            shared.unpersist()
 
-    def make() -> Callable:
-        m = shared.value
-
-        def one(text: str | None, found: np.ndarray | None) -> tuple:
-            if found is None or not m.langs or not _LETTER.search(text or ""):
-                return UNKNOWN, 0.0, None
-            entropy, chars = found[:-1], found[-1]
-            best = int(entropy.argmin())
-            odds = np.exp(-(entropy - entropy[best]) * min(chars, SCORE_CHARS))
-            return m.langs[best], float(1 / odds.sum()), float(entropy[best])
-
-        def several(rows: list[tuple]) -> list[tuple]:
-            return [one(t, found) for (t,), found in zip(rows, m.entropies([t or "" for t, in rows]), strict=True)]
-        return several
-
-    return map_texts(docs, [docs[text]], _OUT, make, keep, group=GROUP)
+    if not langs:
+        rows = rows.select("*", F.lit(None).cast("array<double>").alias("__sums"), F.lit(0).cast("long").alias("__chars"))
+    entropy = F.transform("__sums", lambda s: -s / F.col("__chars"))
+    known = F.when(F.rlike("__text", F.lit(r"\p{L}")) & (F.col("__chars") > 0), entropy)
+    rows = rows.select(*kept, "__chars", known.alias("__entropy"))
+    least = F.array_min("__entropy")
+    odds = F.aggregate(F.transform("__entropy", lambda e: F.exp((F.col("__least") - e) * F.sqrt("__chars"))), F.lit(0.0), lambda a, x: a + x)
+    rows = rows.withColumn("__least", least)
+    name = F.get(F.array(*map(F.lit, langs)) if langs else F.array().cast("array<string>"), (F.array_position("__entropy", F.col("__least")) - 1).cast("int"))
+    return rows.select(*[F.col(k).alias(c) for k, c in zip(kept, names, strict=True)], F.coalesce(name, F.lit(UNKNOWN)).alias("lang_pred"),
+                       F.coalesce(1 / odds, F.lit(0.0)).alias("score"), F.col("__least").alias("cross_entropy"))
 
 
 def fold(key: Column, folds: int = 4) -> Column:
@@ -233,12 +252,13 @@ def fold(key: Column, folds: int = 4) -> Column:
 
 def language_report(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """Per document: key, held_out, lang_pred, score, cross_entropy, rejected. Fold 2 of 4 is held
-    out; folds 0 and 1 are counted; fold 3 calibrates the rejection."""
+    out; a model of folds 0 and 1 calibrates the rejection on fold 3; one of folds 0, 1 and 3 predicts."""
     rows = docs.select(F.col(key).alias("__key"), F.col(text).alias("__text"), F.col(lang).alias("__lang"), fold(F.col(key)).alias("__fold"))
-    model = fit(rows.where("__fold < 2"), "__lang", "__text")
-    judged = stored(identify(rows, model, "__text", ["__key", "__lang", "__fold"]), "languages")
-    limits = (judged.where("__fold = 3 and __lang is not null and __lang = lang_pred").groupBy(F.col("__lang").alias("lang_pred"))
-              .agg(F.percentile_approx("cross_entropy", REJECT, 10_000).alias("limit")))
-    return judged.join(F.broadcast(limits), "lang_pred", "left").select(  # a row per language
+    taught, own = (stored(count_grams(rows.where(w), "__lang", "__text"), "counts") for w in ("__fold < 2", "__fold = 3"))
+    judged = identify(rows.where("__fold = 3 and __lang is not null"), fit(taught), "__text", ["__lang"])
+    limits = stored(judged.where("__lang = lang_pred").groupBy("lang_pred").agg(F.percentile_approx("cross_entropy", REJECT, 10_000).alias("limit")), "limits")
+    whole = stored(taught.unionByName(own).groupBy("lang", "gram").agg(F.sum("n").alias("n")), "counts")
+    out = identify(rows, fit(whole), "__text", ["__key", "__fold"])
+    return out.join(F.broadcast(limits), "lang_pred", "left").select(  # a row per language
         F.col("__key").alias(key), (F.col("__fold") == 2).alias("held_out"), "lang_pred", "score", "cross_entropy",
         F.coalesce(F.col("cross_entropy") > F.col("limit"), F.lit(False)).alias("rejected"))
