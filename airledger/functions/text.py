@@ -2,16 +2,18 @@
 
 Every preset is one chain of built-in functions (``lower``, ``translate``,
 ``regexp_replace``), so nothing leaves the JVM. Accent removal is Unicode's compatibility
-decomposition (NFKD) with combining marks dropped, over all code points. Characters that fold to
-one character or to none are a ``translate``; that leaves most texts in ASCII. Where others
-remain, those that fold to several characters (ligatures, fractions, Hangul syllables) are
-replaced one by one.
+decomposition (NFKD) with combining marks dropped, over all code points. A text takes the first of
+these ways that does: one in ASCII has nothing to fold; one that a small ``translate`` of the Latin
+letters and the combining marks leaves in ASCII is done; in others all characters that fold to one
+character or to none are a ``translate``, and those that fold to several (ligatures, fractions,
+Hangul syllables) are replaced one by one.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
@@ -37,7 +39,32 @@ def ws_class(extra_body: str = "") -> str:
 
 
 WS_CLASS = ws_class()
-_INNER_WS = WS_CLASS + "+"
+
+#: The same for a text in ASCII, several times faster again.
+_ASCII_WS_BODY = r" \t-\r\x1C-\x1F"
+
+
+def _runs(body: str, extra: str) -> str:
+    """Runs of the class but for single spaces, which stay as they are: so a match is found where
+    something changes, not at every space."""
+    whole = f"[{body}{extra}]"
+    return f"[{body}{extra}&&[^ ]]{whole}*| {whole}+"
+
+
+def collapse_runs(c: Column, extra: str = "") -> Column:
+    """Each run of whitespace and of the characters of ``extra`` (a character-class body) as one space."""
+    return let(c, lambda x: F.when(is_ascii(x), F.regexp_replace(x, _runs(_ASCII_WS_BODY, extra), " "))
+               .otherwise(F.regexp_replace(x, f"(?U:{_runs(_WS_BODY, extra)})", " ")))
+
+
+def let(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of the value of ``c``, which is computed once however often it is used."""
+    return F.get(F.transform(F.array(c), use), 0)
+
+
+def is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
+
 
 def _fold(text: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
@@ -87,14 +114,31 @@ def strip_ws(c: Column) -> Column:
 
 def collapse_ws(c: Column) -> Column:
     """Python ``" ".join(s.split())``: whitespace runs become one space, ends stripped."""
-    return strip_ws(F.regexp_replace(c, _INNER_WS, " "))
+    return strip_ws(collapse_runs(c))
+
+
+#: The Latin letters with marks, and the combining marks: what texts in Latin scripts hold.
+_LATIN_BLOCKS = ((0xC0, 0x24F), (0x300, 0x36F), (0x1E00, 0x1EFF))
+
+
+@lru_cache(maxsize=1)
+def latin_table() -> tuple[str, str]:
+    """(from, to) for ``translate``, of those characters of _LATIN_BLOCKS that fold to one or to none."""
+    src, dst, _ = fold_tables()
+    of = dict(zip(src, dst))  # those that are deleted stand last and have no partner
+    inside = [ch for ch in src if any(lo <= ord(ch) <= hi for lo, hi in _LATIN_BLOCKS)]
+    kept = [ch for ch in inside if ch in of]
+    return "".join(kept + [ch for ch in inside if ch not in of]), "".join(of[ch] for ch in kept)
 
 
 def remove_accents(c: Column) -> Column:
     """NFKD without combining marks."""
-    src, dst, _ = fold_tables()
-    once = F.translate(c, src, dst)
-    rare = (F.octet_length(once) > F.length(once)) & once.rlike(_several_class())
+    return let(c, lambda x: F.when(is_ascii(x), x).otherwise(
+        let(F.translate(x, *latin_table()), lambda y: F.when(is_ascii(y), y).otherwise(let(F.translate(y, *fold_tables()[:2]), _fold_several)))))
+
+
+def _fold_several(once: Column) -> Column:
+    rare = ~is_ascii(once) & once.rlike(_several_class())
     letters = F.regexp_extract_all(once, F.lit("(?s)."), F.lit(0))
     return F.when(rare, F.array_join(F.transform(letters, _fold_letter), "")).otherwise(once)
 
@@ -144,8 +188,7 @@ def normalize_text(
     if to_space:
         # Separators become spaces and whitespace runs collapse in one pass: a run of
         # separators and whitespace is one space either way.
-        run = ws_class(_escape_class(to_space)) + "+"
-        return strip_ws(F.regexp_replace(out, run, " "))
+        return strip_ws(collapse_runs(out, _escape_class(to_space)))
     return collapse_ws(out)
 
 

@@ -18,10 +18,26 @@ from airledger.functions import values as V
 from airledger.operators.tables import fixed_table
 
 def spread_missing(key: Column, df: DataFrame) -> Column:
-    """``key``, with each NULL replaced by a text that no dimension key can be and that differs
-    from row to row. A left join then gives such rows no match, as before, but does not send
-    all of them to one task when it shuffles."""
-    return F.coalesce(key, F.concat(F.lit("\0"), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("string")))
+    """``key``, with each NULL replaced by a text that no dimension key can be, made of a hash of the
+    row (maps have none and are left out). A left join then gives such rows no match, as before, and sends
+    unlike rows to different tasks when it shuffles; equal rows share one, which AQE's skew split takes apart."""
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.coalesce(key, F.concat(F.lit("\0"), F.xxhash64(*hashed).cast("string")))
+
+
+def _beside(df: DataFrame, key: Column, side: DataFrame, side_key: str) -> DataFrame:
+    """``df`` left joined to ``side`` on ``key``. The side's other columns come as ``_lookup_<name>``, so that
+    none of the caller's is touched; a caller's column of such a name is an error."""
+    taken = [c for c in df.columns if c.startswith("_lookup_")]
+    if taken:
+        raise ValueError(f"column names beginning with _lookup_ are kept for lookups: {taken}")
+    renamed = side.withColumnsRenamed({c: f"_lookup_{c}" for c in side.columns})
+    keyed = df.withColumn("_lookup_own", key)
+    return keyed.join(renamed, F.col("_lookup_own") == F.col(f"_lookup_{side_key}"), "left")
+
+
+def _without_lookup(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith("_lookup_")])
 
 
 def _fixed_dim(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -57,9 +73,8 @@ def pollutant_dim(spark: SparkSession, labels: list[tuple[str, str]] = fv.POLLUT
 def canon_label(df: DataFrame, col: str, out: str = "contaminante_canon", dim: DataFrame | None = None) -> DataFrame:
     """Canonical code of a free-text label through the T2 key; unmatched -> NULL."""
     side = _side(dim, pollutant_dim, df)
-    keyed = df.withColumn("_key", spread_missing(T.key_pollutant(F.col(col)), df))
-    return (keyed.join(side, on="_key", how="left")
-            .withColumnRenamed("code", out).drop("_key"))
+    joined = _beside(df, spread_missing(T.key_pollutant(F.col(col)), df), side, "_key")
+    return _without_lookup(joined.withColumn(out, F.col("_lookup_code")))
 
 
 # --- J4 pollutant id -> group ----------------------------------------------------------
@@ -75,8 +90,8 @@ def canon_id_group(df: DataFrame, id_col: str, out: str = "grupo_canonico", id_o
     """J4 + F3: integer id from text (``"44.0"`` -> 44), group by id, default group otherwise."""
     side = _side(dim, group_dim, df)
     keyed = df.withColumn(id_out, V.int_from_text(F.col(id_col)))
-    joined = keyed.join(side, keyed[id_out] == side["_id"], "left")
-    return joined.withColumn(out, F.coalesce(F.col("grupo"), F.lit(default))).drop("_id", "grupo")
+    joined = _beside(keyed, F.col(id_out), side, "_id")
+    return _without_lookup(joined.withColumn(out, F.coalesce(F.col("_lookup_grupo"), F.lit(default))))
 
 
 # --- J6 municipality spelling ----------------------------------------------------------
@@ -92,9 +107,8 @@ def canon_spelling(df: DataFrame, col: str, dim: DataFrame | None = None, out: s
     """Replace a name by its canonical spelling; unknown or missing names are kept."""
     side = _side(dim, municipality_dim, df)
     out = out or col
-    keyed = df.withColumn("_key", spread_missing(F.when(~V.is_na_word(F.col(col)), key_fn(F.col(col))), df))
-    joined = keyed.join(side, on="_key", how="left")
-    return joined.withColumn(out, F.coalesce(F.col("spelling"), F.col(col))).drop("_key", "spelling")
+    joined = _beside(df, spread_missing(F.when(~V.is_na_word(F.col(col)), key_fn(F.col(col))), df), side, "_key")
+    return _without_lookup(joined.withColumn(out, F.coalesce(F.col("_lookup_spelling"), F.col(col))))
 
 
 # --- J7 unmapped report ----------------------------------------------------------------
@@ -162,17 +176,13 @@ def add_activity(df: DataFrame, code_dim: DataFrame, columns: list[str] = fv.ACT
     """``actividad_canon`` is the preferred code when the dimension knows it;
     ``actividad_macro``: letter of the code, else (known codes only) the description's
     keyword sector, else OTHER."""
-    keyed = df.withColumn("_own_code", prefer_code(df, columns))
-    keyed = keyed.withColumn("_code", spread_missing(F.col("_own_code"), df))
-    joined = keyed.join(code_dim, on="_code", how="left")
-    known = F.col("_known").isNotNull()
+    code = prefer_code(df, columns)
+    joined = _beside(df, spread_missing(code, df), code_dim, "_code")
+    known = F.col("_lookup__known").isNotNull()
     letter_map = F.create_map(*[x for pair in fv.LETTER_MACRO for x in (F.lit(pair[0]), F.lit(pair[1]))])
-    macro = F.coalesce(F.try_element_at(letter_map, letter_of(F.col("_own_code"))),
-                       F.when(known, F.col("_kw")), F.lit(fv.DEFAULT_MACRO))
-    return (joined
-            .withColumn("actividad_canon", F.when(known, F.col("_code")))
-            .withColumn("actividad_macro", macro)
-            .drop("_code", "_own_code", "_kw", "_known"))
+    own = F.when(~F.startswith("_lookup_own", F.lit("\0")), F.col("_lookup_own"))
+    macro = F.coalesce(F.try_element_at(letter_map, letter_of(own)), F.when(known, F.col("_lookup__kw")), F.lit(fv.DEFAULT_MACRO))
+    return _without_lookup(joined.withColumns({"actividad_canon": F.when(known, F.col("_lookup__code")), "actividad_macro": macro}))
 
 
 def unmapped_codes(df: DataFrame, code_dim: DataFrame, columns: list[str] = fv.ACTIVITY_CODE_COLUMNS) -> DataFrame:
@@ -210,14 +220,11 @@ def fill_from_centre(df: DataFrame, centres: DataFrame, name_col: str = "comuna"
     """``latitud_nueva``/``longitud_nueva`` = own coordinate when usable, else the
     municipality centre (left join, NULL municipality never matches)."""
     dim = centre_dim(centres)
-    keyed = df.withColumn("_ckey", spread_missing(T.key_centre(F.col(name_col)), df))
-    joined = keyed.join(dim, on="_ckey", how="left")
+    joined = _beside(df, spread_missing(T.key_centre(F.col(name_col)), df), dim, "_ckey")
 
     def choose(orig: str, centre: str) -> Column:
         o = F.col(orig) if orig in df.columns else F.lit(None).cast("string")
         return F.when(V.is_na_word(o), F.col(centre)).otherwise(o)
 
-    return (joined
-            .withColumn("latitud_nueva", choose(lat_col, "latitud_centro"))
-            .withColumn("longitud_nueva", choose(lon_col, "longitud_centro"))
-            .drop("_ckey", "latitud_centro", "longitud_centro"))
+    return _without_lookup(joined.withColumns({"latitud_nueva": choose(lat_col, "_lookup_latitud_centro"),
+                                               "longitud_nueva": choose(lon_col, "_lookup_longitud_centro")}))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from airledger.functions import text as T
@@ -102,3 +103,20 @@ def test_centre_dim_picks_smallest_coordinates(spark):
                                     "comuna string, latitud string, longitud string")
     got = {r._ckey: (r.latitud_centro, r.longitud_centro) for r in L.centre_dim(centres).collect()}
     assert got == {"nunoa": (None, "-70.9"), "maipu": ("-33.5", None)}
+
+
+def test_columns_named_like_helpers_stay(spark):
+    """Columns that the dimensions have too keep their values; a map column and repeated null rows do no harm."""
+    df = spark.createDataFrame([(1, "NOx", "mine", "k", "s", "g", "l", {"a": 1}), (2, None, "mine", "k", "s", "g", "l", None), (2, None, "mine", "k", "s", "g", "l", None)],
+                               "id long, etiqueta string, code string, _key string, spelling string, grupo string, latitud_centro string, m map<string,int>")
+    kept = ["id", "code", "_key", "spelling", "grupo", "latitud_centro"]
+    want = sorted(map(tuple, df.select(kept).collect()))
+    dim = L.pollutant_dim(spark)
+    centres = spark.createDataFrame([("NOx", "1", "2")], "comuna string, latitud string, longitud string")
+    codes = L.activity_code_dim(spark.createDataFrame([("NOx", "minas", 1)], "codigo string, descripcion string, pos int"), "pos")
+    for out in (L.canon_label(df, "etiqueta", dim=dim), L.canon_id_group(df, "etiqueta"), L.canon_spelling(df, "etiqueta", out="x"),
+                L.fill_from_centre(df, centres, "etiqueta"), L.add_activity(df, codes, ["etiqueta"])):
+        assert not [c for c in out.columns if c.startswith("_lookup_")] and len(set(out.columns)) == len(out.columns)
+        assert sorted(map(tuple, out.select(kept).collect())) == want
+    with pytest.raises(ValueError, match="_lookup_"):
+        L.canon_label(df.withColumn("_lookup_x", F.lit(1)), "etiqueta")
