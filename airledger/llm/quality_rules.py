@@ -1,23 +1,28 @@
 """Quality rules with risk-controlled thresholds.
 
-Each rule rejects a text whose ratio lies above a cutoff. The cutoffs come from labelled
-documents: with the label as a holdout, the share of good documents (label 1) that a cutoff
-rejects has an exact binomial (Clopper-Pearson) upper bound, and a cutoff is used only if that
-bound is under the rule's share of ``false_rejection``. So in each stratum the union of all rules
-rejects at most that share of good documents, with probability 1 - ``error``.
-
-Multiple testing: the error is split over all (stratum, rule) pairs (Bonferroni), and within a
-pair cutoffs are tested in a fixed order from the most lenient to the strictest, stopping at
-the first that fails (fixed-sequence testing needs no further correction). A stratum without
-enough good labels for its bound gets no cutoffs, so there only the base rule rejects.
+Each rule rejects a text whose ratio lies above a cutoff. A stratum's cutoffs are one rung of a
+ladder: on every rung each rule has a cutoff, and each rung is at least as strict in all rules as
+the one before. A rung is tested as a whole: of the labelled good documents (label 1), the holdout, the share
+that any rule rejects there has an exact binomial (Clopper-Pearson) upper bound, and a rung may be used
+only if that bound is at most ``false_rejection``. So in each stratum the rules together reject at most that
+share of good documents, in all strata at once with probability 1 - ``error``.
+
+Multiple testing: the error is split over the strata (Bonferroni), and within a stratum the rungs
+are tested in a fixed order from the most lenient to the strictest, stopping at the first that
+fails (fixed-sequence testing needs no further correction). At 2 % and 5 % over four strata 217 good
+labels are enough for a first rung; a stratum with fewer gets no cutoffs, so there only the base rule rejects.
+
+The ladder comes from the documents without a label, so it does not depend on the holdout: on rung j
+each rule's cutoff leaves a share of TOP * 2 ** -((RUNGS - 1 - j) / 4) of them above it. Ratios are
+counted in bins, BINS_PER_DOUBLING to a doubling, so small ratios have cutoffs as fine as large ones.
 
 At scale: one pass measures all texts into a narrow table; labelled rows are joined to that, not
-to texts; per (stratum, rule) a table of at most GRID counts is pre-aggregated in Spark, and
-each pair's test sees only those counts.
+to texts; what a stratum's ladder and test see are counts by bin and by rung, pre-aggregated in Spark.
 
 Defined cases: a null or empty text has no words and fails the base rule; a null stratum is a
-stratum of its own; a key with several labels counts as good if one of them is; null labels are
-no labels; without labels there are no cutoffs; an empty table gives an empty result.
+stratum of its own; a key with several labels counts as good if one of them is, and as one draw,
+however many documents have it (the first in order of stratum and bins); null labels are
+no labels; without labels, or in a stratum without unlabelled documents, there are no cutoffs; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,7 +39,9 @@ from airledger.llm.common import Kept, map_texts, stored
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 FALSE_REJECTION, ERROR = 0.02, 0.05
-GRID = 64
+RUNGS, TOP = 48, 0.25
+#: Ratios from 2 ** -LEAST_POWER on have bins of their own; those below share the first, 0 is bin 0.
+BINS_PER_DOUBLING, LEAST_POWER = 8, 12
 #: Strata whose cutoffs may be broadcast; above it the join is left to the optimizer.
 BROADCAST_STRATA = 10_000
 
@@ -115,43 +122,76 @@ def binomial_upper(k: int, n: int, error: float) -> float:
     return high
 
 
-def choose_step(counts: list[int], n: int, limit: float, error: float) -> int | None:
-    """counts[i]: good documents with a ratio in step i (of GRID); the smallest i such that
-    'reject above step i' passes, and all larger steps too. None if none passes."""
+def choose_rung(counts: list[int], n: int, limit: float, error: float) -> int | None:
+    """counts[j]: good documents that rung j is the first to reject; the last rung of those that
+    pass before the first that fails. None if none passes."""
     best, rejected = None, 0
-    for step in range(GRID - 1, -1, -1):
-        if binomial_upper(rejected, n, error) > limit:
+    for rung, more in enumerate(counts):
+        rejected += more
+        if not n or binomial_upper(rejected, n, error) > limit:
             break
-        best = step
-        rejected += counts[step]
+        best = rung
     return best
 
 
+def ladder(counts: dict[int, int]) -> list[int]:
+    """A rule's cutoff on every rung, from the number of documents by bin: the least bin above
+    which the rung's share of them lies, at most."""
+    total, out = sum(counts.values()), []
+    for rung in range(RUNGS):
+        most, above, cut = TOP * 2 ** -((RUNGS - 1 - rung) / 4) * total, 0, max(counts, default=0)
+        for step in sorted(counts, reverse=True):
+            above += counts[step]
+            if above > most:
+                cut = step
+                break
+            cut = step - 1
+        out.append(max(0, cut))
+    return out
+
+
 def _step(ratio: Column) -> Column:
-    """Steps 0 (ratio 0) to GRID - 1; step i > 0 holds ((i - 1) / (GRID - 1), i / (GRID - 1)]."""
-    return F.ceil(ratio * (GRID - 1)).cast("int")
+    """Bin 0 for 0; else bin i > 0 holds (2 ** ((i - 1) / BINS_PER_DOUBLING - LEAST_POWER), 2 ** (i / BINS_PER_DOUBLING - LEAST_POWER)]."""
+    top = F.ceil(F.log2(ratio) * BINS_PER_DOUBLING) + BINS_PER_DOUBLING * LEAST_POWER
+    return F.when(ratio > 0, F.greatest(F.lit(1), top)).otherwise(0).cast("int")
+
+
+def _by_bin(rows: DataFrame, sign: int) -> DataFrame:
+    each = rows.select("stratum", F.posexplode("bins").alias("rule", "bin"))
+    return each.groupBy("stratum", "rule", "bin").agg((F.count(F.lit(1)) * sign).alias("n"))
 
 
 def fit_cutoffs(measured: DataFrame, labels: DataFrame, key: str, stratum: str, label: str = "quality",
                 label_key: str = "doc_id", false_rejection: float = FALSE_REJECTION, error: float = ERROR) -> DataFrame:
-    """(stratum, rule, step): a stratum's rule rejects ratios above ``step``."""
-    good = (labels.where(F.col(label).isNotNull()).groupBy(F.col(label_key).alias("__label_key")).agg(F.max(label).alias("__good")).where("__good = 1"))
-    rows = measured.join(good, F.col(key) == F.col("__label_key"))
-    steps = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), _step(v).alias("step")) for r, v in _ratios().items()]))
-    counts = stored(rows.select(F.col(stratum).alias("stratum"), steps.alias("s")).groupBy("stratum", "s.rule", "s.step")
-                    .agg(F.count(F.lit(1)).alias("n")), "good_counts")
-    tests = counts.select("stratum", "rule").distinct().count()
-    limit, each = false_rejection / len(RULES), error / max(1, tests)
+    """(stratum, cut): a stratum's rules, in the order of RULES, reject bins above those in ``cut``."""
+    bins = measured.select(F.col(key).alias("key"), F.col(stratum).alias("stratum"), F.array(*[_step(v) for v in _ratios().values()]).alias("bins"))
+    marks = labels.where(F.col(label).isNotNull()).groupBy(F.col(label_key).alias("__label_key")).agg((F.max(label) == 1).alias("good"))
+    labelled = stored(bins.join(marks, F.col("key") == F.col("__label_key")).select("key", "stratum", "bins", "good"), "labelled")
+    free = (_by_bin(bins, 1).unionByName(_by_bin(labelled, -1)).groupBy("stratum", "rule", "bin").agg(F.sum("n").alias("n")).where("n > 0"))
+    typ = measured.schema[stratum].dataType.simpleString()
+
+    def climb(rows: pd.DataFrame) -> pd.DataFrame:
+        of = {r: {} for r in range(len(RULES))}
+        for rule, step, n in zip(rows["rule"], rows["bin"], rows["n"], strict=True):
+            of[int(rule)][int(step)] = int(n)
+        return pd.DataFrame({"stratum": [rows["stratum"].iloc[0]], "ladders": [[ladder(of[r]) for r in range(len(RULES))]]})
+
+    ladders = stored(free.groupBy("stratum").applyInPandas(climb, f"stratum {typ}, ladders array<array<int>>"), "ladders")
+    good = labelled.where("good").groupBy("key").agg(F.min(F.struct("stratum", "bins")).alias("x")).select("x.stratum", "x.bins")
+    first = F.array_min(F.zip_with("ladders", "bins", lambda cuts, step: F.size(F.filter(cuts, lambda c: c >= step))))
+    on = lambda left, right: left.join(right.withColumnRenamed("stratum", "__at"), F.col("stratum").eqNullSafe(F.col("__at"))).drop("__at")
+    counts = stored(on(good, ladders).groupBy("stratum", first.alias("rung")).agg(F.count(F.lit(1)).alias("n")), "good_counts")
+    each = error / max(1, counts.select("stratum").distinct().count())
 
     def test(rows: pd.DataFrame) -> pd.DataFrame:
-        counts = [0] * GRID
-        for s, n in zip(rows["step"], rows["n"], strict=True):
-            counts[s] += int(n)
-        step = choose_step(counts, sum(counts), limit, each)
-        return pd.DataFrame({"stratum": [rows["stratum"].iloc[0]], "rule": [rows["rule"].iloc[0]], "step": [step]}).dropna(subset=["step"])
+        by_rung = [0] * (RUNGS + 1)  # the last: never rejected
+        for rung, n in zip(rows["rung"], rows["n"], strict=True):
+            by_rung[int(rung)] += int(n)
+        rung = choose_rung(by_rung[:RUNGS], sum(by_rung), false_rejection, each)
+        return pd.DataFrame({"stratum": [rows["stratum"].iloc[0]], "chosen": [rung]}).dropna(subset=["chosen"])
 
-    typ = counts.schema["stratum"].dataType.simpleString()
-    return counts.groupBy("stratum", "rule").applyInPandas(test, f"stratum {typ}, rule string, step int")
+    chosen = counts.groupBy("stratum").applyInPandas(test, f"stratum {typ}, chosen int")
+    return on(ladders, chosen).select("stratum", F.transform("ladders", lambda cuts: F.get(cuts, F.col("chosen"))).alias("cut"))
 
 
 def measured_texts(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -165,12 +205,11 @@ def base_failed() -> Column:
 
 def judged(measured: DataFrame, cutoffs: DataFrame, stratum: str) -> DataFrame:
     """``measured`` with base_failed, failed_rules (of the method) and kept."""
-    wide = cutoffs.groupBy(F.col("stratum").alias("__stratum")).agg(F.map_from_entries(F.collect_list(F.struct("rule", "step"))).alias("__cut"))
-    wide = stored(wide, "cutoffs")
+    wide = stored(cutoffs.select(F.col("stratum").alias("__stratum"), F.col("cut").alias("__cut")), "cutoffs")
     if wide.count() <= BROADCAST_STRATA:
         wide = F.broadcast(wide)
     joined = measured.join(wide, F.col(stratum).eqNullSafe(F.col("__stratum")), "left")
-    broken = F.array_compact(F.array(*[F.when(_step(v) > F.try_element_at("__cut", F.lit(r)), F.lit(r)) for r, v in _ratios().items()]))
+    broken = F.array_compact(F.array(*[F.when(_step(v) > F.get("__cut", F.lit(i)), F.lit(r)) for i, (r, v) in enumerate(_ratios().items())]))
     out = joined.withColumn("failed_rules", broken).withColumn("base_failed", base_failed())
     return out.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("__stratum", "__cut")
 
@@ -186,9 +225,9 @@ def quality_report(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
 
 def keep_good(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang") -> DataFrame:
     """The documents that the rules keep, columns as in ``docs``. The cutoffs are fitted on all
-    labelled rows of ``docs``; the texts are measured again on the way out instead of stored."""
+    rows of ``docs``, whose measures are stored; the texts are measured again on the way out."""
     narrow = docs.select(F.col(key).alias("__key"), F.col(stratum).alias("__by"), F.col(text).alias("__text"))
-    cutoffs = fit_cutoffs(measured_texts(narrow, "__text", ["__key", "__by"]), labels, "__key", "__by")
+    cutoffs = fit_cutoffs(stored(measured_texts(narrow, "__text", ["__key", "__by"]), "measures"), labels, "__key", "__by")
     renamed = docs.toDF(*[f"__d{i}" for i in range(len(docs.columns))])
     at = {c: f"__d{i}" for i, c in enumerate(docs.columns)}
     out = judged(measured_texts(renamed, at[text]), cutoffs, at[stratum])
