@@ -7,7 +7,7 @@ matching gives.
 The CRF adds spans in other writings of the same kinds (a phone number without a plus sign, a
 card grouped by dots, an address with letters outside ASCII). Its labels are O and B-, I- per
 kind; its features are the word shape (letters x, X, digits d, others as they are, runs of the
-same kept up to five) and a run-free shape, of a word and of its two neighbours. It is trained
+same kept up to five), a run-free shape and each of its signs, of a word, however long, and of its two neighbours. It is trained
 by gradient ascent on the forward-backward log-likelihood of a small labelled table, on the
 driver, whose bound is MAX_SENTENCES. A span that it finds counts if it passes its kind's check
 (Luhn, parts up to 255, number of digits) and overlaps no base span.
@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 from hashlib import sha256
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -40,7 +41,11 @@ LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 MAX_SENTENCES = 2000
 EPOCHS, RATE, RIDGE = 150, 0.1, 1e-2
 GROUP = 256
-MAX_SHAPES = 200_000
+#: Words, and shapes, whose numbers a task keeps; longer words are looked at each time.
+MAX_SHAPES, MAX_KEPT = 200_000, 128
+#: Characters of a shape at each end; cells (words times stretches) that are decoded at once.
+END = 32
+CELLS = 1 << 15
 
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -109,18 +114,28 @@ _LONG_RUN = re.compile(r"(.)\1{4,}", re.S)
 
 def shape(word: str) -> str:
     raw = word.translate(_ASCII) if word.isascii() else "".join(_ASCII.get(ord(c)) or ("X" if c.isupper() else "x") for c in word)
-    return _LONG_RUN.sub(r"\1\1\1\1\1", raw[:64])
+    return _LONG_RUN.sub(r"\1\1\1\1\1", raw)
 
 
-def shape_features(word: str) -> tuple[str, str, str]:
-    """The word shape; without its runs; and without case and closing punctuation too."""
+def _ends(text: str) -> str:
+    """A long shape by its two ends, and whether an @ and a dot stand between them."""
+    if len(text) <= 2 * END:
+        return text
+    inside = text[END:-END]
+    return f"{text[:END]}~{'@' * ('@' in inside)}{'.' * ('.' in inside)}~{text[-END:]}"
+
+
+def shape_features(word: str) -> tuple[str, ...]:
+    """The word shape; without its runs; without case and closing punctuation too; and each of its
+    signs. All of the word counts: shapes that are long even with their runs collapsed stand by their ends."""
     if word.isalpha() and word[1:].islower():  # most words, the short way
         first = "X" if word[0].isupper() else "x"
         tail = "x" * min(len(word) - 1, 5 - (first == "x"))
-        return f"s{first}{tail}", "pXx" if first == "X" else "px", "qx"
+        return f"s{first}{tail}", "pXx" if first == "X" else "px", "qx", "cx"
     s = shape(word)
     plain = _RUN.sub(r"\1", s)
-    return f"s{s}", f"p{plain}", f"q{_RUN.sub(r'\1', plain.replace('X', 'x')).strip('.,;:!?()')}"
+    bare = _RUN.sub(r"\1", plain.replace("X", "x")).strip(".,;:!?()/<>[]\"'")
+    return f"s{_ends(s)}", f"p{_ends(plain)}", f"q{_ends(bare)}", *(f"c{sign}" for sign in sorted(set(bare)))
 
 
 # ---- training --------------------------------------------------------------------------------
@@ -131,6 +146,10 @@ LABELLED = """
 write to anna.berg@mail.example.org/email for more
 Contact: j_smith99@example.co.uk/email or call (415)/Phone 555-0134/phone today.
 jörg.müller@bücher.example/email is the address
+für øyvind@søk.example/email und zoë_1@example.net/email gilt das
+écrivez à renée@école.example.fr,/email merci
+ou andré77.b2@café24.example/email puis rené.1980@hôtel-du-lac.example/email
+siehe käthe-groß@mein-bücherladen.example/email unten
 mail info@site.example.com,/email please
 our server 192.168.10.7/ip answers, 10.0.0.1/ip does not
 The host 8.8.4.4/ip was up.
@@ -142,6 +161,7 @@ Card: 4111.1111.1111.1111/card and 3782-822463-10005/card here
 call +1/Phone (974)/phone 555-3436/phone today
 phone 415-555-0199/phone or 415.555.0100/phone
 then 4111.1111.1111.1111/card soon
+paid by 4012_8888_8888_1881/card or 5105.1051.0510.5100,/card thanks
 use 5500.0000.0000.0004/Card today
 ring +49/Phone 30/phone 901820/phone tomorrow
 tel. (030)/Phone 555-2214/phone until noon
@@ -286,9 +306,11 @@ class _Shapes(dict):
         self.add = add
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= MAX_SHAPES:
-            self.clear()
-        self[word] = number = self.add(word)
+        number = self.add(word)
+        if len(word) <= MAX_KEPT:
+            if len(self) >= MAX_SHAPES:
+                self.clear()
+            self[word] = number
         return number
 
 
@@ -302,7 +324,10 @@ class Decoder:
         best_in = (before - before[:, :1]).max(axis=0)
         best_out = (after - after[:1]).max(axis=1)
         self.swing = (best_in + best_out)[1:]
-        self.numbers: dict[tuple[str, str, str], int] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.numbers: dict[tuple[str, ...], int] = {}
         self.tables = [np.zeros((0, len(LABELS))) for _ in range(3)]
         self.rows: list[list[np.ndarray]] = [[], [], []]
         self.words = _Shapes(self._number)
@@ -325,6 +350,8 @@ class Decoder:
 
     def label(self, texts: Sequence[str]) -> list[list[Span]]:
         """The CRF's spans of each text, unchecked."""
+        if len(self.numbers) > MAX_SHAPES:
+            self._forget()
         cut, found = [], []
         for text in texts:
             words = text.split()
@@ -347,8 +374,14 @@ class Decoder:
                 stretches.append((i, int(a), int(b), own))
         out: list[list[Span]] = [[] for _ in texts]
         stretches.sort(key=lambda s: s[2] - s[1])
-        for at in range(0, len(stretches), 512):
-            self._decode(stretches[at:at + 512], texts, cut, out)
+        group = []
+        for s in stretches:  # the last of a group is its longest, to which the others are filled up
+            if group and (len(group) + 1) * (s[2] - s[1]) > CELLS:
+                self._decode(group, texts, cut, out)
+                group = []
+            group.append(s)
+        if group:
+            self._decode(group, texts, cut, out)
         return [sorted(spans) for spans in out]
 
     def _uncertain(self, ids: np.ndarray) -> np.ndarray:
@@ -363,12 +396,15 @@ class Decoder:
         scores = np.zeros((len(group), lengths.max(), len(LABELS)))
         for row, (_, a, b, own) in zip(scores, group, strict=True):
             row[:b - a] = own
+        places_of: dict[int, list[tuple[int, int]]] = {}
         first = np.array([a == 0 for _, a, _, _ in group])
         last = np.array([b == len(cut[i]) for i, _, b, _ in group])
         for (i, a, b, _), labels in zip(group, viterbi(scores, lengths, self.crf, first, last), strict=True):
             if not labels[:b - a].any():
                 continue
-            places = _word_places(texts[i])
+            if i not in places_of:
+                places_of[i] = _word_places(texts[i])
+            places = places_of[i]
             at = a
             while at < b:
                 if label := int(labels[at - a]):
@@ -398,14 +434,17 @@ def _trimmed(text: str, start: int, end: int, kind: str) -> Span:
 
 
 def all_spans(text: str, base: list[Span], extra: list[Span]) -> list[Span]:
-    """Base spans and those of the CRF's that pass their check and overlap none before them."""
-    kept = list(base)
-    taken = sorted((a, b) for a, b, _ in base)
+    """Base spans and those of the CRF's that pass their check and overlap no base span and none of
+    the CRF's before them: one walk along both lists."""
+    kept, taken, at, end = list(base), sorted((a, b) for a, b, _ in base), 0, 0
+    # base spans of unlike kinds may overlap: the furthest end up to each
+    furthest = list(accumulate((b for _, b in taken), max))
     for a, b, kind in sorted(extra, key=_place):
-        at = np.searchsorted([x for x, _ in taken], b) if taken else 0
-        if b > a and _sound(kind, text[a:b]) and not any(x < b and a < y for x, y in taken[:at]):
+        while at < len(taken) and taken[at][0] < b:
+            at += 1
+        if b > a >= end and (not at or furthest[at - 1] <= a) and _sound(kind, text[a:b]):
             kept.append((a, b, kind))
-            taken = sorted([*taken, (a, b)])
+            end = b
     return sorted(kept, key=_place)
 
 

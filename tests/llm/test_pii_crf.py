@@ -73,7 +73,8 @@ def test_short_way_to_a_shape_is_the_long_one():
     for w in ["a", "A", "ab", "Ab", "AB", "aB", "abcdef", "Abcdef", "Abcdefg", "été", "Été", "Straße", "\u65e5\u672c", "a" * 100]:
         s = P.shape(w)
         plain = re.sub(r"(.)\1+", r"\1", s)
-        assert P.shape_features(w) == (f"s{s}", f"p{plain}", "q" + re.sub(r"(.)\1+", r"\1", plain.replace("X", "x"))), w
+        bare = re.sub(r"(.)\1+", r"\1", plain.replace("X", "x"))
+        assert P.shape_features(w) == (f"s{s}", f"p{plain}", f"q{bare}", *("c" + c for c in sorted(set(bare)))), w
 
 
 def test_training_fits_its_table(crf):
@@ -101,6 +102,90 @@ def test_other_writings_are_added(crf):
     assert {text[a:b] for a, b, _ in extra} >= {"(415) 555-0134", "4111.1111.1111.1111"}
 
 
+def held_out(rng):
+    """Writings that the labelled table has not, in sentences that it has not: (text, kind, what to find)."""
+    d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    w = lambda: rng.choice(["Please", "the", "order", "was", "sent", "maybe", "nous", "avons", "das", "Haus", "cuando", "report", "seven", "notes"])
+
+    def card():
+        body = rng.choice("45") + d(14)
+        last = next(c for c in "0123456789" if P.luhn(body + c))
+        return rng.choice([".".join, "_".join])([(body + last)[i:i + 4] for i in range(0, 16, 4)])
+    name = lambda: "".join(rng.choice("abcdeéüßñø") for _ in range(rng.randint(3, 12))) + rng.choice("éüßñø")
+    makers = {"phone": [lambda: f"({d(3)}) {d(3)}-{d(4)}", lambda: f"{d(3)}-{d(3)}-{d(4)}", lambda: f"{d(3)}.{d(3)}.{d(4)}"],
+              "card": [card], "email": [lambda: f"{name()}@{name()}.example", lambda: f"{name()}.{name()}@mail.{name()}.org"]}
+    for kind, ways in makers.items():
+        for make in ways:
+            for _ in range(60):
+                found = make()
+                before, after = ([w() for _ in range(rng.randint(2, 6))] for _ in range(2))
+                lead = {"phone": rng.choice(["call", "phone", "tel."]), "card": rng.choice(["card", "pay"]), "email": rng.choice(["mail", "write to"])}[kind]
+                yield " ".join([*before, lead, found, *after]), kind, found
+
+
+def test_recall_and_precision_on_held_out_writings(crf):
+    import random
+    cases = list(held_out(random.Random(11)))
+    texts = [t for t, _, _ in cases]
+    hit, wrong, of = dict.fromkeys(P.KINDS, 0), 0, dict.fromkeys(P.KINDS, 0)
+    for (text, kind, found), extra in zip(cases, P.Decoder(crf).label(texts), strict=True):
+        spans = {(text[a:b], k) for a, b, k in P.all_spans(text, P.base_spans(text), extra)}
+        of[kind] += 1
+        hit[kind] += (found, kind) in spans
+        wrong += sum(found not in s and s not in found for s, _ in spans)
+    print({k: f"{hit[k]}/{of[k]}" for k in of if of[k]}, wrong)
+    assert hit["phone"] >= 0.9 * of["phone"] and hit["email"] >= 0.9 * of["email"] and hit["card"] >= 0.9 * of["card"]
+    assert wrong <= 0.02 * len(cases)
+
+
+def test_long_addresses_count_whole(crf):
+    for name in ("jörg" + "é" * 300, "ü" + "ab1." * 80 + "x"):
+        text = f"please mail {name}@bücher-und-mehr.example/ today"
+        spans = P.all_spans(text, P.base_spans(text), P.Decoder(crf).label([text])[0])
+        assert any(k == "email" and text[a:b].startswith(name) for a, b, k in spans), name
+
+
+def test_long_number_texts_take_bounded_memory(crf):
+    import tracemalloc
+    long = "12 345 6.7 " * 20_000
+    texts = [long] + ["12 34 5.6 maybe 7 8"] * 255
+    decoder = P.Decoder(crf)
+    decoder.label(["12 34"])
+    tracemalloc.start()
+    got = decoder.label(texts)
+    assert tracemalloc.get_traced_memory()[1] < 120e6
+    tracemalloc.stop()
+    assert got[1:] == [P.Decoder(crf).label([texts[1]])[0]] * 255
+
+
+def test_merging_spans_is_linear_and_right():
+    import random
+    import time
+    rng = random.Random(12)
+    for _ in range(300):
+        base = sorted((a, a + rng.randint(1, 6), rng.choice(P.KINDS)) for a in (rng.randint(0, 40) for _ in range(rng.randint(0, 6))))
+        extra = [(a, a + rng.randint(0, 6), "phone") for a in (rng.randint(0, 40) for _ in range(rng.randint(0, 6)))]
+        text = "1" * 60
+        want = list(base)
+        for a, b, k in sorted(extra, key=P._place):
+            if b > a and P._sound(k, text[a:b]) and not any(x < b and a < y for x, y, _ in want):
+                want.append((a, b, k))
+        assert P.all_spans(text, base, extra) == sorted(want, key=P._place)
+    n = 40_000
+    text = "4155550134 " * n
+    began = time.process_time()
+    assert len(P.all_spans(text, [], [(11 * i, 11 * i + 10, "phone") for i in range(n)])) == n
+    assert time.process_time() - began < 3
+
+
+def test_shapes_kept_are_bounded(crf, monkeypatch):
+    monkeypatch.setattr(P, "MAX_SHAPES", 50)
+    decoder = P.Decoder(crf)
+    texts = [f"{'a1' * i}-{'B.' * (i % 7)} call (415) 555-0134" for i in range(200)]
+    assert [decoder.label([t])[0] for t in texts] == [P.Decoder(crf).label([t])[0] for t in texts]
+    assert len(decoder.numbers) < 100 and len(decoder.words) <= 51
+
+
 def test_report_and_masking(spark, edge_docs, no_docs):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     docs = docs.union(edge_docs.select("doc_id", "text")).union(spark.createDataFrame(list(enumerate(ODD)), "doc_id long, text string"))
