@@ -70,6 +70,35 @@ def test_model_on_its_table_and_on_other_sites(spark, model):
     assert verdicts == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow"}
 
 
+def held_out_figures(spark):
+    """By family: names of which none was taught, as hosts and as paths, over the two splits by which no setting was chosen: (blocked, of), and of the kept (blocked, of)."""
+    figures = {f: [0, 0] for f in (*U.BLOCKED_NAMES, "kept")}
+    for part in (3, 4):
+        out = {f: names[part::5] for f, names in (*U.BLOCKED_NAMES.items(), ("kept", U.KEPT_NAMES))}
+        taught = [n for f, names in U.BLOCKED_NAMES.items() for n in names if n not in out[f]]
+        model = U.train(U.seed_urls(spark, taught, [n for n in U.KEPT_NAMES if n not in out["kept"]]))
+        rows = [(f, f"https://{n}.{d}/") for f, names in out.items() for n in names for d in ("test", "example.org")]
+        rows += [(f, f"https://pages.test/{n}/index.html") for f, names in out.items() for n in names]
+        pages = spark.createDataFrame([(i, u) for i, (_, u) in enumerate(rows)], "page_id long, url string")
+        for r in U.judge_urls(pages, model, rules=()).collect():
+            figures[rows[r["page_id"]][0]][0] += r["verdict"] == "block"
+            figures[rows[r["page_id"]][0]][1] += 1
+    return figures
+
+
+def test_held_out_names_by_family(spark):
+    got = held_out_figures(spark)
+    blocked, of = (sum(got[f][i] for f in U.BLOCKED_NAMES) for i in (0, 1))
+    print({f: f"{a}/{b}" for f, (a, b) in got.items()}, "recall", blocked / of, "precision", blocked / (blocked + got["kept"][0]))
+    assert blocked > 0.4 * of and blocked > 0.8 * (blocked + got["kept"][0]) and got["kept"][0] < 0.1 * got["kept"][1]
+
+
+def test_labelled_names_are_not_those_of_the_pages(spark):
+    hosts = {parts(r["url"])[0] for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url").collect()}
+    names = {n for names in U.BLOCKED_NAMES.values() for n in names} | set(U.KEPT_NAMES)
+    assert not {label for h in hosts for label in h.split(".")} & names
+
+
 def test_no_labels(spark):
     weights, bias = U.train(spark.createDataFrame([("http://a.b/c", None)], "url string, blocked int"))
     assert not any(weights) and bias == 0.0
