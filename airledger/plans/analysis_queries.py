@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airledger.operators import metrics, trends
+from airledger.operators import geo, trends
 from airledger.plans.table_queries import dec2, load
 
 
@@ -143,7 +143,28 @@ SELECT c_custkey, min(y) AS desde, max(y) AS hasta, count(*) AS anios, min(y) =
   NOT EXISTS (SELECT 1 FROM p WHERE p.k = i.c_custkey) AS sin_datos FROM i GROUP BY c_custkey, island
 """
 
-QUERIES = {"unit_trend": unit_trend, "unit_change_points": unit_change_points, "change_by_sector": change_by_sector,
+def reprojected_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order keys and prices as UTM coordinates of zone 19 south, in degrees."""
+    o = load(spark, sf_dir, "orders").select("o_orderkey", (300_000 + F.col("o_totalprice").cast("double") / 8).alias("x"), (6_200_000 + F.col("o_orderkey") % 400_000).cast("double").alias("y"))
+    lon, lat = geo.utm_to_degrees(F.col("x"), F.col("y"), 19, True)
+    return o.select("o_orderkey", F.round(lon, 7).alias("lon"), F.round(lat, 7).alias("lat"))
+
+
+_XI = "ks - b1 * sin(2 * ks) * cosh(2 * kw) - b2 * sin(4 * ks) * cosh(4 * kw) - b3 * sin(6 * ks) * cosh(6 * kw) - b4 * sin(8 * ks) * cosh(8 * kw)"
+_ETA = "kw - b1 * cos(2 * ks) * sinh(2 * kw) - b2 * cos(4 * ks) * sinh(4 * kw) - b3 * cos(6 * ks) * sinh(6 * kw) - b4 * cos(8 * ks) * sinh(8 * kw)"
+REPROJECTED_POINTS = f"""
+WITH p AS (SELECT o_orderkey, 300000 + o_totalprice::DOUBLE / 8 AS x, 6200000 + (o_orderkey % 400000)::DOUBLE AS y FROM orders),
+k AS (SELECT 6378137.0::DOUBLE AS a, (1 / 298.257223563::DOUBLE) / (2 - 1 / 298.257223563::DOUBLE) AS n),
+c AS (SELECT a / (1 + n) * (1 + n ** 2 / 4 + n ** 4 / 64) AS r, n / 2 - 2 * n ** 2 / 3 + 37 * n ** 3 / 96 - n ** 4 / 360 AS b1, n ** 2 / 48 + n ** 3 / 15 - 437 * n ** 4 / 1440 AS b2,
+  17 * n ** 3 / 480 - 37 * n ** 4 / 840 AS b3, 4397 * n ** 4 / 161280 AS b4, 2 * n - 2 * n ** 2 / 3 - 2 * n ** 3 + 116 * n ** 4 / 45 AS d1, 7 * n ** 2 / 3 - 8 * n ** 3 / 5 - 227 * n ** 4 / 45 AS d2,
+  56 * n ** 3 / 15 - 136 * n ** 4 / 35 AS d3, 4279 * n ** 4 / 630 AS d4 FROM k),
+s AS (SELECT *, (y - 10000000) / (0.9996::DOUBLE * r) AS ks, (x - 500000) / (0.9996::DOUBLE * r) AS kw FROM p, c),
+t AS (SELECT *, {_XI} AS xi, {_ETA} AS eta FROM s), u AS (SELECT *, asin(sin(xi) / cosh(eta)) AS chi FROM t)
+SELECT o_orderkey, round(-69 + degrees(atan2(sinh(eta), cos(xi))), 7) AS lon,
+  round(degrees(chi + d1 * sin(2 * chi) + d2 * sin(4 * chi) + d3 * sin(6 * chi) + d4 * sin(8 * chi)), 7) AS lat FROM u
+"""
+
+QUERIES = {"reprojected_points": reprojected_points, "unit_trend": unit_trend, "unit_change_points": unit_change_points, "change_by_sector": change_by_sector,
            "sector_correlation": sector_correlation, "coverage_runs": coverage_runs}
-ORACLE = {"unit_trend": UNIT_TREND, "unit_change_points": UNIT_CHANGE_POINTS, "change_by_sector": CHANGE_BY_SECTOR,
+ORACLE = {"reprojected_points": REPROJECTED_POINTS, "unit_trend": UNIT_TREND, "unit_change_points": UNIT_CHANGE_POINTS, "change_by_sector": CHANGE_BY_SECTOR,
           "sector_correlation": SECTOR_CORRELATION, "coverage_runs": COVERAGE_RUNS}

@@ -237,9 +237,75 @@ def test_point_in_polygon_cells_keep_only_needed_edges(spark):
     got = {r.id for r in out.where("unit IS NOT NULL").collect()}
     want = {i for i, x, y in pts if _inside_py(x, y, edges)}
     assert got == want and 0 < len(want) < len(pts) and 9000 not in got
-    cells = geo.polygon_cells(polys.select(F.col("unidad").alias("_unit"), "edges"), cell)
-    per_cell = [len(r.edges) for r in cells.collect()]
-    assert max(per_cell) < len(edges) / 2 and sum(per_cell) < len(per_cell) * len(edges) / 4
+    units = [u for r in geo.polygon_cells(polys, cell / 64, "unidad").collect() for u in r["units"]]
+    assert max(len(u["edges"]) for u in units) <= geo.LEAF_EDGES + 6 and all(u["inside"] == (not u["edges"]) for u in units)
+
+
+def test_point_in_polygon_against_all_pairs(spark):
+    """Outlines of many vertices with holes and parts, overlapping, at several cell sizes; points on
+    vertices, on edges and on grid lines."""
+    rng = random.Random(11)
+
+    def ring(cx, cy, r, n):
+        return [(cx + r * rng.uniform(0.5, 1) * np.cos(2 * np.pi * k / n), cy + r * rng.uniform(0.5, 1) * np.sin(2 * np.pi * k / n)) for k in range(n)]
+
+    shapes = [(f"P{i}", [[tuple(map(float, p)) for p in ring(cx, cy, r, n)] for cx, cy, r, n in parts]) for i, parts in enumerate([
+        [(0, 0, 5, 400)], [(1, 1, 4, 37), (1, 1, 1, 9)], [(-3, 2, 1.5, 5), (3, -2, 1.5, 300), (3, -2, 0.3, 4)], [(2, 2, 0.02, 12)]])]
+    shapes.append(("box", [[(-2.0, -2.0), (2.0, -2.0), (2.0, 2.0), (-2.0, 2.0)]]))
+    edges = {n: [(*a, *b) for r in rings for a, b in zip(r, r[1:] + r[:1])] for n, rings in shapes}
+    pts = [(rng.uniform(-6, 6), rng.uniform(-6, 6)) for _ in range(3000)] + [v for _, rings in shapes for r in rings for v in r[:40]]
+    pts += [(-2.0, y / 4) for y in range(-12, 12)] + [(x / 4, 2.0) for x in range(-12, 12)] + [(x / 2, y / 2) for x in range(-8, 9) for y in range(-8, 9)]
+    want = sorted((i, n) for i, (x, y) in enumerate(pts) for n in edges if _inside_py(x, y, edges[n]))
+    polys = geo.polygons_from_rings(spark, shapes, name="unidad")
+    df = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(pts)], "id int, x double, y double")
+    for cell in (0.02, 0.3, 50.0):
+        out = geo.assign_polygon(df, polys, "x", "y", name="unidad", out="unit", cell=cell)
+        assert sorted((r.id, r.unit) for r in out.where("unit IS NOT NULL").collect()) == want
+        first = {r.id: (r.unit, r.n_poligonos) for r in geo.assign_polygon(df, polys, "x", "y", out="unit", cell=cell, keep="first").collect()}
+        assert all(first[i] == (min([n for j, n in want if j == i], default=None), sum(j == i for j, _ in want)) for i in range(0, len(pts), 7))
+
+
+def test_covering_refines_the_outline_only(spark):
+    ring = [(float(np.cos(2 * np.pi * k / 5000)), float(np.sin(2 * np.pi * k / 5000))) for k in range(5000)]
+    units = [u for r in geo.polygon_cells(geo.polygons_from_rings(spark, [("C", [ring])]), 1 / 2048, "unidad").collect() for u in r["units"]]
+    assert max(len(u["edges"]) for u in units) <= geo.LEAF_EDGES
+    assert sum(len(u["edges"]) for u in units) < 2 * 5000 and len(units) < 20_000  # the whole box has 16 million of the smallest
+
+
+def test_utm_to_degrees_round_trip_and_published_point(spark):
+    """Against the forward projection by numerical integration along the meridian and Karney's
+    closed forms in complex numbers, and a published point (CN Tower: 17T 630084 4833438)."""
+    a, f = geo.WGS84
+    e = np.sqrt(f * (2 - f))
+    n = f / (2 - f)
+    alpha = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180, 13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440, 61 * n**3 / 240 - 103 * n**4 / 140, 49561 * n**4 / 161280)
+    radius = a / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+
+    def forward(lon, lat, zone):
+        phi, lam = np.radians(lat), np.radians(lon - (6 * zone - 183))
+        t = np.sinh(np.arctanh(np.sin(phi)) - e * np.arctanh(e * np.sin(phi)))
+        z = np.arctan2(t, np.cos(lam)) + 1j * np.arctanh(np.sin(lam) / np.sqrt(1 + t * t))
+        z = z + sum(c * np.sin(2 * (j + 1) * z) for j, c in enumerate(alpha))
+        return 500_000 + 0.9996 * radius * z.imag, 0.9996 * radius * z.real
+
+    steps = np.linspace(0, np.radians(35), 200_001)
+    arc = a * (1 - e**2) * np.trapezoid((1 - e**2 * np.sin(steps) ** 2) ** -1.5, steps)
+    assert forward(-69.0, 35.0, 19)[1] == pytest.approx(0.9996 * arc, abs=1e-4)
+    places = [(-70.65, -33.44), (-71.7, -34.2), (-69.0, -33.0), (-72.0, -18.3), (-66.1, -55.0), (-70.0, -0.001)]
+    rows = [(i, *forward(lon, lat, 19)) for i, (lon, lat) in enumerate(places)]
+    df = spark.createDataFrame([(i, float(x), float(y + 1e7)) for i, x, y in rows], "i int, x double, y double")
+    lon, lat = geo.utm_to_degrees(F.col("x"), F.col("y"), 19, True)
+    for r in df.select("i", lon.alias("lon"), lat.alias("lat")).collect():
+        assert (r.lon, r.lat) == pytest.approx(places[r.i], abs=1e-9)
+    lon, lat = geo.utm_to_degrees(F.lit(630084.0), F.lit(4833438.0), 17, False)
+    assert tuple(spark.range(1).select(lon, lat).first()) == pytest.approx((-79.387139, 43.642567), abs=1e-5)
+    square = [("U", [[(340_000.0, 6_290_000.0), (350_000.0, 6_290_000.0), (350_000.0, 6_300_000.0), (340_000.0, 6_300_000.0)]])]
+    polys = geo.reproject_polygons(geo.polygons_from_rings(spark, square), 19, True)
+    edges = polys.first().edges
+    assert all((p.x2, p.y2) == (q.x1, q.y1) for p, q in zip(edges, edges[1:]))
+    inside = [forward(*p, 19) for p in ((-70.65, -33.47), (-70.75, -33.47))]
+    got = geo.assign_polygon(spark.createDataFrame([(-70.65, -33.47), (-70.75, -33.47)], "x double, y double"), polys, "x", "y", out="u").collect()
+    assert [r.u for r in sorted(got, reverse=True)] == ["U" if 340_000 < x < 350_000 and 6_290_000 < y + 1e7 < 6_300_000 else None for x, y in inside]
 
 
 def test_reports_come_in_order(spark):
