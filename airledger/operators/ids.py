@@ -2,15 +2,16 @@
 
 ``row_number() OVER (PARTITION BY g ORDER BY k)`` moves every row of a group to a
 single task; with one year (or one file) holding a third of the data that task is the
-job. Instead a group's order is cut into slices whose borders depend on the value alone
-(``order_slice``): rows are numbered inside each (group, slice), and a running sum over the
-table of slice counts gives each slice its offset. Every row's slice is a function of that
-row, so it does not matter how often, where or with which columns Spark evaluates it.
+job. Instead the order of all rows, by group and then by the order keys, is cut into slices of
+about the same number of rows: rows are numbered inside each (group, slice), and a running sum over the
+table of slice counts gives each slice its offset.
+
+The borders of the slices are taken from a sample of the full keys (``with_slice``). Which keys are in the
+sample depends on their hash alone, so the borders are the same however often, where or with which
+columns Spark evaluates them, and a row's slice is a function of that row.
 
 The order keys must be a total order (unique per group); ties would make a rerun after
-executor loss free to number tied rows differently. Slices are cut by the first order key;
-rows with the same first key are numbered in one task, so the key with the most distinct
-values should come first where there is a choice.
+executor loss free to number tied rows differently. Rows of one full key share a slice.
 """
 
 from __future__ import annotations
@@ -19,26 +20,30 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
-
-# Slices per doubling of a number: a sequence of n keys has n / (2 * this) rows per slice at most.
-SLICES_PER_DOUBLING = 512
-
-
-def order_slice(c: Column, dtype: DataType) -> Column:
-    """A coarse place of ``c`` in its order: rows of one slice are next to each other in the
-    order of ``c``, and slices sort as their rows do. Numbers, dates and times go by their
-    logarithm, texts by their first three characters, other types are one slice."""
-    if isinstance(dtype, StringType):
-        return F.substring(c, 1, 3)
-    if isinstance(dtype, DateType):
-        c = F.unix_date(c)
-    elif isinstance(dtype, (TimestampType, TimestampNTZType)):
-        c = c.cast("timestamp").cast("double")
-    elif not isinstance(dtype, NumericType):
-        return F.when(c.isNotNull(), F.lit(0))
-    x = c.cast("double")
-    return F.when(F.isnan(x), x).otherwise(F.signum(x) * F.rint(F.log2(F.abs(x) + 1) * SLICES_PER_DOUBLING))
+#: Keys in the sample, about, and slices at most: 64 sampled keys to a slice, so a slice is hardly
+#: ever half as large again as the mean. STEP: borders that are searched at once.
+SAMPLED, SLICES, STEP = 1 << 14, 256, 16
+
+
+def with_slice(df: DataFrame, keys: list[str], out: str = "_slice") -> DataFrame:
+    """``df`` with each row's place among SLICES slices of about equal size in the order of ``keys`` (nulls first): the
+    number of borders that are not above its keys. The borders come from a scalar subquery over the distinct keys
+    whose hash falls into a share of SAMPLED / distinct keys; what is collected is about SAMPLED keys, in arrays."""
+    key = F.struct(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)])
+    distinct = df.agg(F.approx_count_distinct(F.xxhash64(key))).scalar()
+    share = F.greatest(F.lit(1).cast("long"), F.floor(distinct / SAMPLED))
+    picked = df.select(key.alias("key")).where(F.pmod(F.xxhash64("key"), share) == 0)
+    keys_in_order = picked.agg(F.array_sort(F.collect_set("key")).alias("all"))
+    wanted = F.least(F.size("all"), F.lit(SLICES - 1))  # borders
+    border = F.transform(F.sequence(F.lit(1), wanted), lambda i: F.get("all", F.floor(i * F.size("all") / (wanted + 1)).cast("int")))
+    borders = keys_in_order.select(F.when(wanted > 0, border).otherwise(F.slice("all", 1, 0))).scalar()
+
+    all_, own = F.col("_borders"), F.col("_own_key")
+    coarse = F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / STEP).cast("int")), lambda i: F.get(all_, i * STEP))
+    first = F.greatest(F.lit(0), F.size(F.filter(coarse, lambda b: b <= own)) - 1) * STEP
+    staged = df.withColumns({"_borders": borders, "_own_key": key}).withColumn("_first", first)
+    place = F.when(F.size(all_) == 0, 0).otherwise(F.col("_first") + F.size(F.filter(F.slice(all_, F.col("_first") + 1, STEP), lambda b: b <= own)))
+    return staged.withColumn(out, place).drop("_borders", "_own_key", "_first")
 
 
 def join_same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -52,7 +57,7 @@ def sequence_in_group(df: DataFrame, group_cols: list[str], order_cols: list[str
     """1-based position of each row inside its group, in ascending ``order_cols`` order (NULLs
     first). Rows with a NULL group are a group of their own."""
     keys = [*group_cols, "_slice"]
-    sliced = df.withColumn("_slice", order_slice(F.col(order_cols[0]), df.schema[order_cols[0]].dataType))
+    sliced = with_slice(df, [*group_cols, *order_cols])
     before = Window.partitionBy(*group_cols).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (sliced.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
                .select(*keys, F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off")))

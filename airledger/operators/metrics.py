@@ -5,7 +5,7 @@ so a pollutant or year holding a third of the rows is pre-aggregated on every ex
 only one partial row per task crosses the network. Windows run over those aggregated
 tables (one row per group x year, municipality, unit...), never over the raw facts.
 The one order statistic, the exact median, is found by counting values per slice of their
-order (``ids.order_slice``) rather than by collecting or sorting a group's values.
+order (``ids.with_slice``) rather than by collecting or sorting a group's values.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql.types import DecimalType
 
 from airledger import fixed_values as fv
 from airledger.functions import values as V
-from airledger.operators.ids import join_same_keys, order_slice
+from airledger.operators.ids import join_same_keys, with_slice
 
 
 def annual_totals(df: DataFrame, group: str, year: str, value: str,
@@ -65,7 +65,7 @@ def exact_median(df: DataFrame, group: str, value: str, out: str = "mediana") ->
     sorting a group: values are counted by slice of their order, the counts say which one or
     two slices hold the middle, and only those slices' values are counted one by one."""
     vals = df.select(group, value).where(F.col(value).isNotNull())
-    placed = vals.withColumn("_slice", order_slice(F.col(value), df.schema[value].dataType))
+    placed = with_slice(vals, [group, value])
     per_group = Window.partitionBy(group)
     slices = (placed.groupBy(group, "_slice").agg(F.count(F.lit(1)).alias("_n"))
               .withColumn("_end", F.sum("_n").over(per_group.orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)))

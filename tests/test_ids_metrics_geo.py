@@ -24,11 +24,26 @@ def test_sequence_with_payload_is_row_number(spark, keys):
     assert (n, wrong, different) == (o.count(), 0, n)
 
 
-def test_order_slices_keep_the_order(spark):
+def test_slices_keep_the_order(spark):
     rows = [(None,), (float("-inf"),), (-1e300,), (-5.5,), (-1e-9,), (0.0,), (1e-9,), (0.5,), (1.0,), (1.001,), (7.0,), (1e300,), (float("inf"),), (float("nan"),)]
-    df = spark.createDataFrame(rows, "x double")
-    got = [r[0] for r in df.orderBy("x").select(ids.order_slice(F.col("x"), df.schema["x"].dataType)).collect()]
-    assert got[0] is None and got[-1] != got[-1] and got[1:-1] == sorted(got[1:-1])
+    df = ids.with_slice(spark.createDataFrame(rows * 3, "x double"), ["x"])
+    got = [r[0] for r in df.orderBy("x").select("_slice").collect()]
+    assert got == sorted(got) and len(set(got)) == len(rows)
+    assert ids.with_slice(spark.createDataFrame([], "x double"), ["x"]).count() == 0
+
+
+@pytest.mark.parametrize("key", ["format_string('C-%06d', id)", "id + 1000000000000", "1e15 + id / 1024", "concat(repeat('x', 50), cast(id as string))",
+                                 "date_add(date'2020-01-01', cast(id % 400 as int))"])
+def test_slices_are_even_whatever_the_keys(spark, key):
+    """Common prefixes, narrow ranges far from zero, a few distinct days: no slice is above twice the mean."""
+    df = spark.range(100_000).repartition(5).selectExpr(f"{key} as k", "if(id % 3 = 0, 'hot', cast(id % 50 as string)) as g", "id")
+    sizes = [r[0] for r in ids.with_slice(df, ["k"]).groupBy("_slice").count().select("count").collect()]
+    assert len(sizes) > 200 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+    by_group = [r[0] for r in ids.with_slice(df, ["g", "k", "id"]).groupBy("_slice").count().select("count").collect()]
+    assert max(by_group) <= 2 * sum(by_group) / len(by_group)
+    got = ids.sequence_in_group(df, ["g"], ["k", "id"])
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("k", "id")))
+    assert got.join(want, ["id", "g", "k"]).where("seq <> rn").count() == 0 and got.count() == 100_000
 
 
 def test_sequence_matches_row_number(spark):
