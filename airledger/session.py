@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 # Settings every job relies on: ANSI semantics, UTC, adaptive execution (runtime
@@ -39,3 +42,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not base:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return base
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A fresh folder's name under the shared checkpoint folder. Only a session in one JVM (tests,
+    benches) may have none and gets a scratch folder, as no other machine has to see it."""
+    master = spark.sparkContext.master
+    try:
+        base = checkpoint_dir(spark)
+    except ValueError:
+        if master != "local" and not master.startswith("local["):
+            raise
+        base = tempfile.mkdtemp(prefix="airledger-shared-")
+    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"

@@ -8,7 +8,7 @@ read back.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from airledger.functions import text as T
@@ -33,8 +33,14 @@ def write_stage(df: DataFrame, path: str, partition_by: list[str] | None = None,
 
 
 def write_export(df: DataFrame, path: str, sep: str = ";", mode: str = "overwrite") -> None:
-    """K1/K2/K3: header CSV with the given separator and default (minimal) quoting."""
-    df.write.mode(mode).option("header", True).option("sep", sep).csv(path)
+    """K1/K2/K3: header CSV with the given separator, quoted where needed, quotes doubled and blanks
+    kept, so that ``registers.read_signature`` gives the same cells back."""
+    _csv(df.write.mode(mode), sep).csv(path)
+
+
+def _csv(writer: DataFrameWriter, sep: str) -> DataFrameWriter:
+    return (writer.option("header", True).option("sep", sep).option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
 
 def write_per_group(df: DataFrame, path: str, group: str, sep: str = ",", mode: str = "overwrite") -> None:
@@ -43,7 +49,7 @@ def write_per_group(df: DataFrame, path: str, group: str, sep: str = ",", mode:
     value column itself is kept untouched)."""
     slug = "grupo_archivo"
     out = df.withColumn(slug, T.safe_file_name(F.regexp_replace(F.col(group), r"[\\/:*?\"<>|]+", "_")))
-    out.write.mode(mode).partitionBy(slug).option("header", True).option("sep", sep).csv(path)
+    _csv(out.write.mode(mode).partitionBy(slug), sep).csv(path)
 
 
 def report_rows(df: DataFrame, group: str, name: str, value: str) -> DataFrame:

@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from airledger.plans import oracle, shape_queries, table_queries
+from airledger.plans import analysis_queries, file_queries, oracle, shape_queries, table_queries
 from helpers import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -42,21 +42,23 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(table_queries.QUERIES) == set(oracle.ORACLE)
-    assert set(shape_queries.QUERIES) == set(shape_queries.ORACLE)
+    for part in E.PARTS:
+        assert set(part.QUERIES) == set(part.ORACLE)
     assert set(E.queries()) >= set(E.oracle_sql())
 
 
-OWN = table_queries.QUERIES | shape_queries.QUERIES
+LAZY = table_queries.QUERIES | shape_queries.QUERIES | analysis_queries.QUERIES
+OWN = LAZY | file_queries.QUERIES
 
 
 def test_building_a_query_starts_no_job(spark, monkeypatch):
     tables = {t: spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in TABLES}  # reads the footers
-    for module in (table_queries, shape_queries):
+    for module in (table_queries, shape_queries, analysis_queries):
         monkeypatch.setattr(module, "load", lambda spark, sf_dir, name: tables[name])
     sc = spark.sparkContext
     sc.setJobGroup("building", "no job may run here")
     try:
-        for build in OWN.values():
+        for build in LAZY.values():
             build(spark, SF_SMALL)
         assert list(sc.statusTracker().getJobIdsForGroup("building")) == []
     finally:
