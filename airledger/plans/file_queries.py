@@ -18,8 +18,8 @@ from airledger.operators import ids, quality
 from airledger.plans import pipeline
 from airledger.plans.table_queries import dec2, load
 from airledger.session import shared_dir
+from airledger.sources import manifest, sinks
 from airledger.sources import registers as R
-from airledger.sources import sinks
 
 HEADER_TABLES = ("region", "nation", "supplier", "part", "customer")
 
@@ -145,6 +145,30 @@ UNION ALL SELECT 'macro_share', cont, macro, sum(v)::DOUBLE FROM g GROUP BY cont
 UNION ALL SELECT 'unit_report', cont, unidad, sum(v)::DOUBLE FROM g WHERE y = 1996 GROUP BY cont, unidad
 """
 
-QUERIES = {f.__name__: f for f in (quoted_files, file_order_ids, file_run_summary, file_headers, written_counts, missing_words, gold_products)}
-ORACLE = {"quoted_files": QUOTED_FILES, "file_order_ids": FILE_ORDER_IDS, "file_run_summary": FILE_RUN_SUMMARY, "file_headers": FILE_HEADERS,
+def replaced_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of orders in a folder of files per year, after the files of 1996 were replaced (by finished
+    orders only) and those of 1993 removed: only the replaced ones are read again."""
+    o = load(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("anio"), F.col("o_orderpriority").alias("contaminante"), "o_orderstatus", dec2(F.col("o_totalprice")).alias("emision"))
+    base = shared_dir(spark)
+    folder, state, keys = f"{base}/registers", f"{base}/state", ["contaminante", "anio"]
+
+    def contribute(paths: list[str]) -> DataFrame:
+        frames = [R.read_signature(spark, g) for g in R.group_by_signature(R.catalogue(spark, paths))]
+        read = reduce(lambda a, b: a.unionByName(b), frames)
+        return read.select(F.col("_file_path").alias("file"), "contaminante", F.col("anio").cast("int").alias("anio"), F.col("emision").cast("decimal(18,2)").alias("emision"))
+
+    for year in range(1992, 1999):
+        sinks.write_export(o.where(F.col("anio") == year), f"{folder}/{year}")
+    manifest.refresh(spark, folder, state, contribute, keys, "emision")
+    sinks.write_export(o.where("anio = 1996 and o_orderstatus = 'F'"), f"{folder}/1996")
+    sinks.write_export(o.where("anio = 1993").limit(0), f"{folder}/1993")
+    manifest.refresh(spark, folder, state, contribute, keys, "emision")
+    return manifest.totals(spark, state, keys).withColumn("emision", F.col("emision").cast("double"))
+
+
+REPLACED_FILES = """SELECT o_orderpriority AS contaminante, year(o_orderdate)::INTEGER AS anio, sum(CAST(o_totalprice AS DECIMAL(18,2)))::DOUBLE AS emision FROM orders
+WHERE year(o_orderdate) BETWEEN 1992 AND 1998 AND year(o_orderdate) <> 1993 AND (year(o_orderdate) <> 1996 OR o_orderstatus = 'F') GROUP BY ALL"""
+
+QUERIES = {f.__name__: f for f in (replaced_files, quoted_files, file_order_ids, file_run_summary, file_headers, written_counts, missing_words, gold_products)}
+ORACLE = {"replaced_files": REPLACED_FILES, "quoted_files": QUOTED_FILES, "file_order_ids": FILE_ORDER_IDS, "file_run_summary": FILE_RUN_SUMMARY, "file_headers": FILE_HEADERS,
           "written_counts": WRITTEN_COUNTS, "missing_words": MISSING_WORDS, "gold_products": GOLD_PRODUCTS}
