@@ -8,7 +8,7 @@ numbers are ranks; the unknown piece that the format asks for comes last.
 
 A text is cut into pre-tokens by the tokenizer's pattern. A pre-token that is a token itself is
 that token; others are encoded by the model, all new ones of a group of texts in one call. Each
-task keeps what it has encoded; beyond CACHE pre-tokens it starts afresh. Decoding joins the bytes
+task keeps what it has encoded; beyond CACHE pre-tokens it starts afresh, and those of over KEPT characters are not kept. Decoding joins the bytes
 of the ids.
 
 The vocabulary file is read where the tasks run (``path``: the same place on every machine).
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import base64
 import struct
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 from hashlib import sha256
 from itertools import chain
@@ -34,7 +34,8 @@ from pyspark.sql import types as T
 
 from airledger.llm.common import Kept, map_texts
 
-CACHE, GROUP = 300_000, 128
+#: Pre-tokens that a task keeps, of so many characters at most.
+CACHE, KEPT, GROUP = 300_000, 64, 128
 
 
 def byte_characters() -> list[str]:
@@ -94,15 +95,23 @@ class ByteBpe:
     def encode(self, texts: Sequence[str]) -> list[list[int]]:
         """The ids of each text; what no text before had is encoded in one call for all."""
         cut = [self.find(t) for t in texts]
-        new = set().union(*cut).difference(self.cache)
+        every = set().union(*cut)
+        long = {p for p in every if len(p) > KEPT}
+        new = every.difference(self.cache, long)
         if len(self.cache) + len(new) > CACHE:
-            self.cache, new = {}, set().union(*cut)
-        whole = {p: rank for p in new if (rank := self.rank.get(p.encode())) is not None}
-        merged = [p for p in new if p not in whole]
-        self.cache.update((p, (rank,)) for p, rank in whole.items())
+            self.cache, new = {}, every - long
+        self.cache.update(self._encoded(new | long))
+        out = [list(chain.from_iterable(map(self.cache.__getitem__, parts))) for parts in cut]
+        for p in long:
+            del self.cache[p]
+        return out
+
+    def _encoded(self, parts: set[str]) -> Iterator[tuple[str, tuple[int, ...]]]:
+        whole = {p: rank for p in parts if (rank := self.rank.get(p.encode())) is not None}
+        yield from ((p, (rank,)) for p, rank in whole.items())
+        merged = [p for p in parts if p not in whole]
         shown = [p.encode().decode("latin-1").translate(self.shown) for p in merged]
-        self.cache.update(zip(merged, map(tuple, self.model.encode(shown, num_threads=1)), strict=True))
-        return [list(chain.from_iterable(map(self.cache.__getitem__, parts))) for parts in cut]
+        yield from zip(merged, map(tuple, self.model.encode(shown, num_threads=1)), strict=True)
 
     def decode(self, ids: Sequence[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
