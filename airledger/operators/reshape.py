@@ -13,9 +13,22 @@ from airledger.operators import shaping as S
 
 # --- reshape ---------------------------------------------------------------------------
 
-def pivot_years(long: DataFrame, year: str, group: str, value: str, groups: list[str]) -> DataFrame:
-    """X4 + O2: year x group wide table (one column per known group), in year order. The group
-    list is given, so Spark does not run an extra job to discover it."""
+#: Columns that a wide table may get from the groups that are found.
+MOST_GROUPS = 2000
+
+
+def found_groups(long: DataFrame, group: str) -> list[str]:
+    """The distinct groups in order, by a job of its own; more than MOST_GROUPS are an error."""
+    rows = long.where(F.col(group).isNotNull()).select(F.col(group).cast("string").alias("g")).distinct().limit(MOST_GROUPS + 1).collect()
+    if len(rows) > MOST_GROUPS:
+        raise ValueError(f"more than {MOST_GROUPS} groups in {group!r}: no wide table")
+    return sorted(r["g"] for r in rows)
+
+
+def pivot_years(long: DataFrame, year: str, group: str, value: str, groups: list[str] | None = None) -> DataFrame:
+    """X4 + O2: year x group wide table (one column per group), in year order. Where the groups
+    are given, Spark runs no job to discover them; else they are those that ``found_groups`` gives."""
+    groups = found_groups(long, group) if groups is None else groups
     return long.groupBy(year).pivot(group, groups).agg(F.sum(value)).orderBy(year)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from airledger import fixed_values as fv
 from airledger.functions import values as V
-from airledger.operators import ids, quality
+from airledger.operators import ids, quality, reshape
 from airledger.plans import pipeline
 from airledger.plans.table_queries import dec2, load
 from airledger.session import shared_dir
@@ -169,6 +169,16 @@ def replaced_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 REPLACED_FILES = """SELECT o_orderpriority AS contaminante, year(o_orderdate)::INTEGER AS anio, sum(CAST(o_totalprice AS DECIMAL(18,2)))::DOUBLE AS emision FROM orders
 WHERE year(o_orderdate) BETWEEN 1992 AND 1998 AND year(o_orderdate) <> 1993 AND (year(o_orderdate) <> 1996 OR o_orderstatus = 'F') GROUP BY ALL"""
 
-QUERIES = {f.__name__: f for f in (replaced_files, quoted_files, file_order_ids, file_run_summary, file_headers, written_counts, missing_words, gold_products)}
-ORACLE = {"replaced_files": REPLACED_FILES, "quoted_files": QUOTED_FILES, "file_order_ids": FILE_ORDER_IDS, "file_run_summary": FILE_RUN_SUMMARY, "file_headers": FILE_HEADERS,
+def wide_by_found_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly totals as a wide table, a column for each priority that is found."""
+    o = load(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("anio"), "o_orderpriority", dec2(F.col("o_totalprice")).alias("emision"))
+    wide = reshape.pivot_years(o, "anio", "o_orderpriority", "emision")
+    return wide.select("anio", *[F.col(f"`{c}`").cast("double").alias(c) for c in wide.columns if c != "anio"])
+
+
+WIDE_BY_FOUND_GROUPS = """SELECT anio, COLUMNS(* EXCLUDE anio)::DOUBLE FROM (PIVOT (SELECT year(o_orderdate)::INTEGER AS anio, o_orderpriority, CAST(o_totalprice AS DECIMAL(18,2)) AS v FROM orders)
+ON o_orderpriority USING sum(v) GROUP BY anio)"""
+
+QUERIES = {f.__name__: f for f in (wide_by_found_groups, replaced_files, quoted_files, file_order_ids, file_run_summary, file_headers, written_counts, missing_words, gold_products)}
+ORACLE = {"wide_by_found_groups": WIDE_BY_FOUND_GROUPS, "replaced_files": REPLACED_FILES, "quoted_files": QUOTED_FILES, "file_order_ids": FILE_ORDER_IDS, "file_run_summary": FILE_RUN_SUMMARY, "file_headers": FILE_HEADERS,
           "written_counts": WRITTEN_COUNTS, "missing_words": MISSING_WORDS, "gold_products": GOLD_PRODUCTS}

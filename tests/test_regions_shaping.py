@@ -142,3 +142,14 @@ def test_pivot_unpivot(spark):
     assert back.count() == 6
     kept = RG.drop_empty_series(back, "grupo", "emision")
     assert sorted(set(r.grupo for r in kept.collect())) == ["A", "B"]
+
+
+def test_wide_table_over_found_groups(spark, monkeypatch):
+    from airledger.operators import reshape
+    long = spark.createDataFrame([(2001, "b", 1.0), (2000, "a", 2.0), (2001, "a", 4.0), (2001, "b", 3.0), (2002, None, 9.0)], "y int, g string, v double")
+    wide = reshape.pivot_years(long, "y", "g", "v")
+    assert wide.columns == ["y", "a", "b"]
+    assert [tuple(r) for r in wide.collect()] == [(2000, 2.0, None), (2001, 4.0, 4.0), (2002, None, None)]
+    monkeypatch.setattr(reshape, "MOST_GROUPS", 1)
+    with pytest.raises(ValueError, match="more than 1 groups"):
+        reshape.pivot_years(long, "y", "g", "v")
