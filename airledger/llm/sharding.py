@@ -77,9 +77,16 @@ def jump_shards(key: Column, n_shards: int) -> Column:
                         F.when(at < n_shards, at).otherwise(s["shard"]).alias("shard"),
                         F.when(at <= n_shards, at).otherwise(s["grown"]).alias("grown"))
 
-    # a walk makes n + 1 stops below n + 1 at most, as each stop is beyond the one before
-    return F.aggregate(F.sequence(F.lit(0), F.lit(n_shards)), start, step,
-                       lambda s: F.struct(s["shard"].cast("int").alias("shard"), s["grown"].cast("int").alias("grown")))
+    def walked(state: Column, steps: int) -> Column:
+        return F.aggregate(F.sequence(F.lit(0), F.lit(steps)), state, step)
+
+    # a walk makes n + 1 stops below n + 1 at most, as each stop is beyond the one before, but about log n as a rule
+    usual = 8 + 4 * n_shards.bit_length()
+    if n_shards <= usual:
+        end = walked(start, n_shards)
+    else:  # the few walks that are not over yet go on
+        end = F.get(F.transform(F.array(walked(start, usual)), lambda s: F.when(s["at"] > n_shards, s).otherwise(walked(s, n_shards))), 0)
+    return F.get(F.transform(F.array(end), lambda s: F.struct(s["shard"].cast("int").alias("shard"), s["grown"].cast("int").alias("grown"))), 0)
 
 
 def assign_shards(rows: DataFrame, key: str, text: str, n_shards: int = 24, slices: int = SLICES) -> DataFrame:

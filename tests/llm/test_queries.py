@@ -63,6 +63,16 @@ def test_stages_keep_columns_and_take_odd_rows(spark, edge_docs, no_docs):
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SMALL).count() == docs.count()
 
 
+def test_pipeline_without_labels_and_benchmark(spark, scratch):
+    """No cutoffs and no windows: only the base rule and copies take documents away."""
+    for t in ("documents", "labels", "benchmark"):
+        df = spark.read.parquet(f"{SMALL}/{t}.parquet")
+        (df if t == "documents" else df.limit(0)).write.parquet(f"{scratch}/{t}.parquet")
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    sound = quality_rules.quality_report(docs, spark.read.parquet(f"{scratch}/labels.parquet")).where("not base_failed").count()
+    assert 0 < corpus_pipeline.run(spark, scratch).count() <= sound
+
+
 def test_masking_and_decontamination_leave_clean_text_alone(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     before = {r["doc_id"]: r["text"] for r in docs.collect()}

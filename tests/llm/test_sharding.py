@@ -43,3 +43,12 @@ def test_other_shard_counts_and_one_hot_key(spark):
     docs = spark.range(3000).selectExpr("case when id % 3 = 0 then 7 else id end as doc_id", "'same' as text", "id as shard")
     for n in (1, 2, 100):
         check(sharding.assign_shards(docs, "doc_id", "text", n, slices=4), [(r["doc_id"], r["text"]) for r in docs.collect()], n)
+
+
+def test_ten_thousand_shards_take_a_few_steps(spark):
+    docs = spark.range(20_000).selectExpr("id as doc_id", "'same' as text")
+    import time
+    began = time.time()
+    got = {r["doc_id"]: (r["shard"], r["grown_shard"]) for r in sharding.assign_shards(docs, "doc_id", "text", 10_000, slices=4).collect()}
+    assert time.time() - began < 60
+    assert all(got[i] == (walk(i, 10_000), walk(i, 10_001)) for i in range(0, 20_000, 7))
