@@ -152,14 +152,16 @@ def letter_of(code: Column) -> Column:
     return F.when(first != "", F.upper(first))
 
 
-def classify_macro(code: Column, desc: Column, letter_map: Column | None = None) -> Column:
-    """Letter of the code -> macro; else first keyword in the description; else OTHER.
-    A letter with no macro falls through to the keywords, as in the source."""
-    if letter_map is None:
-        letter_map = F.create_map(*[x for pair in fv.LETTER_MACRO for x in (F.lit(pair[0]), F.lit(pair[1]))])
-    by_letter = F.try_element_at(letter_map, letter_of(code))
-    by_keyword = F.when(desc.isNotNull() & (desc != ""), keyword_macro(T.key_description(desc)))
-    return F.coalesce(by_letter, by_keyword, F.lit(fv.DEFAULT_MACRO))
+def macro_of(code: Column, by_keyword: Column) -> Column:
+    """Macro of the code's letter, else of the keyword, else OTHER. A letter with no macro falls
+    through to the keyword, as in the source."""
+    letter_map = F.create_map(*[x for pair in fv.LETTER_MACRO for x in (F.lit(pair[0]), F.lit(pair[1]))])
+    return F.coalesce(F.try_element_at(letter_map, letter_of(code)), by_keyword, F.lit(fv.DEFAULT_MACRO))
+
+
+def classify_macro(code: Column, desc: Column) -> Column:
+    """J8 of a code and its description: the first keyword that the description has counts."""
+    return macro_of(code, F.when(desc.isNotNull() & (desc != ""), keyword_macro(T.key_description(desc))))
 
 
 def activity_code_dim(codes: DataFrame, order_col: str, code_col: str = "codigo", desc_col: str = "descripcion") -> DataFrame:
@@ -179,9 +181,8 @@ def add_activity(df: DataFrame, code_dim: DataFrame, columns: list[str] = fv.ACT
     code = prefer_code(df, columns)
     joined = _beside(df, spread_missing(code, df), code_dim, "_code")
     known = F.col("_lookup__known").isNotNull()
-    letter_map = F.create_map(*[x for pair in fv.LETTER_MACRO for x in (F.lit(pair[0]), F.lit(pair[1]))])
     own = F.when(~F.startswith("_lookup_own", F.lit("\0")), F.col("_lookup_own"))
-    macro = F.coalesce(F.try_element_at(letter_map, letter_of(own)), F.when(known, F.col("_lookup__kw")), F.lit(fv.DEFAULT_MACRO))
+    macro = macro_of(own, F.when(known, F.col("_lookup__kw")))
     return _without_lookup(joined.withColumns({"actividad_canon": F.when(known, F.col("_lookup__code")), "actividad_macro": macro}))
 
 
