@@ -8,7 +8,7 @@ numbers are ranks; the unknown piece that the format asks for comes last.
 
 A text is cut into pre-tokens by the tokenizer's pattern. A pre-token that is a token itself is
 that token; others are encoded by the model, all new ones of a group of texts in one call. Each
-task keeps what it has encoded; beyond CACHE pre-tokens it starts afresh, and those of over KEPT characters are not kept. Decoding joins the bytes
+task keeps what it has encoded; beyond CACHE characters it starts afresh, and pre-tokens of over KEPT characters are not kept. Decoding joins the bytes
 of the ids.
 
 The vocabulary file is read where the tasks run (``path``: the same place on every machine).
@@ -34,8 +34,8 @@ from pyspark.sql import types as T
 
 from airledger.llm.common import Kept, map_texts
 
-#: Pre-tokens that a task keeps, of so many characters at most.
-CACHE, KEPT, GROUP = 300_000, 64, 128
+#: Characters of the pre-tokens that a task keeps, and of one of them at most.
+CACHE, KEPT, GROUP = 3_000_000, 4096, 128
 
 
 def byte_characters() -> list[str]:
@@ -91,6 +91,7 @@ class ByteBpe:
         self.shown = str.maketrans({b: c for b, c in enumerate(byte_characters())})
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(self.tokens))
         self.cache: dict[str, tuple[int, ...]] = {}
+        self.size = 0  # its characters
 
     def encode(self, texts: Sequence[str]) -> list[list[int]]:
         """The ids of each text; what no text before had is encoded in one call for all."""
@@ -98,8 +99,10 @@ class ByteBpe:
         every = set().union(*cut)
         long = {p for p in every if len(p) > KEPT}
         new = every.difference(self.cache, long)
-        if len(self.cache) + len(new) > CACHE:
+        self.size += sum(map(len, new))
+        if self.size > CACHE:
             self.cache, new = {}, every - long
+            self.size = sum(map(len, new))
         self.cache.update(self._encoded(new | long))
         out = [list(chain.from_iterable(map(self.cache.__getitem__, parts))) for parts in cut]
         for p in long:
