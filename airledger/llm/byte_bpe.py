@@ -8,7 +8,8 @@ numbers are ranks; the unknown piece that the format asks for comes last.
 
 A text is cut into pre-tokens by the tokenizer's pattern. A pre-token that is a token itself is
 that token; others are encoded by the model, all new ones of a group of texts in one call. Each
-task keeps what it has encoded; beyond CACHE characters it starts afresh, and pre-tokens of over KEPT characters are not kept. Decoding joins the bytes
+task keeps what it has encoded; beyond CACHE pre-tokens or
+CACHE_CHARS characters it starts afresh, and pre-tokens of over KEPT characters are not kept. Decoding joins the bytes
 of the ids.
 
 The vocabulary file is read where the tasks run (``path``: the same place on every machine).
@@ -34,8 +35,8 @@ from pyspark.sql import types as T
 
 from airledger.llm.common import Kept, map_texts
 
-#: Characters of the pre-tokens that a task keeps, and of one of them at most.
-CACHE, KEPT, GROUP = 3_000_000, 4096, 128
+#: Pre-tokens that a task keeps, their characters, and those of one of them, at most.
+CACHE, CACHE_CHARS, KEPT, GROUP = 300_000, 8_000_000, 4096, 128
 
 
 def byte_characters() -> list[str]:
@@ -100,7 +101,7 @@ class ByteBpe:
         long = {p for p in every if len(p) > KEPT}
         new = every.difference(self.cache, long)
         self.size += sum(map(len, new))
-        if self.size > CACHE:
+        if self.size > CACHE_CHARS or len(self.cache) + len(new) > CACHE:
             self.cache, new = {}, every - long
             self.size = sum(map(len, new))
         self.cache.update(self._encoded(new | long))

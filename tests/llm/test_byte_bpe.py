@@ -47,7 +47,7 @@ def test_small_cache_changes_nothing(monkeypatch):
 
 
 def test_what_a_task_keeps_is_bounded(monkeypatch):
-    monkeypatch.setattr(B, "CACHE", 300)
+    monkeypatch.setattr(B, "CACHE_CHARS", 300)
     monkeypatch.setattr(B, "KEPT", 64)
     enc, own = reference(), B.ByteBpe(B.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN)
     texts = [f"word{i} other{i * 7} " + "xyzzy" * 40 * (i % 3) for i in range(60)]
