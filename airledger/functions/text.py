@@ -4,7 +4,7 @@ Every preset is one chain of built-in functions (``lower``, ``translate``,
 ``regexp_replace``), so nothing leaves the JVM. Accent removal is Unicode's compatibility
 decomposition (NFKD) with combining marks dropped, over all code points. A text takes the first of
 these ways that does: one in ASCII has nothing to fold; one that a small ``translate`` of the Latin
-letters and the combining marks leaves in ASCII is done; in others all characters that fold to one
+letters and the combining marks leaves without anything else to fold is done; in others all characters that fold to one
 character or to none are a ``translate``, and those that fold to several (ligatures, fractions,
 Hangul syllables) are replaced one by one.
 """
@@ -117,8 +117,17 @@ def collapse_ws(c: Column) -> Column:
     return strip_ws(collapse_runs(c))
 
 
-#: The Latin letters with marks, and the combining marks: what texts in Latin scripts hold.
-_LATIN_BLOCKS = ((0xC0, 0x24F), (0x300, 0x36F), (0x1E00, 0x1EFF))
+#: The Latin letters with marks, the combining marks and common punctuation: what texts in Latin scripts hold.
+_LATIN_BLOCKS = ((0x80, 0x24F), (0x300, 0x36F), (0x1E00, 0x1EFF), (0x2010, 0x2027))
+
+
+@lru_cache(maxsize=1)
+def _beyond_latin() -> str:
+    """A character class of what ``latin_table`` leaves to do: all outside its blocks, and what folds
+    to several characters inside. Letters that fold to nothing else (as the German sharp s) are done."""
+    several = [ch for ch in fold_tables()[2] if any(lo <= ord(ch) <= hi for lo, hi in _LATIN_BLOCKS)]
+    blocks = "".join(rf"\x{{{lo:X}}}-\x{{{hi:X}}}" for lo, hi in ((0, 0x7F), *_LATIN_BLOCKS))
+    return f"[[^{blocks}]{''.join(several)}]"
 
 
 @lru_cache(maxsize=1)
@@ -134,7 +143,8 @@ def latin_table() -> tuple[str, str]:
 def remove_accents(c: Column) -> Column:
     """NFKD without combining marks."""
     return let(c, lambda x: F.when(is_ascii(x), x).otherwise(
-        let(F.translate(x, *latin_table()), lambda y: F.when(is_ascii(y), y).otherwise(let(F.translate(y, *fold_tables()[:2]), _fold_several)))))
+        let(F.translate(x, *latin_table()), lambda y: F.when(is_ascii(y) | ~y.rlike(_beyond_latin()), y)
+            .otherwise(let(F.translate(y, *fold_tables()[:2]), _fold_several)))))
 
 
 def _fold_several(once: Column) -> Column:
