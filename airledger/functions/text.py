@@ -44,17 +44,10 @@ WS_CLASS = ws_class()
 _ASCII_WS_BODY = r" \t-\r\x1C-\x1F"
 
 
-def _runs(body: str, extra: str) -> str:
-    """Runs of the class but for single spaces, which stay as they are: so a match is found where
-    something changes, not at every space."""
-    whole = f"[{body}{extra}]"
-    return f"[{body}{extra}&&[^ ]]{whole}*| {whole}+"
-
-
 def collapse_runs(c: Column, extra: str = "") -> Column:
     """Each run of whitespace and of the characters of ``extra`` (a character-class body) as one space."""
-    return let(c, lambda x: F.when(is_ascii(x), F.regexp_replace(x, _runs(_ASCII_WS_BODY, extra), " "))
-               .otherwise(F.regexp_replace(x, f"(?U:{_runs(_WS_BODY, extra)})", " ")))
+    return let(c, lambda x: F.when(is_ascii(x), F.regexp_replace(x, f"[{_ASCII_WS_BODY}{extra}]+", " "))
+               .otherwise(F.regexp_replace(x, ws_class(extra) + "+", " ")))
 
 
 def let(c: Column, use: Callable[[Column], Column]) -> Column:
@@ -208,15 +201,21 @@ def with_text_keys(df: DataFrame, col: str, outputs: dict[str, str]) -> DataFram
     once instead of once per key. ``outputs`` maps output column -> preset name
     (``region``, ``pollutant``, ``description``, ``centre``, ``municipality``)."""
     staged = df.withColumn("_tk_low", F.lower(strip_ws(F.col(col))))
-    staged = staged.withColumn("_tk_fold", remove_accents(F.col("_tk_low")))
-    base = F.col("_tk_fold")
+    # one space between words: what is left to do for a key is where its own characters stand
+    staged = staged.withColumn("_tk_fold", collapse_ws(remove_accents(F.col("_tk_low"))))
+    base, low = F.col("_tk_fold"), F.col("_tk_low")
+
+    def spaced(chars: str) -> Column:
+        return F.btrim(F.regexp_replace(base, "[ " + _escape_class(chars) + "]+", " "))
+
+    dashes = F.when(F.contains(base, F.lit("-")), spaced("-")).otherwise(base)
+    dropped = F.regexp_replace(base, _char_class(",():[]'"), "")
     exprs = {
-        "region": lambda: normalize_text(base, strip=False, lower=False, accents=False, to_space=",.-()"),
-        "pollutant": lambda: normalize_text(base, strip=False, lower=False, accents=False, drop=",():[]'"),
-        "description": lambda: normalize_text(base, strip=False, lower=False, accents=False, to_space=".,"),
-        "municipality": lambda: normalize_text(base, strip=False, lower=False, accents=False, to_space="-"),
-        "centre": lambda: normalize_text(F.col("_tk_low"), strip=False, lower=False, letters=CENTRE_LETTERS,
-                                         to_space="-"),
+        "region": lambda: spaced(",.-()"),
+        "pollutant": lambda: let(dropped, lambda x: F.btrim(F.when(F.contains(x, F.lit("  ")), F.regexp_replace(x, " +", " ")).otherwise(x))),
+        "description": lambda: spaced(".,"),
+        "municipality": lambda: dashes,
+        "centre": lambda: F.when(is_ascii(low), dashes).otherwise(normalize_text(low, strip=False, lower=False, letters=CENTRE_LETTERS, to_space="-")),
     }
     out = staged.select("*", *[exprs[p]().alias(name) for name, p in outputs.items()])
     return out.drop("_tk_low", "_tk_fold")

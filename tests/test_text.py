@@ -127,3 +127,14 @@ def test_with_text_keys_equals_presets(spark):
                        T.key_description(F.col("t")).alias("c"), T.key_centre(F.col("t")).alias("d"),
                        T.key_municipality(F.col("t")).alias("e"))
     assert sorted(map(tuple, out.collect()), key=repr) == sorted(map(tuple, single.collect()), key=repr)
+
+
+def test_keys_of_one_base_are_the_single_ones(spark):
+    """``with_text_keys`` derives its keys from one collapsed text; each is what its preset gives alone."""
+    odd = ["a , b", "a ,( b", "-x - y-", " - ", "a--b", "Ñ-ñ  -", "x\u00a0-\u00a0y", "\u00a8x\u2003.y", "a\t,\n.b", ",.-()", "[a]:'b'  c", "Straße-Œuvre, æ", "½-x", "\u1680a\u1680"]
+    df = one_col(spark, SAMPLES + odd)
+    presets = {"region": T.key_region, "pollutant": T.key_pollutant, "description": T.key_description, "centre": T.key_centre, "municipality": T.key_municipality}
+    got = T.with_text_keys(df, "x", {f"k_{p}": p for p in presets}).select("*", *[f(F.col("x")).alias(p) for p, f in presets.items()])
+    for r in got.collect():
+        for p in presets:
+            assert r[f"k_{p}"] == r[p], (r["x"], p)
