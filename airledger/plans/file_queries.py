@@ -30,11 +30,17 @@ def _read_back(spark: SparkSession, folder: str) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [R.read_signature(spark, g) for g in R.group_by_signature(infos)])
 
 
+def _files(table: DataFrame, least: int) -> int:
+    """As many files as ``table`` is read in splits, whose size Spark bounds, so that a task that
+    writes one gets no more of a larger table; ``least`` at least."""
+    return max(least, table.rdd.getNumPartitions())
+
+
 def quoted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts, with their line breaks and quotes, as CSV in several files and back."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "lang", F.when(F.col("text") != "", F.col("text")).alias("text"))
     folder = shared_dir(spark)
-    sinks.write_export(docs.repartition(3, "doc_id"), folder)
+    sinks.write_export(docs.repartition(_files(docs, 3), "doc_id"), folder)
     return _read_back(spark, folder).select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text")
 
 
@@ -45,7 +51,7 @@ def file_order_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of one era's files numbered in the order of files and lines, and their ids."""
     o = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     folder = shared_dir(spark)
-    sinks.write_export(o.repartitionByRange(6, "o_orderkey").sortWithinPartitions("o_orderkey"), folder)
+    sinks.write_export(o.repartitionByRange(_files(o, 6), "o_orderkey").sortWithinPartitions("o_orderkey"), folder)
     read = _read_back(spark, folder).withColumn("_era", F.lit("2005"))
     out = ids.sequence_across_files(read, "_era", "_file_name")
     return out.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "seq", ids.format_id(F.col("_era"), F.col("seq")).alias("id_unico"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from airledger import fixed_values as fv
 from airledger.operators import geo, ids
+from airledger.plans import file_queries as FQ
 from airledger.plans import pipeline as P
 from airledger.sources import registers as R
 from airledger.sources import sinks
@@ -322,6 +323,27 @@ def test_quoted_line_breaks_at_any_split(spark, scratch, split):
     assert order["f0.csv"] == [str(i) for i in range(n)] and order["f1.csv"] == [str(i) for i in range(n)] + ["last"]
 
 
+def test_files_are_written_by_as_many_tasks_as_the_table_is_read_in(spark, scratch, monkeypatch):
+    texts = ["", None, "plain", 'two\nlines; "quoted"', "é\r\nñ"]
+    docs = spark.createDataFrame([(i if i % 9 else None, "es", texts[i % 5]) for i in range(300)], "doc_id long, lang string, text string")
+    docs.repartition(12).write.parquet(f"{scratch}/documents.parquet")
+    spark.createDataFrame([(i, f"{i % 3}-X") for i in range(300)], "o_orderkey long, o_orderpriority string").repartition(12).write.parquet(f"{scratch}/orders.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        for query, table in ((FQ.quoted_files, "documents"), (FQ.file_order_ids, "orders")):
+            monkeypatch.setattr(FQ, "shared_dir", lambda _, t=table: f"{scratch}/written_{t}")
+            splits = spark.read.parquet(f"{scratch}/{table}.parquet").rdd.getNumPartitions()
+            rows = query(spark, scratch).collect()
+            written = [f for f in os.listdir(f"{scratch}/written_{table}") if f.endswith(".csv")]
+            assert splits >= 12 and len(written) >= 10
+            if table == "documents":
+                assert sorted(map(tuple, rows), key=str) == sorted(((d, g, t or None) for d, g, t in docs.collect()), key=str)
+            else:
+                assert sorted((r["o_orderkey"], r["seq"]) for r in rows) == [(i, i + 1) for i in range(300)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_header_with_line_break_and_unclosed_quote(spark, scratch):
     _put(scratch, "head.csv", '"re\ngion";x\r\n"a\r\nb";1\r\nc;2\r\n')
     _put(scratch, "open.csv", 'region;x\na;1\nb;"never\nclosed;3\n')
